@@ -59,7 +59,7 @@ def posting_chunks(postings: DataFrame, bucket_width: int = DOC_BUCKET_WIDTH) ->
     term in chunk order gives its whole list.
     """
     return (postings
-            .withColumn("chunk", F.floor(F.col("doc_id") / F.lit(bucket_width)).cast("bigint"))
+            .withColumn("chunk", F.call_function("div", F.col("doc_id"), F.lit(bucket_width).cast("bigint")))
             .groupBy("term", "chunk")
             .agg(F.sort_array(F.collect_list(F.struct("doc_id", "tf"))).alias("postings")))
 

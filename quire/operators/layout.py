@@ -16,11 +16,14 @@ from pyspark.sql import functions as F
 
 from ..config import DOC_BUCKET_WIDTH, POSTINGS_PER_BLOCK
 from ..functions.varbyte import hex_concat, varbyte_decode, varbyte_hex, varbyte_size
+from ..session import materialize
 
 
 def doc_bucket(doc_id: Column | str, width: int) -> Column:
+    """Doc-range bucket ``doc_id div width`` (integer division, exact for
+    every BIGINT)."""
     col = F.col(doc_id) if isinstance(doc_id, str) else doc_id
-    return F.floor(col / F.lit(width)).cast("bigint")
+    return F.call_function("div", col, F.lit(width).cast("bigint")).cast("bigint")
 
 
 def posting_gaps(postings: DataFrame, bucket_width: int = DOC_BUCKET_WIDTH,
@@ -30,10 +33,24 @@ def posting_gaps(postings: DataFrame, bucket_width: int = DOC_BUCKET_WIDTH,
     ``gap`` = doc_id minus the previous doc id of the term (the first gap is
     the doc id itself); it runs on across block borders. ``pos`` is the
     0-based position in the list and ``block_no = pos div block_size``.
+
+    Postings cross the network once: they are hash-partitioned by
+    ``(term, bucket)`` and written; the per-bucket counts and the in-bucket
+    window run on that layout, and only the small bucket table moves again.
     """
-    pb = postings.withColumn("bucket", doc_bucket("doc_id", bucket_width))
+    # Written once, hash-partitioned by (term, bucket): the in-bucket window
+    # and the per-bucket counts both read it without another shuffle, and the
+    # corpus is tokenized once.
+    n = int(postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pb = materialize(postings.withColumn("bucket", doc_bucket("doc_id", bucket_width))
+                     .repartition(n, "term", "bucket"))
+    w_bucket = Window.partitionBy("term", "bucket").orderBy("doc_id")
+    local = pb.select("term", "bucket", "doc_id", "tf",
+                      F.row_number().over(w_bucket).alias("_rn"),
+                      F.lag("doc_id", 1).over(w_bucket).alias("_prev"))
     per_bucket = pb.groupBy("term", "bucket").agg(
         F.count(F.lit(1)).alias("_n"), F.max("doc_id").alias("_last"))
+    # One row per (term, bucket): a term has at most (doc id range / W) of them.
     w_term = Window.partitionBy("term").orderBy("bucket")
     bases = per_bucket.select(
         "term", "bucket",
@@ -41,12 +58,12 @@ def posting_gaps(postings: DataFrame, bucket_width: int = DOC_BUCKET_WIDTH,
          - F.col("_n")).alias("_base_pos"),
         F.lag("_last", 1, 0).over(w_term).alias("_prev_last"),
     )
-    w_bucket = Window.partitionBy("term", "bucket").orderBy("doc_id")
-    pos = F.col("_base_pos") + F.row_number().over(w_bucket) - 1
-    prev = F.coalesce(F.lag("doc_id", 1).over(w_bucket), F.col("_prev_last"))
-    return (pb.join(bases, ["term", "bucket"])
-            .select("term", "doc_id", "tf", (F.col("doc_id") - prev).alias("gap"), pos.alias("pos"))
-            .withColumn("block_no", F.floor(F.col("pos") / F.lit(block_size)).cast("bigint")))
+    pos = F.col("_base_pos") + F.col("_rn") - 1
+    prev = F.coalesce(F.col("_prev"), F.col("_prev_last"))
+    return (local.join(bases, ["term", "bucket"])
+            .select("term", "doc_id", "tf", (F.col("doc_id") - prev).alias("gap"),
+                    pos.cast("bigint").alias("pos"))
+            .withColumn("block_no", F.call_function("div", F.col("pos"), F.lit(block_size).cast("bigint"))))
 
 
 def posting_blocks(gaps: DataFrame, with_payload: bool = True, layout: str = "split") -> DataFrame:
@@ -119,6 +136,9 @@ def block_postings(blocks: DataFrame, layout: str = "split") -> DataFrame:
 
 def decode_blocks(blocks: DataFrame, layout: str = "split") -> DataFrame:
     """Posting rows ``term, doc_id, tf`` from a block table."""
-    return block_postings(blocks, layout).select(
-        "term", F.inline("postings")).select("term", F.col("doc_id").cast("bigint"),
-                                             F.col("tf").cast("bigint"))
+    # inline_outer, not inline: inline would make Catalyst infer a
+    # size(postings) > 0 filter and decode every block twice.
+    return (block_postings(blocks, layout)
+            .select("term", F.inline_outer("postings"))
+            .where(F.col("doc_id").isNotNull())
+            .select("term", F.col("doc_id").cast("bigint"), F.col("tf").cast("bigint")))

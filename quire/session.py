@@ -64,3 +64,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="quire-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def materialize(df):
+    """Write ``df`` once to the session's checkpoint folder and read it from
+    there: for an intermediate that several branches of a plan consume
+    (each would otherwise recompute it from the raw text), and a lineage cut
+    that survives lost executors. Keeps the output partitioning, so a
+    consumer grouped on the same keys needs no further shuffle."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    # The checkpoint records the partitioning of the plan it runs; under
+    # adaptive execution that plan reports none. Run this one write without
+    # it (a plain exchange with a fixed partition count) so the partitioning
+    # survives, then restore the setting.
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        spark.conf.set(key, before)
