@@ -31,6 +31,9 @@ def _asof_forward(probes: DataFrame, targets: DataFrame, key: str, value_cols: l
     ``key`` and ``value_cols`` (NULL when there is none).
     """
     hit_struct = F.struct(F.col(key).alias(key), *[F.col(c) for c in value_cols])
+    # Only lists some probe asks for take part (a semi join; AQE broadcasts
+    # the distinct probe terms when they are few, and splits a hot term).
+    targets = targets.join(probes.select("term").distinct(), "term", "left_semi")
     tgt = targets.select(
         "term", F.col(key).alias("_k"), doc_bucket(key, bucket_width).alias("_b"),
         F.lit(1).alias("_side"), hit_struct.alias("_hit"))
@@ -44,27 +47,26 @@ def _asof_forward(probes: DataFrame, targets: DataFrame, key: str, value_cols: l
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     pass1 = (prb.unionByName(tgt)
              .select("term", "_k", "_b", "_side", F.last("_hit", ignorenulls=True).over(w1).alias("_hit"))
-             .where(F.col("_side") == 0))
-    found = pass1.where(F.col("_hit").isNotNull())
-    missed = pass1.where(F.col("_hit").isNull()).select("term", "_k", "_b")
-
-    # Pass 2, for probes with nothing left in their bucket: the first target
-    # of the next non-empty bucket of the term. One summary row per
-    # (term, bucket) on each side; at an equal bucket the probe comes first so
-    # that its own bucket (whose targets all lie below the probe) is skipped.
+             .where(F.col("_side") == 0).drop("_side"))
+
+    # Pass 2: the first target of the next non-empty bucket after each probed
+    # bucket, for probes with nothing left in their own bucket. One summary
+    # row per (term, bucket) on each side, so the window over a term holds at
+    # most twice its number of buckets. At an equal bucket the probe row comes
+    # first, so the probe's own bucket is skipped.
     first_of_bucket = tgt.groupBy("term", "_b").agg(F.min("_hit").alias("_hit")).select(
         "term", "_b", F.lit(1).alias("_side"), "_hit")
-    missed_buckets = missed.select("term", "_b").distinct().select(
+    probed_buckets = prb.select("term", "_b").distinct().select(
         "term", "_b", F.lit(0).alias("_side"), F.lit(None).cast(tgt.schema["_hit"].dataType).alias("_hit"))
     w2 = (Window.partitionBy("term").orderBy(F.col("_b").desc(), F.col("_side").asc())
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    later = (missed_buckets.unionByName(first_of_bucket)
-             .select("term", "_b", "_side", F.last("_hit", ignorenulls=True).over(w2).alias("_hit"))
+    later = (probed_buckets.unionByName(first_of_bucket)
+             .select("term", "_b", "_side", F.last("_hit", ignorenulls=True).over(w2).alias("_later"))
              .where(F.col("_side") == 0).drop("_side"))
-    resolved = missed.join(later, ["term", "_b"], "left")
 
-    return (found.select("term", "_k", "_hit").unionByName(resolved.select("term", "_k", "_hit"))
-            .withColumnRenamed("_k", "lookup_doc_id").withColumnRenamed("_hit", "hit"))
+    return (pass1.join(later, ["term", "_b"], "left")
+            .select("term", F.col("_k").alias("lookup_doc_id"),
+                    F.coalesce(F.col("_hit"), F.col("_later")).alias("hit")))
 
 
 def _with_answers(probes: DataFrame, answers: DataFrame) -> DataFrame:

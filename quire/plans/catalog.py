@@ -17,6 +17,7 @@ from ..operators import layout, lookup, prefix
 from ..sinks.text import posting_lines
 from ..sources.collection import parse_collection_lines, read_corpus, to_collection_lines
 from ..sources.postings import parse_posting_lines
+from ..session import materialize
 
 # Fixed query of the checks: four terms present at every scale, one absent,
 # an upper-case spelling (looked up verbatim, so missing) and a repeat.
@@ -29,14 +30,19 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_corpus(spark, f"{sf_dir}/documents.parquet")
 
 
-def _postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return idx.term_frequencies(documents(spark, sf_dir))
+def _postings(spark: SparkSession, sf_dir: str, pinned: bool = False) -> DataFrame:
+    """Postings of the corpus; ``pinned`` writes them once for queries that
+    read them from more than one branch (the corpus is tokenized once)."""
+    tf = idx.term_frequencies(documents(spark, sf_dir))
+    return materialize(tf) if pinned else tf
 
 
 def _blocks(spark: SparkSession, sf_dir: str, with_payload: bool = True,
-            layout_name: str = "split") -> DataFrame:
+            layout_name: str = "split", pinned: bool = False) -> DataFrame:
+    """Block table; ``pinned`` stores it once, as a stored index would be."""
     gaps = layout.posting_gaps(_postings(spark, sf_dir))
-    return layout.posting_blocks(gaps, with_payload=with_payload, layout=layout_name)
+    blocks = layout.posting_blocks(gaps, with_payload=with_payload, layout=layout_name)
+    return materialize(blocks) if pinned else blocks
 
 
 def probes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,25 +141,26 @@ def q_missing_terms(spark, sf_dir):
 
 
 def q_next_geq(spark, sf_dir):
-    return lookup.next_geq(_postings(spark, sf_dir), probes(spark, sf_dir))
+    return lookup.next_geq(_postings(spark, sf_dir, pinned=True), probes(spark, sf_dir))
 
 
 def q_next_geq_blocks(spark, sf_dir):
-    return lookup.next_geq_blocks(_blocks(spark, sf_dir), probes(spark, sf_dir))
+    return lookup.next_geq_blocks(_blocks(spark, sf_dir, pinned=True), probes(spark, sf_dir))
 
 
 def q_locate_block(spark, sf_dir):
-    return lookup.locate_block(_blocks(spark, sf_dir, with_payload=False), probes(spark, sf_dir))
+    return lookup.locate_block(_blocks(spark, sf_dir, with_payload=False, pinned=True),
+                               probes(spark, sf_dir))
 
 
 def q_query_terms(spark, sf_dir):
-    postings = _postings(spark, sf_dir)
+    postings = _postings(spark, sf_dir, pinned=True)
     lex = idx.doc_freq(postings)
     return lookup.query_terms(spark, QUERY_TERMS, lex, postings, QUERY_DOC_ID)
 
 
 def q_index_stats(spark, sf_dir):
-    postings = _postings(spark, sf_dir)
+    postings = _postings(spark, sf_dir, pinned=True)
     blocks = layout.posting_blocks(layout.posting_gaps(postings), with_payload=False)
     return idx.index_stats(documents(spark, sf_dir), postings, blocks)
 

@@ -19,22 +19,23 @@ def parse_posting_lines(lines: DataFrame, line_col: str = "value",
     """Flatten posting lines into ``(term, doc_id, tf)`` rows.
 
     A posting without ``:``, with a non-numeric part, or with a negative doc
-    id or tf is rejected (``on_error='fail'`` raises, as the reference does).
-    Runs of blanks are one separator; a term with no posting yields no row.
+    id or tf is rejected as ``(term posting, reason)`` (``on_error='fail'``
+    raises, as the reference does). Runs of blanks are one separator; a term with no posting yields no row.
     """
-    words = F.split(F.trim(F.col(line_col)), r"\s+")
-    items = lines.select(
-        F.get(words, 0).alias("term"),
-        F.explode_outer(F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(1)))).alias("posting"),
-        F.col(line_col).alias("line"),
-    ).where(F.col("posting").isNotNull() & (F.col("term") != ""))
+    # Split once per line; each exploded posting carries only its term (never
+    # the whole line, which for a long list would be copied per posting).
+    words = lines.select(F.split(F.trim(F.col(line_col)), r"\s+").alias("_w"))
+    split = words.select(F.get("_w", 0).alias("term"),
+                         F.slice("_w", 2, F.greatest(F.size("_w") - 1, F.lit(1))).alias("_p"))
+    items = split.select("term", F.explode_outer("_p").alias("posting")).where(
+        F.col("posting").isNotNull() & (F.col("term") != ""))
     colon = F.instr("posting", POSTING_SEP)
     doc_id = F.split_part("posting", F.lit(POSTING_SEP), F.lit(1)).try_cast("bigint")
     tf = F.split_part("posting", F.lit(POSTING_SEP), F.lit(2)).try_cast("bigint")
     reason = (F.when(colon == 0, F.lit("posting without colon"))
               .when(doc_id.isNull() | tf.isNull(), F.lit("posting not a number"))
               .when((doc_id < 0) | (tf < 0), F.lit("negative doc id or tf")))
-    staged = items.select("term", doc_id.alias("doc_id"), tf.alias("tf"), "line", "posting",
+    staged = items.select("term", doc_id.alias("doc_id"), tf.alias("tf"), "posting",
                           reason.alias("reason"))
     if on_error == "fail":
         staged = staged.withColumn(
@@ -44,7 +45,8 @@ def parse_posting_lines(lines: DataFrame, line_col: str = "value",
         )
     good = staged.where(F.col("reason").isNull()).select("term", "doc_id", "tf")
     rejects = staged.where(F.col("reason").isNotNull()).select(
-        F.col("line"), F.concat(F.col("reason"), F.lit(": "), F.col("posting")).alias("reason"))
+        F.concat_ws(FIELD_SEP, "term", "posting").alias("line"),
+        F.concat(F.col("reason"), F.lit(": "), F.col("posting")).alias("reason"))
     return Parsed(good, rejects)
 
 
