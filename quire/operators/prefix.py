@@ -20,31 +20,36 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 
-def global_running_sum(df: DataFrame, order_cols: list[str], value_col: str, out_col: str,
-                       num_partitions: int | None = None, exclusive: bool = True) -> DataFrame:
+def global_running_sum(df: DataFrame, order_cols: list[str], value_col: str | list[str],
+                       out_col: str | list[str], num_partitions: int | None = None,
+                       exclusive: bool = True) -> DataFrame:
     """Add ``out_col`` = sum of ``value_col`` over all rows ordered before
     this one by ``order_cols`` (``exclusive=True``), or up to and including
-    it. Order keys must be unique."""
+    it. Several value/out column pairs may be given as lists. Order keys
+    must be unique."""
+    values = [value_col] if isinstance(value_col, str) else list(value_col)
+    outs = [out_col] if isinstance(out_col, str) else list(out_col)
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n, *order_cols)
               .withColumn("_part", F.spark_partition_id())
               .checkpoint(eager=True))
-    totals = ranged.groupBy("_part").agg(F.sum(value_col).alias("_total"))
-    # One row per range partition: the window below is tiny by construction.
-    bases = totals.select(
-        "_part",
-        (F.sum("_total").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("_base"))
+    totals = ranged.groupBy("_part").agg(*[F.sum(v).alias(f"_total{i}") for i, v in enumerate(values)])
+    # One row per range partition: the window below is tiny by construction,
+    # and so is the broadcast of its result.
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = totals.select("_part", *[F.sum(f"_total{i}").over(before).alias(f"_base{i}")
+                                     for i in range(len(values))])
     w = (Window.partitionBy("_part").orderBy(*order_cols)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    running = F.sum(value_col).over(w)
-    if exclusive:
-        running = running - F.col(value_col)
-    return (ranged.join(F.broadcast(bases), "_part")
-            .withColumn(out_col, (F.coalesce(F.col("_base"), F.lit(0)) + running).cast("bigint"))
-            .drop("_part", "_base"))
+    out = ranged.join(F.broadcast(bases), "_part")
+    for i, (v, o) in enumerate(zip(values, outs)):
+        running = F.sum(v).over(w)
+        if exclusive:
+            running = running - F.col(v)
+        out = out.withColumn(o, (F.coalesce(F.col(f"_base{i}"), F.lit(0)) + running).cast("bigint"))
+    return out.drop("_part", *[f"_base{i}" for i in range(len(values))])
 
 
 def block_offsets(blocks: DataFrame) -> DataFrame:
