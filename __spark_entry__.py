@@ -160,6 +160,7 @@ _ORACLE = {
                found.query_pos, found.term, found.doc_freq, {QUERY_DOC_ID}::BIGINT AS lookup_doc_id,
                coalesce(hit.doc_id, -1)::BIGINT AS doc_id, coalesce(hit.tf, -1)::BIGINT AS tf
         FROM found LEFT JOIN hit ON found.term = hit.term""",
+    "stream_runs": f"WITH {_TF} SELECT term, doc_id, tf FROM tf",
     "index_stats": f"""WITH {_TF}, {_G}, {_B}
         SELECT (SELECT count(*) FROM documents)::BIGINT AS n_docs,
                (SELECT sum(len(regexp_extract_all(text, '[A-Za-z0-9]+'))) FROM documents)::BIGINT

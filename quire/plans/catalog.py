@@ -7,6 +7,7 @@ bench run.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,8 @@ from ..operators import layout, lookup, prefix
 from ..sinks.text import posting_lines
 from ..sources.collection import parse_collection_lines, read_corpus, to_collection_lines
 from ..sources.postings import parse_posting_lines
-from ..session import materialize
+from ..session import ensure_checkpoint_dir, materialize
+from ..streaming.runs import read_runs, stream_collection_runs
 
 # Fixed query of the checks: four terms present at every scale, one absent,
 # an upper-case spelling (looked up verbatim, so missing) and a repeat.
@@ -159,6 +161,18 @@ def q_query_terms(spark, sf_dir):
     return lookup.query_terms(spark, QUERY_TERMS, lex, postings, QUERY_DOC_ID)
 
 
+def q_stream_runs(spark, sf_dir):
+    """Index the documents table as a stream (one run per micro-batch of
+    files), then merge the runs: equals the batch index."""
+    ckpt = ensure_checkpoint_dir(spark)
+    runs = f"{ckpt}/runs-{uuid.uuid4().hex}"
+    query = stream_collection_runs(spark, sf_dir, runs, f"{runs}/_stream", source_format="parquet",
+                                   file_filter="documents.parquet")
+    query.awaitTermination()
+    postings, _rejects = read_runs(spark, runs)
+    return postings
+
+
 def q_index_stats(spark, sf_dir):
     postings = _postings(spark, sf_dir, pinned=True)
     blocks = layout.posting_blocks(layout.posting_gaps(postings), with_payload=False)
@@ -187,4 +201,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "locate_block": q_locate_block,
     "query_terms": q_query_terms,
     "index_stats": q_index_stats,
+    "stream_runs": q_stream_runs,
 }
