@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DOC_BUCKET_WIDTH
-from ..functions.text import tokenize
+from ..functions.text import token_count, tokenize
 
 
 def with_tokens(docs: DataFrame) -> DataFrame:
@@ -41,7 +41,7 @@ def term_frequencies(docs: DataFrame) -> DataFrame:
 
 def doc_lengths(docs: DataFrame) -> DataFrame:
     """Page table ``doc_id, n_tokens``: every document, zero-token ones too."""
-    return with_tokens(docs).select("doc_id", F.size("tokens").cast("bigint").alias("n_tokens"))
+    return docs.select("doc_id", token_count("text").alias("n_tokens"))
 
 
 def doc_freq(postings: DataFrame) -> DataFrame:
@@ -97,9 +97,9 @@ def index_stats(docs: DataFrame, postings: DataFrame, n_blocks: DataFrame | None
     task), not an approximation.
     """
     parts = [
-        with_tokens(docs).agg(
+        docs.agg(
             F.count(F.lit(1)).alias("n_docs"),
-            F.coalesce(F.sum(F.size("tokens")), F.lit(0)).cast("bigint").alias("n_tokens")),
+            F.coalesce(F.sum(token_count("text")), F.lit(0)).cast("bigint").alias("n_tokens")),
         doc_freq(postings).agg(
             F.coalesce(F.sum("doc_freq"), F.lit(0)).cast("bigint").alias("n_postings"),
             F.count(F.lit(1)).alias("n_terms")),

@@ -104,4 +104,4 @@ def to_collection_lines(docs: DataFrame) -> DataFrame:
     tokens anyway, so the index is unchanged)."""
     return docs.select(F.concat(
         F.col("doc_id").cast("string"), F.lit(COLLECTION_SEP),
-        F.regexp_replace("text", r"[\t\n]", " ")).alias("value"))
+        F.translate("text", "\t\n", "  ")).alias("value"))
