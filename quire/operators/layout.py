@@ -28,7 +28,7 @@ def doc_bucket(doc_id: Column | str, width: int) -> Column:
 
 def posting_gaps(postings: DataFrame, bucket_width: int = DOC_BUCKET_WIDTH,
                  block_size: int = POSTINGS_PER_BLOCK) -> DataFrame:
-    """``term, doc_id, tf, gap, pos, block_no`` for every posting.
+    """``term, doc_id, tf, gap, pos, bucket, block_no`` for every posting.
 
     ``gap`` = doc_id minus the previous doc id of the term (the first gap is
     the doc id itself); it runs on across block borders. ``pos`` is the
@@ -62,7 +62,7 @@ def posting_gaps(postings: DataFrame, bucket_width: int = DOC_BUCKET_WIDTH,
     prev = F.coalesce(F.col("_prev"), F.col("_prev_last"))
     return (local.join(bases, ["term", "bucket"])
             .select("term", "doc_id", "tf", (F.col("doc_id") - prev).alias("gap"),
-                    pos.cast("bigint").alias("pos"))
+                    pos.cast("bigint").alias("pos"), "bucket")
             .withColumn("block_no", F.call_function("div", F.col("pos"), F.lit(block_size).cast("bigint"))))
 
 
@@ -73,9 +73,14 @@ def posting_blocks(gaps: DataFrame, with_payload: bool = True, layout: str = "sp
 
     ``layout='split'``: varbyte of all gaps of the block, then of all tfs.
     ``layout='interleaved'``: doc id, tf alternating, absolute doc ids.
-    Codes are made per posting in a codegen'd projection; the grouping only
-    sorts at most 64 short strings per block. Unused aggregates are pruned,
-    so asking for metadata only never builds payloads.
+
+    Two steps, so posting rows never cross the network again: blocks are
+    first assembled per ``(term, bucket, block_no)`` where the postings
+    already lie (hash-partitioned by term and bucket: no exchange), then the
+    pieces of the few blocks that straddle two buckets are joined by
+    ``(term, block_no)`` — a shuffle of coded block pieces, not of postings.
+    Codes are made per posting in a codegen'd projection; unused aggregates
+    are pruned, so metadata-only requests never build payloads.
     """
     if layout == "split":
         enc = gaps.select("*", varbyte_hex("gap").alias("_h1"), varbyte_hex("tf").alias("_h2"))
@@ -85,23 +90,39 @@ def posting_blocks(gaps: DataFrame, with_payload: bool = True, layout: str = "sp
         n_bytes = F.sum(varbyte_size("doc_id") + varbyte_size("tf")).cast("bigint")
     else:
         raise ValueError(f"unknown layout {layout!r}")
-    aggs = [
+    keys = ["term", "bucket", "block_no"] if "bucket" in gaps.columns else ["term", "block_no"]
+    piece_aggs = [
         F.count(F.lit(1)).alias("n_postings"),
         F.min("doc_id").alias("first_doc_id"),
         F.max("doc_id").alias("last_doc_id"),
         n_bytes.alias("n_bytes"),
     ]
     if with_payload:
-        aggs.append(F.sort_array(F.collect_list(F.struct("doc_id", "_h1", "_h2"))).alias("_codes"))
-    blocks = enc.groupBy("term", "block_no").agg(*aggs)
+        piece_aggs.append(F.sort_array(F.collect_list(F.struct("doc_id", "_h1", "_h2"))).alias("_codes"))
+    pieces = enc.groupBy(*keys).agg(*piece_aggs)
+    if with_payload:
+        codes = F.col("_codes")
+        if layout == "split":
+            pieces = pieces.withColumn("_p1", F.array_join(codes["_h1"], "")).withColumn(
+                "_p2", F.array_join(codes["_h2"], ""))
+        else:
+            pieces = pieces.withColumn(
+                "_p1", F.array_join(F.transform(codes, lambda c: F.concat(c["_h1"], c["_h2"])), "")
+            ).withColumn("_p2", F.lit(""))
+    block_aggs = [
+        F.sum("n_postings").cast("bigint").alias("n_postings"),
+        F.min("first_doc_id").alias("first_doc_id"),
+        F.max("last_doc_id").alias("last_doc_id"),
+        F.sum("n_bytes").cast("bigint").alias("n_bytes"),
+    ]
+    if with_payload:
+        block_aggs.append(F.sort_array(F.collect_list(F.struct("first_doc_id", "_p1", "_p2"))).alias("_pieces"))
+    blocks = pieces.groupBy("term", "block_no").agg(*block_aggs)
     if not with_payload:
         return blocks
-    codes = F.col("_codes")
-    if layout == "split":
-        payload = hex_concat(F.concat(codes["_h1"], codes["_h2"]))
-    else:
-        payload = hex_concat(F.transform(codes, lambda c: F.concat(c["_h1"], c["_h2"])))
-    return blocks.withColumn("payload", payload).drop("_codes")
+    ordered = F.col("_pieces")
+    payload = hex_concat(F.concat(ordered["_p1"], ordered["_p2"]))
+    return blocks.withColumn("payload", payload).drop("_pieces")
 
 
 def block_postings(blocks: DataFrame, layout: str = "split") -> DataFrame:

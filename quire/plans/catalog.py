@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..operators import index as idx
 from ..operators import layout, lookup, prefix
 from ..sinks.text import posting_lines
-from ..sources.collection import parse_collection_lines, read_corpus, to_collection_lines
+from ..sources.collection import read_collection, read_corpus, to_collection_lines
 from ..sources.postings import parse_posting_lines
 from ..session import ensure_checkpoint_dir, materialize
 from ..streaming.runs import read_runs, stream_collection_runs
@@ -84,7 +84,8 @@ def q_merge_indexes(spark, sf_dir):
 
 
 def q_posting_gaps(spark, sf_dir):
-    return layout.posting_gaps(_postings(spark, sf_dir))
+    return layout.posting_gaps(_postings(spark, sf_dir)).select(
+        "term", "doc_id", "tf", "gap", "pos", "block_no")
 
 
 def q_posting_blocks(spark, sf_dir):
@@ -120,10 +121,11 @@ def q_read_postings_text(spark, sf_dir):
 
 
 def q_read_collection(spark, sf_dir):
-    """Render the corpus as ``docID<TAB>passage`` lines, parse them back, and
-    count tokens per document."""
-    lines = to_collection_lines(documents(spark, sf_dir))
-    return idx.doc_lengths(parse_collection_lines(lines).good)
+    """Write the corpus as a ``docID<TAB>passage`` collection file, read it
+    back with the collection reader, and count tokens per document."""
+    path = f"{ensure_checkpoint_dir(spark)}/collection-{uuid.uuid4().hex}"
+    to_collection_lines(documents(spark, sf_dir)).write.option("lineSep", "\n").text(path)
+    return idx.doc_lengths(read_collection(spark, path).good)
 
 
 def _lexicon(spark, sf_dir):

@@ -36,16 +36,17 @@ def parse_collection_lines(lines: DataFrame, line_col: str = "value",
     number, or with a negative doc id is a reject; ``on_error='fail'`` raises
     instead (the reference aborts on a bad id).
     """
-    line = F.col(line_col)
-    tab = F.instr(line, COLLECTION_SEP)
-    raw_id = F.when(tab > 0, F.substring(line, F.lit(1), tab - 1))
-    doc_id = parse_doc_id(raw_id)
-    staged = lines.select(
-        line.alias("line"),
-        doc_id.alias("doc_id"),
-        F.when(tab > 0, F.substring(line, tab + 1, F.length(line))).alias("text"),
+    # One split per line: [id part, passage] or [line] when there is no tab.
+    parts = lines.select(F.col(line_col).alias("line"),
+                         F.split(F.col(line_col), COLLECTION_SEP, 2).alias("_parts"))
+    has_tab = F.size("_parts") == 2
+    doc_id = parse_doc_id(F.get("_parts", 0))
+    staged = parts.select(
+        "line",
+        F.when(has_tab, doc_id).alias("doc_id"),
+        F.when(has_tab, F.get("_parts", 1)).alias("text"),
         _reason([
-            (tab == 0, "no tab"),
+            (~has_tab, "no tab"),
             (doc_id.isNull(), "doc id not a number"),
             (doc_id < 0, "negative doc id"),
         ]).alias("reason"),
