@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..operators import index as idx
 from ..operators import layout, lookup, prefix
 from ..sinks.text import posting_lines
-from ..sources.collection import read_collection, read_corpus, to_collection_lines
+from ..sources.collection import ensure_parallel, read_collection, read_corpus, to_collection_lines
 from ..sources.postings import parse_posting_lines
 from ..session import ensure_checkpoint_dir, materialize
 from ..streaming.runs import read_runs, stream_collection_runs
@@ -75,7 +75,7 @@ def q_posting_lines(spark, sf_dir):
 def q_merge_indexes(spark, sf_dir):
     """Index each language shard of the corpus on its own, merge the partial
     indexes, validate, and export: equals the index of the whole corpus."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    docs = ensure_parallel(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang"))
     langs = ["en", "de", "fr", "es"]
     partials = [idx.term_frequencies(docs.where(F.col("lang") == lang)) for lang in langs]
     partials.append(idx.term_frequencies(docs.where(~F.col("lang").isin(langs) | F.col("lang").isNull())))

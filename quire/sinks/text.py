@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DOC_BUCKET_WIDTH, FIELD_SEP, POSTING_SEP
-from ..operators.index import posting_chunks
 
 
 def posting_lines(postings: DataFrame, bucket_width: int = DOC_BUCKET_WIDTH) -> DataFrame:
@@ -19,13 +18,16 @@ def posting_lines(postings: DataFrame, bucket_width: int = DOC_BUCKET_WIDTH) ->
     A list longer than one doc-range chunk becomes several lines with the
     same term, in chunk order; readers (ours, and a k-way merge of posting
     files) concatenate lines of equal terms, so no line ever has to hold a
-    whole hot list.
+    whole hot list. Each ``d:tf`` is formatted per posting in a codegen'd
+    projection; grouping only sorts and joins the finished pieces.
     """
-    chunks = posting_chunks(postings, bucket_width)
-    body = F.array_join(
-        F.transform("postings", lambda p: F.concat(p["doc_id"].cast("string"), F.lit(POSTING_SEP),
-                                                  p["tf"].cast("string"))), FIELD_SEP)
-    return chunks.select("term", "chunk", F.concat_ws(FIELD_SEP, "term", body).alias("line"))
+    pieces = postings.select(
+        "term", F.call_function("div", F.col("doc_id"), F.lit(bucket_width).cast("bigint")).alias("chunk"),
+        F.struct("doc_id", F.concat(F.col("doc_id").cast("string"), F.lit(POSTING_SEP),
+                                    F.col("tf").cast("string")).alias("p")).alias("_e"))
+    chunks = pieces.groupBy("term", "chunk").agg(F.sort_array(F.collect_list("_e")).alias("_l"))
+    return chunks.select("term", "chunk",
+                         F.concat_ws(FIELD_SEP, "term", F.array_join(F.col("_l")["p"], FIELD_SEP)).alias("line"))
 
 
 def _ordered(df: DataFrame, keys: list[str], num_files: int | None) -> DataFrame:

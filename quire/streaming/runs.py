@@ -21,14 +21,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.index import merge_indexes, validate_postings, with_tokens
 from ..session import ensure_checkpoint_dir
-from ..sources.collection import parse_collection_lines
+from ..sources.collection import ensure_parallel, parse_collection_lines
 
 DOC_SCHEMA = "doc_id BIGINT, text STRING"
 
 
 def _write_run(runs_path: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        tokens = with_tokens(batch).persist()
+        # A micro-batch of few files is few scan tasks: spread it first.
+        tokens = with_tokens(ensure_parallel(batch)).persist()
         try:
             postings = (tokens.select("doc_id", F.explode_outer("tokens").alias("term"))
                         .where(F.col("term").isNotNull())
