@@ -71,3 +71,14 @@ def test_build_write_open_query(spark, docs_small):
     assert all(r["count"] == math.ceil(r["doc_freq"] / 64) for r in nb.collect())
     lex = opened.lexicon.orderBy("term").collect()
     assert all(a["offset"] + a["length"] == b["offset"] for a, b in zip(lex, lex[1:]))
+
+
+def test_posting_chunks_bounded_and_complete(spark, docs_small):
+    tf = idx.term_frequencies(docs_small)
+    chunks = idx.posting_chunks(tf, bucket_width=50)
+    assert chunks.agg(F.max(F.size("postings"))).first()[0] <= 50
+    flat = chunks.select("term", F.inline("postings"))
+    assert flat.exceptAll(tf).count() == 0 and tf.exceptAll(flat).count() == 0
+    # within a chunk postings are ascending by doc id
+    sorted_ok = chunks.where(F.col("postings") != F.sort_array("postings")).count()
+    assert sorted_ok == 0
