@@ -122,6 +122,7 @@ _ORACLE = {
     "doc_freq": f"WITH {_TF} SELECT term, count(*)::BIGINT AS doc_freq FROM tf GROUP BY term",
     "posting_lines": _LINES,
     "merge_indexes": _LINES,
+    "merge_posting_files": _LINES,
     "posting_gaps": f"WITH {_TF}, {_G} SELECT term, doc_id, tf, gap, pos, block_no FROM g",
     "posting_blocks": f"""WITH {_TF}, {_G}, {_B}
         SELECT term, block_no, n_postings, first_doc_id, last_doc_id, n_bytes FROM b""",

@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from ..operators import index as idx
 from ..operators import layout, lookup, prefix
-from ..sinks.text import posting_lines
+from ..sinks.text import posting_lines, write_postings_text
 from ..sources.collection import ensure_parallel, read_collection, read_corpus, to_collection_lines
-from ..sources.postings import parse_posting_lines
+from ..sources.postings import parse_posting_lines, read_postings_dir
 from ..session import ensure_checkpoint_dir, materialize
 from ..streaming.runs import read_runs, stream_collection_runs
 
@@ -26,6 +26,12 @@ from ..streaming.runs import read_runs, stream_collection_runs
 QUERY_TERMS = ["the", "tion", "ed", "chch", "peacefully", "The", "the"]
 PROBE_TERMS = ["the", "tion", "ed", "chch", "peacefully"]
 QUERY_DOC_ID = 3
+# Shards of the corpus for the merge queries: one per language, plus the rest.
+_LANGS = ["en", "de", "fr", "es"]
+
+
+def _other_lang():
+    return ~F.col("lang").isin(_LANGS) | F.col("lang").isNull()
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,13 +82,25 @@ def q_merge_indexes(spark, sf_dir):
     """Index each language shard of the corpus on its own, merge the partial
     indexes, validate, and export: equals the index of the whole corpus."""
     docs = ensure_parallel(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang"))
-    langs = ["en", "de", "fr", "es"]
-    partials = [idx.term_frequencies(docs.where(F.col("lang") == lang)) for lang in langs]
-    partials.append(idx.term_frequencies(docs.where(~F.col("lang").isin(langs) | F.col("lang").isNull())))
+    partials = [idx.term_frequencies(docs.where(F.col("lang") == lang)) for lang in _LANGS]
+    partials.append(idx.term_frequencies(docs.where(_other_lang())))
     good, _rejects = idx.validate_postings(idx.merge_indexes(*partials))
     return posting_lines(good).select("term", "line")
 
 
+def q_merge_posting_files(spark, sf_dir):
+    """The index-then-merge flow through files: each language shard's
+    partial index is written as posting text runs into one folder, the
+    folder is read back (every ``*.txt``, any order), merged, validated and
+    exported."""
+    docs = ensure_parallel(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang"))
+    runs = f"{ensure_checkpoint_dir(spark)}/runs-{uuid.uuid4().hex}"
+    for cond in [F.col("lang") == lang for lang in _LANGS] + [_other_lang()]:
+        write_postings_text(idx.term_frequencies(docs.where(cond)), runs, mode="append")
+    merged, _rejects = idx.validate_postings(read_postings_dir(spark, runs).good)
+    return posting_lines(merged).select("term", "line")
+
+
 def q_posting_gaps(spark, sf_dir):
     return layout.posting_gaps(_postings(spark, sf_dir)).select(
         "term", "doc_id", "tf", "gap", "pos", "block_no")
@@ -187,6 +205,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "doc_freq": q_doc_freq,
     "posting_lines": q_posting_lines,
     "merge_indexes": q_merge_indexes,
+    "merge_posting_files": q_merge_posting_files,
     "posting_gaps": q_posting_gaps,
     "posting_blocks": q_posting_blocks,
     "encode_blocks": q_encode_blocks,
