@@ -86,7 +86,9 @@ def posting_blocks(gaps: DataFrame, with_payload: bool = True, layout: str = "sp
         enc = gaps.select("*", varbyte_hex("gap").alias("_h1"), varbyte_hex("tf").alias("_h2"))
         n_bytes = F.sum(varbyte_size("gap") + varbyte_size("tf")).cast("bigint")
     elif layout == "interleaved":
-        enc = gaps.select("*", varbyte_hex("doc_id").alias("_h1"), varbyte_hex("tf").alias("_h2"))
+        # a posting's two codes sit side by side: join them right here
+        enc = gaps.select("*", F.concat(varbyte_hex("doc_id"), varbyte_hex("tf")).alias("_h1"),
+                          F.lit("").alias("_h2"))
         n_bytes = F.sum(varbyte_size("doc_id") + varbyte_size("tf")).cast("bigint")
     else:
         raise ValueError(f"unknown layout {layout!r}")
@@ -102,13 +104,8 @@ def posting_blocks(gaps: DataFrame, with_payload: bool = True, layout: str = "sp
     pieces = enc.groupBy(*keys).agg(*piece_aggs)
     if with_payload:
         codes = F.col("_codes")
-        if layout == "split":
-            pieces = pieces.withColumn("_p1", F.array_join(codes["_h1"], "")).withColumn(
-                "_p2", F.array_join(codes["_h2"], ""))
-        else:
-            pieces = pieces.withColumn(
-                "_p1", F.array_join(F.transform(codes, lambda c: F.concat(c["_h1"], c["_h2"])), "")
-            ).withColumn("_p2", F.lit(""))
+        pieces = pieces.withColumn("_p1", F.array_join(codes["_h1"], "")).withColumn(
+            "_p2", F.array_join(codes["_h2"], ""))
     block_aggs = [
         F.sum("n_postings").cast("bigint").alias("n_postings"),
         F.min("first_doc_id").alias("first_doc_id"),
