@@ -96,7 +96,7 @@ def q_merge_posting_files(spark, sf_dir):
     docs = ensure_parallel(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang"))
     runs = f"{ensure_checkpoint_dir(spark)}/runs-{uuid.uuid4().hex}"
     for cond in [F.col("lang") == lang for lang in _LANGS] + [_other_lang()]:
-        write_postings_text(idx.term_frequencies(docs.where(cond)), runs, mode="append")
+        write_postings_text(idx.term_frequencies(docs.where(cond)), runs, mode="append", global_order=False)
     merged, _rejects = idx.validate_postings(read_postings_dir(spark, runs).good)
     return posting_lines(merged).select("term", "line")
 

@@ -36,9 +36,18 @@ def _ordered(df: DataFrame, keys: list[str], num_files: int | None) -> DataFrame
 
 
 def write_postings_text(postings: DataFrame, path: str, num_files: int | None = None,
-                        bucket_width: int = DOC_BUCKET_WIDTH, mode: str = "overwrite") -> None:
-    """Posting text files, terms ascending across and within files."""
-    lines = _ordered(posting_lines(postings, bucket_width), ["term", "chunk"], num_files)
+                        bucket_width: int = DOC_BUCKET_WIDTH, mode: str = "overwrite",
+                        global_order: bool = True) -> None:
+    """Posting text files, terms ascending across and within files.
+
+    ``global_order=False`` writes runs: every file sorted by term (what a
+    k-way merge of runs needs), without the sampling pass of a range
+    partitioning."""
+    lines = posting_lines(postings, bucket_width)
+    if global_order:
+        lines = _ordered(lines, ["term", "chunk"], num_files)
+    else:
+        lines = lines.sortWithinPartitions("term", "chunk")
     lines.select("line").write.mode(mode).option("lineSep", "\n").text(path)
 
 
