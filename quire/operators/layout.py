@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DOC_BUCKET_WIDTH, POSTINGS_PER_BLOCK
+from ..functions.arrays import slice0
 from ..functions.varbyte import hex_concat, varbyte_decode, varbyte_hex, varbyte_size
 from ..session import materialize
 
@@ -129,8 +130,8 @@ def block_postings(blocks: DataFrame, layout: str = "split") -> DataFrame:
     ints = varbyte_decode("payload")
     if layout == "split":
         half = (F.size("_ints") / 2).cast("int")
-        gaps = F.slice("_ints", F.lit(1), half)
-        tfs = F.slice("_ints", half + 1, half)
+        gaps = slice0(F.col("_ints"), F.lit(0), half)
+        tfs = slice0(F.col("_ints"), half, half)
         base = F.col("first_doc_id") - F.get(gaps, 0)
         docs = F.aggregate(
             gaps,
