@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..config import DOC_BUCKET_WIDTH, MAX_BROADCAST_ROWS
 from ..operators import index as idx
 from ..operators import layout, lookup, prefix
-from ..sinks.text import write_index
+from ..sinks.text import posting_lines, write_index
 
 
 @dataclass
@@ -34,6 +34,13 @@ class InvertedIndex:
         return layout.decode_blocks(self.blocks)
 
 
+def dump_index_text(blocks: DataFrame, layout_name: str = "split",
+                    bucket_width: int = DOC_BUCKET_WIDTH) -> DataFrame:
+    """Readable posting lines (``term, chunk, line``) from a block table of
+    either payload layout: decode every block, then render the lines."""
+    return posting_lines(layout.decode_blocks(blocks, layout=layout_name), bucket_width)
+
+
 def build_index(docs: DataFrame, bucket_width: int = DOC_BUCKET_WIDTH) -> InvertedIndex:
     """Index ``doc_id, text`` documents: postings, gap + varbyte blocks of
     64, global byte offsets, lexicon, page table."""

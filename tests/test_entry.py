@@ -38,3 +38,11 @@ def test_query_matches_oracle(spark, duck, name):
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
     assert _canon(df.columns, got) == _canon(ocols, res.fetchall())
+
+
+def test_expected_lookup_at_sf001(spark):
+    """Rarest list first, first posting at or after doc 3 (FIXTURES.md)."""
+    res = E.queries()["query_terms"](spark, "/root/testdata/sf0.01").orderBy("list_rank")
+    got = [(r["term"], r["query_pos"], r["doc_freq"], r["doc_id"], r["tf"]) for r in res.collect()]
+    assert got == [("chch", 3, 60, 20, 4), ("ed", 2, 301, 5, 1), ("tion", 1, 373, 3, 7),
+                   ("the", 0, 615, 5, 3), ("the", 6, 615, 5, 3)]

@@ -82,3 +82,12 @@ def test_posting_chunks_bounded_and_complete(spark, docs_small):
     # within a chunk postings are ascending by doc id
     sorted_ok = chunks.where(F.col("postings") != F.sort_array("postings")).count()
     assert sorted_ok == 0
+
+
+def test_dump_interleaved_blocks_as_text(spark):
+    postings = spark.createDataFrame([("x", 0, 2), ("x", 7, 1), ("y", 300, 5)],
+                                     "term STRING, doc_id BIGINT, tf BIGINT")
+    from quire.operators import layout
+    blocks = layout.posting_blocks(layout.posting_gaps(postings), layout="interleaved")
+    lines = rows(B.dump_index_text(blocks, "interleaved"), "line")
+    assert lines == [("x 0:2 7:1",), ("y 300:5",)]
