@@ -66,8 +66,12 @@ def merge_partial_indexes(partials: list[DataFrame], bucket_width: int = DOC_BUC
 
 
 def write_index_tables(index: InvertedIndex, path: str, num_files: int | None = None,
-                       mode: str = "overwrite") -> None:
-    write_index(index.blocks, f"{path}/blocks", num_files, mode)
+                       mode: str = "overwrite", global_order: bool = False) -> None:
+    """Write the three tables. The block table of ``build_index`` comes out
+    of the offset pass grouped by key ranges, so by default its files are
+    only sorted inside (no second shuffle of the largest table); pass
+    ``global_order=True`` for files that are also ordered among each other."""
+    write_index(index.blocks, f"{path}/blocks", num_files, mode, global_order=global_order)
     n = num_files or int(index.lexicon.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (index.lexicon.repartitionByRange(n, "term").sortWithinPartitions("term")
      .write.mode(mode).parquet(f"{path}/lexicon"))

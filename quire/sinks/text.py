@@ -78,8 +78,16 @@ def write_block_meta(blocks: DataFrame, path: str, num_files: int | None = None,
 
 
 def write_index(blocks: DataFrame, path: str, num_files: int | None = None,
-                mode: str = "overwrite") -> None:
+                mode: str = "overwrite", global_order: bool = True) -> None:
     """The compressed index as a Parquet block table sorted by
     ``(term, block_no)``: row-group min/max on ``term`` lets a lookup read
-    only the row groups that can hold its terms."""
-    _ordered(blocks, ["term", "block_no"], num_files).write.mode(mode).parquet(path)
+    only the row groups that can hold its terms.
+
+    ``global_order=False`` only sorts inside each file — enough for the
+    row-group statistics, and no second shuffle of the block table when it
+    already arrives in key ranges (as after the offset pass)."""
+    if global_order:
+        ordered = _ordered(blocks, ["term", "block_no"], num_files)
+    else:
+        ordered = blocks.sortWithinPartitions("term", "block_no")
+    ordered.write.mode(mode).parquet(path)
