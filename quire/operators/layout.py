@@ -27,6 +27,21 @@ def doc_bucket(doc_id: Column | str, width: int) -> Column:
     return F.call_function("div", col, F.lit(width).cast("bigint")).cast("bigint")
 
 
+def suggest_bucket_width(docs: DataFrame, docs_per_bucket: int = DOC_BUCKET_WIDTH) -> int:
+    """Bucket width in doc ids so that a bucket spans about
+    ``docs_per_bucket`` documents on average, from one aggregate over
+    ``doc_id`` (count, min, max: three numbers reach the driver). Dense ids
+    give ``docs_per_bucket`` itself; sparse ids (hashes, gaps) a wider
+    range, so that a term never has more buckets than about
+    ``n_docs / docs_per_bucket``."""
+    r = docs.agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("lo"),
+                 F.max("doc_id").alias("hi")).first()
+    if not r["n"]:
+        return docs_per_bucket
+    span = r["hi"] - r["lo"] + 1
+    return max(docs_per_bucket, -(-span * docs_per_bucket // r["n"]))
+
+
 def posting_gaps(postings: DataFrame, bucket_width: int = DOC_BUCKET_WIDTH,
                  block_size: int = POSTINGS_PER_BLOCK) -> DataFrame:
     """``term, doc_id, tf, gap, pos, bucket, block_no`` for every posting.

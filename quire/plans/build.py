@@ -41,9 +41,13 @@ def dump_index_text(blocks: DataFrame, layout_name: str = "split",
     return posting_lines(layout.decode_blocks(blocks, layout=layout_name), bucket_width)
 
 
-def build_index(docs: DataFrame, bucket_width: int = DOC_BUCKET_WIDTH) -> InvertedIndex:
+def build_index(docs: DataFrame, bucket_width: int | None = None) -> InvertedIndex:
     """Index ``doc_id, text`` documents: postings, gap + varbyte blocks of
-    64, global byte offsets, lexicon, page table."""
+    64, global byte offsets, lexicon, page table. Without ``bucket_width``
+    the doc-range bucket width is fitted to the id density
+    (``suggest_bucket_width``)."""
+    if bucket_width is None:
+        bucket_width = layout.suggest_bucket_width(docs)
     postings = idx.term_frequencies(docs)
     blocks = layout.posting_blocks(layout.posting_gaps(postings, bucket_width))
     with_offsets = prefix.block_offsets(blocks)
@@ -86,7 +90,7 @@ def open_index(spark: SparkSession, path: str) -> InvertedIndex:
 
 
 def query_index(spark: SparkSession, index: InvertedIndex, terms: list[str], doc_id: int,
-                bucket_width: int = DOC_BUCKET_WIDTH) -> DataFrame:
+                bucket_width: int | None = None) -> DataFrame:
     """The lookup program on a stored index: look the terms up in the
     lexicon, order the lists rarest first, and probe each at ``doc_id`` by
     decoding only the one block that can hold the answer.
@@ -94,6 +98,8 @@ def query_index(spark: SparkSession, index: InvertedIndex, terms: list[str], doc
     ``list_rank, query_pos, term, doc_freq, lookup_doc_id, doc_id, tf``."""
     if len(terms) > MAX_BROADCAST_ROWS:
         raise ValueError("query_index takes a bounded list of terms")
+    if bucket_width is None:
+        bucket_width = layout.suggest_bucket_width(index.doc_lengths)
     wanted = sorted(set(terms))
     query = lookup.query_frame(spark, terms)
     lex = index.lexicon.where(F.col("term").isin(wanted)).select("term", "doc_freq")

@@ -57,3 +57,12 @@ def test_blocks_invariant_on_corpus(spark, docs_small):
     per_term = blocks.groupBy("term").agg(F.count("*").alias("nb"), F.sum("n_postings").alias("df"))
     bad = per_term.where(F.col("nb") != F.ceil(F.col("df") / 64)).count()
     assert bad == 0
+
+
+def test_suggest_bucket_width(spark):
+    dense = spark.range(0, 1000).withColumnRenamed("id", "doc_id")
+    assert layout.suggest_bucket_width(dense, docs_per_bucket=100) == 100
+    sparse = spark.createDataFrame([(i * 1_000_003,) for i in range(1000)], "doc_id BIGINT")
+    w = layout.suggest_bucket_width(sparse, docs_per_bucket=100)
+    buckets = sparse.select(layout.doc_bucket("doc_id", w).alias("b")).distinct().count()
+    assert 9 <= buckets <= 11
