@@ -123,6 +123,9 @@ _ORACLE = {
     "posting_lines": _LINES,
     "merge_indexes": _LINES,
     "merge_posting_files": _LINES,
+    "validate_postings": f"""WITH {_TF}
+        SELECT tf.term, tf.doc_id, 'duplicate posting x2' AS reason
+        FROM tf JOIN documents d ON tf.doc_id = d.doc_id WHERE d.lang = 'de'""",
     "posting_gaps": f"WITH {_TF}, {_G} SELECT term, doc_id, tf, gap, pos, block_no FROM g",
     "posting_blocks": f"""WITH {_TF}, {_G}, {_B}
         SELECT term, block_no, n_postings, first_doc_id, last_doc_id, n_bytes FROM b""",

@@ -101,6 +101,18 @@ def q_merge_posting_files(spark, sf_dir):
     return posting_lines(merged).select("term", "line")
 
 
+def q_validate_postings(spark, sf_dir):
+    """Merge the language shards with the German shard indexed a second
+    time (one run merged twice): every German posting is rejected as a
+    duplicate, nothing else is."""
+    docs = ensure_parallel(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang"))
+    partials = [idx.term_frequencies(docs.where(F.col("lang") == lang)) for lang in _LANGS]
+    partials.append(idx.term_frequencies(docs.where(_other_lang())))
+    partials.append(idx.term_frequencies(docs.where(F.col("lang") == "de")))
+    _good, rejects = idx.validate_postings(idx.merge_indexes(*partials))
+    return rejects
+
+
 def q_posting_gaps(spark, sf_dir):
     return layout.posting_gaps(_postings(spark, sf_dir)).select(
         "term", "doc_id", "tf", "gap", "pos", "block_no")
@@ -206,6 +218,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "posting_lines": q_posting_lines,
     "merge_indexes": q_merge_indexes,
     "merge_posting_files": q_merge_posting_files,
+    "validate_postings": q_validate_postings,
     "posting_gaps": q_posting_gaps,
     "posting_blocks": q_posting_blocks,
     "encode_blocks": q_encode_blocks,
