@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-# Fixed values that must equal the reference's for identical index layout:
+# Fixed values of the index format (must stay as they are for identical layout):
 # postings per compressed block, and the separators of the text formats.
 POSTINGS_PER_BLOCK = 64
 FIELD_SEP = " "       # between the term and its postings, and between postings

@@ -1,8 +1,8 @@
 """Variable-byte integer coding as Spark column expressions.
 
-Layout (must match the reference byte for byte): 7 bits per byte, least
+Layout (fixed by the index format, byte for byte): 7 bits per byte, least
 significant group first, high bit set on every byte but the last. Zero is
-one byte ``00`` (the reference emits no byte for zero and so loses doc 0;
+one byte ``00`` (an encoder that emits no byte for zero loses doc 0;
 here doc 0 is an ordinary document).
 
 Encoding happens per posting inside codegen'd projections (``varbyte_hex``);

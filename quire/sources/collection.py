@@ -34,7 +34,7 @@ def parse_collection_lines(lines: DataFrame, line_col: str = "value",
 
     Later tabs stay in the passage. A line without a tab, without a leading
     number, or with a negative doc id is a reject; ``on_error='fail'`` raises
-    instead (the reference aborts on a bad id).
+    instead.
     """
     # One split per line: [id part, passage] or [line] when there is no tab.
     parts = lines.select(F.col(line_col).alias("line"),

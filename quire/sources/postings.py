@@ -20,7 +20,8 @@ def parse_posting_lines(lines: DataFrame, line_col: str = "value",
 
     A posting without ``:``, with a non-numeric part, or with a negative doc
     id or tf is rejected as ``(term posting, reason)`` (``on_error='fail'``
-    raises, as the reference does). Runs of blanks are one separator; a term with no posting yields no row.
+    raises instead). Runs of blanks are one separator; a term with no
+    posting yields no row.
     """
     # Split once per line; each exploded posting carries only its term (never
     # the whole line, which for a long list would be copied per posting).
