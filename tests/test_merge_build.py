@@ -93,3 +93,14 @@ def test_dump_interleaved_blocks_as_text(spark):
     blocks = layout.posting_blocks(layout.posting_gaps(postings), layout="interleaved")
     lines = rows(B.dump_index_text(blocks, "interleaved"), "line")
     assert lines == [("x 0:2 7:1",), ("y 300:5",)]
+
+
+def test_duplicate_postings_fail_mode(spark):
+    a = spark.createDataFrame([("a", 5, 1)], "term STRING, doc_id BIGINT, tf BIGINT")
+    good, _ = B.merge_partial_indexes([a, a], on_duplicate="fail")
+    try:
+        good.collect()
+    except Exception as e:  # noqa: BLE001
+        assert "rejected posting" in str(e)
+    else:
+        raise AssertionError("expected failure")

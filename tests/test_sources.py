@@ -57,3 +57,14 @@ def test_read_postings_dir_any_file_order(spark):
     good, rejects = read_postings_dir(spark, d)
     assert rows(good) == [("a", 3, 1), ("a", 4, 2), ("a", 20, 1), ("b", 21, 2)]
     assert rejects.count() == 0
+
+
+def test_posting_lines_fail_mode(spark):
+    lines = spark.createDataFrame([("a 1",)], "value STRING")
+    good, _ = parse_posting_lines(lines, on_error="fail")
+    try:
+        good.collect()
+    except Exception as e:  # noqa: BLE001
+        assert "malformed posting" in str(e)
+    else:
+        raise AssertionError("expected failure")
