@@ -33,9 +33,10 @@ def tokenize(text: Column | str) -> Column:
 
 
 def token_count(text: Column | str) -> Column:
-    """Number of tokens in ``text`` as BIGINT (zero for an empty passage);
-    counting needs no lower-casing."""
-    return F.size(F.regexp_extract_all(_col(text), F.lit(_TOKEN), 0)).cast("bigint")
+    """Number of tokens in ``text`` as BIGINT (zero for an empty or NULL
+    passage); counting needs no lower-casing."""
+    # greatest() skips NULL and lifts the legacy size(NULL) = -1 to 0
+    return F.greatest(F.size(F.regexp_extract_all(_col(text), F.lit(_TOKEN), 0)), F.lit(0)).cast("bigint")
 
 
 def parse_doc_id(raw: Column | str) -> Column:

@@ -43,3 +43,10 @@ def test_tokenizer_is_evaluated_once(spark):
     plan = term_frequencies(docs)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract_all") == 1
     assert F  # keep import used
+
+
+def test_null_and_empty_text_count_zero_tokens(spark):
+    from quire.operators.index import doc_lengths, term_frequencies
+    docs = spark.createDataFrame([(1, None), (2, ""), (3, "a a")], "doc_id BIGINT, text STRING")
+    assert sorted(tuple(r) for r in doc_lengths(docs).collect()) == [(1, 0), (2, 0), (3, 2)]
+    assert [tuple(r) for r in term_frequencies(docs).collect()] == [("a", 3, 2)]
