@@ -119,9 +119,10 @@ def posting_blocks(gaps: DataFrame, with_payload: bool = True, layout: str = "sp
         piece_aggs.append(F.sort_array(F.collect_list(F.struct("doc_id", "_h1", "_h2"))).alias("_codes"))
     pieces = enc.groupBy(*keys).agg(*piece_aggs)
     if with_payload:
+        # pieces cross the shuffle as bytes, not hex
         codes = F.col("_codes")
-        pieces = pieces.withColumn("_p1", F.array_join(codes["_h1"], "")).withColumn(
-            "_p2", F.array_join(codes["_h2"], ""))
+        pieces = pieces.withColumn("_p1", hex_concat(codes["_h1"])).withColumn(
+            "_p2", hex_concat(codes["_h2"]))
     block_aggs = [
         F.sum("n_postings").cast("bigint").alias("n_postings"),
         F.min("first_doc_id").alias("first_doc_id"),
@@ -134,7 +135,16 @@ def posting_blocks(gaps: DataFrame, with_payload: bool = True, layout: str = "sp
     if not with_payload:
         return blocks
     ordered = F.col("_pieces")
-    payload = hex_concat(F.concat(ordered["_p1"], ordered["_p2"]))
+    first = F.get(ordered, 0)
+    empty = F.unhex(F.lit(""))
+
+    def joined(field: str) -> Column:
+        # at most 64 pieces (a block has 64 postings), in doc order
+        return F.aggregate(ordered, empty, lambda acc, p: F.concat(acc, p[field]))
+
+    # One piece (the usual case: the block lies in one bucket) needs no fold.
+    payload = F.when(F.size(ordered) == 1, F.concat(first["_p1"], first["_p2"])).otherwise(
+        F.concat(joined("_p1"), joined("_p2")))
     return blocks.withColumn("payload", payload).drop("_pieces")
 
 
