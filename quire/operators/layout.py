@@ -90,11 +90,11 @@ def posting_blocks(gaps: DataFrame, with_payload: bool = True, layout: str = "sp
     ``layout='split'``: varbyte of all gaps of the block, then of all tfs.
     ``layout='interleaved'``: doc id, tf alternating, absolute doc ids.
 
-    Two steps, so posting rows never cross the network again: blocks are
+    Two steps, so posting rows do not cross the network again: blocks are
     first assembled per ``(term, bucket, block_no)`` where the postings
     already lie (hash-partitioned by term and bucket: no exchange), then the
-    pieces of the few blocks that straddle two buckets are joined by
-    ``(term, block_no)`` — a shuffle of coded block pieces, not of postings.
+    binary pieces are joined by ``(term, block_no)``. A block of a frequent
+    term is one or two pieces; a rare term's block may have up to 64.
     Codes are made per posting in a codegen'd projection; unused aggregates
     are pruned, so metadata-only requests never build payloads.
     """
