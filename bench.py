@@ -39,16 +39,25 @@ def main() -> None:
     warm_dir = os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.001")
     if os.path.isdir(warm_dir):
         for q in QUERIES.values():
-            _noop(q(spark, warm_dir))
+            try:
+                _noop(q(spark, warm_dir))
+            except Exception:  # noqa: BLE001 - the timed run reports it
+                pass
     else:
         _noop(QUERIES["doc_lengths"](spark, sf_dir))
 
-    times: dict[str, float] = {}
+    times: dict[str, float | None] = {}
+    errors: dict[str, str] = {}
 
     def timed(name, fn):
+        # one failing item is reported, not allowed to lose the whole line
         t0 = time.perf_counter()
-        fn()
-        times[name] = round(time.perf_counter() - t0, 3)
+        try:
+            fn()
+            times[name] = round(time.perf_counter() - t0, 3)
+        except Exception as e:  # noqa: BLE001
+            times[name] = None
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
 
     for name, q in QUERIES.items():
         timed(name, lambda q=q: _noop(q(spark, sf_dir)))
@@ -62,10 +71,12 @@ def main() -> None:
           lambda: write_postings_text(term_frequencies(documents(spark, sf_dir)), f"{scratch}/postings_txt"))
 
     m = re.search(r"sf([0-9.]+)", sf_dir)
-    total = round(sum(times.values()), 3)
-    print(json.dumps({"metric": "total_query_time", "value": total, "unit": "sec",
-                      "queries": times, "sf": float(m.group(1)) if m else sf_dir,
-                      "cpus": cpus}))
+    total = round(sum(v for v in times.values() if v is not None), 3)
+    line = {"metric": "total_query_time", "value": total, "unit": "sec",
+            "queries": times, "sf": float(m.group(1)) if m else sf_dir, "cpus": cpus}
+    if errors:
+        line["errors"] = errors
+    print(json.dumps(line))
     spark.stop()
 
 
