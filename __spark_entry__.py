@@ -2,7 +2,7 @@
 
 ``entry(spark)`` runs the flagship query (look up the query terms and probe
 each list at doc 3) on sf0.001; ``queries()`` lists every registered query
-over the whole ``documents`` table; ``oracle_sql()`` gives the DuckDB SQL
+over its whole tables; ``oracle_sql()`` gives the DuckDB SQL
 that computes the same rows independently.
 """
 
@@ -19,6 +19,23 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from quire.plans.catalog import PROBE_TERMS, QUERIES, QUERY_DOC_ID, QUERY_TERMS  # noqa: E402
 from quire.session import ensure_checkpoint_dir  # noqa: E402
 
+try:  # the training-data operators may be absent; nothing else depends on them
+    from quire.llm.queries import ORACLE as LLM_ORACLE
+    from quire.llm.queries import QUERIES as LLM_QUERIES
+except ModuleNotFoundError as e:
+    if e.name not in ("quire.llm", "quire.llm.queries"):
+        raise
+    LLM_QUERIES, LLM_ORACLE = {}, {}
+try:
+    import corpus_pipeline
+except ModuleNotFoundError as e:
+    if e.name not in ("corpus_pipeline", "quire.llm"):
+        raise
+else:
+    LLM_QUERIES = {**LLM_QUERIES, "pipeline": corpus_pipeline.run}
+    if corpus_pipeline.ORACLE_SQL:
+        LLM_ORACLE = {**LLM_ORACLE, "pipeline": corpus_pipeline.ORACLE_SQL}
+
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
 
 
@@ -36,7 +53,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             return fn(spark, sf_dir)
         run.__name__ = fn.__name__
         return run
-    return {name: with_ckpt(fn) for name, fn in QUERIES.items()}
+    return {name: with_ckpt(fn) for name, fn in {**QUERIES, **LLM_QUERIES}.items()}
 
 
 # ---------------------------------------------------------------- oracle SQL
@@ -177,4 +194,4 @@ _ORACLE = {
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL per query key, over the pre-registered table views."""
-    return {k: v for k, v in _ORACLE.items() if k in QUERIES}
+    return {**{k: v for k, v in _ORACLE.items() if k in QUERIES}, **LLM_ORACLE}
