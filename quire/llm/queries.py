@@ -3,9 +3,10 @@ express them."""
 
 from __future__ import annotations
 
-from . import op9_jaccard_join
+from . import op1_suffix_dedup, op9_jaccard_join
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup.query,
     "op9_jaccard_join": op9_jaccard_join.query,
 }
 
