@@ -55,7 +55,7 @@ NO_ID = np.iinfo(np.int64).max
 TEXT, WHOLE, PARTIAL, STRINGS, SPREAD = 0, 1, 2, 3, 4
 #: Names of one rank in a batch above which its entries are spread over all buckets.
 HOT_NAMES = 64
-ROW = "kind byte, place int, a binary, b binary, c binary"
+ROW = "kind byte, place int, a binary, b binary, c binary, d binary"
 
 
 class Runs:
@@ -156,25 +156,25 @@ def _groups(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Out:
-    """Rows ``kind, place, a, b, c``, handed out in record batches."""
+    """Rows ``kind, place, a, b, c, d``, handed out in record batches."""
 
     def __init__(self):
         self.rows: list[tuple] = []
         self.size = 0
 
-    def add(self, kind: int, place: int, a: bytes = b"", b: bytes = b"", c: bytes = b"") -> None:
-        self.rows.append((kind, place, a, b, c))
-        self.size += len(a) + len(b) + len(c)
+    def add(self, kind: int, place: int, a: bytes = b"", b: bytes = b"", c: bytes = b"", d: bytes = b"") -> None:
+        self.rows.append((kind, place, a, b, c, d))
+        self.size += len(a) + len(b) + len(c) + len(d)
 
     def full(self) -> bool:
         return self.size > 8 << 20 or len(self.rows) > 20_000
 
     def take(self) -> pa.RecordBatch:
-        cols = list(zip(*self.rows)) or [[]] * 5
+        cols = list(zip(*self.rows)) or [[]] * 6
         self.rows, self.size = [], 0
-        types = [pa.int8(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+        types = [pa.int8(), pa.int32(), *[pa.binary()] * 4]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
-                                          names=["kind", "place", "a", "b", "c"])
+                                          names=["kind", "place", "a", "b", "c", "d"])
 
     def keys(self, kind: int, doc: np.ndarray, name: np.ndarray, blocks: int) -> None:
         """Keys of (document, name), a row for each block."""
@@ -258,10 +258,10 @@ def _sample(buckets: int, blocks: int):
     return run
 
 
-def _by_place(batches) -> Iterator[tuple[int, Iterator[tuple[int, bytes, bytes, bytes]]]]:
+def _by_place(batches) -> Iterator[tuple[int, int, bytes, bytes, bytes, bytes]]:
     """Rows sorted by place, streamed one by one."""
     for batch in batches:
-        yield from zip(*[batch.column(i).to_pylist() for i in range(5)])
+        yield from zip(*[batch.column(i).to_pylist() for i in range(6)])
 
 
 def _first_round(blocks: int):
@@ -283,7 +283,7 @@ def _bucketwise(bucket):
     """Call ``bucket(kind, rows, out)`` for each bucket; rows of keys pass."""
     def run(batches):
         out, held, at = Out(), [], None
-        for kind, p, a, b, c in _by_place(batches):
+        for kind, p, a, b, c, _ in _by_place(batches):
             if kind < STRINGS:
                 out.add(kind, p, a)
             else:
@@ -310,8 +310,9 @@ def _second_round(blocks: int):
     return _bucketwise(bucket)
 
 
-def _texts_by_block(blocks: int):
-    """Texts packed by block: a row for each (batch, block)."""
+def _texts_by_block(blocks: int, rest: bool):
+    """Texts packed by block: a row for each (batch, block). The third column,
+    if ``rest``, travels as an Arrow stream."""
     def run(batches):
         out = Out()
         for batch in batches:
@@ -323,13 +324,25 @@ def _texts_by_block(blocks: int):
                 which = order[s:e]
                 sizes = np.array([-1 if texts[k] is None else len(texts[k]) for k in which], np.int64)
                 out.add(TEXT, int(block[which[0]]), docs[which].tobytes(), sizes.tobytes(),
-                        zlib.compress(b"".join(texts[k] or b"" for k in which), 1))
+                        zlib.compress(b"".join(texts[k] or b"" for k in which), 1),
+                        _to_ipc(batch.select([2]).take(pa.array(which))) if rest else b"")
                 if out.full():
                     yield out.take()
         yield out.take()
     return run
 
 
+def _to_ipc(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as w:
+        w.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _from_ipc(raw: bytes) -> pa.Array:
+    return pa.ipc.open_stream(raw).read_next_batch().column(0)
+
+
 def _unpack_texts(a: bytes, b: bytes, c: bytes) -> tuple[np.ndarray, list[bytes]]:
     raw, sizes = zlib.decompress(c), np.maximum(np.frombuffer(b, np.int64), 0)
     ends = np.cumsum(sizes)
@@ -340,7 +353,7 @@ def _sorted_blocks(batches):
     """For each packed row of texts: its block's WHOLE and PARTIAL keys as
     sorted arrays, and the row. Keys come before texts."""
     place, keys, ready = None, {WHOLE: [], PARTIAL: []}, None
-    for kind, p, a, b, c in _by_place(batches):
+    for kind, p, a, b, c, d in _by_place(batches):
         if p != place:
             place, keys, ready = p, {WHOLE: [], PARTIAL: []}, None
         if kind != TEXT:
@@ -348,7 +361,7 @@ def _sorted_blocks(batches):
             continue
         if ready is None:
             ready = [np.unique(np.frombuffer(b"".join(keys[k]), np.uint64)) for k in (WHOLE, PARTIAL)]
-        yield ready[0], ready[1], _unpack_texts(a, b, c)
+        yield ready[0], ready[1], _unpack_texts(a, b, c), d
 
 
 def _among(keys: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -364,7 +377,7 @@ def _expand(buckets: int, blocks: int):
         out = Out()
         held: list[tuple] = []
         size = 0
-        for _, partial, (docs, texts) in _sorted_blocks(batches):
+        for _, partial, (docs, texts), _ in _sorted_blocks(batches):
             if len(partial):
                 for runs in runs_of(texts):
                     d = docs[runs.text]
@@ -389,7 +402,7 @@ def _expand(buckets: int, blocks: int):
     return run
 
 
-def _remove(batches):
+def _remove(as_string: bool):
     """Blocks with texts and all keys -> the result rows."""
     def rows(docs, texts, whole, partial):
         removed = [np.zeros(0, np.int64)] * len(texts)
@@ -426,38 +439,53 @@ def _remove(batches):
             kept.append(raw[at:])
             yield k, len(raw), int((hi - lo).sum()), np.stack([lo, hi]).T.tobytes(), b"".join(kept)
 
-    schema = pa.schema([("id", pa.int64()), ("text", pa.binary()), ("spans", pa.list_(pa.list_(pa.int64()))),
-                        ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())])
-    for whole, partial, (docs, texts) in _sorted_blocks(batches):
-        cols: list[list] = [[], [], [], [], [], []]
-        for k, n, gone, spans, kept in rows(docs, texts, whole, partial):
-            d = int(docs[k])
-            for col, v in zip(cols, (None if d == NO_ID else d, kept,
-                                     np.frombuffer(spans, np.int64).reshape(-1, 2).tolist(), n, gone,
-                                     hashlib.sha256(kept).hexdigest())):
-                col.append(v)
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
+    def run(batches):
+        schema = pa.schema([("id", pa.int64()), ("text", pa.string() if as_string else pa.binary()),
+                            ("spans", pa.list_(pa.list_(pa.int64()))), ("n_bytes", pa.int64()),
+                            ("n_removed", pa.int64()), ("kept_sha256", pa.string())])
+        for whole, partial, (docs, texts), rest in _sorted_blocks(batches):
+            cols: list[list] = [[], [], [], [], [], []]
+            for k, n, gone, spans, kept in rows(docs, texts, whole, partial):
+                d = int(docs[k])
+                for col, v in zip(cols, (None if d == NO_ID else d, kept.decode("utf-8", "ignore") if as_string else kept,
+                                         np.frombuffer(spans, np.int64).reshape(-1, 2).tolist(), n, gone,
+                                         hashlib.sha256(kept).hexdigest())):
+                    col.append(v)
+            arrays, names = [pa.array(c, f.type) for c, f in zip(cols, schema)], list(schema.names)
+            if rest:
+                arrays.append(_from_ipc(rest))
+                names.append("rest")
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
+    return run
 
 
-def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 rest: list[str] | None = None, as_string: bool = False) -> DataFrame:
     """``id, text, spans, n_bytes, n_removed, kept_sha256``: one row for each
     input row. ``text`` (BINARY) is what is left, ``spans`` the removed byte
-    ranges [start, end) of the original, maximal and in order."""
+    ranges [start, end) of the original, maximal and in order. Columns named
+    in ``rest`` come back in a struct ``rest``. ``as_string``: ``text`` is a
+    STRING, without the rest of a character that a span has cut."""
     spark = docs.sparkSession
     n = shuffle_partitions(spark)
     places = 16 * n
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
+    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"),
+                      *([F.struct(*rest).alias("rest")] if rest else []))
+    out = f"id long, text {"string" if as_string else "binary"}, spans array<array<long>>, n_bytes long, n_removed long, kept_sha256 string"
+    if rest:
+        out += f", rest {src.schema['rest'].dataType.simpleString()}"
 
     def placed(df: DataFrame) -> DataFrame:
         # keys (kinds WHOLE, PARTIAL) stand before the texts of their block
         return df.repartition(n, "place").sortWithinPartitions("place", F.desc("kind"))
 
-    found = scratch(placed(src.mapInArrow(_sample(places, places), ROW)).mapInArrow(_first_round(places), ROW))
-    texts = src.mapInArrow(_texts_by_block(places), ROW)
-    strings = placed(texts.union(found.where(F.col("kind") == PARTIAL))).mapInArrow(_expand(places, places), ROW)
+    found = scratch(placed(src.select("id", "text").mapInArrow(_sample(places, places), ROW))
+                    .mapInArrow(_first_round(places), ROW))
+    plain = src.select("id", "text").mapInArrow(_texts_by_block(places, False), ROW)
+    strings = placed(plain.union(found.where(F.col("kind") == PARTIAL))).mapInArrow(_expand(places, places), ROW)
     second = placed(strings).mapInArrow(_second_round(places), ROW)
-    return placed(texts.union(found.where(F.col("kind") == WHOLE)).union(second)).mapInArrow(
-        _remove, "id long, text binary, spans array<array<long>>, n_bytes long, n_removed long, kept_sha256 string")
+    texts = src.mapInArrow(_texts_by_block(places, True), ROW) if rest else plain
+    return placed(texts.union(found.where(F.col("kind") == WHOLE)).union(second)).mapInArrow(_remove(as_string), out)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

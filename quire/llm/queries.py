@@ -3,11 +3,14 @@ express them."""
 
 from __future__ import annotations
 
-from . import op1_suffix_dedup, op9_jaccard_join
+from . import op1_suffix_dedup, op3_quality_rules, op5_source_mixing, op9_jaccard_join, op10_best_fit_packing
 
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup.query,
+    "op3_quality_rules": op3_quality_rules.query,
+    "op5_source_mixing": op5_source_mixing.query,
     "op9_jaccard_join": op9_jaccard_join.query,
+    "op10_best_fit_packing": op10_best_fit_packing.query,
 }
 
 ORACLE: dict[str, str] = {}
