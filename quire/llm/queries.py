@@ -3,12 +3,17 @@ express them."""
 
 from __future__ import annotations
 
-from . import op1_suffix_dedup, op3_quality_rules, op5_source_mixing, op9_jaccard_join, op10_best_fit_packing
+from . import (op1_suffix_dedup, op3_quality_rules, op4_language_id, op5_source_mixing, op6_fingerprints,
+               op7_url_filters, op8_quality_classifier, op9_jaccard_join, op10_best_fit_packing)
 
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup.query,
     "op3_quality_rules": op3_quality_rules.query,
+    "op4_language_id": op4_language_id.query,
     "op5_source_mixing": op5_source_mixing.query,
+    "op6_fingerprints": op6_fingerprints.query,
+    "op7_url_filters": op7_url_filters.query,
+    "op8_quality_classifier": op8_quality_classifier.query,
     "op9_jaccard_join": op9_jaccard_join.query,
     "op10_best_fit_packing": op10_best_fit_packing.query,
 }
