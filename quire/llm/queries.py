@@ -3,11 +3,12 @@ express them."""
 
 from __future__ import annotations
 
-from . import (op1_suffix_dedup, op3_quality_rules, op4_language_id, op5_source_mixing, op6_fingerprints,
+from . import (op1_suffix_dedup, op2_lm_scoring, op3_quality_rules, op4_language_id, op5_source_mixing, op6_fingerprints,
                op7_url_filters, op8_quality_classifier, op9_jaccard_join, op10_best_fit_packing)
 
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup.query,
+    "op2_lm_scoring": op2_lm_scoring.query,
     "op3_quality_rules": op3_quality_rules.query,
     "op4_language_id": op4_language_id.query,
     "op5_source_mixing": op5_source_mixing.query,
