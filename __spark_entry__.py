@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from quire.plans.catalog import PROBE_TERMS, QUERIES, QUERY_DOC_ID, QUERY_TERMS  # noqa: E402
+from quire.plans.catalog import (LINE_POSTINGS, MODULUS, OUTLIER, PROBE_TERMS, QUERIES,  # noqa: E402
+                                 QUERY_DOC_ID, QUERY_TERMS, SCATTER)
 from quire.session import ensure_checkpoint_dir  # noqa: E402
 
 try:  # the training-data operators may be absent; nothing else depends on them
@@ -122,8 +123,21 @@ GROUP BY p.probe_id, p.term, p.lookup_doc_id"""
 
 _LINES = f"""
 WITH {_TF}
-SELECT term, term || ' ' || string_agg(doc_id::VARCHAR || ':' || tf::VARCHAR, ' ' ORDER BY doc_id) AS line
-FROM tf GROUP BY term"""
+SELECT term, chunk, term || ' ' || string_agg(doc_id::VARCHAR || ':' || tf::VARCHAR, ' ' ORDER BY doc_id) AS line
+FROM (SELECT *, ((row_number() OVER (PARTITION BY term ORDER BY doc_id) - 1) // {LINE_POSTINGS})::BIGINT AS chunk FROM tf)
+GROUP BY term, chunk"""
+
+# Ids far apart (another order than the documents' own) and one outlier.
+_SCATTERED = f"""
+s AS (SELECT CASE WHEN doc_id = 0 THEN {OUTLIER} ELSE ((doc_id::HUGEINT * {SCATTER}) % {MODULUS})::BIGINT END AS doc_id, text
+      FROM documents),
+tf AS (
+  SELECT term, doc_id, count(*)::BIGINT AS tf
+  FROM (SELECT doc_id, lower(unnest(regexp_extract_all(text, '[A-Za-z0-9]+'))) AS term FROM s)
+  GROUP BY term, doc_id)"""
+
+_KIND = """
+k AS (SELECT tf.*, d.lang FROM tf JOIN documents d ON tf.doc_id = d.doc_id)"""
 
 _ENCODE = f"""
 WITH {_TF}, {_G}
@@ -132,6 +146,26 @@ SELECT term, block_no,
          AS payload_hex
 FROM g GROUP BY term, block_no"""
 
+_ENCODE_INTERLEAVED = f"""
+WITH {_TF}, {_G}
+SELECT term, block_no, string_agg({_vb_hex('doc_id')} || {_vb_hex('tf')}, '' ORDER BY doc_id) AS payload_hex
+FROM g GROUP BY term, block_no"""
+
+_QUERY = f"""WITH {_TF}, {_Q},
+        found AS (SELECT q.query_pos, q.term, d.doc_freq
+                  FROM q JOIN (SELECT term, count(*)::BIGINT AS doc_freq FROM tf GROUP BY term) d
+                  ON q.term = d.term),
+        hit AS (SELECT term, min(doc_id) AS doc_id, arg_min(tf, doc_id) AS tf
+                FROM tf WHERE doc_id >= {QUERY_DOC_ID} GROUP BY term)
+        SELECT row_number() OVER (ORDER BY found.doc_freq, found.term, found.query_pos)::BIGINT
+                 AS list_rank,
+               found.query_pos, found.term, found.doc_freq, {QUERY_DOC_ID}::BIGINT AS lookup_doc_id,
+               coalesce(hit.doc_id, -1)::BIGINT AS doc_id, coalesce(hit.tf, -1)::BIGINT AS tf
+        FROM found LEFT JOIN hit ON found.term = hit.term"""
+
+_DOC_LENGTHS = """
+        SELECT doc_id, len(regexp_extract_all(text, '[A-Za-z0-9]+'))::BIGINT AS n_tokens FROM documents"""
+
 _ORACLE = {
     "term_frequencies": f"WITH {_TF} SELECT term, doc_id, tf FROM tf",
     "doc_lengths": """
@@ -140,9 +174,33 @@ _ORACLE = {
     "posting_lines": _LINES,
     "merge_indexes": _LINES,
     "merge_posting_files": _LINES,
-    "validate_postings": f"""WITH {_TF}
-        SELECT tf.term, tf.doc_id, 'duplicate posting x2' AS reason
-        FROM tf JOIN documents d ON tf.doc_id = d.doc_id WHERE d.lang = 'de'""",
+    "merge_and_index": _ENCODE,
+    "validate_postings": f"""WITH {_TF}, {_KIND}
+        SELECT term, doc_id, CASE WHEN lang = 'de' THEN 'duplicate posting x2'
+                                  ELSE 'copies with tf ' || tf || ' to ' || (tf + 1) END AS reason
+        FROM k WHERE lang = 'de' OR (lang = 'es' AND doc_id % 2 = 0)""",
+    "validated_postings": f"""WITH {_TF}, {_KIND}
+        SELECT term, doc_id, tf FROM k WHERE lang IS NULL OR NOT (lang = 'es' AND doc_id % 2 = 0)""",
+    "rejected_lines": """
+        SELECT md5(CASE doc_id % 5 WHEN 1 THEN doc_id || ' ' || t WHEN 2 THEN 'x' || doc_id || chr(9) || t
+                   WHEN 3 THEN '-' || doc_id || chr(9) || t ELSE chr(9) || t END) AS line_md5,
+               CASE doc_id % 5 WHEN 1 THEN 'no tab' WHEN 3 THEN 'negative doc id' ELSE 'doc id not a number' END AS reason
+        FROM (SELECT doc_id, translate(text, chr(9) || chr(10), '  ') AS t FROM documents) WHERE doc_id % 5 <> 0""",
+    "rejected_documents": """
+        SELECT CASE WHEN doc_id % 3 = 1 THEN -doc_id END::BIGINT AS doc_id,
+               CASE WHEN doc_id % 3 = 1 THEN 'negative doc id' ELSE 'doc id is null' END AS reason
+        FROM documents WHERE doc_id % 3 <> 2""",
+    "posting_file_order": f"""
+        WITH lines AS ({_LINES.strip()})
+        SELECT (row_number() OVER (ORDER BY term, chunk) - 1)::BIGINT AS line_no, term FROM lines""",
+    "read_lexicon": f"WITH {_TF}, {_G}, {_B}, {_LEX} SELECT term, \"offset\", length, doc_freq FROM lex",
+    "read_doc_lengths": _DOC_LENGTHS,
+    "block_meta_file": f"""WITH {_TF}, {_G}, {_B}
+        SELECT (row_number() OVER w - 1)::BIGINT AS block_index, n_bytes, last_doc_id,
+               (sum(n_bytes) OVER w - n_bytes)::BIGINT AS "offset"
+        FROM b WINDOW w AS (ORDER BY term, block_no)""",
+    "posting_gaps_scattered": f"WITH {_SCATTERED}, {_G} SELECT term, doc_id, tf, gap, pos, block_no FROM g",
+    "encode_blocks_interleaved": _ENCODE_INTERLEAVED,
     "posting_gaps": f"WITH {_TF}, {_G} SELECT term, doc_id, tf, gap, pos, block_no FROM g",
     "posting_blocks": f"""WITH {_TF}, {_G}, {_B}
         SELECT term, block_no, n_postings, first_doc_id, last_doc_id, n_bytes FROM b""",
@@ -170,17 +228,8 @@ _ORACLE = {
                coalesce(arg_min(g.block_no, g.doc_id), -1)::BIGINT AS block_no
         FROM p LEFT JOIN g ON p.term = g.term AND g.doc_id >= p.lookup_doc_id
         GROUP BY p.probe_id, p.term, p.lookup_doc_id""",
-    "query_terms": f"""WITH {_TF}, {_Q},
-        found AS (SELECT q.query_pos, q.term, d.doc_freq
-                  FROM q JOIN (SELECT term, count(*)::BIGINT AS doc_freq FROM tf GROUP BY term) d
-                  ON q.term = d.term),
-        hit AS (SELECT term, min(doc_id) AS doc_id, arg_min(tf, doc_id) AS tf
-                FROM tf WHERE doc_id >= {QUERY_DOC_ID} GROUP BY term)
-        SELECT row_number() OVER (ORDER BY found.doc_freq, found.term, found.query_pos)::BIGINT
-                 AS list_rank,
-               found.query_pos, found.term, found.doc_freq, {QUERY_DOC_ID}::BIGINT AS lookup_doc_id,
-               coalesce(hit.doc_id, -1)::BIGINT AS doc_id, coalesce(hit.tf, -1)::BIGINT AS tf
-        FROM found LEFT JOIN hit ON found.term = hit.term""",
+    "query_terms": _QUERY,
+    "query_stored_index": _QUERY,
     "stream_runs": f"WITH {_TF} SELECT term, doc_id, tf FROM tf",
     "index_stats": f"""WITH {_TF}, {_G}, {_B}
         SELECT (SELECT count(*) FROM documents)::BIGINT AS n_docs,

@@ -9,11 +9,19 @@ FIELD_SEP = " "       # between the term and its postings, and between postings
 POSTING_SEP = ":"     # between doc id and term frequency inside one posting
 COLLECTION_SEP = "\t"  # between doc id and passage in a collection line
 
-# Width (in doc ids) of the doc-range buckets that split every posting list.
-# A (term, bucket) group never holds more than this many postings, so windows
-# over it stay bounded even for a term that occurs in every document.
+# Documents in a bucket of the buckets that split every posting list: runs of
+# the documents in id order, whatever the ids are. A (term, bucket) group never
+# holds more than this many postings, so windows over it stay bounded even for
+# a term that occurs in every document.
 DOC_BUCKET_WIDTH = 1 << 16
 
-# Upper bound of rows for a side we broadcast on the strength of its size as
-# known on the driver (query term lists, per-partition totals).
+# Postings in one line of the posting text format; a longer list becomes
+# several lines of its term.
+LINE_POSTINGS = 1 << 16
+
+# A side is broadcast only if a count finds at most this many rows.
 MAX_BROADCAST_ROWS = 100_000
+
+# Query terms that go into a scan's filter as literals; more than Parquet's
+# own limit for exact IN filters (10) prune by their range only.
+MAX_LITERAL_TERMS = 10

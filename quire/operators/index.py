@@ -1,9 +1,8 @@
 """Building postings: term frequencies, document lengths, merge, stats.
 
-Stored form of an index = flat posting rows ``(term, doc_id, tf)``. Nested
-lists (one array per term) exist only as bounded chunks for export, never as
-one array per term: a term found in every document would otherwise become a
-single row the size of the corpus.
+Stored form of an index = flat posting rows ``(term, doc_id, tf)``, never one
+array per term: a term found in every document would otherwise become a single
+row the size of the corpus.
 """
 
 from __future__ import annotations
@@ -13,33 +12,47 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import DOC_BUCKET_WIDTH
+from ..config import POSTINGS_PER_BLOCK
 from ..functions.text import token_count, tokenize
 
 
 def with_tokens(docs: DataFrame) -> DataFrame:
-    """``doc_id, tokens`` (ARRAY<STRING>) from ``doc_id, text``."""
-    return docs.select("doc_id", tokenize("text").alias("tokens"))
+    """``doc_id, tokens`` (ARRAY<STRING>), and other columns than the text."""
+    return docs.select(*[c for c in docs.columns if c != "text"], tokenize("text").alias("tokens"))
 
 
-def term_frequencies(docs: DataFrame) -> DataFrame:
-    """One posting per (term, doc): ``term, doc_id, tf`` (BIGINT).
+def invalid_documents(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Split documents into ``(good, rejects)``: a NULL or negative id cannot
+    be indexed and is rejected as ``(doc_id, reason)``. A NULL text is a
+    document without tokens, not a reject."""
+    reason = (F.when(F.col("doc_id").isNull(), F.lit("doc id is null"))
+              .when(F.col("doc_id") < 0, F.lit("negative doc id")))
+    return (docs.where("doc_id >= 0"),
+            docs.where("doc_id is null or doc_id < 0").select("doc_id", reason.alias("reason")))
+
 
-    ``explode_outer`` + ``IS NOT NULL`` instead of ``explode``: with
-    ``explode`` Catalyst infers a ``size(tokens) > 0`` filter and copies the
-    regex tokenizer into it. Documents are hash-partitioned by doc_id, so
-    the count needs no posting shuffle at all.
+def term_frequencies(docs: DataFrame) -> DataFrame:
+    """One posting per (term, doc): ``term, doc_id, tf`` (BIGINT), and any
+    other column of the documents (a shard, a bucket).
+
+    Rows with a NULL or negative id have no postings
+    (:func:`invalid_documents` lists them). ``explode_outer`` + ``IS NOT
+    NULL`` instead of ``explode``: with ``explode`` Catalyst infers a
+    ``size(tokens) > 0`` filter and copies the regex tokenizer into it.
+    Documents are hash-partitioned by doc_id, so the count needs no posting
+    shuffle at all.
     """
     # Spread the documents by doc_id: the text is about a third of the bytes
     # of the postings it yields, and once every task holds whole documents
     # the count finishes map-side, so postings cross the network only where
     # a consumer groups them by term. (Back-to-back repartitions on the same
     # key collapse into one.)
-    tokens = with_tokens(docs.repartition("doc_id"))
-    exploded = tokens.select("doc_id", F.explode_outer("tokens").alias("term")).where(
+    tokens = with_tokens(docs.where("doc_id >= 0").repartition("doc_id"))
+    others = [c for c in tokens.columns if c not in ("doc_id", "tokens")]
+    exploded = tokens.select("doc_id", *others, F.explode_outer("tokens").alias("term")).where(
         F.col("term").isNotNull())
-    return exploded.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf")).select(
-        "term", "doc_id", "tf")
+    return exploded.groupBy("doc_id", *others, "term").agg(F.count(F.lit(1)).alias("tf")).select(
+        "term", "doc_id", "tf", *others)
 
 
 def doc_lengths(docs: DataFrame) -> DataFrame:
@@ -53,20 +66,6 @@ def doc_freq(postings: DataFrame) -> DataFrame:
     return postings.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
 
 
-def posting_chunks(postings: DataFrame, bucket_width: int = DOC_BUCKET_WIDTH) -> DataFrame:
-    """Posting lists as bounded nested chunks:
-    ``term, chunk, postings ARRAY<STRUCT<doc_id, tf>>`` sorted by doc_id.
-
-    ``chunk`` is the doc-range bucket ``doc_id div bucket_width``; a chunk
-    never holds more than ``bucket_width`` postings. Reading the chunks of a
-    term in chunk order gives its whole list.
-    """
-    return (postings
-            .withColumn("chunk", F.call_function("div", F.col("doc_id"), F.lit(bucket_width).cast("bigint")))
-            .groupBy("term", "chunk")
-            .agg(F.sort_array(F.collect_list(F.struct("doc_id", "tf"))).alias("postings")))
-
-
 def merge_indexes(*partials: DataFrame) -> DataFrame:
     """Merge partial indexes given as posting rows: the bag union is the
     merge; order comes from the consumers (blocks, export) sorting by doc id,
@@ -78,39 +77,42 @@ def merge_indexes(*partials: DataFrame) -> DataFrame:
 def validate_postings(postings: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split posting rows into ``(good, rejects)``.
 
-    Rejected: negative doc id or tf, and every copy of a (term, doc_id) pair
-    that occurs more than once (two partial indexes holding the same
-    document). The duplicate check is one aggregation on (term, doc_id),
-    whose groups hold at most a handful of rows.
+    Copies of a (term, doc_id) pair that agree (a run merged twice) are
+    reported and one of them is kept; copies with different tfs cannot be
+    told apart and are all rejected, as are NULL terms and NULL or negative
+    doc ids and tfs.
+    The check is one aggregation on (term, doc_id), whose groups hold at most
+    a handful of rows.
     """
     counted = postings.groupBy("term", "doc_id").agg(
-        F.count(F.lit(1)).alias("_n"), F.max("tf").alias("tf"), F.min("tf").alias("_min_tf"))
-    reason = (F.when((F.col("doc_id") < 0) | (F.col("_min_tf") < 0), F.lit("negative doc id or tf"))
-              .when(F.col("_n") > 1, F.concat(F.lit("duplicate posting x"), F.col("_n").cast("string"))))
-    staged = counted.withColumn("reason", reason)
-    good = staged.where(F.col("reason").isNull()).select("term", "doc_id", "tf")
+        F.count(F.lit(1)).alias("_n"), F.max("tf").alias("tf"), F.min("tf").alias("_min_tf"),
+        F.count("tf").alias("_tfs"))
+    bad = (F.when(F.col("term").isNull() | F.col("doc_id").isNull() | (F.col("_tfs") < F.col("_n")),
+                  F.lit("no term, doc id or tf"))
+           .when((F.col("doc_id") < 0) | (F.col("_min_tf") < 0), F.lit("negative doc id or tf"))
+           .when(F.col("tf") != F.col("_min_tf"),
+                 F.concat(F.lit("copies with tf "), F.col("_min_tf").cast("string"), F.lit(" to "), F.col("tf").cast("string"))))
+    copies = F.when(F.col("_n") > 1, F.concat(F.lit("duplicate posting x"), F.col("_n").cast("string")))
+    staged = counted.withColumn("_bad", bad).withColumn("reason", F.coalesce("_bad", copies))
+    good = staged.where(F.col("_bad").isNull()).select("term", "doc_id", "tf")
     rejects = staged.where(F.col("reason").isNotNull()).select("term", "doc_id", "reason")
     return good, rejects
 
 
-def index_stats(docs: DataFrame, postings: DataFrame, n_blocks: DataFrame | None = None) -> DataFrame:
-    """One row: documents, tokens, postings, terms (and blocks if given).
+def index_stats(docs: DataFrame, postings: DataFrame, block_size: int = POSTINGS_PER_BLOCK) -> DataFrame:
+    """One row: documents, tokens, postings, terms, blocks.
 
-    ``n_terms`` is an exact distinct count (a shuffle of one row per term and
-    task), not an approximation.
+    All from the document frequencies (one row a term): a list of n postings
+    has ceil(n / block_size) blocks, so no block is built to be counted.
+    ``n_terms`` is an exact distinct count, not an approximation.
     """
-    parts = [
-        docs.agg(
-            F.count(F.lit(1)).alias("n_docs"),
-            F.coalesce(F.sum(token_count("text")), F.lit(0)).cast("bigint").alias("n_tokens")),
-        doc_freq(postings).agg(
-            F.coalesce(F.sum("doc_freq"), F.lit(0)).cast("bigint").alias("n_postings"),
-            F.count(F.lit(1)).alias("n_terms")),
-    ]
-    names = ["n_docs", "n_tokens", "n_postings", "n_terms"]
-    if n_blocks is not None:
-        parts.append(n_blocks.agg(F.count(F.lit(1)).alias("n_blocks")))
-        names.append("n_blocks")
+    per_doc = docs.agg(
+        F.count(F.lit(1)).alias("n_docs"),
+        F.coalesce(F.sum(token_count("text")), F.lit(0)).cast("bigint").alias("n_tokens"))
+    per_term = doc_freq(postings).agg(
+        F.coalesce(F.sum("doc_freq"), F.lit(0)).cast("bigint").alias("n_postings"),
+        F.count(F.lit(1)).alias("n_terms"),
+        F.coalesce(F.sum(F.ceil(F.col("doc_freq") / block_size)), F.lit(0)).cast("bigint").alias("n_blocks"))
     # Each part is one row; stack them and fold into one row (no join).
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return stacked.agg(*[F.max(n).alias(n) for n in names])
+    names = ["n_docs", "n_tokens", "n_postings", "n_terms", "n_blocks"]
+    return per_doc.unionByName(per_term, allowMissingColumns=True).agg(*[F.max(n).alias(n) for n in names])

@@ -1,12 +1,13 @@
 """Physical layout of posting lists: gaps, blocks of 64, varbyte payloads.
 
 Positions inside a posting list are computed without ever putting a whole
-list into one window partition: postings are grouped by doc-range bucket
-``(term, doc_id div W)``; a small per-bucket table gives each bucket the
-number of postings before it and the last doc id before it, and row numbers
-and ``lag`` run inside the bucket only. A bucket holds at most W postings,
-and a term has at most (doc id range / W) buckets, so every window stays
-bounded even for a term found in every document.
+list into one window partition: documents are numbered in id order, and a
+posting's bucket is its document's number div W. A small per-bucket table
+gives each (term, bucket) the number of postings before it and the last doc id
+before it, and row numbers and ``lag`` run inside the bucket only. A bucket
+holds at most W documents, and there are (documents / W) buckets, whatever the
+ids look like, so every window stays bounded even for a term found in every
+document.
 """
 
 from __future__ import annotations
@@ -17,29 +18,39 @@ from pyspark.sql import functions as F
 from ..config import DOC_BUCKET_WIDTH, POSTINGS_PER_BLOCK
 from ..functions.arrays import slice0
 from ..functions.varbyte import hex_concat, varbyte_decode, varbyte_hex, varbyte_size
-from ..session import materialize
+from ..session import pin
+from .prefix import global_running_sum
 
 
-def doc_bucket(doc_id: Column | str, width: int) -> Column:
-    """Doc-range bucket ``doc_id div width`` (integer division, exact for
-    every BIGINT)."""
-    col = F.col(doc_id) if isinstance(doc_id, str) else doc_id
-    return F.call_function("div", col, F.lit(width).cast("bigint")).cast("bigint")
+def bucket_table(ids: DataFrame, width: int = DOC_BUCKET_WIDTH, probes: DataFrame | None = None) -> DataFrame | None:
+    """``doc_id, bucket`` for the distinct ids of ``ids(doc_id)``: their
+    number in id order div ``width``. Ids of ``probes(doc_id)`` that are no
+    document get the bucket of the next document. ``None`` if there are at
+    most ``width`` documents: all are in bucket 0 (a choice of plan, the rows
+    are the same)."""
+    ids = ids.select("doc_id").distinct()
+    if ids.limit(width + 1).count() <= width:
+        return None
+    rows = ids.select("doc_id", F.lit(1).alias("_w"))
+    if probes is not None:
+        rows = rows.union(probes.select("doc_id", F.lit(0)))
+    rows = rows.groupBy("doc_id").agg(F.max("_w").alias("_w"))
+    number = global_running_sum(rows, ["doc_id"], "_w", "_number")
+    return number.select("doc_id", F.call_function("div", "_number", F.lit(width).cast("bigint")).alias("bucket"))
 
 
-def suggest_bucket_width(docs: DataFrame, docs_per_bucket: int = DOC_BUCKET_WIDTH) -> int:
-    """Bucket width in doc ids so that a bucket spans about
-    ``docs_per_bucket`` documents on average, from one aggregate over
-    ``doc_id`` (count, min, max: three numbers reach the driver). Dense ids
-    give ``docs_per_bucket`` itself; sparse ids (hashes, gaps) a wider
-    range, so that a term never has more buckets than about
-    ``n_docs / docs_per_bucket``."""
-    r = docs.agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("lo"),
-                 F.max("doc_id").alias("hi")).first()
-    if not r["n"]:
-        return docs_per_bucket
-    span = r["hi"] - r["lo"] + 1
-    return max(docs_per_bucket, -(-span * docs_per_bucket // r["n"]))
+def with_bucket(df: DataFrame, buckets: DataFrame | None, key: str = "doc_id") -> DataFrame:
+    """``df`` with the ``bucket`` of its ``key`` column."""
+    if buckets is None:
+        return df.withColumn("bucket", F.lit(0).cast("bigint"))
+    return df.join(buckets.withColumnRenamed("doc_id", "_id"), F.col(key) == F.col("_id")).drop("_id")
+
+
+def number_documents(docs: DataFrame, width: int = DOC_BUCKET_WIDTH) -> DataFrame:
+    """Documents with their bucket, which ``term_frequencies`` hands on to the
+    postings: only ids are ordered, and the bucket is joined before the text
+    is tokenized."""
+    return with_bucket(docs, bucket_table(docs.where("doc_id >= 0"), width))
 
 
 def posting_gaps(postings: DataFrame, bucket_width: int = DOC_BUCKET_WIDTH,
@@ -50,23 +61,21 @@ def posting_gaps(postings: DataFrame, bucket_width: int = DOC_BUCKET_WIDTH,
     the doc id itself); it runs on across block borders. ``pos`` is the
     0-based position in the list and ``block_no = pos div block_size``.
 
-    Postings cross the network once: they are hash-partitioned by
-    ``(term, bucket)`` and written; the per-bucket counts and the in-bucket
-    window run on that layout, and only the small bucket table moves again.
+    Postings with a ``bucket`` (from numbered documents) cross the network
+    once, by (term, bucket); others are numbered here first. They are written
+    once, for the per-bucket counts and the in-bucket window; the corpus is
+    tokenized once.
     """
-    # Written once, hash-partitioned by (term, bucket): the in-bucket window
-    # and the per-bucket counts both read it without another shuffle, and the
-    # corpus is tokenized once.
-    n = int(postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pb = materialize(postings.withColumn("bucket", doc_bucket("doc_id", bucket_width))
-                     .repartition(n, "term", "bucket"))
+    pb = pin(postings)
+    if "bucket" not in pb.columns:
+        pb = with_bucket(pb, bucket_table(pb, bucket_width))
     w_bucket = Window.partitionBy("term", "bucket").orderBy("doc_id")
     local = pb.select("term", "bucket", "doc_id", "tf",
                       F.row_number().over(w_bucket).alias("_rn"),
                       F.lag("doc_id", 1).over(w_bucket).alias("_prev"))
     per_bucket = pb.groupBy("term", "bucket").agg(
         F.count(F.lit(1)).alias("_n"), F.max("doc_id").alias("_last"))
-    # One row per (term, bucket): a term has at most (doc id range / W) of them.
+    # One row per (term, bucket): a term has at most (documents / W) of them.
     w_term = Window.partitionBy("term").orderBy("bucket")
     bases = per_bucket.select(
         "term", "bucket",

@@ -5,9 +5,10 @@
 and a running ``last(..., ignorenulls)`` window, never from a join that
 pairs every probe with every posting of its term.
 
-Skew: windows are partitioned by ``(term, doc-range bucket)`` first, so a
-term present in every document is split into bounded groups; probes whose
-bucket holds no answer look for the first entry of a later bucket in a
+Skew: windows are partitioned by ``(term, bucket)``, a bucket being a run of
+documents in id order (see ``layout.bucket_table``), so a term present in
+every document is split into bounded groups whatever the ids are; probes
+whose bucket holds no answer look for the first entry of a later bucket in a
 second pass over one summary row per (term, bucket). Duplicate probes are
 answered once and joined back (AQE splits a hot key in that join).
 """
@@ -19,7 +20,10 @@ from pyspark.sql import functions as F
 
 from ..config import DOC_BUCKET_WIDTH, MAX_BROADCAST_ROWS
 from ..functions.arrays import first_geq
-from .layout import block_postings, doc_bucket
+from ..session import pin
+from .index import doc_freq
+from .layout import block_postings, bucket_table, with_bucket
+from .prefix import global_running_sum
 
 
 def _asof_forward(probes: DataFrame, targets: DataFrame, key: str, value_cols: list[str],
@@ -28,17 +32,19 @@ def _asof_forward(probes: DataFrame, targets: DataFrame, key: str, value_cols: l
     same term with the smallest ``key`` >= lookup_doc_id.
 
     Returns ``term, lookup_doc_id, hit`` where ``hit`` is a struct of
-    ``key`` and ``value_cols`` (NULL when there is none).
+    ``key`` and ``value_cols`` (NULL when there is none). ``probes`` and the
+    result are read several times, so callers pin them.
     """
     hit_struct = F.struct(F.col(key).alias(key), *[F.col(c) for c in value_cols])
-    # Only lists some probe asks for take part (a semi join; AQE broadcasts
-    # the distinct probe terms when they are few, and splits a hot term).
-    targets = targets.join(probes.select("term").distinct(), "term", "left_semi")
-    tgt = targets.select(
-        "term", F.col(key).alias("_k"), doc_bucket(key, bucket_width).alias("_b"),
-        F.lit(1).alias("_side"), hit_struct.alias("_hit"))
-    prb = probes.select(
-        "term", F.col("lookup_doc_id").alias("_k"), doc_bucket("lookup_doc_id", bucket_width).alias("_b"),
+    # Only lists some probe asks for take part: cut down before anything is
+    # written or ordered.
+    lists = pin(targets.join(_small(probes.select("term").distinct()), "term", "left_semi")
+                .select("term", F.col(key).alias("doc_id"), hit_struct.alias("_hit")))
+    buckets = bucket_table(lists, bucket_width, probes.select(F.col("lookup_doc_id").alias("doc_id")))
+    tgt = with_bucket(lists, buckets).select(
+        "term", F.col("doc_id").alias("_k"), F.col("bucket").alias("_b"), F.lit(1).alias("_side"), "_hit")
+    prb = with_bucket(probes, buckets, "lookup_doc_id").select(
+        "term", F.col("lookup_doc_id").alias("_k"), F.col("bucket").alias("_b"),
         F.lit(0).alias("_side"), F.lit(None).cast(tgt.schema["_hit"].dataType).alias("_hit"))
 
     # Pass 1, inside the probe's own bucket. Rows run from the largest key
@@ -48,6 +54,8 @@ def _asof_forward(probes: DataFrame, targets: DataFrame, key: str, value_cols: l
     pass1 = (prb.unionByName(tgt)
              .select("term", "_k", "_b", "_side", F.last("_hit", ignorenulls=True).over(w1).alias("_hit"))
              .where(F.col("_side") == 0).drop("_side"))
+    if buckets is None:                        # one bucket: no later one
+        return pass1.select("term", F.col("_k").alias("lookup_doc_id"), F.col("_hit").alias("hit"))
 
     # Pass 2: the first target of the next non-empty bucket after each probed
     # bucket, for probes with nothing left in their own bucket. One summary
@@ -78,7 +86,7 @@ def next_geq(postings: DataFrame, probes: DataFrame,
              bucket_width: int = DOC_BUCKET_WIDTH) -> DataFrame:
     """``term, lookup_doc_id, doc_id, tf`` for every probe row (repeats and
     extra probe columns kept), (-1, -1) when the term has no posting >= d."""
-    distinct = probes.select("term", "lookup_doc_id").distinct()
+    distinct = pin(probes.select("term", "lookup_doc_id").distinct())
     ans = _asof_forward(distinct, postings, "doc_id", ["tf"], bucket_width)
     out = _with_answers(probes, ans)
     return out.select(
@@ -91,7 +99,7 @@ def locate_block(blocks: DataFrame, probes: DataFrame,
                  bucket_width: int = DOC_BUCKET_WIDTH) -> DataFrame:
     """``term, lookup_doc_id, block_no``: the first block of the term whose
     last doc id is >= d (-1 when there is none): the block to decode."""
-    distinct = probes.select("term", "lookup_doc_id").distinct()
+    distinct = pin(probes.select("term", "lookup_doc_id").distinct())
     ans = _asof_forward(distinct, blocks, "last_doc_id", ["block_no"], bucket_width)
     return _with_answers(probes, ans).select(
         *[c for c in probes.columns],
@@ -103,13 +111,15 @@ def next_geq_blocks(blocks: DataFrame, probes: DataFrame, layout: str = "split",
     """``next_geq`` on a stored block index: find the one block per probe by
     its last doc id (block metadata only), then decode just that block and
     take its first posting >= d. Blocks no probe needs are never decoded."""
-    distinct = probes.select("term", "lookup_doc_id").distinct()
+    distinct = pin(probes.select("term", "lookup_doc_id").distinct())
     ans = _asof_forward(distinct, blocks.select("term", "block_no", "last_doc_id"),
                         "last_doc_id", ["block_no"], bucket_width)
-    located = ans.select("term", "lookup_doc_id", F.col("hit.block_no").alias("block_no"))
-    needed = located.where(F.col("block_no").isNotNull()).select("term", "block_no").distinct()
+    located = pin(ans.select("term", "lookup_doc_id", F.col("hit.block_no").alias("block_no")))
+    # Probes past the end of a list have no block: they keep out of the join.
+    hits = located.where(F.col("block_no").isNotNull())
+    needed = hits.select("term", "block_no").distinct()
     decoded = block_postings(blocks.join(needed, ["term", "block_no"], "left_semi"), layout)
-    picked = located.join(decoded, ["term", "block_no"], "left").select(
+    picked = hits.join(decoded, ["term", "block_no"]).select(
         "term", "lookup_doc_id",
         first_geq(F.col("postings"), F.col("lookup_doc_id")).alias("hit"))
     return _with_answers(probes, picked).select(
@@ -125,50 +135,50 @@ def query_frame(spark: SparkSession, terms: list[str]) -> DataFrame:
                                  "query_pos BIGINT, term STRING")
 
 
-def _small(query: DataFrame, n_rows: int | None) -> DataFrame:
-    """Broadcast the query side only when its row count is known and small."""
-    if n_rows is not None and n_rows <= MAX_BROADCAST_ROWS:
-        return F.broadcast(query)
-    return query
+def _small(df: DataFrame) -> DataFrame:
+    """``df``, to be broadcast if a count finds few rows; else the join
+    shuffles."""
+    return F.broadcast(df) if df.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS else df
 
 
-def lookup_terms(query: DataFrame, lexicon: DataFrame, n_query_rows: int | None = None) -> DataFrame:
+def lookup_terms(query: DataFrame, lexicon: DataFrame) -> DataFrame:
     """Query terms found in the lexicon, with their lexicon entry."""
-    return _small(query, n_query_rows).join(lexicon, "term", "inner")
+    return _small(query).join(lexicon, "term", "inner")
 
 
-def missing_terms(query: DataFrame, lexicon: DataFrame, n_query_rows: int | None = None) -> DataFrame:
+def missing_terms(query: DataFrame, lexicon: DataFrame) -> DataFrame:
     """Query terms absent from the lexicon (reported, then left out).
 
     The lexicon is first cut down to the query's terms by a semi join with
-    the (small) query, so the anti join never shuffles the whole lexicon."""
-    present = lexicon.select("term").join(
-        _small(query.select("term").distinct(), n_query_rows), "term", "left_semi")
+    the query, so the anti join never shuffles the whole lexicon."""
+    present = lexicon.select("term").join(_small(query.select("term").distinct()), "term", "left_semi")
     return query.join(present, "term", "left_anti")
 
 
 def lists_by_doc_freq(found: DataFrame) -> DataFrame:
-    """Rarest list first: ``list_rank`` by (doc_freq, term, query_pos).
+    """Rarest list first: ``list_rank`` (from 1) by (doc_freq, term,
+    query_pos), by a distributed running count."""
+    one = found.withColumn("_one", F.lit(1))
+    return global_running_sum(one, ["doc_freq", "term", "query_pos"], "_one", "list_rank", exclusive=False).drop("_one")
 
-    The window has no partition key; it runs over the query's terms only,
-    whose number the caller bounds."""
-    return found.withColumn(
-        "list_rank", F.row_number().over(Window.orderBy("doc_freq", "term", "query_pos")).cast("bigint"))
 
+def ranked_probes(query: DataFrame, lexicon: DataFrame, doc_id: int) -> DataFrame:
+    """``list_rank, query_pos, term, doc_freq, lookup_doc_id`` of the query
+    terms that the lexicon has, written once."""
+    found = lists_by_doc_freq(lookup_terms(query, lexicon.select("term", "doc_freq")))
+    return pin(found.select("list_rank", "query_pos", "term", "doc_freq",
+                            F.lit(doc_id).cast("bigint").alias("lookup_doc_id")))
 
-def query_terms(spark: SparkSession, terms: list[str], lexicon: DataFrame, postings: DataFrame,
-                doc_id: int, bucket_width: int = DOC_BUCKET_WIDTH) -> DataFrame:
+
+def query_terms(spark: SparkSession, terms: list[str], postings: DataFrame, doc_id: int,
+                bucket_width: int = DOC_BUCKET_WIDTH) -> DataFrame:
     """End to end: look the terms up, order the lists rarest first, and
     probe every list at ``doc_id``: ``list_rank, query_pos, term, doc_freq,
-    lookup_doc_id, doc_id, tf``."""
-    if len(terms) > MAX_BROADCAST_ROWS:
-        raise ValueError("query_terms takes a bounded list; use next_geq for bulk probes")
+    lookup_doc_id, doc_id, tf``. Any number of terms."""
     query = query_frame(spark, terms)
-    found = lists_by_doc_freq(
-        lookup_terms(query, lexicon.select("term", "doc_freq"), len(terms)))
-    probes = found.select("list_rank", "query_pos", "term", "doc_freq",
-                          F.lit(doc_id).cast("bigint").alias("lookup_doc_id"))
-    # Only the query's lists are read: a literal IN list reaches the scan of
-    # a stored index as a pushed filter.
-    lists = postings.where(F.col("term").isin(sorted(set(terms))))
+    # Only the query's lists go past this filter, and they are written once:
+    # document frequencies and probes both read them.
+    lists = pin(postings.join(_small(query.select("term").distinct()), "term", "left_semi")
+                .select("term", "doc_id", "tf"))
+    probes = ranked_probes(query, doc_freq(lists), doc_id)
     return next_geq(lists, probes, bucket_width)

@@ -4,12 +4,14 @@
 one task. Instead, two phases:
 
 1. range-partition on the order keys and tag each row with its partition
-   number; cut the lineage with a reliable checkpoint so that the numbers
-   are pinned (a retried or re-planned range exchange could sample other
-   bounds and renumber rows);
+   number; write it, so that the numbers are pinned (a retried or re-planned
+   range exchange could sample other bounds and renumber rows);
 2. total per partition (one row per partition, so broadcasting it is safe
    by construction), cumulate the totals, and add each partition's base to a
    running sum windowed inside that partition only.
+
+The keyed rows move twice (range exchange, window), so callers pass keys and
+values only, never payloads.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import pin
 
 
 def global_running_sum(df: DataFrame, order_cols: list[str], value_col: str | list[str],
@@ -30,11 +32,8 @@ def global_running_sum(df: DataFrame, order_cols: list[str], value_col: str | li
     values = [value_col] if isinstance(value_col, str) else list(value_col)
     outs = [out_col] if isinstance(out_col, str) else list(out_col)
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order_cols)
-              .withColumn("_part", F.spark_partition_id())
-              .checkpoint(eager=True))
+    ranged = pin(df.repartitionByRange(n, *order_cols).withColumn("_part", F.spark_partition_id()))
     totals = ranged.groupBy("_part").agg(*[F.sum(v).alias(f"_total{i}") for i, v in enumerate(values)])
     # One row per range partition: the window below is tiny by construction,
     # and so is the broadcast of its result.
@@ -53,24 +52,17 @@ def global_running_sum(df: DataFrame, order_cols: list[str], value_col: str | li
 
 
 def block_offsets(blocks: DataFrame) -> DataFrame:
-    """``term, block_no, offset, n_bytes, last_doc_id, ...``: byte offset of
-    every block in one concatenated index, blocks in (term, block_no) order."""
-    return global_running_sum(blocks, ["term", "block_no"], "n_bytes", "offset")
+    """``term, block_no, n_postings, n_bytes, last_doc_id, offset``: byte
+    offset of every block in one concatenated index, blocks in (term,
+    block_no) order. Metadata only: payloads stay where they are."""
+    meta = blocks.select("term", "block_no", "n_postings", "n_bytes", "last_doc_id")
+    return global_running_sum(meta, ["term", "block_no"], "n_bytes", "offset")
 
 
-def lexicon(blocks: DataFrame, blocks_with_offsets: DataFrame | None = None) -> DataFrame:
+def lexicon(blocks: DataFrame) -> DataFrame:
     """``term, offset, length, doc_freq``: where each list starts in the
-    concatenated index, its byte length and its number of postings.
-
-    From block offsets when given (the list starts at its block 0);
-    otherwise the running sum runs over the per-term totals, one row per
-    term.
-    """
-    if blocks_with_offsets is not None:
-        return blocks_with_offsets.groupBy("term").agg(
-            F.min("offset").alias("offset"),
-            F.sum("n_bytes").cast("bigint").alias("length"),
-            F.sum("n_postings").cast("bigint").alias("doc_freq"))
+    concatenated index, its byte length and its number of postings. The
+    running sum runs over the per-term totals, one row per term."""
     per_term = blocks.groupBy("term").agg(
         F.sum("n_bytes").cast("bigint").alias("length"),
         F.sum("n_postings").cast("bigint").alias("doc_freq"))

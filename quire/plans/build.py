@@ -4,10 +4,10 @@ answer queries on the stored form.
 Stored layout under one folder (all Parquet):
 
 * ``blocks/``       term, block_no, n_postings, first_doc_id, last_doc_id,
-                    n_bytes, offset, payload — sorted by (term, block_no), so
-                    row-group min/max on ``term`` prunes a lookup's reads;
-* ``lexicon/``      term, offset, length, doc_freq — sorted by term;
-* ``doc_lengths/``  doc_id, n_tokens — sorted by doc_id.
+                    n_bytes, payload, sorted by (term, block_no), so row-group
+                    min/max on ``term`` prunes a lookup's reads;
+* ``lexicon/``      term, offset, length, doc_freq, sorted by term;
+* ``doc_lengths/``  doc_id, n_tokens, sorted by doc_id.
 """
 
 from __future__ import annotations
@@ -17,10 +17,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import DOC_BUCKET_WIDTH, MAX_BROADCAST_ROWS
+from ..config import DOC_BUCKET_WIDTH, LINE_POSTINGS, MAX_LITERAL_TERMS
 from ..operators import index as idx
 from ..operators import layout, lookup, prefix
+from ..session import pin
 from ..sinks.text import posting_lines, write_index
+from ..sources.postings import read_postings_dir
 
 
 @dataclass
@@ -35,32 +37,50 @@ class InvertedIndex:
 
 
 def dump_index_text(blocks: DataFrame, layout_name: str = "split",
-                    bucket_width: int = DOC_BUCKET_WIDTH) -> DataFrame:
+                    chunk_size: int = LINE_POSTINGS) -> DataFrame:
     """Readable posting lines (``term, chunk, line``) from a block table of
     either payload layout: decode every block, then render the lines."""
-    return posting_lines(layout.decode_blocks(blocks, layout=layout_name), bucket_width)
+    return posting_lines(layout.decode_blocks(blocks, layout=layout_name), chunk_size)
 
 
-def build_index(docs: DataFrame, bucket_width: int | None = None) -> InvertedIndex:
-    """Index ``doc_id, text`` documents: postings, gap + varbyte blocks of
-    64, global byte offsets, lexicon, page table. Without ``bucket_width``
-    the doc-range bucket width is fitted to the id density
-    (``suggest_bucket_width``)."""
-    if bucket_width is None:
-        bucket_width = layout.suggest_bucket_width(docs)
-    postings = idx.term_frequencies(docs)
-    blocks = layout.posting_blocks(layout.posting_gaps(postings, bucket_width))
-    with_offsets = prefix.block_offsets(blocks)
-    lex = prefix.lexicon(blocks, with_offsets)
-    return InvertedIndex(with_offsets, lex, idx.doc_lengths(docs))
+def build_index_from_postings(postings: DataFrame, lengths: DataFrame,
+                              bucket_width: int = DOC_BUCKET_WIDTH) -> InvertedIndex:
+    """Index posting rows (of documents, of merged runs): gap + varbyte
+    blocks of 64, lexicon with global byte offsets, page table.
 
+    Blocks are written once, sorted by (term, block_no) inside each file; the
+    lexicon reads their sizes only, so payloads cross the network once."""
+    gaps = layout.posting_gaps(postings, bucket_width)
+    blocks = pin(layout.posting_blocks(gaps).sortWithinPartitions("term", "block_no"))
+    return InvertedIndex(blocks, prefix.lexicon(blocks.select("term", "n_bytes", "n_postings")), lengths)
 
-def merge_partial_indexes(partials: list[DataFrame], bucket_width: int = DOC_BUCKET_WIDTH,
+
+def build_index(docs: DataFrame, bucket_width: int = DOC_BUCKET_WIDTH) -> InvertedIndex:
+    """Index ``doc_id, text`` documents. Rows with a NULL or negative id are
+    left out (``index.invalid_documents`` lists them)."""
+    docs, _ = idx.invalid_documents(docs)
+    postings = idx.term_frequencies(layout.number_documents(docs, bucket_width))
+    return build_index_from_postings(postings, idx.doc_lengths(docs), bucket_width)
+
+
+def merge_runs(spark: SparkSession, directory: str, lengths: DataFrame,
+               bucket_width: int = DOC_BUCKET_WIDTH) -> tuple[InvertedIndex, DataFrame]:
+    """The merge program: every posting text run of a folder becomes one
+    index. Returns it and the rejected postings (``line, reason``)."""
+    parsed = read_postings_dir(spark, directory)
+    good, duplicates = idx.validate_postings(parsed.good)
+    rejects = parsed.rejects.unionByName(duplicates.select(
+        F.concat_ws(" ", "term", F.col("doc_id").cast("string")).alias("line"), "reason"))
+    return build_index_from_postings(good, lengths, bucket_width), rejects
+
+
+def merge_partial_indexes(partials: list[DataFrame],
                           on_duplicate: str = "reject") -> tuple[DataFrame, DataFrame]:
     """Merge partial posting tables into one set of posting rows.
 
     Returns ``(postings, rejects)``; with ``on_duplicate='fail'`` a
-    duplicate (term, doc_id) raises instead."""
+    duplicate (term, doc_id) raises instead. ``build_index_from_postings``
+    turns the postings into an index."""
     good, rejects = idx.validate_postings(idx.merge_indexes(*partials))
     if on_duplicate == "fail":
         good = good.unionByName(rejects.select(
@@ -71,10 +91,9 @@ def merge_partial_indexes(partials: list[DataFrame], bucket_width: int = DOC_BUC
 
 def write_index_tables(index: InvertedIndex, path: str, num_files: int | None = None,
                        mode: str = "overwrite", global_order: bool = False) -> None:
-    """Write the three tables. The block table of ``build_index`` comes out
-    of the offset pass grouped by key ranges, so by default its files are
-    only sorted inside (no second shuffle of the largest table); pass
-    ``global_order=True`` for files that are also ordered among each other."""
+    """Write the three tables. Block files are by default only sorted inside
+    (no further shuffle of the largest table); pass ``global_order=True`` for
+    files that are also ordered among each other."""
     write_index(index.blocks, f"{path}/blocks", num_files, mode, global_order=global_order)
     n = num_files or int(index.lexicon.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (index.lexicon.repartitionByRange(n, "term").sortWithinPartitions("term")
@@ -90,21 +109,21 @@ def open_index(spark: SparkSession, path: str) -> InvertedIndex:
 
 
 def query_index(spark: SparkSession, index: InvertedIndex, terms: list[str], doc_id: int,
-                bucket_width: int | None = None) -> DataFrame:
+                bucket_width: int = DOC_BUCKET_WIDTH) -> DataFrame:
     """The lookup program on a stored index: look the terms up in the
     lexicon, order the lists rarest first, and probe each at ``doc_id`` by
     decoding only the one block that can hold the answer.
 
-    ``list_rank, query_pos, term, doc_freq, lookup_doc_id, doc_id, tf``."""
-    if len(terms) > MAX_BROADCAST_ROWS:
-        raise ValueError("query_index takes a bounded list of terms")
-    if bucket_width is None:
-        bucket_width = layout.suggest_bucket_width(index.doc_lengths)
-    wanted = sorted(set(terms))
+    ``list_rank, query_pos, term, doc_freq, lookup_doc_id, doc_id, tf``.
+    A few terms go to the scans as a literal filter, which row-group
+    statistics can use; more are joined."""
     query = lookup.query_frame(spark, terms)
-    lex = index.lexicon.where(F.col("term").isin(wanted)).select("term", "doc_freq")
-    found = lookup.lists_by_doc_freq(lookup.lookup_terms(query, lex, len(terms)))
-    probes = found.select("list_rank", "query_pos", "term", "doc_freq",
-                          F.lit(doc_id).cast("bigint").alias("lookup_doc_id"))
-    blocks = index.blocks.where(F.col("term").isin(wanted))
-    return lookup.next_geq_blocks(blocks, probes, bucket_width=bucket_width)
+    wanted = sorted(set(terms))
+
+    def cut(table: DataFrame) -> DataFrame:
+        if len(wanted) <= MAX_LITERAL_TERMS:
+            return table.where(F.col("term").isin(wanted))
+        return table.join(query.select("term").distinct(), "term", "left_semi")
+
+    probes = lookup.ranked_probes(query, cut(index.lexicon), doc_id)
+    return lookup.next_geq_blocks(cut(index.blocks), probes, bucket_width=bucket_width)

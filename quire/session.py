@@ -4,8 +4,9 @@ checkpoint directory that operators needing a lineage cut rely on."""
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -68,22 +69,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def materialize(df):
-    """Write ``df`` once to the session's checkpoint folder and read it from
-    there: for an intermediate that several branches of a plan consume
-    (each would otherwise recompute it from the raw text), and a lineage cut
-    that survives lost executors. Keeps the output partitioning, so a
-    consumer grouped on the same keys needs no further shuffle."""
+def scratch_path(spark: SparkSession, kind: str) -> str:
+    """A new path for scratch data below the session's checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark)}/{kind}-{uuid.uuid4().hex}"
+
+
+def delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Have an existing scratch path removed when the driver ends (results
+    that read it are lazy, so it cannot go earlier)."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(p)
+
+
+def pin(df: DataFrame, partition_by: str | None = None) -> DataFrame:
+    """Write ``df`` once as Parquet below the checkpoint folder and read it
+    from there: for an intermediate that several branches of a plan consume
+    (each would otherwise recompute it from the raw text). The table is
+    shared storage, so it survives lost executors; consumers read only the
+    columns they need, and no session setting is touched."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    # The checkpoint records the partitioning of the plan it runs; under
-    # adaptive execution that plan reports none. Run this one write without
-    # it (a plain exchange with a fixed partition count) so the partitioning
-    # survives, then restore the setting.
-    key = "spark.sql.adaptive.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        spark.conf.set(key, before)
+    path = scratch_path(spark, "pinned")
+    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    writer.parquet(path)
+    delete_on_exit(spark, path)
+    return spark.read.schema(df.schema).parquet(path)

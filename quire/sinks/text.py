@@ -9,20 +9,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import DOC_BUCKET_WIDTH, FIELD_SEP, POSTING_SEP
+from ..config import FIELD_SEP, LINE_POSTINGS, POSTING_SEP
+from ..operators.layout import posting_gaps
 
 
-def posting_lines(postings: DataFrame, bucket_width: int = DOC_BUCKET_WIDTH) -> DataFrame:
+def posting_lines(postings: DataFrame, chunk_size: int = LINE_POSTINGS) -> DataFrame:
     """``term, chunk, line``: ``term d:tf d:tf ...`` with doc ids ascending.
 
-    A list longer than one doc-range chunk becomes several lines with the
-    same term, in chunk order; readers (ours, and a k-way merge of posting
-    files) concatenate lines of equal terms, so no line ever has to hold a
-    whole hot list. Each ``d:tf`` is formatted per posting in a codegen'd
-    projection; grouping only sorts and joins the finished pieces.
+    A list of more than ``chunk_size`` postings becomes several lines with
+    the same term, cut by position in the list (``chunk`` = position div
+    ``chunk_size``), so the lines depend on the list alone; readers (ours,
+    and a k-way merge of posting files) concatenate lines of equal terms, and
+    no line ever has to hold a whole hot list. Each ``d:tf`` is formatted per
+    posting in a codegen'd projection; grouping only sorts and joins the
+    finished pieces.
     """
-    pieces = postings.select(
-        "term", F.call_function("div", F.col("doc_id"), F.lit(bucket_width).cast("bigint")).alias("chunk"),
+    placed = postings if "pos" in postings.columns else posting_gaps(postings)
+    pieces = placed.select(
+        "term", F.call_function("div", F.col("pos"), F.lit(chunk_size).cast("bigint")).alias("chunk"),
         F.struct("doc_id", F.concat(F.col("doc_id").cast("string"), F.lit(POSTING_SEP),
                                     F.col("tf").cast("string")).alias("p")).alias("_e"))
     chunks = pieces.groupBy("term", "chunk").agg(F.sort_array(F.collect_list("_e")).alias("_l"))
@@ -36,14 +40,14 @@ def _ordered(df: DataFrame, keys: list[str], num_files: int | None) -> DataFrame
 
 
 def write_postings_text(postings: DataFrame, path: str, num_files: int | None = None,
-                        bucket_width: int = DOC_BUCKET_WIDTH, mode: str = "overwrite",
+                        chunk_size: int = LINE_POSTINGS, mode: str = "overwrite",
                         global_order: bool = True) -> None:
     """Posting text files, terms ascending across and within files.
 
     ``global_order=False`` writes runs: every file sorted by term (what a
     k-way merge of runs needs), without the sampling pass of a range
     partitioning."""
-    lines = posting_lines(postings, bucket_width)
+    lines = posting_lines(postings, chunk_size)
     if global_order:
         lines = _ordered(lines, ["term", "chunk"], num_files)
     else:

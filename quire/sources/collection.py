@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..config import COLLECTION_SEP
 from ..functions.text import parse_doc_id
+from ..operators.index import invalid_documents
 
 
 class Parsed(NamedTuple):
@@ -89,20 +90,23 @@ def ensure_parallel(df: DataFrame, key: str = "doc_id", min_partitions: int | No
 
 
 def read_corpus(spark: SparkSession, path: str, id_col: str = "doc_id",
-                text_col: str = "text") -> DataFrame:
-    """Read a document table (Parquet) into the collection contract.
+                text_col: str = "text") -> Parsed:
+    """Read a document table (Parquet) into the collection contract; rows
+    with a NULL or negative id are the rejects, ``(doc_id, reason)``.
 
     Only the two needed columns reach the scan (column pruning).
     """
     df = spark.read.parquet(path).select(
         F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    return ensure_parallel(df)
+    good, rejects = invalid_documents(df)
+    return Parsed(ensure_parallel(good), rejects)
 
 
 def to_collection_lines(docs: DataFrame) -> DataFrame:
     """Render documents as collection lines (``value``): doc id, a tab, and the
     passage with line breaks and tabs replaced by blanks (both separate
-    tokens anyway, so the index is unchanged)."""
+    tokens anyway, so the index is unchanged). A NULL text is an empty
+    passage, so its document stays."""
     return docs.select(F.concat(
         F.col("doc_id").cast("string"), F.lit(COLLECTION_SEP),
-        F.translate("text", "\t\n", "  ")).alias("value"))
+        F.coalesce(F.translate("text", "\t\n", "  "), F.lit(""))).alias("value"))

@@ -20,12 +20,12 @@ def parse_posting_lines(lines: DataFrame, line_col: str = "value",
 
     A posting without ``:``, with a non-numeric part, or with a negative doc
     id or tf is rejected as ``(term posting, reason)`` (``on_error='fail'``
-    raises instead). Runs of blanks are one separator; a term with no
-    posting yields no row.
+    raises instead). Runs of white space are one separator, also before the
+    term; a term with no posting yields no row.
     """
     # Split once per line; each exploded posting carries only its term (never
     # the whole line, which for a long list would be copied per posting).
-    words = lines.select(F.split(F.trim(F.col(line_col)), r"\s+").alias("_w"))
+    words = lines.select(F.filter(F.split(F.col(line_col), r"\s+"), lambda w: w != "").alias("_w"))
     split = words.select(F.get("_w", 0).alias("term"),
                          F.slice("_w", 2, F.greatest(F.size("_w") - 1, F.lit(1))).alias("_p"))
     items = split.select("term", F.explode_outer("_p").alias("posting")).where(

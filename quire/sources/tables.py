@@ -28,6 +28,12 @@ def _lines_in_order(spark: SparkSession, path: str) -> DataFrame:
                  F.monotonically_increasing_id().alias("r")).alias("_line_order"))
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``line_no, value``: the lines of the files in input order, from 0."""
+    lines = _lines_in_order(spark, path).withColumn("_one", F.lit(1))
+    return global_running_sum(lines, ["_line_order"], "_one", "line_no").select("line_no", "value")
+
+
 def _fields(n: int) -> tuple[Column, list[Column]]:
     words = F.split(F.trim(F.col("value")), r"\s+")
     return words, [F.get(words, i) for i in range(n)]

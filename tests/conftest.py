@@ -20,7 +20,7 @@ def spark():
 @pytest.fixture(scope="session")
 def docs_small(spark):
     from quire.sources.collection import read_corpus
-    return read_corpus(spark, f"{SF0001}/documents.parquet")
+    return read_corpus(spark, f"{SF0001}/documents.parquet").good
 
 
 def rows(df, *cols):

@@ -59,10 +59,24 @@ def test_blocks_invariant_on_corpus(spark, docs_small):
     assert bad == 0
 
 
-def test_suggest_bucket_width(spark):
-    dense = spark.range(0, 1000).withColumnRenamed("id", "doc_id")
-    assert layout.suggest_bucket_width(dense, docs_per_bucket=100) == 100
-    sparse = spark.createDataFrame([(i * 1_000_003,) for i in range(1000)], "doc_id BIGINT")
-    w = layout.suggest_bucket_width(sparse, docs_per_bucket=100)
-    buckets = sparse.select(layout.doc_bucket("doc_id", w).alias("b")).distinct().count()
-    assert 9 <= buckets <= 11
+def test_buckets_are_runs_of_documents(spark):
+    ids = [0, 5, 10 ** 9, 10 ** 15, 2 ** 62] + [10 ** 12 * k for k in range(1, 96)]
+    df = spark.createDataFrame([(i,) for i in ids], "doc_id BIGINT")
+    probes = spark.createDataFrame([(1,), (2 ** 62 + 1,), (0,)], "doc_id BIGINT")
+    got = dict((r[0], r[1]) for r in layout.bucket_table(df, 10, probes).collect())
+    order = sorted(ids)
+    assert all(got[i] == k // 10 for k, i in enumerate(order))
+    assert got[1] == 0 and got[2 ** 62 + 1] == 10
+    assert layout.bucket_table(df, 100) is None
+
+
+def test_hot_term_over_scattered_ids_and_a_null_id(spark):
+    ids = [7 * 10 ** 13 * k + 3 for k in range(200)] + [2 ** 62]
+    docs = spark.createDataFrame([(i, "a b a") for i in ids] + [(None, "a"), (-5, "a")], "doc_id BIGINT, text STRING")
+    gaps = layout.posting_gaps(term_frequencies(layout.number_documents(docs, 16)), 16)
+    got = sorted((r["doc_id"], r["gap"], r["pos"]) for r in gaps.where("term = 'a'").collect())
+    assert [g[0] for g in got] == sorted(ids) and [g[2] for g in got] == list(range(201))
+    assert [g[1] for g in got] == [b - a for a, b in zip([0] + sorted(ids), sorted(ids))]
+    assert gaps.groupBy("term", "bucket").count().agg(F.max("count")).first()[0] <= 16
+    plain = layout.posting_gaps(term_frequencies(docs))
+    assert rows(gaps, "term", "doc_id", "gap", "pos") == rows(plain, "term", "doc_id", "gap", "pos")

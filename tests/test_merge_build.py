@@ -26,14 +26,18 @@ def test_duplicate_postings_rejected(spark):
     a = spark.createDataFrame([("a", 5, 1), ("b", 1, 1)], "term STRING, doc_id BIGINT, tf BIGINT")
     b = spark.createDataFrame([("a", 5, 1)], "term STRING, doc_id BIGINT, tf BIGINT")
     good, rejects = B.merge_partial_indexes([a, b])
-    assert rows(good) == [("b", 1, 1)]
+    assert rows(good) == [("a", 5, 1), ("b", 1, 1)]
     assert [r["reason"] for r in rejects.collect()] == ["duplicate posting x2"]
+    c = spark.createDataFrame([("a", 5, 4), (None, 1, 1), ("c", None, 1), ("c", 2, None), ("d", -1, 1)], "term STRING, doc_id BIGINT, tf BIGINT")
+    good, rejects = B.merge_partial_indexes([a, b, c])
+    assert rows(good) == [("b", 1, 1)]
+    assert sorted(r["reason"] for r in rejects.collect()) == ["copies with tf 1 to 4", "negative doc id or tf"] + ["no term, doc id or tf"] * 3
 
 
 def test_text_round_trip_through_files(spark, docs_small):
     tf = idx.term_frequencies(docs_small)
     d = tempfile.mkdtemp(prefix="quire-test-")
-    write_postings_text(tf, f"{d}/runs", num_files=3, bucket_width=64)
+    write_postings_text(tf, f"{d}/runs", num_files=3, chunk_size=64)
     back, rejects = read_postings_text(spark, f"{d}/runs")
     assert rejects.count() == 0
     assert back.exceptAll(tf).count() == 0 and tf.exceptAll(back).count() == 0
@@ -48,11 +52,13 @@ def test_text_round_trip_through_files(spark, docs_small):
 
 def test_long_list_split_into_chunk_lines(spark):
     postings = spark.createDataFrame([("x", d, 1) for d in range(10)], "term STRING, doc_id BIGINT, tf BIGINT")
-    lines = rows(posting_lines(postings, bucket_width=4), "chunk", "line")
+    lines = rows(posting_lines(postings, chunk_size=4), "chunk", "line")
     assert lines == [(0, "x 0:1 1:1 2:1 3:1"), (1, "x 4:1 5:1 6:1 7:1"), (2, "x 8:1 9:1")]
+    far = spark.createDataFrame([("x", d * 100_000, 1) for d in range(3)], "term STRING, doc_id BIGINT, tf BIGINT")
+    assert rows(posting_lines(far), "chunk", "line") == [(0, "x 0:1 100000:1 200000:1")]
     # the reader concatenates the lines of one term back into its list
     from quire.sources.postings import parse_posting_lines
-    parsed = parse_posting_lines(posting_lines(postings, bucket_width=4).select(F.col("line").alias("value")))
+    parsed = parse_posting_lines(posting_lines(postings, chunk_size=4).select(F.col("line").alias("value")))
     assert rows(parsed.good) == [("x", d, 1) for d in range(10)]
 
 
@@ -64,7 +70,7 @@ def test_build_write_open_query(spark, docs_small):
     terms = ["the", "tion", "ed", "chch", "peacefully"]
     got = rows(B.query_index(spark, opened, terms, 3))
     tf = idx.term_frequencies(docs_small)
-    want = rows(query_terms(spark, terms, idx.doc_freq(tf), tf, 3))
+    want = rows(query_terms(spark, terms, tf, 3))
     assert got == want and len(got) == 4
     # invariants: sum of tf = sum of lengths; blocks per term = ceil(df / 64)
     dec = opened.postings()
@@ -75,15 +81,26 @@ def test_build_write_open_query(spark, docs_small):
     assert all(a["offset"] + a["length"] == b["offset"] for a, b in zip(lex, lex[1:]))
 
 
-def test_posting_chunks_bounded_and_complete(spark, docs_small):
+def test_merged_runs_become_an_index(spark, docs_small):
+    d = tempfile.mkdtemp(prefix="quire-test-")
     tf = idx.term_frequencies(docs_small)
-    chunks = idx.posting_chunks(tf, bucket_width=50)
-    assert chunks.agg(F.max(F.size("postings"))).first()[0] <= 50
-    flat = chunks.select("term", F.inline("postings"))
-    assert flat.exceptAll(tf).count() == 0 and tf.exceptAll(flat).count() == 0
-    # within a chunk postings are ascending by doc id
-    sorted_ok = chunks.where(F.col("postings") != F.sort_array("postings")).count()
-    assert sorted_ok == 0
+    for k in range(3):
+        write_postings_text(tf.where(F.col("doc_id") % 3 == k), f"{d}/runs", mode="append", global_order=False, chunk_size=16)
+    index, rejects = B.merge_runs(spark, f"{d}/runs", idx.doc_lengths(docs_small), bucket_width=16)
+    assert rejects.count() == 0
+    built = B.build_index(docs_small, bucket_width=16)
+    assert rows(index.blocks) == rows(built.blocks) and rows(index.lexicon) == rows(built.lexicon)
+
+
+def test_payload_crosses_one_exchange(spark, docs_small, monkeypatch):
+    import re
+    plans = []
+    monkeypatch.setattr(B, "pin", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or df)
+    B.build_index(docs_small, bucket_width=16)
+    last_step = plans[-1].split("AdaptiveSparkPlan")[1]
+    # the pieces of a block meet once, by (term, block_no); nothing after that
+    assert len(re.findall(r"Exchange hashpartitioning\(term#\d+, block_no#\d+", last_step)) == 1
+    assert "rangepartitioning" not in last_step
 
 
 def test_dump_interleaved_blocks_as_text(spark):

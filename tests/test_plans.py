@@ -21,17 +21,28 @@ def test_term_frequencies_shuffles_text_not_postings(docs_small):
     assert len(ex) == 1 and ex[0].startswith("hashpartitioning(doc_id")
 
 
-def test_gaps_and_blocks_never_reshuffle_postings(docs_small):
-    gaps = layout.posting_gaps(term_frequencies(docs_small))
+def test_gaps_and_blocks_shuffle_postings_once(docs_small):
+    gaps = layout.posting_gaps(term_frequencies(layout.number_documents(docs_small, 16)), 16)
     plan = _plan(layout.posting_blocks(gaps))
     ex = _exchanges(plan)
-    # postings stay on their (term, bucket) layout: only the per-bucket table
-    # (by term) and the block pieces (by term, block_no) move
-    assert not any(e.startswith("hashpartitioning(term#") and "bucket" in e and "block_no" not in e for e in ex)
+    # postings move by (term, bucket) for the window; besides, only the
+    # per-bucket table (by term, and back) and the block pieces move
     assert sum("block_no" in e for e in ex) == 1
+    assert plan.count("tf#") and len([e for e in ex if "doc_id" in e]) == 0
     assert "ObjectHashAggregate(keys=[term" in plan and "bucket" in plan
 
 
+def test_pins_leave_session_settings_alone(spark, docs_small):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from quire.session import pin
+    key = "spark.sql.adaptive.enabled"
+    assert spark.conf.get(key) == "true"
+    with ThreadPoolExecutor(2) as pool:
+        a, b = pool.map(pin, [term_frequencies(docs_small), docs_small])
+    assert spark.conf.get(key) == "true" and b.count() == docs_small.count() and a.count() > 0
+
+
 def test_stored_index_lookup_pushes_terms_to_the_scan(spark, docs_small):
     d = tempfile.mkdtemp(prefix="quire-test-")
     B.write_index_tables(B.build_index(docs_small), f"{d}/idx", num_files=2)

@@ -34,7 +34,7 @@ def test_side_files_round_trip(spark, docs_small):
     tf = term_frequencies(docs_small)
     blocks = layout.posting_blocks(layout.posting_gaps(tf), with_payload=False)
     offs = prefix.block_offsets(blocks)
-    lex = prefix.lexicon(blocks, offs)
+    lex = prefix.lexicon(blocks)
     d = tempfile.mkdtemp(prefix="quire-test-")
     write_lexicon(lex, f"{d}/lexicon", num_files=3)
     write_block_meta(blocks, f"{d}/blockmeta", num_files=1)

@@ -16,7 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from quire.operators import index as idx  # noqa: E402
 from quire.operators import layout, lookup, prefix  # noqa: E402
 from quire.plans import catalog as C  # noqa: E402
-from quire.session import local_session, materialize  # noqa: E402
+from quire.session import local_session, pin  # noqa: E402
 
 KEEP = ("Exchange", "Scan", "ReusedExchange", "BroadcastHashJoin", "SortMergeJoin", "Window",
         "HashAggregate", "ObjectHashAggregate", "Generate")
@@ -41,7 +41,7 @@ def main() -> None:
     spark = local_session()
     docs = C.documents(spark, sf)
     tf = idx.term_frequencies(docs)
-    pinned = materialize(tf)
+    pinned = pin(tf)
     gaps = layout.posting_gaps(pinned)
     blocks = layout.posting_blocks(gaps)
     plans = {
