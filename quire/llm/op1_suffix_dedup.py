@@ -161,33 +161,35 @@ class Out:
     def __init__(self):
         self.rows: list[tuple] = []
         self.size = 0
+        self.found: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        self.n_found = 0
 
     def add(self, kind: int, place: int, a: bytes = b"", b: bytes = b"", c: bytes = b"", d: bytes = b"") -> None:
         self.rows.append((kind, place, a, b, c, d))
         self.size += len(a) + len(b) + len(c) + len(d)
 
+    def keys(self, kind: int, doc: np.ndarray, name: np.ndarray, blocks: int) -> None:
+        """Keys of (document, name); gathered, then a row for each block."""
+        if len(doc):
+            self.found.setdefault(kind, []).append((block_of(doc, blocks), doc_key(doc, name)))
+            self.n_found += len(doc)
+
     def full(self) -> bool:
-        return self.size > 8 << 20 or len(self.rows) > 20_000
+        return self.size > 8 << 20 or len(self.rows) > 20_000 or self.n_found > 2_000_000
 
     def take(self) -> pa.RecordBatch:
+        for kind, parts in self.found.items():
+            block, key = (np.concatenate(x) for x in zip(*parts))
+            order = np.lexsort((key, block))
+            block, key = block[order], key[order]
+            for s, e in zip(*_groups(block)):
+                self.add(kind, int(block[s]), key[s:e].tobytes())
         cols = list(zip(*self.rows)) or [[]] * 6
-        self.rows, self.size = [], 0
+        self.rows, self.size, self.found, self.n_found = [], 0, {}, 0
         types = [pa.int8(), pa.int32(), *[pa.binary()] * 4]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
                                           names=["kind", "place", "a", "b", "c", "d"])
 
-    def keys(self, kind: int, doc: np.ndarray, name: np.ndarray, blocks: int) -> None:
-        """Keys of (document, name), a row for each block."""
-        block = block_of(doc, blocks)
-        order = np.argsort(block, kind="stable")
-        block, key = block[order], np.unique(doc_key(doc, name)) if blocks == 1 else doc_key(doc, name)[order]
-        if blocks == 1:
-            if len(key):
-                self.add(kind, 0, key.tobytes())
-            return
-        for s, e in zip(*_groups(block)):
-            self.add(kind, int(block[s]), np.unique(key[s:e]).tobytes())
-
 
 def _pack(rank: np.ndarray, name: np.ndarray, doc: np.ndarray, buckets: int, kind: int, out: Out, short: bool) -> None:
     """A row for each bucket of ranks; documents as compressed differences.
@@ -235,7 +237,7 @@ def _docs(ids: list) -> np.ndarray:
 def _sample(buckets: int, blocks: int):
     """Rows ``id, text`` -> chosen positions by bucket of ranks (kind
     STRINGS), and what is settled inside the batch (kind WHOLE)."""
-    def run(batches):
+    def sample_positions(batches):
         out = Out()
         for batch in batches:
             docs = _docs(batch.column(0).to_pylist())
@@ -255,7 +257,7 @@ def _sample(buckets: int, blocks: int):
                 r, n, d = r[~hot], n[~hot], d[~hot]
             _pack(r, n, d, buckets, STRINGS, out, True)
             yield out.take()
-    return run
+    return sample_positions
 
 
 def _by_place(batches) -> Iterator[tuple[int, int, bytes, bytes, bytes, bytes]]:
@@ -276,11 +278,12 @@ def _first_round(blocks: int):
         shared = np.repeat(e - s > 1, e - s) | (kind == SPREAD)
         out.keys(PARTIAL, d[shared], n[shared], blocks)
 
-    return _bucketwise(bucket)
+    return _bucketwise(bucket, "first_round")
 
 
-def _bucketwise(bucket):
-    """Call ``bucket(kind, rows, out)`` for each bucket; rows of keys pass."""
+def _bucketwise(bucket, name: str):
+    """Call ``bucket(kind, rows, out)`` for each bucket; rows of keys pass.
+    ``name`` tells the step apart in plans."""
     def run(batches):
         out, held, at = Out(), [], None
         for kind, p, a, b, c, _ in _by_place(batches):
@@ -297,6 +300,7 @@ def _bucketwise(bucket):
         if held:
             bucket(at[0], held, out)
         yield out.take()
+    run.__name__ = name
     return run
 
 
@@ -307,13 +311,13 @@ def _second_round(blocks: int):
         r, n, d, _, least = settle(*_unpack(rows, False))
         out.keys(PARTIAL, d[d > least], pair_name(r[d > least], n[d > least]), blocks)
 
-    return _bucketwise(bucket)
+    return _bucketwise(bucket, "second_round")
 
 
 def _texts_by_block(blocks: int, rest: bool):
     """Texts packed by block: a row for each (batch, block). The third column,
     if ``rest``, travels as an Arrow stream."""
-    def run(batches):
+    def pack_texts(batches):
         out = Out()
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -329,7 +333,7 @@ def _texts_by_block(blocks: int, rest: bool):
                 if out.full():
                     yield out.take()
         yield out.take()
-    return run
+    return pack_texts
 
 
 def _to_ipc(batch: pa.RecordBatch) -> bytes:
@@ -373,7 +377,7 @@ def _among(keys: np.ndarray, x: np.ndarray) -> np.ndarray:
 def _expand(buckets: int, blocks: int):
     """Blocks with texts and the runs to expand -> strings named by their
     pair of ranks, by bucket."""
-    def run(batches):
+    def expand_runs(batches):
         out = Out()
         held: list[tuple] = []
         size = 0
@@ -399,7 +403,7 @@ def _expand(buckets: int, blocks: int):
         # settled here for all but the smallest document, which travels
         out.keys(PARTIAL, d[d > least], pair_name(r[d > least], n[d > least]), blocks)
         _pack(r[new], n[new], d[new], buckets, STRINGS, out, False)
-    return run
+    return expand_runs
 
 
 def _remove(as_string: bool):
@@ -439,7 +443,7 @@ def _remove(as_string: bool):
             kept.append(raw[at:])
             yield k, len(raw), int((hi - lo).sum()), np.stack([lo, hi]).T.tobytes(), b"".join(kept)
 
-    def run(batches):
+    def remove_strings(batches):
         schema = pa.schema([("id", pa.int64()), ("text", pa.string() if as_string else pa.binary()),
                             ("spans", pa.list_(pa.list_(pa.int64()))), ("n_bytes", pa.int64()),
                             ("n_removed", pa.int64()), ("kept_sha256", pa.string())])
@@ -456,7 +460,7 @@ def _remove(as_string: bool):
                 arrays.append(_from_ipc(rest))
                 names.append("rest")
             yield pa.RecordBatch.from_arrays(arrays, names=names)
-    return run
+    return remove_strings
 
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -468,7 +472,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     STRING, without the rest of a character that a span has cut."""
     spark = docs.sparkSession
     n = shuffle_partitions(spark)
-    places = 16 * n
+    places = 2 * n                              # packed rows: tasks x places
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"),
                       *([F.struct(*rest).alias("rest")] if rest else []))
     out = f"id long, text {"string" if as_string else "binary"}, spans array<array<long>>, n_bytes long, n_removed long, kept_sha256 string"
