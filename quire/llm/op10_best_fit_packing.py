@@ -23,6 +23,7 @@ numbered within a row. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -46,6 +47,7 @@ class WordTokens:
     """Ids of words as little-endian 32-bit bytes, with a bounded cache."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"     # Spark runs a task on each core
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True

@@ -14,7 +14,8 @@ which every document is taken at least once, so nothing is lost.
 
 A permutation orders documents by a hash of (seed, epoch, id). The part of one
 is cut without ordering a source in one task: token sums of hash buckets find
-the bucket with the cut, and only that bucket (bounded) is ordered.
+the bucket with the cut, and only that bucket is ordered. A source of n
+documents has sqrt(n) buckets of about sqrt(n) documents.
 
 The stream of a source is laid over ``blocks`` equal blocks of the budget, so
 each block holds every source at its weight (``mix_block``, then
@@ -37,8 +38,6 @@ from pyspark.sql import functions as F
 from .common import broadcast_if_small, scratch, table
 
 MAX_REPEATS, BLOCKS, SEED = 2.0, 64, 5
-#: documents of a hash bucket, about
-BUCKET_ROWS = 20_000
 _HALVINGS, _ROUNDS = 6, 5
 
 
@@ -98,7 +97,7 @@ def source_plan(docs: DataFrame, source_col: str, id_col: str, text_col: str, bu
     plan = (per.withColumn("weight", power / z).withColumn("quota", F.col("weight") * size)
             .withColumn("whole", F.when(F.col("tokens") > 0, F.floor(F.col("quota") / F.col("tokens") + 1e-9)).otherwise(1))
             .withColumn("rest", F.col("quota") - F.col("whole") * F.col("tokens"))
-            .withColumn("buckets", F.ceil(F.col("n_docs") / BUCKET_ROWS)))
+            .withColumn("buckets", F.ceil(F.sqrt(F.col("n_docs")))))
 
     # Where the next permutation stops: first the bucket, then the document.
     # The hash is 62 bits wide; a bucket is a range of it.
