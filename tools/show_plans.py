@@ -46,7 +46,7 @@ def main() -> None:
     blocks = layout.posting_blocks(gaps)
     plans = {
         "term_frequencies": tf,
-        "posting_gaps (after the bucketed checkpoint)": gaps,
+        "posting_gaps (after the postings are written)": gaps,
         "posting_blocks with payload": blocks,
         "lexicon (global prefix sum)": prefix.lexicon(layout.posting_blocks(gaps, with_payload=False)),
         "next_geq (as-of join, 2 passes)": lookup.next_geq(pinned, C.probes(spark, sf)),
