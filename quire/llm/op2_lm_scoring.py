@@ -210,14 +210,15 @@ def learn(train: DataFrame, counts: DataFrame, head: int = HEAD, sample_docs: in
 
 def _score(model: Model):
     names = ["doc_id", "held_out", "row", "n_tokens", "n_known", "base_score", "score", "rest"]
-    rest_type = pa.list_(pa.struct([("word", pa.binary()), ("k", pa.int32()), ("spelled", pa.float64()), ("size", pa.float64())]))
+    rest_names, rest_types = ["word", "k", "spelled", "size"], [pa.binary(), pa.int32(), pa.float64(), pa.float64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, end_at = model.base_log10(model.counts), model.place.get(END)
         end_base = base[end_at] if end_at is not None else float(model.base_log10(np.zeros(1))[0])
         place, cache = model.place, {}
         for batch in batches:
-            seqs, sizes, known, base_sums, extra, rest = [], [], [], [], [], []
+            seqs, sizes, known, base_sums, extra = [], [], [], [], []
+            rest, rest_ends = ([], [], [], []), [0]
             for raw in batch.column(3).to_pylist():
                 words = words_of(raw)
                 at = np.array([place.get(w, -1) for w in words], np.int64)
@@ -239,11 +240,16 @@ def _score(model: Model):
                     seq[:-1][~ok] = [cache[w][0] for w in missing]
                 seqs.append(seq), sizes.append(len(seq)), known.append(int(ok.sum()) + (end_at is not None))
                 base_sums.append(b), extra.append(e)
-                rest.append([(w, k, cache[w][1], model.size[cache[w][0]]) for w, k in Counter(missing).items()])
+                for w, k in Counter(missing).items():
+                    group, spelled = cache[w]
+                    rest[0].append(w), rest[1].append(k), rest[2].append(spelled), rest[3].append(model.size[group])
+                rest_ends.append(len(rest[0]))
             score = model.net.score(seqs) / math.log(10) + np.array(extra) if seqs else np.zeros(0)
+            listed = pa.ListArray.from_arrays(pa.array(rest_ends, pa.int32()), pa.StructArray.from_arrays(
+                [pa.array(v, t) for v, t in zip(rest, rest_types)], rest_names))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), batch.column(2), pa.array(sizes, pa.int64()), pa.array(known, pa.int64()),
-                 pa.array(base_sums, pa.float64()), pa.array(score, pa.float64()), pa.array(rest, rest_type)], names=names)
+                 pa.array(base_sums, pa.float64()), pa.array(score, pa.float64()), listed], names=names)
     return run
 
 
