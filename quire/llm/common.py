@@ -9,11 +9,13 @@ they are called, neither clash nor travel.
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -154,14 +156,46 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint64).view(np.int64)
 
 
+# ------------------------------------------------------------ record batches
+
+def text_slices(batches: Iterator[pa.RecordBatch], column: int, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``limit`` bytes of text, so that what a
+    task holds as Python values does not depend on the batch size."""
+    for batch in batches:
+        size = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+        cuts = np.flatnonzero(np.diff(np.cumsum(size, dtype=np.int64) // limit)) + 1
+        for s, e in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+            yield batch.slice(s, e - s)
+        del batch
+        release_memory()
+
+
+def release_memory() -> None:
+    """Give freed memory back to the system: Spark keeps Python workers for
+    the next stages, whose needs would come on top."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:                     # another C library
+        pass
+
+
 # ---------------------------------------------------- groups from sorted rows
 
+def row_slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+        del batch
+        release_memory()
+
+
 def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[dict[str, list]]:
     """Groups of consecutive rows with equal keys, as columns of Python
     values, from batches sorted by the keys. One group is held at a time."""
     held: dict[str, list] | None = None
     last = None
-    for batch in batches:
+    for batch in row_slices(batches):
         cols = {n: batch.column(i).to_pylist() for i, n in enumerate(batch.schema.names)}
         ids = list(zip(*[cols[k] for k in keys]))
         at = 0

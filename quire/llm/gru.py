@@ -18,6 +18,15 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(1, keepdims=True))
 
 
+def _log_prob(x: np.ndarray, bias: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Log softmax of x + bias at the targets, without the whole matrix of
+    it (states lie in -1..1, so logits are far from overflow)."""
+    x += bias
+    out = x[np.arange(len(target)), target]
+    np.exp(x, out=x)
+    return out - np.log(x.sum(1))
+
+
 class Gru:
     """``tokens`` ids and a start symbol (id ``tokens``) as input; ``hidden``
     units. Arrays: ``x`` input table with the gates' biases, ``u`` recurrent
@@ -44,13 +53,13 @@ class Gru:
     def log_probs(self, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Natural log probability of each target id given its state."""
         klass, place = np.divmod(ids, self.width)
-        out = _log_softmax(h @ self.p["c"] + self.p["cb"])[np.arange(len(ids)), klass]
-        order = np.argsort(klass, kind="stable")
+        out = _log_prob(h @ self.p["c"], self.p["cb"], klass)
+        order = np.argsort(klass.astype(np.int16), kind="stable")
         edges = np.searchsorted(klass[order], np.arange(self.classes + 1))
         for k in range(self.classes):
             rows = order[edges[k]:edges[k + 1]]
             if len(rows):
-                out[rows] += _log_softmax(h[rows] @ self.p["w"][k] + self.p["wb"][k])[np.arange(len(rows)), place[rows]]
+                out[rows] += _log_prob(h[rows] @ self.p["w"][k], self.p["wb"][k], place[rows])
         return out
 
     def score(self, texts: list[np.ndarray], group: int = 512, window: int = 32) -> np.ndarray:

@@ -31,7 +31,7 @@ a run.
 Nulls and edge cases: a null text counts as empty, an empty or short one is
 kept as it is. A row with a null id counts as larger than every id. Rows with
 equal ids do not remove each other's bytes. Long texts are cut into
-overlapping segments of 2^18 bytes for ranking only; results do not depend on
+overlapping segments of 2^17 bytes for ranking only; results do not depend on
 it. An empty table gives an empty result.
 """
 
@@ -46,15 +46,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import mix64, prefix_sums, scratch, shuffle_partitions, signed, span_hashes, table
+from .common import mix64, prefix_sums, row_slices, scratch, shuffle_partitions, span_hashes, table, text_slices
 
 LENGTH, FIRST, HALF = 50, 20, 25
-SEGMENT = 1 << 18
+SEGMENT = 1 << 17
 #: stands for a null id: larger than all others
 NO_ID = np.iinfo(np.int64).max
 TEXT, WHOLE, PARTIAL, STRINGS, SPREAD = 0, 1, 2, 3, 4
 #: Names of one rank in a batch above which its entries are spread over all buckets.
 HOT_NAMES = 64
+#: Text that a task ranks or packs at a time.
+BATCH_BYTES = 6 << 20
 ROW = "kind byte, place int, a binary, b binary, c binary, d binary"
 
 
@@ -239,7 +241,7 @@ def _sample(buckets: int, blocks: int):
     STRINGS), and what is settled inside the batch (kind WHOLE)."""
     def sample_positions(batches):
         out = Out()
-        for batch in batches:
+        for batch in text_slices(batches, 1, BATCH_BYTES):
             docs = _docs(batch.column(0).to_pylist())
             parts = [(r.rank, r.name, docs[r.text]) for r in runs_of([t or b"" for t in batch.column(1).to_pylist()])]
             if not parts:
@@ -262,7 +264,7 @@ def _sample(buckets: int, blocks: int):
 
 def _by_place(batches) -> Iterator[tuple[int, int, bytes, bytes, bytes, bytes]]:
     """Rows sorted by place, streamed one by one."""
-    for batch in batches:
+    for batch in row_slices(batches, 64):
         yield from zip(*[batch.column(i).to_pylist() for i in range(6)])
 
 
@@ -319,7 +321,7 @@ def _texts_by_block(blocks: int, rest: bool):
     if ``rest``, travels as an Arrow stream."""
     def pack_texts(batches):
         out = Out()
-        for batch in batches:
+        for batch in text_slices(batches, 1, BATCH_BYTES):
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             docs = _docs(ids)
             block = block_of(docs, blocks)

@@ -33,14 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc32_mod, discard, scratch, table
+from .common import crc32_mod, scratch, table, text_slices
 from .gru import Gru
 
 END = b""                                  # no word is empty
 HEAD, TOKENS, HIDDEN, WIDTH = 200_000, 1280, 16, 32
 #: documents that the network is trained on, about
 SAMPLE_DOCS = 600
-STEPS = 600
+STEPS = 500
 _CONTEXTS_LOG2, _ENDS = 12, 256            # spelling: hashed contexts; end of word
 _TAILS, _PUNCT = 64, b".,;:!?%$&*#|"
 GROUPS = 4 * _TAILS
@@ -64,7 +64,7 @@ def group_of(word: bytes) -> int:
 def word_counts(train: DataFrame) -> DataFrame:
     """``word, c`` over the ``text`` of all rows; the end is the empty word."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in text_slices(batches, 0, 32 << 20):
             c: Counter = Counter()
             texts = b.column(0).to_pylist()
             for t in texts:
@@ -198,7 +198,7 @@ def learn(train: DataFrame, counts: DataFrame, head: int = HEAD, sample_docs: in
     ids, end = model.id, model.end
 
     def encode(batches):
-        for b in batches:
+        for b in text_slices(batches, 1):
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([network_ids(t, ids, end).tobytes() for t in b.column(1).to_pylist()], pa.binary())],
                                              names=["h", "ids"])
     h = F.xxhash64(F.lit(2), "id", F.length("text"))
@@ -208,6 +208,13 @@ def learn(train: DataFrame, counts: DataFrame, head: int = HEAD, sample_docs: in
     return model
 
 
+class _Places(dict):
+    """Place of each head word, -1 for all others."""
+
+    def __missing__(self, word):
+        return -1
+
+
 def _score(model: Model):
     names = ["doc_id", "held_out", "row", "n_tokens", "n_known", "base_score", "score", "rest"]
     rest_names, rest_types = ["word", "k", "spelled", "size"], [pa.binary(), pa.int32(), pa.float64(), pa.float64()]
@@ -215,13 +222,13 @@ def _score(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, end_at = model.base_log10(model.counts), model.place.get(END)
         end_base = base[end_at] if end_at is not None else float(model.base_log10(np.zeros(1))[0])
-        place, cache = model.place, {}
-        for batch in batches:
+        place, cache = _Places(model.place), {}
+        for batch in text_slices(batches, 3, 16 << 20):
             seqs, sizes, known, base_sums, extra = [], [], [], [], []
             rest, rest_ends = ([], [], [], []), [0]
             for raw in batch.column(3).to_pylist():
                 words = words_of(raw)
-                at = np.array([place.get(w, -1) for w in words], np.int64)
+                at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
                 ok = at >= 0
                 seq = np.empty(len(words) + 1, np.int32)
                 seq[-1] = model.end

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, table
+from .common import broadcast_if_small, table, text_slices
 from .stats import text_counts
 
 SLOTS_LOG2 = 14
@@ -50,7 +50,7 @@ def slots(raw: bytes) -> np.ndarray:
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     n = 1 << SLOTS_LOG2
     raw_counts, target = np.zeros(n, np.int64), np.zeros(n, np.int64)
-    for batch in batches:
+    for batch in text_slices(batches, 0):
         for text, trusted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             c = np.bincount(slots(text or b""), minlength=n)
             raw_counts += c
@@ -106,7 +106,7 @@ def quality_rules(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id",
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept"]
 
     def run(batches):
-        for batch in batches:
+        for batch in text_slices(batches, 1):
             rows = [judge(t, weights, threshold) for t in batch.column(1).to_pylist()]
             cols = list(zip(*rows)) if rows else [[]] * len(types)
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, t) for c, t in zip(cols, types)]],
@@ -121,7 +121,7 @@ def keep_good(docs: DataFrame, weights: np.ndarray, text_col: str = "text", thre
     at = docs.columns.index(text_col)
 
     def run(batches):
-        for batch in batches:
+        for batch in text_slices(batches, at):
             texts = batch.column(at).cast(pa.binary()).to_pylist()
             yield batch.filter(pa.array([judge(t, weights, threshold)[-1] for t in texts], pa.bool_()))
     return docs.mapInArrow(run, docs.schema)

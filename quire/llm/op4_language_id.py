@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import crc32_mod, table
+from .common import crc32_mod, table, text_slices
 
 PLACES_LOG2, MAX_N = 16, 4
 PER_LANGUAGE, LANDMARKS, RIDGE, EPSILON = 300, 200, 0.1, 1e-6
@@ -108,7 +108,7 @@ def sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
     chosen = known.where(F.pmod(h, F.lit(1_000_000)) < share * 1_000_000).select("lang", h.alias("h"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in text_slices(batches, 2):
             ok = [k for k, t in enumerate(b.column(2).to_pylist()) if has_letter(t)]
             b = b.take(pa.array(ok, pa.int64()))
             bits = []
@@ -149,7 +149,7 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
         return out
 
     def run(batches):
-        for b in batches:
+        for b in text_slices(batches, 1):
             got = predict(b.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([g[0] for g in got], pa.string()),
                                               pa.array([g[1] for g in got], pa.float64())],

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shingle_hashes, shuffle_partitions, table, word_hashes
+from .common import shingle_hashes, shuffle_partitions, table, text_slices, word_hashes
 
 K, WIDTH, BITS = 128, 5, 48
 
@@ -93,7 +93,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
 
     def run(batches):
-        for b in batches:
+        for b in text_slices(batches, 1):
             s = [sketch(t or b"", k) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(map(to_text, s), pa.string()),
                                               pa.array([distinct(x, k) for x in s], pa.float64())],
@@ -190,7 +190,7 @@ def _edit(k: int):
                 c.append(v)
 
         held = None                              # bucket, id, text, fingerprint
-        for b in batches:
+        for b in text_slices(batches, 3):
             kind = b.schema.field("id").type
             for bucket, role, key, text in zip(*[b.column(i).to_pylist() for i in range(4)]):
                 text = text or ""

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc32_mod, scratch, table
+from .common import crc32_mod, scratch, table, text_slices
 from .stats import text_counts
 
 FEATURES, GAMMA, RIDGE, SEED, BINS = 128, 0.02, 0.1, 8, 2000
@@ -64,7 +64,7 @@ def describe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in text_slices(batches, 1):
             stats = [statistics(t or b"").astype(np.float32) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([s.tobytes() for s in stats], pa.binary())],
                                              names=["doc_id", "stats"])

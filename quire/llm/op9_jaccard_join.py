@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import (broadcast_if_small, by_sorted_keys, components, discard, mix64, scratch,
-                     shingle_hashes, signed, sorted_groups, table, word_hashes)
+                     shingle_hashes, signed, sorted_groups, table, text_slices, word_hashes)
 
 BANDS, ROWS, SIGNATURE, STEP = 28, 4, 64, 8
 
@@ -71,7 +71,7 @@ def _describe(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mul, add = _seeds(BANDS * ROWS + SIGNATURE, 9)
         last: tuple = (None, None)
-        for batch in batches:
+        for batch in text_slices(batches, 1):
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             rid, size, bands, sig = [], [], [], []
             for raw in texts:
@@ -270,7 +270,7 @@ def _block_pairs(df: DataFrame, size: str, block: int) -> DataFrame:
 
 def _shingle_bytes(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in text_slices(batches, 2):
             sets = [np.unique(shingle_hashes(word_hashes(t or b""), width)) for t in b.column(2).to_pylist()]
             # ids need not be unique: a row whose set is another one is left out
             own = pa.array([set_digest(s) == r for s, r in zip(sets, b.column(0).to_pylist())], pa.bool_())
