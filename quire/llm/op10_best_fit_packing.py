@@ -13,8 +13,8 @@ A group holds a multiset of lengths (4096 at most), so packing needs no more
 memory than the lengths of the group. Groups only cost a partly filled bin
 each.
 
-Tokens are made word by word: the tokenizer splits at white space, so the ids
-of a text are those of its words, and words are remembered in a bounded cache.
+The tokenizer splits at white space, so the ids of a text are those of its
+words; words are remembered in a bounded cache and only new ones are encoded.
 
 Nulls and edge cases: a null or empty text is one piece of one token, the end
 id. Rows with a null id or equal ids are packed like others; pieces are
@@ -32,10 +32,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import sorted_groups, table
+from .common import sorted_groups, table, text_slices
 
 CAPACITY, END_ID, GROUP_ROWS = 4096, 1, 8192
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
 
 
 def tokenizer_file() -> str:
@@ -53,31 +53,37 @@ class WordTokens:
         self.tokenizer.encode_special_tokens = True
         self.cache: dict[bytes, bytes] = {}
 
-    def __call__(self, raw: bytes) -> bytes:
-        words = raw.split()
+    def __call__(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each text. New words of all texts are encoded together."""
+        split = [t.split() for t in texts]
         cache = self.cache
-        try:
-            return b"".join([cache[w] for w in words])
-        except KeyError:
-            pass
-        if len(cache) > CACHE_WORDS:
+        new = set().union(*split) - cache.keys()
+        if len(cache) + len(new) > CACHE_WORDS:
             cache.clear()
-        missing = list({w for w in words if w not in cache})
-        for at in range(0, len(missing), 4096):
-            part = missing[at:at + 4096]
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            for w, e in zip(part, found):
-                cache[w] = np.array(e.ids, "<u4").tobytes()
-        return b"".join([cache[w] for w in words])
+            new = set().union(*split)
+        new = list(new)
+        for at in range(0, len(new), 512):
+            self._learn(new[at:at + 512])
+        return [b"".join(map(cache.__getitem__, words)) for words in split]
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Encode words as one text and cut the ids where words begin."""
+        text = [w.decode() for w in words]
+        found = self.tokenizer.encode(" ".join(text), add_special_tokens=False)
+        ids = np.array(found.ids, "<u4")
+        begins = np.cumsum([0] + [len(w) + 1 for w in text[:-1]])
+        cuts = np.searchsorted(np.array([o[0] for o in found.offsets]), begins).tolist() + [len(ids)]
+        for k, w in enumerate(words):
+            self.cache[w] = ids[cuts[k]:cuts[k + 1]].tobytes()
 
 
 def _pieces(path: str, capacity: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, end = WordTokens(path), int(end_id).to_bytes(4, "little")
-        for batch in batches:
+        for batch in text_slices(batches, 1):
             keep, cols = [], ([], [], [], [])
-            for k, raw in enumerate(batch.column(1).to_pylist()):
-                ids = tokens(raw or b"") + end
+            for k, ids in enumerate(tokens([t or b"" for t in batch.column(1).to_pylist()])):
+                ids += end
                 for no, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at:at + 4 * capacity]
                     keep.append(k)
