@@ -6,6 +6,8 @@ probability of a token is that of its class times that inside the class.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 
 
@@ -40,6 +42,7 @@ class Gru:
         self.p = {"x": draw(tokens + 1, 3 * hidden), "u": draw(hidden, 3 * hidden), "c": draw(hidden, self.classes),
                   "cb": np.zeros(self.classes, np.float32), "w": draw(self.classes, hidden, width),
                   "wb": np.zeros((self.classes, width), np.float32)}
+        self.rest()
         last = tokens - (self.classes - 1) * width      # unused places of the last class
         self.p["wb"][-1, last:] = -1e9
 
@@ -125,44 +128,104 @@ class Gru:
             g["w"][k], g["wb"][k] = flat[at].T @ d, d.sum(0)
             dflat[at] += d @ p["w"][k].T
         dstates, dh = dflat.reshape(states.shape), np.zeros_like(h)
+        dx = np.empty((*ids.shape, 3 * n), h.dtype)
         for t in range(len(ids) - 1, -1, -1):
             prev, z, r, cand, un = steps[t]
             dh = dh + dstates[t]
             dn = dh * (1 - z) * (1 - cand * cand)
             dz = dh * (prev - cand) * z * (1 - z)
             dr = dn * un * r * (1 - r)
-            np.add.at(g["x"], before[t], np.hstack([dz, dr, dn]))
+            dx[t] = np.hstack([dz, dr, dn])
             du = np.hstack([dz, dr, dn * r])
             g["u"] += prev.T @ du
             dh = np.where(fresh[t][:, None], 0, dh * z + du @ p["u"].T).astype(h.dtype)
+        order = np.argsort(before, axis=None, kind="stable")
+        token, first = np.unique(before.ravel()[order], return_index=True)
+        g["x"][token] = np.add.reduceat(dx.reshape(-1, 3 * n)[order], first, axis=0)
         return loss / count, {k: v / count for k, v in g.items()}, h
 
+    def _laid_out(self, texts: list[np.ndarray]) -> np.ndarray:
+        """Tokens of the texts, the tokens before them and marks of the
+        texts' first tokens, as three rows."""
+        flat = np.concatenate(texts).astype(np.int64)
+        fresh = np.zeros(len(flat), np.int64)
+        fresh[np.cumsum([0] + [len(t) for t in texts[:-1]])] = 1
+        return np.stack([flat, np.where(fresh, self.tokens, np.append(self.tokens, flat[:-1])), fresh])
+
+    def _descend(self, g: dict[str, np.ndarray], rate: float) -> None:
+        """One Adam step along gradients of norm 1 at most."""
+        self.t += 1
+        size = sum(float((v * v).sum()) for v in g.values()) ** 0.5
+        lr = rate * (1 - 0.999 ** self.t) ** 0.5 / (1 - 0.9 ** self.t)
+        for k, v in g.items():
+            v = v * min(1.0, 1 / max(size, 1e-9))
+            m = self.moments[k]
+            m[0] = 0.9 * m[0] + 0.1 * v
+            m[1] = 0.999 * m[1] + 0.001 * v * v
+            self.p[k] -= (lr * m[0] / (np.sqrt(m[1]) + 1e-6)).astype(np.float32)
+
+    def rest(self) -> None:
+        """Forget the moments of the gradients."""
+        self.t, self.moments = 0, {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in self.p.items()}
+
+    def state(self) -> np.ndarray:
+        """Parameters and moments in one vector of fixed size."""
+        return np.concatenate([a.ravel() for k, v in self.p.items() for a in (v, *self.moments[k])])
+
+    def set_state(self, flat: np.ndarray) -> None:
+        at = 0
+        for k, v in self.p.items():
+            a = flat[at:at + 3 * v.size].astype(v.dtype).reshape(3, *v.shape)
+            self.p[k], self.moments[k] = a[0].copy(), [a[1].copy(), a[2].copy()]
+            at += 3 * v.size
+
+    def read(self, slices: Iterable[list[np.ndarray]], rate: float, streams: int = 256, window: int = 24) -> int:
+        """Goes on training over each token of the slices of whole documents
+        once; returns the number of tokens."""
+        total, tail = 0, np.zeros((3, 0), np.int64)
+
+        def run(part: np.ndarray, n: int) -> None:
+            ids, before, fresh = part.reshape(3, n, -1).transpose(0, 2, 1)
+            fresh = fresh.astype(bool)
+            fresh[0] = True
+            h = np.zeros((n, self.hidden), np.float32)
+            for at in range(0, len(ids), window):
+                w = slice(at, at + window)
+                _, g, h = self.loss(ids[w], before[w], fresh[w], h)
+                # a short window moves the network by its share of a whole one
+                self._descend(g, rate * min(1.0, ids[w].size / (64 * window)))
+        for texts in slices:
+            texts = [t for t in texts if len(t)]
+            if not texts:
+                continue
+            tail = np.hstack([tail, self._laid_out(texts)])
+            n = min(streams, tail.shape[1] // window)
+            if n:
+                whole = tail.shape[1] // n * n
+                run(tail[:, :whole], n)
+                total, tail = total + whole, tail[:, whole:]
+        if tail.shape[1]:
+            run(tail, 1)
+        return total + tail.shape[1]
+
     def train(self, texts: list[np.ndarray], streams: int = 64, window: int = 24, steps: int = 600, rate: float = 0.02) -> list[float]:
         """Adam over windows of parallel streams of whole documents."""
+        self.rest()
         texts = [t for t in texts if len(t)]
         if not texts:
             return []
-        flat = np.concatenate(texts).astype(np.int64)
-        fresh = np.zeros(len(flat), bool)
-        fresh[np.cumsum([0] + [len(t) for t in texts[:-1]])] = True
-        before = np.where(fresh, self.tokens, np.append(self.tokens, flat[:-1]))
+        flat, before, fresh = self._laid_out(texts)
+        fresh = fresh.astype(bool)
         streams = max(1, min(streams, len(flat) // window))
         length = len(flat) // streams
         cut = lambda a: a[:streams * length].reshape(streams, length).T
         flat, fresh, before = cut(flat), cut(fresh), cut(before)
         fresh[0] = True
-        m = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in self.p.items()}
         at, h, losses = 0, np.zeros((streams, self.hidden), np.float32), []
         for t in range(1, steps + 1):
             end = min(at + window, length)
             loss, g, h = self.loss(flat[at:end], before[at:end], fresh[at:end], h)
             losses.append(float(loss))
             at = end if end < length else 0
-            size = np.sqrt(sum(float((v * v).sum()) for v in g.values()))
-            lr = rate * min(1.0, 2 * (1 - t / (steps + 1))) * np.sqrt(1 - 0.999 ** t) / (1 - 0.9 ** t)
-            for k, v in g.items():
-                v = v * min(1.0, 1 / max(size, 1e-9))
-                m[k][0] = 0.9 * m[k][0] + 0.1 * v
-                m[k][1] = 0.999 * m[k][1] + 0.001 * v * v
-                self.p[k] -= (lr * m[k][0] / (np.sqrt(m[k][1]) + 1e-6)).astype(np.float32)
+            self._descend(g, rate * min(1.0, 2 * (1 - t / (steps + 1))))
         return losses

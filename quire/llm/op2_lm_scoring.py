@@ -5,9 +5,13 @@ language model of words.
   ``head`` most frequent words (a bounded number) are known to every task.
 * The network's tokens are the most frequent words, the end, and groups of
   other words (hash of the last letters, length, punctuation). It is
-  trained on the driver by truncated backpropagation on a bounded sample of
-  whole training documents; scoring runs over every whole document in
-  windows, with the state carried from window to window.
+  trained by truncated backpropagation over all training documents: a start
+  from a small sample on the driver, then rounds in which each task goes on
+  over its own whole documents of that round and the parameters of all tasks
+  are averaged, weighted by tokens. Each training document is in one round,
+  so the tokens read grow with the input, while only one parameter vector of
+  fixed size reaches the driver a round. Scoring runs over every whole
+  document in windows, with the state carried from window to window.
 * A word of a group has the group's probability times a mixture of its count
   in the group and of a spelling model (bytes given the three bytes before,
   over the group's share of distinct words), which is counted over all
@@ -30,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,8 +43,10 @@ from .gru import Gru
 
 END = b""                                  # no word is empty
 HEAD, TOKENS, HIDDEN, WIDTH = 200_000, 1280, 16, 32
-#: documents that the network is trained on, about
+#: documents of the network's start on the driver, about
 SAMPLE_DOCS = 600
+#: rounds over all training documents, rate of the first one
+ROUNDS, RATE = 4, 0.01
 STEPS = 500
 _CONTEXTS_LOG2, _ENDS = 12, 256            # spelling: hashed contexts; end of word
 _TAILS, _PUNCT = 64, b".,;:!?%$&*#|"
@@ -175,7 +182,43 @@ def network_ids(raw: bytes | None, ids: dict[bytes, int], end: int) -> np.ndarra
     return np.array([ids[w] if w in ids else group_of(w) for w in words_of(raw)] + [end], np.int32)
 
 
-def learn(train: DataFrame, counts: DataFrame, head: int = HEAD, sample_docs: int = SAMPLE_DOCS, steps: int = STEPS) -> Model:
+_PIECES = 64                               # of a state, summed apart
+
+
+def train_round(docs: DataFrame, model: Model, rate: float) -> int:
+    """Training over all rows ``text`` of ``docs``, a network a task, all from
+    the model's; it becomes their average by tokens. Returns the tokens read."""
+    net, ids, end = model.net, model.id, model.end
+
+    def run(batches):
+        slices = text_slices(batches, 0)
+        n = net.read(([network_ids(t, ids, end) for t in b.column(0).to_pylist()] for b in slices), rate)
+        if n:
+            pieces = np.array_split(net.state().astype(float) * n, _PIECES)
+            part = TaskContext.get().partitionId()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(_PIECES), pa.int32()), pa.array([part] * _PIECES, pa.int32()), pa.array([n] * _PIECES, pa.int64()),
+                 pa.array([p.tobytes() for p in pieces], pa.binary())], names=["piece", "part", "n", "sums"])
+
+    def add(batches):
+        sums: dict[int, list] = {}
+        for b in batches:                      # sorted, so sums are the same in every run
+            for k, n, raw in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()):
+                got = sums.setdefault(k, [0, 0.0])
+                got[0], got[1] = got[0] + n, got[1] + np.frombuffer(raw)
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([v[0] for v in sums.values()], pa.int64()),
+                                          pa.array([v[1].tobytes() for v in sums.values()], pa.binary())], names=["piece", "n", "sums"])
+    states = docs.select("text").mapInArrow(run, "piece int, part int, n long, sums binary")
+    got = sorted(tuple(r) for r in states.repartition("piece").sortWithinPartitions("piece", "part")
+                 .mapInArrow(add, "piece int, n long, sums binary").collect())
+    if not got:
+        return 0
+    net.set_state(np.concatenate([np.frombuffer(raw) for _, _, raw in got]) / got[0][1])
+    return got[0][1]
+
+
+def learn(train: DataFrame, counts: DataFrame, head: int = HEAD, sample_docs: int = SAMPLE_DOCS, steps: int = STEPS,
+          rounds: int = ROUNDS, rate: float = RATE) -> Model:
     """Model of the rows ``id, text`` of ``train`` and their ``word_counts``."""
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     known = head_words(counts, head)
@@ -205,6 +248,11 @@ def learn(train: DataFrame, counts: DataFrame, head: int = HEAD, sample_docs: in
     picked = train.select(h.alias("h"), "text").where(F.pmod("h", F.lit(1_000_000)) < share * 1_000_000)
     got = sorted((r[0], bytes(r[1])) for r in picked.mapInArrow(encode, "h long, ids binary").collect())
     model.net.train([np.frombuffer(x, np.int32) for _, x in got], steps=steps)
+    model.trained = 0
+    for k in range(rounds):
+        part = train.where(F.pmod(F.xxhash64(F.lit(3), "id", F.length("text")), F.lit(rounds)) == k)
+        model.trained += train_round(part, model, rate * (1 - k / rounds))
+    model.net.rest()
     return model
 
 

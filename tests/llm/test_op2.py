@@ -104,3 +104,40 @@ def test_edge_cases(spark):
     assert op.lm_score(df.limit(0), steps=5).collect() == []
     alone = [(i, t) for i, t in rows if held(i)]
     check(alone, op.lm_score(spark.createDataFrame(alone, SCHEMA), steps=5).collect())
+
+
+def test_all_training_documents_are_trained_on(spark):
+    # the start sees 5 documents and 5 steps; only the rounds can learn the order of the words
+    words = [f"w{k}" for k in range(20)]
+    rows = [(k, " ".join(words[(k + j) % 20] for j in range(1500))) for k in range(700)]
+    train = spark.createDataFrame([r for r in rows if not held(r[0])], "id long, text string").repartition(2)
+    counts = op.word_counts(train.selectExpr("cast(text as binary) as text")).cache()
+    model = op.learn(train.selectExpr("id", "cast(text as binary) as text"), counts, sample_docs=5, steps=5)
+    assert model.trained == model.n == 1501 * train.count()
+    ids = [op.network_ids(t.encode(), model.id, model.end) for i, t in rows if held(i)]
+    assert model.net.score(ids).sum() / sum(map(len, ids)) > 0.9 * math.log(1 / 20)   # better than by word counts
+
+
+def test_every_token_is_read_once():
+    net, seen = Gru(50, hidden=3, width=8), []
+    loss = net.loss
+    net.loss = lambda ids, before, fresh, h: (seen.extend(ids.ravel().tolist()), loss(ids, before, fresh, h))[1]
+    rng = np.random.default_rng(1)
+    slices = [[rng.integers(0, 50, n) for n in sizes] for sizes in ((3, 0, 700), (), (5,), (2000, 1, 77), (9,))]
+    want = np.concatenate([t for s in slices for t in s])
+    assert net.read(slices, 0.01, streams=8, window=6) == len(want) and sorted(seen) == sorted(want.tolist())
+
+
+def test_rounds_are_averaged_by_tokens(spark):
+    docs = spark.createDataFrame([(bytearray(b"a b c " * n),) for n in (5, 40, 900)], "text binary").repartition(3)
+    counts = op.word_counts(docs).cache()
+    model = op.learn(docs.selectExpr("1L as id", "text"), counts, steps=2, rounds=0)
+    start = model.net.state()
+    want, total = 0.0, 0
+    for part in docs.rdd.glom().collect():
+        net = Gru(model.end + 1, op.HIDDEN, op.WIDTH)
+        net.set_state(start)
+        n = net.read([[op.network_ids(bytes(r[0]), model.id, model.end) for r in part]], 0.01)
+        want, total = want + net.state().astype(float) * n, total + n
+    assert op.train_round(docs, model, 0.01) == total == model.n
+    assert np.allclose(model.net.state(), want / total, atol=1e-6)
