@@ -47,7 +47,7 @@ HEAD, TOKENS, HIDDEN, WIDTH = 200_000, 1280, 16, 32
 SAMPLE_DOCS = 600
 #: rounds over all training documents, rate of the first one
 ROUNDS, RATE = 4, 0.01
-STEPS = 500
+STEPS = 600
 _CONTEXTS_LOG2, _ENDS = 12, 256            # spelling: hashed contexts; end of word
 _TAILS, _PUNCT = 64, b".,;:!?%$&*#|"
 GROUPS = 4 * _TAILS

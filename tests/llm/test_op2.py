@@ -141,3 +141,7 @@ def test_rounds_are_averaged_by_tokens(spark):
         want, total = want + net.state().astype(float) * n, total + n
     assert op.train_round(docs, model, 0.01) == total == model.n
     assert np.allclose(model.net.state(), want / total, atol=1e-6)
+
+
+def test_start_is_not_cut():
+    assert op.STEPS >= 600
