@@ -33,9 +33,6 @@ from .stats import text_counts
 SLOTS_LOG2 = 14
 THRESHOLD = -0.5
 MIN_WORDS, MAX_REPEAT_PCT = 50, 50
-#: Trusted documents are at most about this many labelled rows, chosen by the
-#: hash of their id (all of them while there are fewer).
-TRUSTED_ROWS = 50_000
 
 
 def slots(raw: bytes) -> np.ndarray:
@@ -74,13 +71,9 @@ def ratio_weights(docs: DataFrame, text_col: str, trusted_col: str) -> np.ndarra
     return p[:, 1] - p[:, 0]
 
 
-def trusted_flag(docs: DataFrame, labels: DataFrame, bound: int = TRUSTED_ROWS, id_col: str = "doc_id") -> DataFrame:
-    """``text, trusted`` of all documents: trusted if labelled quality 1, for
-    about ``bound`` such labels at most."""
+def trusted_flag(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``text, trusted`` of all documents: trusted if labelled quality 1."""
     good = labels.where(F.col("quality") == 1).select(F.col("doc_id").alias("_label")).where("_label is not null").distinct()
-    n = good.count()
-    if n > bound:
-        good = good.where(F.pmod(F.xxhash64("_label"), F.lit(1_000_000)) < int(1_000_000 * bound / n))
     good = good.withColumn("_trusted", F.lit(True))
     src = docs.select(F.col(id_col).alias("_id"), F.col("text").alias("_text"))
     return src.join(broadcast_if_small(good), F.col("_id") == F.col("_label"), "left").select(

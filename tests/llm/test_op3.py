@@ -76,3 +76,11 @@ def test_edge_cases(spark):
     assert op.quality_rules(df.limit(0), weights).collect() == []
     none = op.ratio_weights(op.trusted_flag(df.limit(0), labels.limit(0)), "text", "trusted")
     assert not none.any()
+
+
+def test_all_good_labels_are_trusted(spark):
+    for n in (60_000, 210_000):                # under and over the rows that are broadcast
+        docs = spark.range(n + 5).selectExpr("id as doc_id", "'abc' as text")
+        labels = spark.range(n).selectExpr("id as doc_id", "1 as quality")
+        flagged = op.trusted_flag(docs, labels)
+        assert flagged.count() == n + 5 and flagged.where("trusted").count() == n
