@@ -24,18 +24,24 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the smallest id, of each class of
-    near-duplicates. Rows with a null id stay; of rows with one id that are
-    near-duplicates one stays."""
-    found = scratch(op9_jaccard_join.jaccard_join(docs).select(
-        F.col("doc_id").alias("_id"), F.col("class_id").alias("_class"), (F.col("n_links") > 0).alias("_linked")))
-    losers = found.where("_id <> _class").select("_id").distinct()
+    near-duplicates. Rows with a null id stay. Rows with one id are decided
+    apart, by the digests of their texts: of those of one class one stays."""
+    found = scratch(op9_jaccard_join.jaccard_join(docs, digests=True).select(
+        F.col("doc_id").alias("_id"), F.col("class_id").alias("_class"), (F.col("n_links") > 0).alias("_linked"),
+        F.col("rid").alias("_rid"), F.col("root").alias("_root")))
+    repeated = scratch(found.where("_id is not null").groupBy("_id").agg(
+        F.count(F.lit(1)).alias("n"), F.max("_linked").alias("l")).where("n > 1 and l").select("_id"))
+    losers = found.where("_id <> _class").select("_id").union(repeated).distinct()
     kept = docs.join(broadcast_if_small(losers), docs["doc_id"] == losers["_id"], "left_anti")
-    repeated = found.where("_id = _class and _linked").groupBy("_id").count().where("count > 1").select("_id")
     if repeated.isEmpty():
         return kept
-    repeated = broadcast_if_small(repeated)
-    once = kept.join(repeated, kept["doc_id"] == repeated["_id"], "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(repeated, kept["doc_id"] == repeated["_id"], "left_anti").unionByName(once)
+    small = broadcast_if_small(repeated)
+    rows = docs.select(F.col("doc_id").alias("_i"), F.col("text").cast("binary").alias("text"), F.struct("*").alias("_row"))
+    rows = op9_jaccard_join.with_digests(rows.join(small, F.col("_i") == F.col("_id"), "left_semi")).drop("text")
+    first = found.where("_id = _class").join(small, "_id", "left_semi").select("_id", "_rid", "_root").distinct()
+    rows = rows.join(first, (F.col("_i") == F.col("_id")) & F.col("rid").eqNullSafe(F.col("_rid")))
+    once = rows.where("_root is not null").dropDuplicates(["_i", "_root"]).unionByName(rows.where("_root is null"))
+    return kept.unionByName(once.select("_row.*"))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import (broadcast_if_small, by_sorted_keys, components, discard, mix64, scratch,
                      shingle_hashes, signed, sorted_groups, table, text_slices, word_hashes)
@@ -279,14 +280,29 @@ def _shingle_bytes(width: int):
     return run
 
 
+def with_digests(rows: DataFrame, width: int = 5) -> DataFrame:
+    """``rows``, one of whose columns is the binary ``text``, and the digest
+    ``rid`` of their shingle sets."""
+    at = rows.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in text_slices(batches, at):
+            sets = [np.unique(shingle_hashes(word_hashes(t or b""), width)) for t in b.column(at).to_pylist()]
+            rid = pa.array([set_digest(s) if len(s) else None for s in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([*b.columns, rid], names=[*b.schema.names, "rid"])
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("rid", T.BinaryType())]))
+
+
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
                  threshold: float = 0.8, tolerance: float = 1e-6, bucket_block: int = 512,
-                 verify_block: int = 64) -> DataFrame:
+                 verify_block: int = 64, digests: bool = False) -> DataFrame:
     """``id, class_id, n_links, n_shingles``: one row for each input row.
 
     ``class_id``: smallest id among the documents connected by links;
     ``n_links``: other documents with similarity >= ``threshold``, copies
-    included. Pairs of documents are never materialised.
+    included. Pairs of documents are never materialised. With ``digests`` also
+    ``rid, root``: digests of the row's shingle set and of its class (null
+    without words), which tell rows of one id apart.
     """
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
     described = scratch(src.mapInArrow(
@@ -323,10 +339,11 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                .withColumn("root", F.coalesce("root", "rid")))
     least = per_rep.groupBy("root").agg(F.min("first_id").alias("class_id"))
     per_rep = per_rep.join(least, "root").select(
-        "rid", "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+        "rid", "root", "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     return described.select("id", "rid", "n_shingles").join(per_rep, "rid", "left").select(
         F.col("id").alias(id_col), F.coalesce("class_id", "id").alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "n_shingles")
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "n_shingles",
+        *(["rid", "root"] if digests else []))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -96,3 +96,12 @@ def test_stages_on_odd_rows(spark):
             docs = out
         assert (docs.count() == 0) == empty
     assert pack.CAPACITY == 4096
+
+
+def test_rows_of_one_id_are_decided_apart(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(80)) for x in "abc")
+    rows = [(1, a), (2, a), (2, b), (3, c), (3, c + " more"), (3, b + " end"), (4, ""), (4, c), (4, ""), (5, b), (None, a)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in cp.near_duplicates(spark, docs, SF).collect()]
+    assert len(got) == 6 and [r for r in got if r[0] == 3] in ([(3, c)], [(3, c + " more")])
+    assert sorted(map(str, got)) == sorted(map(str, [(1, a), (2, b), (4, ""), (4, ""), (None, a)] + [r for r in got if r[0] == 3]))
