@@ -288,18 +288,17 @@ def q_next_geq(spark, sf_dir):
     return lookup.next_geq(_postings(spark, sf_dir), probes(spark, sf_dir), BUCKET_DOCS)
 
 
-def _probed_blocks(spark, sf_dir, with_payload):
-    """Stored blocks of the lists that some probe asks for."""
-    postings = _numbered_postings(spark, sf_dir).where(F.col("term").isin(PROBE_TERMS))
-    return pin(layout.posting_blocks(layout.posting_gaps(postings, BUCKET_DOCS), with_payload=with_payload))
+def _stored_blocks(spark, sf_dir, with_payload):
+    """The stored block table of the whole corpus."""
+    return pin(_blocks(spark, sf_dir, with_payload=with_payload))
 
 
 def q_next_geq_blocks(spark, sf_dir):
-    return lookup.next_geq_blocks(_probed_blocks(spark, sf_dir, True), probes(spark, sf_dir), bucket_width=BUCKET_DOCS)
+    return lookup.next_geq_blocks(_stored_blocks(spark, sf_dir, True), probes(spark, sf_dir), bucket_width=BUCKET_DOCS)
 
 
 def q_locate_block(spark, sf_dir):
-    return lookup.locate_block(_probed_blocks(spark, sf_dir, False), probes(spark, sf_dir), BUCKET_DOCS)
+    return lookup.locate_block(_stored_blocks(spark, sf_dir, False), probes(spark, sf_dir), BUCKET_DOCS)
 
 
 def q_query_terms(spark, sf_dir):

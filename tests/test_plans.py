@@ -50,3 +50,14 @@ def test_stored_index_lookup_pushes_terms_to_the_scan(spark, docs_small):
     plan = _plan(q)
     assert re.search(r"PushedFilters: \[[^\]]*In\(term, \[chch,the\]", plan)
     assert q.count() == 2
+
+
+def test_probes_meet_the_blocks_of_all_terms(spark, monkeypatch):
+    from quire.operators import lookup
+    from quire.plans import catalog
+    for name in ("next_geq_blocks", "locate_block"):
+        seen, real = [], getattr(lookup, name)
+        monkeypatch.setattr(lookup, name, lambda blocks, *a, real=real, **k: (seen.append(blocks), real(blocks, *a, **k))[1])
+        catalog.QUERIES[name](spark, "/root/testdata/sf0.001")
+        terms = seen[0].select("term").distinct().count()
+        assert terms == catalog.q_doc_freq(spark, "/root/testdata/sf0.001").count() > len(catalog.PROBE_TERMS)
