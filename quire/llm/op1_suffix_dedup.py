@@ -3,12 +3,11 @@
 A byte of a document is removed if a string of ``length`` (50) bytes that
 covers it also starts in a document with a smaller id.
 
-Prefix doubling ranks positions by a prefix of h bytes, sorts the position
-and rank pairs, drops positions whose prefix is already unique, and names the
-rest by the pair of ranks at p and p + h, until the threshold is passed. Here
-equal prefixes need a common name but no order among different ones, so a
-rank is the 64-bit hash of the prefix, and the sorts bring equal names
-together. Three things keep the pairs below the size of the text:
+A winnowing hash join takes the place of prefix doubling: no rank of an
+earlier round is used and offsets do not grow. Equal prefixes need a common
+name but no order among different ones, so a rank is the 64-bit hash of the
+prefix, and grouping by it brings equal prefixes together. Three things keep
+the pairs below the size of the text:
 
 * *Sampled positions.* Of the 31 prefixes of 20 bytes in a string of 50, the
   one with the smallest rank (the leftmost on ties) stands for the string.
