@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import delete_on_exit, ensure_checkpoint_dir
 
 #: Rows of a side that may be broadcast after it was counted (ids, weights,
 #: vocabularies: under 100 bytes each).
@@ -34,12 +34,14 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def scratch(df: DataFrame) -> DataFrame:
+def scratch(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` below the session's shared checkpoint folder and read it
-    back: cuts lineage, survives lost executors, several readers share it."""
+    back: cuts lineage, survives lost executors, several readers share it.
+    Removed when the driver ends."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/llm-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
+    delete_on_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -58,6 +60,11 @@ def broadcast_if_small(df: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(bound + 1).count() <= bound else df
 
 
+def column(name: str):
+    """The column of this very name, dots and back-ticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def crc32_mod(col, mod: int):
     """crc32 of the id as decimal text, modulo ``mod`` (a fold number)."""
     return F.crc32(F.col(col).cast("string").cast("binary")) % mod
