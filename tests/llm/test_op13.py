@@ -101,6 +101,16 @@ def test_segments_are_exact_for_this_vocabulary(enc):
     assert enc.a_size.min() > 0 and enc.b_size.min() > 0
 
 
+def test_the_faster_encoder_is_the_same(enc):
+    """For every usual character, alone, doubled, and between others."""
+    usual = [chr(c) for c in [*range(0x250), *range(0x2010, 0x2028), 0x20AC]]
+    assert enc.a_ranks and not op._UNUSUAL.search("".join(usual)) and op._UNUSUAL.search("日")
+    rnd = random.Random(7)
+    some = [t for c in usual for t in (c, f" {c}", c + c, f"a{c}b", f"1{c} 2", f" {c} ", f"{c}\n{c}x", f"'{c}'s")]
+    some += ["".join(rnd.choices(usual + list(" \n'") * 60, k=rnd.randrange(1, 80))) for _ in range(3000)]
+    assert [enc.a_ranks.encode_ordinary(t) for t in some] == [x.ids for x in enc.a.encode_batch(some, add_special_tokens=False)]
+
+
 def test_whole_table(spark, enc):
     sf = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
