@@ -15,6 +15,8 @@ each.
 
 The tokenizer splits at white space, so the ids of a text are those of its
 words; words are remembered in a bounded cache and only new ones are encoded.
+The strings of the tokenizer's special tokens are those tokens, as its plain
+call has it.
 
 Nulls and edge cases: a null or empty text is one piece of one token, the end
 id. Rows with a null id or equal ids are packed like others; pieces are
@@ -23,19 +25,26 @@ numbered within a row. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from .common import sorted_groups, table, text_slices
+from .common import column, release_memory, shuffle_partitions, sorted_groups, table, text_slices
 
 CAPACITY, END_ID, GROUP_ROWS = 4096, 1, 8192
-CACHE_WORDS = 600_000
+#: Words of a generation of the cache (two are held, about 200 bytes a word),
+#: bytes of text tokenised at a time.
+CACHE_WORDS, SLICE_BYTES = 250_000, 2 << 20
 
 
 def tokenizer_file() -> str:
@@ -43,28 +52,94 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+# How this tokenizer's file prepares text.
+_NORMAL = ["NFC", "Replace", "Lowercase"]
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: A word of Latin letters, with what may follow it.
+_LETTERS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+
+
+def _letters_encoder(path: str):
+    """An encoder of words of lower-case Latin letters, several times faster
+    than the file's own, made of its vocabulary; ``None`` for other files.
+
+    Merges are in the order of ids, so ids serve as ranks. The last byte of a
+    word is a symbol of its own there (``</w>``); here it is a byte that such
+    words do not have: a capital, or one below 0x40."""
+    with open(path, encoding="utf-8") as f:
+        told = json.load(f)
+    model, normal, split = told["model"], told["normalizer"] or {}, told["pre_tokenizer"] or {}
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model.get("merges", [])]
+    ids = [model["vocab"].get(x + y, -1) for x, y in pairs]
+    if not (model["type"] == "BPE" and model.get("end_of_word_suffix") == "</w>" and ids == sorted(set(ids)) and ids[:1] >= [0]
+            and [n["type"] for n in normal.get("normalizers", [])] == _NORMAL
+            and [n["type"] for n in split.get("pretokenizers", [])] == ["Split", "ByteLevel"]
+            and split["pretokenizers"][0]["pattern"] == {"Regex": _SPLIT}):
+        return None
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    byte = {chr(c): c for c in plain} | {chr(256 + k): c for k, c in enumerate(c for c in range(256) if c not in set(plain))}
+    inner = {*range(0x61, 0x7B), *range(0x80, 0x100)}
+    ranks = {}
+    for token, i in model["vocab"].items():
+        stem = token.removesuffix("</w>")
+        raw = bytes(byte[c] for c in stem) if stem and all(c in byte for c in stem) else b""
+        if raw and all(c in inner for c in raw):
+            if stem == token:
+                ranks[raw] = i
+            elif raw[-1] < 0xC0:
+                ranks[_ended(raw)] = i
+    return tiktoken.Encoding("letters", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+
+
+def _ended(raw: bytes) -> bytes:
+    return raw[:-1] + bytes([raw[-1] - (0x20 if raw[-1] < 0x80 else 0x80)])
+
+
 class WordTokens:
-    """Ids of words as little-endian 32-bit bytes, with a bounded cache."""
+    """Ids of words as little-endian 32-bit bytes. Words are remembered in two
+    generations of bounded size: when the young one is full it becomes the old
+    one, and what is used again is taken over."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, words: int = CACHE_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"     # Spark runs a task on each core
-        from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.cache: dict[bytes, bytes] = {}
+        self.letters, self.ends = _letters_encoder(path), {"": b""}
+        self.words, self.young, self.old = words, {}, {}
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text. New words of all texts are encoded together."""
         split = [t.split() for t in texts]
-        cache = self.cache
-        new = set().union(*split) - cache.keys()
-        if len(cache) + len(new) > CACHE_WORDS:
-            cache.clear()
+        young, old = self.young, self.old
+        new = set().union(*split) - young.keys()
+        if len(young) + len(new) > self.words:
+            self.old, self.young = old, young = young, {}
             new = set().union(*split)
-        new = list(new)
-        for at in range(0, len(new), 512):
-            self._learn(new[at:at + 512])
-        return [b"".join(map(cache.__getitem__, words)) for words in split]
+        rest = []
+        for w in new:
+            ids = old.get(w)
+            if ids is None:
+                ids = self._simple(w)
+            if ids is None:
+                rest.append(w)
+            else:
+                young[w] = ids
+        for at in range(0, len(rest), 512):
+            self._learn(rest[at:at + 512])
+        return [b"".join(map(young.__getitem__, words)) for words in split]
+
+    def _simple(self, word: bytes) -> bytes | None:
+        """Ids of a word of Latin letters, which the file's pattern cuts from
+        the marks after it."""
+        m = _LETTERS.fullmatch(word.decode()) if self.letters else None
+        if not m:
+            return None
+        end = self.ends.get(m[2])
+        if end is None:
+            end = self.ends[m[2]] = self._ids(m[2])
+        return array("I", self.letters(_ended(m[1].lower().encode()))).tobytes() + end
+
+    def _ids(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _learn(self, words: list[bytes]) -> None:
         """Encode words as one text and cut the ids where words begin."""
@@ -74,13 +149,13 @@ class WordTokens:
         begins = np.cumsum([0] + [len(w) + 1 for w in text[:-1]])
         cuts = np.searchsorted(np.array([o[0] for o in found.offsets]), begins).tolist() + [len(ids)]
         for k, w in enumerate(words):
-            self.cache[w] = ids[cuts[k]:cuts[k + 1]].tobytes()
+            self.young[w] = ids[cuts[k]:cuts[k + 1]].tobytes()
 
 
 def _pieces(path: str, capacity: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, end = WordTokens(path), int(end_id).to_bytes(4, "little")
-        for batch in text_slices(batches, 1):
+        for batch in text_slices(batches, 1, SLICE_BYTES):
             keep, cols = [], ([], [], [], [])
             for k, ids in enumerate(tokens([t or b"" for t in batch.column(1).to_pylist()])):
                 ids += end
@@ -93,6 +168,8 @@ def _pieces(path: str, capacity: int, end_id: int):
                 [batch.column(0).take(pa.array(keep, pa.int64())), pa.array(cols[0], pa.int32()),
                  *[pa.array(c, pa.int64()) for c in cols[1:]]],
                 names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        del tokens
+        release_memory()
     return run
 
 
@@ -176,14 +253,16 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    end_id: int = END_ID, path: str | None = None, group_rows: int = GROUP_ROWS) -> DataFrame:
     """One row for each piece: ``doc_id, piece, start, length, ids_crc32,
     sequence_id, offset``."""
-    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    src = docs.select(column(id_col).alias("doc_id"), column(text_col).cast("binary").alias("text"))
     groups = max(1, round(docs.count() / group_rows))
     kind = src.schema["doc_id"].dataType.simpleString()
     cols = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long"
     pieces = src.mapInArrow(_pieces(path or tokenizer_file(), capacity, end_id), cols)
-    pieces = pieces.withColumn("grp", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)))
+    # the task's number spreads rows of one id and text over the groups
+    key = F.xxhash64("doc_id", "piece", "ids_crc32", F.spark_partition_id())
+    pieces = pieces.withColumn("grp", F.pmod(key, F.lit(groups)))
     # sorted to the last column: a task that runs again numbers bins alike
-    return (pieces.repartition(groups, "grp").sortWithinPartitions("grp", "doc_id", "piece", "length", "ids_crc32")
+    return (pieces.repartition(min(groups, shuffle_partitions(docs.sparkSession)), "grp").sortWithinPartitions("grp", "doc_id", "piece", "length", "ids_crc32")
             .mapInArrow(_pack(capacity), f"{cols}, sequence_id long, offset long"))
 
 

@@ -16,7 +16,6 @@ SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("tex
 
 def whole_ids(texts):
     t = Tokenizer.from_file(op.tokenizer_file())
-    t.encode_special_tokens = True
     return [e.ids + [1] for e in t.encode_batch(texts, add_special_tokens=False)]
 
 
@@ -50,12 +49,36 @@ def test_query_equals_brute_force(spark, sf):
 
 def test_edge_cases(spark):
     rows = [(1, None), (2, ""), (3, "a"), (3, "a"), (None, "x y"), (4, "don't stop " * 9000), (5, "   é́ "),
-            (6, "<|endoftext|> word")]
-    df = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 as grp", "2 as piece", "'x' as length")
+            (6, "<|endoftext|> word"), (7, "hi<|endoftext|>there, <|startoftext|>. <|EndOfText|>"), (8, "Ärger, École... straße! é É"),
+            *[(None, "")] * 50]
+    df = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 as grp", "2 as piece", "'x' as length", "3 as `a.b`")
     check(rows, op.pack_documents(df, group_rows=3).collect())
     assert op.pack_documents(df.limit(0)).collect() == []
 
 
+def test_letters_encoder_is_the_same(spark):
+    """For every string of the vocabulary, random words, and all words of a
+    table; and with a tiny cache."""
+    rnd = random.Random(4)
+    tokens, whole = op.WordTokens(op.tokenizer_file()), Tokenizer.from_file(op.tokenizer_file())
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZÀÉÖØÞßàéöøþÿ"
+    words = {t.removesuffix("</w>") for t in whole.get_vocab() if op._LETTERS.fullmatch(t.removesuffix("</w>"))}
+    words |= {a + b for a, b in zip(rnd.sample(sorted(words), 20_000), rnd.sample(sorted(words), 20_000))}
+    words |= {"".join(rnd.choices(letters, k=rnd.randrange(1, 30))) + rnd.choice(["", ",", "...", "?!"]) for _ in range(20_000)}
+    texts = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()
+    words |= {w.decode() for r in texts for w in (r["text"] or "").encode().split()}
+    words = sorted(words)
+    simple = {w: tokens._simple(w.encode()) for w in words}
+    some = [w for w in words if simple[w] is not None]
+    assert len(some) > 60_000
+    for w, e in zip(some, whole.encode_batch(some, add_special_tokens=False)):
+        assert np.frombuffer(simple[w], "<u4").tolist() == e.ids, w
+    small = op.WordTokens(op.tokenizer_file(), 50)
+    texts = [" ".join(rnd.choices(words, k=30)) for _ in range(100)]
+    for t, e in zip(texts, whole.encode_batch(texts, add_special_tokens=False)):
+        assert np.frombuffer(small([t.encode()])[0], "<u4").tolist() == e.ids
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 40), max_size=60))
 def test_packing_is_a_partition(lengths):
