@@ -9,11 +9,11 @@ FIELD_SEP = " "       # between the term and its postings, and between postings
 POSTING_SEP = ":"     # between doc id and term frequency inside one posting
 COLLECTION_SEP = "\t"  # between doc id and passage in a collection line
 
-# Documents in a bucket of the buckets that split every posting list: runs of
-# the documents in id order, whatever the ids are. A (term, bucket) group never
-# holds more than this many postings, so windows over it stay bounded even for
-# a term that occurs in every document.
-DOC_BUCKET_WIDTH = 1 << 16
+# Runs of an ordered table: for each shuffle partition, the least rows of one,
+# and the rows sampled for one.
+RUNS_PER_PARTITION = 4
+MIN_RUN_ROWS = 4096
+SAMPLES_PER_RUN = 50
 
 # Postings in one line of the posting text format; a longer list becomes
 # several lines of its term.

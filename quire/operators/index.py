@@ -33,7 +33,7 @@ def invalid_documents(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def term_frequencies(docs: DataFrame) -> DataFrame:
     """One posting per (term, doc): ``term, doc_id, tf`` (BIGINT), and any
-    other column of the documents (a shard, a bucket).
+    other column of the documents (a shard).
 
     Rows with a NULL or negative id have no postings
     (:func:`invalid_documents` lists them). ``explode_outer`` + ``IS NOT

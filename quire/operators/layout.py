@@ -1,13 +1,11 @@
 """Physical layout of posting lists: gaps, blocks of 64, varbyte payloads.
 
-Positions inside a posting list are computed without ever putting a whole
-list into one window partition: documents are numbered in id order, and a
-posting's bucket is its document's number div W. A small per-bucket table
-gives each (term, bucket) the number of postings before it and the last doc id
-before it, and row numbers and ``lag`` run inside the bucket only. A bucket
-holds at most W documents, and there are (documents / W) buckets, whatever the
-ids look like, so every window stays bounded even for a term found in every
-document.
+Positions inside a posting list are a segmented scan (see ``ranges``): postings
+cross the network once, by runs of the (term, doc id) order; row numbers and
+``lag`` run inside a run, and what crosses a border of runs - the number of
+postings before it and the last doc id - is carried in a table of one row for
+each run that a list spans. A list is never put into one window, however long
+it is and whatever the ids look like.
 """
 
 from __future__ import annotations
@@ -15,79 +13,38 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import DOC_BUCKET_WIDTH, POSTINGS_PER_BLOCK
+from ..config import POSTINGS_PER_BLOCK
 from ..functions.arrays import slice0
 from ..functions.varbyte import hex_concat, varbyte_decode, varbyte_hex, varbyte_size
 from ..session import pin
-from .prefix import global_running_sum
+from .ranges import Ranges
 
 
-def bucket_table(ids: DataFrame, width: int = DOC_BUCKET_WIDTH, probes: DataFrame | None = None) -> DataFrame | None:
-    """``doc_id, bucket`` for the distinct ids of ``ids(doc_id)``: their
-    number in id order div ``width``. Ids of ``probes(doc_id)`` that are no
-    document get the bucket of the next document. ``None`` if there are at
-    most ``width`` documents: all are in bucket 0 (a choice of plan, the rows
-    are the same)."""
-    ids = ids.select("doc_id").distinct()
-    if ids.limit(width + 1).count() <= width:
-        return None
-    rows = ids.select("doc_id", F.lit(1).alias("_w"))
-    if probes is not None:
-        rows = rows.union(probes.select("doc_id", F.lit(0)))
-    rows = rows.groupBy("doc_id").agg(F.max("_w").alias("_w"))
-    number = global_running_sum(rows, ["doc_id"], "_w", "_number")
-    return number.select("doc_id", F.call_function("div", "_number", F.lit(width).cast("bigint")).alias("bucket"))
-
-
-def with_bucket(df: DataFrame, buckets: DataFrame | None, key: str = "doc_id") -> DataFrame:
-    """``df`` with the ``bucket`` of its ``key`` column."""
-    if buckets is None:
-        return df.withColumn("bucket", F.lit(0).cast("bigint"))
-    return df.join(buckets.withColumnRenamed("doc_id", "_id"), F.col(key) == F.col("_id")).drop("_id")
-
-
-def number_documents(docs: DataFrame, width: int = DOC_BUCKET_WIDTH) -> DataFrame:
-    """Documents with their bucket, which ``term_frequencies`` hands on to the
-    postings: only ids are ordered, and the bucket is joined before the text
-    is tokenized."""
-    return with_bucket(docs, bucket_table(docs.where("doc_id >= 0"), width))
-
-
-def posting_gaps(postings: DataFrame, bucket_width: int = DOC_BUCKET_WIDTH,
-                 block_size: int = POSTINGS_PER_BLOCK) -> DataFrame:
-    """``term, doc_id, tf, gap, pos, bucket, block_no`` for every posting.
+def posting_gaps(postings: DataFrame, block_size: int = POSTINGS_PER_BLOCK, runs: int | None = None) -> DataFrame:
+    """``term, doc_id, tf, gap, pos, block_no`` for every posting, and where
+    it was worked out: ``run``, and ``spans`` if its list has several runs.
 
     ``gap`` = doc_id minus the previous doc id of the term (the first gap is
     the doc id itself); it runs on across block borders. ``pos`` is the
     0-based position in the list and ``block_no = pos div block_size``.
-
-    Postings with a ``bucket`` (from numbered documents) cross the network
-    once, by (term, bucket); others are numbered here first. They are written
-    once, for the per-bucket counts and the in-bucket window; the corpus is
-    tokenized once.
+    Postings are written once and cross the network once.
     """
-    pb = pin(postings)
-    if "bucket" not in pb.columns:
-        pb = with_bucket(pb, bucket_table(pb, bucket_width))
-    w_bucket = Window.partitionBy("term", "bucket").orderBy("doc_id")
-    local = pb.select("term", "bucket", "doc_id", "tf",
-                      F.row_number().over(w_bucket).alias("_rn"),
-                      F.lag("doc_id", 1).over(w_bucket).alias("_prev"))
-    per_bucket = pb.groupBy("term", "bucket").agg(
-        F.count(F.lit(1)).alias("_n"), F.max("doc_id").alias("_last"))
-    # One row per (term, bucket): a term has at most (documents / W) of them.
-    w_term = Window.partitionBy("term").orderBy("bucket")
-    bases = per_bucket.select(
-        "term", "bucket",
-        (F.sum("_n").over(w_term.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-         - F.col("_n")).alias("_base_pos"),
-        F.lag("_last", 1, 0).over(w_term).alias("_prev_last"),
-    )
-    pos = F.col("_base_pos") + F.col("_rn") - 1
-    prev = F.coalesce(F.col("_prev"), F.col("_prev_last"))
-    return (local.join(bases, ["term", "bucket"])
-            .select("term", "doc_id", "tf", (F.col("doc_id") - prev).alias("gap"),
-                    pos.cast("bigint").alias("pos"), "bucket")
+    pinned = pin(postings.select("term", "doc_id", "tf"))
+    ranges = Ranges.of(pinned, "term", "doc_id", runs)
+    placed = pinned.withColumn("run", ranges.run("term", "doc_id"))
+    w = Window.partitionBy("term", "run").orderBy("doc_id")
+    local = placed.select("term", "run", "doc_id", "tf", F.row_number().over(w).alias("_rn"), F.lag("doc_id", 1).over(w).alias("_prev"))
+    # Carries: only lists that hold a border have several runs.
+    per_run = ranges.of_spanning(placed).groupBy("term", "run").agg(F.count(F.lit(1)).alias("_n"), F.max("doc_id").alias("_last"))
+    before = Window.partitionBy("term").orderBy("run")
+    carried = per_run.select(
+        "term", "run", (F.sum("_n").over(before.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_n")).alias("_base"),
+        F.lag("_last", 1, 0).over(before).alias("_last"))
+    joined = ranges.with_carries(local, carried)
+    pos = F.coalesce("_base", F.lit(0)) + F.col("_rn") - 1
+    prev = F.coalesce(F.col("_prev"), F.col("_last"), F.lit(0))
+    return (joined.select("term", "doc_id", "tf", (F.col("doc_id") - prev).alias("gap"), pos.cast("bigint").alias("pos"),
+                          "run", F.col("_base").isNotNull().alias("spans"))
             .withColumn("block_no", F.call_function("div", F.col("pos"), F.lit(block_size).cast("bigint"))))
 
 
@@ -99,11 +56,10 @@ def posting_blocks(gaps: DataFrame, with_payload: bool = True, layout: str = "sp
     ``layout='split'``: varbyte of all gaps of the block, then of all tfs.
     ``layout='interleaved'``: doc id, tf alternating, absolute doc ids.
 
-    Two steps, so posting rows do not cross the network again: blocks are
-    first assembled per ``(term, bucket, block_no)`` where the postings
-    already lie (hash-partitioned by term and bucket: no exchange), then the
-    binary pieces are joined by ``(term, block_no)``. A block of a frequent
-    term is one or two pieces; a rare term's block may have up to 64.
+    Posting rows do not cross the network again: blocks are assembled per
+    ``(term, run, block_no)`` where the postings already lie. Only blocks of
+    lists that span runs may have several (binary) pieces, which are joined by
+    ``(term, block_no)``; all others are done.
     Codes are made per posting in a codegen'd projection; unused aggregates
     are pruned, so metadata-only requests never build payloads.
     """
@@ -117,7 +73,7 @@ def posting_blocks(gaps: DataFrame, with_payload: bool = True, layout: str = "sp
         n_bytes = F.sum(varbyte_size("doc_id") + varbyte_size("tf")).cast("bigint")
     else:
         raise ValueError(f"unknown layout {layout!r}")
-    keys = ["term", "bucket", "block_no"] if "bucket" in gaps.columns else ["term", "block_no"]
+    keys = ["term", "run", "block_no"]
     piece_aggs = [
         F.count(F.lit(1)).alias("n_postings"),
         F.min("doc_id").alias("first_doc_id"),
@@ -126,12 +82,14 @@ def posting_blocks(gaps: DataFrame, with_payload: bool = True, layout: str = "sp
     ]
     if with_payload:
         piece_aggs.append(F.sort_array(F.collect_list(F.struct("doc_id", "_h1", "_h2"))).alias("_codes"))
-    pieces = enc.groupBy(*keys).agg(*piece_aggs)
-    if with_payload:
-        # pieces cross the shuffle as bytes, not hex
-        codes = F.col("_codes")
-        pieces = pieces.withColumn("_p1", hex_concat(codes["_h1"])).withColumn(
-            "_p2", hex_concat(codes["_h2"]))
+
+    def pieces(rows: DataFrame) -> DataFrame:
+        out = rows.groupBy(*keys).agg(*piece_aggs)
+        if with_payload:
+            # pieces cross the shuffle as bytes, not hex
+            codes = F.col("_codes")
+            out = out.withColumn("_p1", hex_concat(codes["_h1"])).withColumn("_p2", hex_concat(codes["_h2"]))
+        return out
     block_aggs = [
         F.sum("n_postings").cast("bigint").alias("n_postings"),
         F.min("first_doc_id").alias("first_doc_id"),
@@ -140,21 +98,19 @@ def posting_blocks(gaps: DataFrame, with_payload: bool = True, layout: str = "sp
     ]
     if with_payload:
         block_aggs.append(F.sort_array(F.collect_list(F.struct("first_doc_id", "_p1", "_p2"))).alias("_pieces"))
-    blocks = pieces.groupBy("term", "block_no").agg(*block_aggs)
+    whole, parts = pieces(enc.where("not spans")), pieces(enc.where("spans"))
+    columns = ["term", "block_no", "n_postings", "first_doc_id", "last_doc_id", F.col("n_bytes").cast("bigint").alias("n_bytes")]
+    joined = parts.groupBy("term", "block_no").agg(*block_aggs)
     if not with_payload:
-        return blocks
-    ordered = F.col("_pieces")
-    first = F.get(ordered, 0)
+        return whole.select(*columns).unionByName(joined)
     empty = F.unhex(F.lit(""))
 
-    def joined(field: str) -> Column:
+    def folded(field: str) -> Column:
         # at most 64 pieces (a block has 64 postings), in doc order
-        return F.aggregate(ordered, empty, lambda acc, p: F.concat(acc, p[field]))
+        return F.aggregate(F.col("_pieces"), empty, lambda acc, p: F.concat(acc, p[field]))
 
-    # One piece (the usual case: the block lies in one bucket) needs no fold.
-    payload = F.when(F.size(ordered) == 1, F.concat(first["_p1"], first["_p2"])).otherwise(
-        F.concat(joined("_p1"), joined("_p2")))
-    return blocks.withColumn("payload", payload).drop("_pieces")
+    joined = joined.withColumn("payload", F.concat(folded("_p1"), folded("_p2"))).drop("_pieces")
+    return whole.select(*columns, F.concat("_p1", "_p2").alias("payload")).unionByName(joined)
 
 
 def block_postings(blocks: DataFrame, layout: str = "split") -> DataFrame:

@@ -5,12 +5,13 @@
 and a running ``last(..., ignorenulls)`` window, never from a join that
 pairs every probe with every posting of its term.
 
-Skew: windows are partitioned by ``(term, bucket)``, a bucket being a run of
-documents in id order (see ``layout.bucket_table``), so a term present in
-every document is split into bounded groups whatever the ids are; probes
-whose bucket holds no answer look for the first entry of a later bucket in a
-second pass over one summary row per (term, bucket). Duplicate probes are
-answered once and joined back (AQE splits a hot key in that join).
+Skew: probes and postings are dealt together by runs of their (term, id)
+order (see ``ranges``), with borders sampled from both sides, so neither a term
+present in every document nor a heap of probes on one stretch of a list (past
+its end, say) makes a large group. A probe with no answer in its run takes the
+first posting of a later run of its term, from a table of one row a run.
+Duplicate probes are answered once and joined back (AQE splits a hot key in
+that join).
 """
 
 from __future__ import annotations
@@ -18,16 +19,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..config import DOC_BUCKET_WIDTH, MAX_BROADCAST_ROWS
+from ..config import MAX_BROADCAST_ROWS
 from ..functions.arrays import first_geq
 from ..session import pin
 from .index import doc_freq
-from .layout import block_postings, bucket_table, with_bucket
+from .layout import block_postings
 from .prefix import global_running_sum
+from .ranges import Ranges
 
 
 def _asof_forward(probes: DataFrame, targets: DataFrame, key: str, value_cols: list[str],
-                  bucket_width: int) -> DataFrame:
+                  runs: int | None) -> DataFrame:
     """For distinct probes ``(term, lookup_doc_id)``, the target row of the
     same term with the smallest ``key`` >= lookup_doc_id.
 
@@ -37,44 +39,28 @@ def _asof_forward(probes: DataFrame, targets: DataFrame, key: str, value_cols: l
     """
     hit_struct = F.struct(F.col(key).alias(key), *[F.col(c) for c in value_cols])
     # Only lists some probe asks for take part: cut down before anything is
-    # written or ordered.
-    lists = pin(targets.join(_small(probes.select("term").distinct()), "term", "left_semi")
-                .select("term", F.col(key).alias("doc_id"), hit_struct.alias("_hit")))
-    buckets = bucket_table(lists, bucket_width, probes.select(F.col("lookup_doc_id").alias("doc_id")))
-    tgt = with_bucket(lists, buckets).select(
-        "term", F.col("doc_id").alias("_k"), F.col("bucket").alias("_b"), F.lit(1).alias("_side"), "_hit")
-    prb = with_bucket(probes, buckets, "lookup_doc_id").select(
-        "term", F.col("lookup_doc_id").alias("_k"), F.col("bucket").alias("_b"),
-        F.lit(0).alias("_side"), F.lit(None).cast(tgt.schema["_hit"].dataType).alias("_hit"))
-
-    # Pass 1, inside the probe's own bucket. Rows run from the largest key
-    # down; at an equal key the target comes first, so an exact match counts.
-    w1 = (Window.partitionBy("term", "_b").orderBy(F.col("_k").desc(), F.col("_side").desc())
-          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    pass1 = (prb.unionByName(tgt)
-             .select("term", "_k", "_b", "_side", F.last("_hit", ignorenulls=True).over(w1).alias("_hit"))
-             .where(F.col("_side") == 0).drop("_side"))
-    if buckets is None:                        # one bucket: no later one
-        return pass1.select("term", F.col("_k").alias("lookup_doc_id"), F.col("_hit").alias("hit"))
-
-    # Pass 2: the first target of the next non-empty bucket after each probed
-    # bucket, for probes with nothing left in their own bucket. One summary
-    # row per (term, bucket) on each side, so the window over a term holds at
-    # most twice its number of buckets. At an equal bucket the probe row comes
-    # first, so the probe's own bucket is skipped.
-    first_of_bucket = tgt.groupBy("term", "_b").agg(F.min("_hit").alias("_hit")).select(
-        "term", "_b", F.lit(1).alias("_side"), "_hit")
-    probed_buckets = prb.select("term", "_b").distinct().select(
-        "term", "_b", F.lit(0).alias("_side"), F.lit(None).cast(tgt.schema["_hit"].dataType).alias("_hit"))
-    w2 = (Window.partitionBy("term").orderBy(F.col("_b").desc(), F.col("_side").asc())
-          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    later = (probed_buckets.unionByName(first_of_bucket)
-             .select("term", "_b", "_side", F.last("_hit", ignorenulls=True).over(w2).alias("_later"))
-             .where(F.col("_side") == 0).drop("_side"))
-
-    return (pass1.join(later, ["term", "_b"], "left")
-            .select("term", F.col("_k").alias("lookup_doc_id"),
-                    F.coalesce(F.col("_hit"), F.col("_later")).alias("hit")))
+    # written or ordered. Both sides are written once, for borders and window.
+    lists = targets.join(_small(probes.select("term").distinct()), "term", "left_semi").select(
+        "term", F.col(key).alias("_k"), F.lit(1).alias("_side"), hit_struct.alias("_hit"))
+    asked = probes.select("term", F.col("lookup_doc_id").alias("_k"), F.lit(0).alias("_side"),
+                          F.lit(None).cast(lists.schema["_hit"].dataType).alias("_hit"))
+    both = pin(lists.unionByName(asked))
+    ranges = Ranges.of(both, "term", "_k", runs)
+    placed = both.withColumn("run", ranges.run("term", "_k"))
+
+    # Inside the probe's own run. Rows go from the largest key down; at an
+    # equal key the target comes first, so an exact match counts.
+    w = (Window.partitionBy("term", "run").orderBy(F.col("_k").desc(), F.col("_side").desc())
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    near = (placed.select("term", "_k", "run", "_side", F.last("_hit", ignorenulls=True).over(w).alias("_hit"))
+            .where(F.col("_side") == 0).drop("_side"))
+
+    # Across runs: the first target of the next run of the term that has one.
+    firsts = ranges.of_spanning(placed).groupBy("term", "run").agg(F.min("_hit").alias("_first"))
+    later = Window.partitionBy("term").orderBy(F.col("run").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    carried = firsts.select("term", "run", F.last("_first", ignorenulls=True).over(later).alias("_later"))
+    return ranges.with_carries(near, carried).select(
+        "term", F.col("_k").alias("lookup_doc_id"), F.coalesce("_hit", "_later").alias("hit"))
 
 
 def _with_answers(probes: DataFrame, answers: DataFrame) -> DataFrame:
@@ -83,11 +69,11 @@ def _with_answers(probes: DataFrame, answers: DataFrame) -> DataFrame:
 
 
 def next_geq(postings: DataFrame, probes: DataFrame,
-             bucket_width: int = DOC_BUCKET_WIDTH) -> DataFrame:
+             runs: int | None = None) -> DataFrame:
     """``term, lookup_doc_id, doc_id, tf`` for every probe row (repeats and
     extra probe columns kept), (-1, -1) when the term has no posting >= d."""
     distinct = pin(probes.select("term", "lookup_doc_id").distinct())
-    ans = _asof_forward(distinct, postings, "doc_id", ["tf"], bucket_width)
+    ans = _asof_forward(distinct, postings, "doc_id", ["tf"], runs)
     out = _with_answers(probes, ans)
     return out.select(
         *[c for c in probes.columns],
@@ -96,24 +82,24 @@ def next_geq(postings: DataFrame, probes: DataFrame,
 
 
 def locate_block(blocks: DataFrame, probes: DataFrame,
-                 bucket_width: int = DOC_BUCKET_WIDTH) -> DataFrame:
+                 runs: int | None = None) -> DataFrame:
     """``term, lookup_doc_id, block_no``: the first block of the term whose
     last doc id is >= d (-1 when there is none): the block to decode."""
     distinct = pin(probes.select("term", "lookup_doc_id").distinct())
-    ans = _asof_forward(distinct, blocks, "last_doc_id", ["block_no"], bucket_width)
+    ans = _asof_forward(distinct, blocks, "last_doc_id", ["block_no"], runs)
     return _with_answers(probes, ans).select(
         *[c for c in probes.columns],
         F.coalesce(F.col("hit.block_no"), F.lit(-1)).cast("bigint").alias("block_no"))
 
 
 def next_geq_blocks(blocks: DataFrame, probes: DataFrame, layout: str = "split",
-                    bucket_width: int = DOC_BUCKET_WIDTH) -> DataFrame:
+                    runs: int | None = None) -> DataFrame:
     """``next_geq`` on a stored block index: find the one block per probe by
     its last doc id (block metadata only), then decode just that block and
     take its first posting >= d. Blocks no probe needs are never decoded."""
     distinct = pin(probes.select("term", "lookup_doc_id").distinct())
     ans = _asof_forward(distinct, blocks.select("term", "block_no", "last_doc_id"),
-                        "last_doc_id", ["block_no"], bucket_width)
+                        "last_doc_id", ["block_no"], runs)
     located = pin(ans.select("term", "lookup_doc_id", F.col("hit.block_no").alias("block_no")))
     # Probes past the end of a list have no block: they keep out of the join.
     hits = located.where(F.col("block_no").isNotNull())
@@ -171,7 +157,7 @@ def ranked_probes(query: DataFrame, lexicon: DataFrame, doc_id: int) -> DataFram
 
 
 def query_terms(spark: SparkSession, terms: list[str], postings: DataFrame, doc_id: int,
-                bucket_width: int = DOC_BUCKET_WIDTH) -> DataFrame:
+                runs: int | None = None) -> DataFrame:
     """End to end: look the terms up, order the lists rarest first, and
     probe every list at ``doc_id``: ``list_rank, query_pos, term, doc_freq,
     lookup_doc_id, doc_id, tf``. Any number of terms."""
@@ -181,4 +167,4 @@ def query_terms(spark: SparkSession, terms: list[str], postings: DataFrame, doc_
     lists = pin(postings.join(_small(query.select("term").distinct()), "term", "left_semi")
                 .select("term", "doc_id", "tf"))
     probes = ranked_probes(query, doc_freq(lists), doc_id)
-    return next_geq(lists, probes, bucket_width)
+    return next_geq(lists, probes, runs)

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import DOC_BUCKET_WIDTH, LINE_POSTINGS, MAX_LITERAL_TERMS
+from ..config import LINE_POSTINGS, MAX_LITERAL_TERMS
 from ..operators import index as idx
 from ..operators import layout, lookup, prefix
 from ..session import pin
@@ -44,34 +44,34 @@ def dump_index_text(blocks: DataFrame, layout_name: str = "split",
 
 
 def build_index_from_postings(postings: DataFrame, lengths: DataFrame,
-                              bucket_width: int = DOC_BUCKET_WIDTH) -> InvertedIndex:
+                              runs: int | None = None) -> InvertedIndex:
     """Index posting rows (of documents, of merged runs): gap + varbyte
     blocks of 64, lexicon with global byte offsets, page table.
 
     Blocks are written once, sorted by (term, block_no) inside each file; the
     lexicon reads their sizes only, so payloads cross the network once."""
-    gaps = layout.posting_gaps(postings, bucket_width)
+    gaps = layout.posting_gaps(postings, runs=runs)
     blocks = pin(layout.posting_blocks(gaps).sortWithinPartitions("term", "block_no"))
     return InvertedIndex(blocks, prefix.lexicon(blocks.select("term", "n_bytes", "n_postings")), lengths)
 
 
-def build_index(docs: DataFrame, bucket_width: int = DOC_BUCKET_WIDTH) -> InvertedIndex:
+def build_index(docs: DataFrame, runs: int | None = None) -> InvertedIndex:
     """Index ``doc_id, text`` documents. Rows with a NULL or negative id are
     left out (``index.invalid_documents`` lists them)."""
     docs, _ = idx.invalid_documents(docs)
-    postings = idx.term_frequencies(layout.number_documents(docs, bucket_width))
-    return build_index_from_postings(postings, idx.doc_lengths(docs), bucket_width)
+    postings = idx.term_frequencies(docs)
+    return build_index_from_postings(postings, idx.doc_lengths(docs), runs)
 
 
 def merge_runs(spark: SparkSession, directory: str, lengths: DataFrame,
-               bucket_width: int = DOC_BUCKET_WIDTH) -> tuple[InvertedIndex, DataFrame]:
+               runs: int | None = None) -> tuple[InvertedIndex, DataFrame]:
     """The merge program: every posting text run of a folder becomes one
     index. Returns it and the rejected postings (``line, reason``)."""
     parsed = read_postings_dir(spark, directory)
     good, duplicates = idx.validate_postings(parsed.good)
     rejects = parsed.rejects.unionByName(duplicates.select(
         F.concat_ws(" ", "term", F.col("doc_id").cast("string")).alias("line"), "reason"))
-    return build_index_from_postings(good, lengths, bucket_width), rejects
+    return build_index_from_postings(good, lengths, runs), rejects
 
 
 def merge_partial_indexes(partials: list[DataFrame],
@@ -109,7 +109,7 @@ def open_index(spark: SparkSession, path: str) -> InvertedIndex:
 
 
 def query_index(spark: SparkSession, index: InvertedIndex, terms: list[str], doc_id: int,
-                bucket_width: int = DOC_BUCKET_WIDTH) -> DataFrame:
+                runs: int | None = None) -> DataFrame:
     """The lookup program on a stored index: look the terms up in the
     lexicon, order the lists rarest first, and probe each at ``doc_id`` by
     decoding only the one block that can hold the answer.
@@ -126,4 +126,4 @@ def query_index(spark: SparkSession, index: InvertedIndex, terms: list[str], doc
         return table.join(query.select("term").distinct(), "term", "left_semi")
 
     probes = lookup.ranked_probes(query, cut(index.lexicon), doc_id)
-    return lookup.next_geq_blocks(cut(index.blocks), probes, bucket_width=bucket_width)
+    return lookup.next_geq_blocks(cut(index.blocks), probes, runs=runs)

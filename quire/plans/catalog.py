@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import LINE_POSTINGS
 from ..operators import index as idx
 from ..operators import layout, lookup, prefix
 from ..session import delete_on_exit, pin, scratch_path
@@ -31,11 +32,6 @@ PROBE_TERMS = ["the", "tion", "ed", "chch", "peacefully"]
 QUERY_DOC_ID = 3
 # Shards of the corpus for the merge queries: one per language, plus the rest.
 _LANGS = ["en", "de", "fr", "es"]
-# Small sizes for the queries, so that lists of the test tables have several
-# lines and several buckets; the library's defaults are in config.
-LINE_POSTINGS = 256
-BUCKET_DOCS = 256
-
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_corpus(spark, f"{sf_dir}/documents.parquet").good
@@ -45,13 +41,8 @@ def _postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idx.term_frequencies(documents(spark, sf_dir))
 
 
-def _numbered_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Postings with the bucket of their document."""
-    return idx.term_frequencies(layout.number_documents(documents(spark, sf_dir), BUCKET_DOCS))
-
-
 def _gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layout.posting_gaps(_numbered_postings(spark, sf_dir), BUCKET_DOCS)
+    return layout.posting_gaps(_postings(spark, sf_dir))
 
 
 def _blocks(spark: SparkSession, sf_dir: str, with_payload: bool = True, layout_name: str = "split") -> DataFrame:
@@ -119,7 +110,7 @@ def q_merge_posting_files(spark, sf_dir):
 def q_merge_and_index(spark, sf_dir):
     """The merge program: run files to a compressed index, block by block."""
     lengths = idx.doc_lengths(documents(spark, sf_dir))
-    index, _rejects = build.merge_runs(spark, _run_files(spark, sf_dir), lengths, BUCKET_DOCS)
+    index, _rejects = build.merge_runs(spark, _run_files(spark, sf_dir), lengths)
     return index.blocks.select("term", "block_no", F.hex("payload").alias("payload_hex"))
 
 
@@ -175,8 +166,7 @@ def q_posting_gaps_scattered(spark, sf_dir):
     i = F.col("doc_id")
     scattered = F.when(i == 0, F.lit(OUTLIER)).otherwise(F.pmod(i.cast("decimal(38,0)") * SCATTER, F.lit(MODULUS)).cast("bigint"))
     docs = documents(spark, sf_dir).select(scattered.alias("doc_id"), "text")
-    postings = idx.term_frequencies(layout.number_documents(docs, BUCKET_DOCS))
-    return layout.posting_gaps(postings, BUCKET_DOCS).select("term", "doc_id", "tf", "gap", "pos", "block_no")
+    return layout.posting_gaps(idx.term_frequencies(docs)).select("term", "doc_id", "tf", "gap", "pos", "block_no")
 
 
 def q_posting_blocks(spark, sf_dir):
@@ -254,9 +244,9 @@ def q_block_meta_file(spark, sf_dir):
 def q_query_stored_index(spark, sf_dir):
     """Build an index, store it, open it and query the stored form."""
     path = scratch_path(spark, "index")
-    build.write_index_tables(build.build_index(documents(spark, sf_dir), BUCKET_DOCS), path)
+    build.write_index_tables(build.build_index(documents(spark, sf_dir)), path)
     delete_on_exit(spark, path)
-    return build.query_index(spark, build.open_index(spark, path), QUERY_TERMS, QUERY_DOC_ID, BUCKET_DOCS)
+    return build.query_index(spark, build.open_index(spark, path), QUERY_TERMS, QUERY_DOC_ID)
 
 
 def q_read_collection(spark, sf_dir):
@@ -285,7 +275,7 @@ def q_missing_terms(spark, sf_dir):
 
 
 def q_next_geq(spark, sf_dir):
-    return lookup.next_geq(_postings(spark, sf_dir), probes(spark, sf_dir), BUCKET_DOCS)
+    return lookup.next_geq(_postings(spark, sf_dir), probes(spark, sf_dir))
 
 
 def _stored_blocks(spark, sf_dir, with_payload):
@@ -294,15 +284,15 @@ def _stored_blocks(spark, sf_dir, with_payload):
 
 
 def q_next_geq_blocks(spark, sf_dir):
-    return lookup.next_geq_blocks(_stored_blocks(spark, sf_dir, True), probes(spark, sf_dir), bucket_width=BUCKET_DOCS)
+    return lookup.next_geq_blocks(_stored_blocks(spark, sf_dir, True), probes(spark, sf_dir))
 
 
 def q_locate_block(spark, sf_dir):
-    return lookup.locate_block(_stored_blocks(spark, sf_dir, False), probes(spark, sf_dir), BUCKET_DOCS)
+    return lookup.locate_block(_stored_blocks(spark, sf_dir, False), probes(spark, sf_dir))
 
 
 def q_query_terms(spark, sf_dir):
-    return lookup.query_terms(spark, QUERY_TERMS, _postings(spark, sf_dir), QUERY_DOC_ID, BUCKET_DOCS)
+    return lookup.query_terms(spark, QUERY_TERMS, _postings(spark, sf_dir), QUERY_DOC_ID)
 
 
 def q_stream_runs(spark, sf_dir):

@@ -21,17 +21,25 @@ def posting_lines(postings: DataFrame, chunk_size: int = LINE_POSTINGS) -> DataF
     ``chunk_size``), so the lines depend on the list alone; readers (ours,
     and a k-way merge of posting files) concatenate lines of equal terms, and
     no line ever has to hold a whole hot list. Each ``d:tf`` is formatted per
-    posting in a codegen'd projection; grouping only sorts and joins the
-    finished pieces.
+    posting in a codegen'd projection and joined where the postings lie after
+    their scan; only pieces of lists that span runs move once more.
     """
     placed = postings if "pos" in postings.columns else posting_gaps(postings)
-    pieces = placed.select(
-        "term", F.call_function("div", F.col("pos"), F.lit(chunk_size).cast("bigint")).alias("chunk"),
+    entries = placed.select(
+        "term", "run", "spans", F.call_function("div", F.col("pos"), F.lit(chunk_size).cast("bigint")).alias("chunk"),
         F.struct("doc_id", F.concat(F.col("doc_id").cast("string"), F.lit(POSTING_SEP),
                                     F.col("tf").cast("string")).alias("p")).alias("_e"))
-    chunks = pieces.groupBy("term", "chunk").agg(F.sort_array(F.collect_list("_e")).alias("_l"))
-    return chunks.select("term", "chunk",
-                         F.concat_ws(FIELD_SEP, "term", F.array_join(F.col("_l")["p"], FIELD_SEP)).alias("line"))
+
+    def pieces(rows: DataFrame) -> DataFrame:
+        out = rows.groupBy("term", "run", "chunk").agg(F.sort_array(F.collect_list("_e")).alias("_l"))
+        return out.select("term", "chunk", F.get("_l", 0)["doc_id"].alias("_first"),
+                          F.array_join(F.col("_l")["p"], FIELD_SEP).alias("_text"))
+
+    joined = pieces(entries.where("spans")).groupBy("term", "chunk").agg(
+        F.sort_array(F.collect_list(F.struct("_first", "_text"))).alias("_l")).select(
+        "term", "chunk", F.array_join(F.col("_l")["_text"], FIELD_SEP).alias("_text"))
+    lines = pieces(entries.where("not spans")).select("term", "chunk", "_text").unionByName(joined)
+    return lines.select("term", "chunk", F.concat_ws(FIELD_SEP, "term", "_text").alias("line"))
 
 
 def _ordered(df: DataFrame, keys: list[str], num_files: int | None) -> DataFrame:

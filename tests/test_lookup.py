@@ -29,27 +29,27 @@ ITEMS = [("a", 0), ("a", 2), ("a", 3), ("a", 9), ("a", 10), ("b", 1), ("b", 100)
 
 
 def test_next_geq_cases(spark):
-    for width in (1 << 16, 2, 3):
-        got = rows(lookup.next_geq(_postings(spark), _probes(spark, ITEMS), bucket_width=width))
-        assert got == _brute(ITEMS), width
+    for runs in (None, 2, 5, 30):
+        got = rows(lookup.next_geq(_postings(spark), _probes(spark, ITEMS), runs=runs))
+        assert got == _brute(ITEMS), runs
 
 
 def test_next_geq_blocks_and_locate(spark):
     blocks = layout.posting_blocks(layout.posting_gaps(_postings(spark)))
-    got = rows(lookup.next_geq_blocks(blocks, _probes(spark, ITEMS), bucket_width=4))
+    got = rows(lookup.next_geq_blocks(blocks, _probes(spark, ITEMS), runs=4))
     assert got == _brute(ITEMS)
     loc = rows(lookup.locate_block(blocks, _probes(spark, [("a", 3), ("a", 10), ("b", 0)])))
     assert loc == [("a", 3, 0), ("a", 10, -1), ("b", 0, 0)]
 
 
-def test_next_geq_on_corpus_many_buckets(spark, docs_small):
+def test_next_geq_on_corpus_many_runs(spark, docs_small):
     tf = term_frequencies(docs_small)
     probes = docs_small.select(F.explode(F.array(F.lit("the"), F.lit("chch"), F.lit("zzz"))).alias("term"),
                                F.col("doc_id").alias("lookup_doc_id"))
     a = lookup.next_geq(tf, probes)
-    b = lookup.next_geq(tf, probes, bucket_width=7)
-    blocks = layout.posting_blocks(layout.posting_gaps(tf, bucket_width=7))
-    c = lookup.next_geq_blocks(blocks, probes, bucket_width=7)
+    b = lookup.next_geq(tf, probes, runs=30)
+    blocks = layout.posting_blocks(layout.posting_gaps(tf, runs=30))
+    c = lookup.next_geq_blocks(blocks, probes, runs=30)
     assert rows(a) == rows(b) == rows(c)
 
 
@@ -75,7 +75,7 @@ def test_long_query_lists_and_scattered_ids(spark):
     far = [("a", 3, 1), ("a", 2 ** 62, 2), ("b", 10 ** 15, 3)] + [(f"t{k}", k * 10 ** 12, 1) for k in range(300)]
     postings = spark.createDataFrame(far, "term STRING, doc_id BIGINT, tf BIGINT")
     terms = [t for t, _, _ in far] + [f"none{k}" for k in range(500)]
-    got = {r["term"]: (r["doc_id"], r["tf"]) for r in lookup.query_terms(spark, terms, postings, 4, bucket_width=16).collect()}
+    got = {r["term"]: (r["doc_id"], r["tf"]) for r in lookup.query_terms(spark, terms, postings, 4, runs=12).collect()}
     assert got["a"] == (2 ** 62, 2) and got["b"] == (10 ** 15, 3) and got["t0"] == (-1, -1) and got["t299"] == (299 * 10 ** 12, 1)
     assert len(got) == 302
 

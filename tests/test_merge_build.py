@@ -63,7 +63,7 @@ def test_long_list_split_into_chunk_lines(spark):
 
 
 def test_build_write_open_query(spark, docs_small):
-    index = B.build_index(docs_small, bucket_width=16)
+    index = B.build_index(docs_small, runs=20)
     d = tempfile.mkdtemp(prefix="quire-test-")
     B.write_index_tables(index, f"{d}/idx", num_files=4)
     opened = B.open_index(spark, f"{d}/idx")
@@ -86,9 +86,9 @@ def test_merged_runs_become_an_index(spark, docs_small):
     tf = idx.term_frequencies(docs_small)
     for k in range(3):
         write_postings_text(tf.where(F.col("doc_id") % 3 == k), f"{d}/runs", mode="append", global_order=False, chunk_size=16)
-    index, rejects = B.merge_runs(spark, f"{d}/runs", idx.doc_lengths(docs_small), bucket_width=16)
+    index, rejects = B.merge_runs(spark, f"{d}/runs", idx.doc_lengths(docs_small), runs=20)
     assert rejects.count() == 0
-    built = B.build_index(docs_small, bucket_width=16)
+    built = B.build_index(docs_small, runs=20)
     assert rows(index.blocks) == rows(built.blocks) and rows(index.lexicon) == rows(built.lexicon)
 
 
@@ -96,7 +96,7 @@ def test_payload_crosses_one_exchange(spark, docs_small, monkeypatch):
     import re
     plans = []
     monkeypatch.setattr(B, "pin", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or df)
-    B.build_index(docs_small, bucket_width=16)
+    B.build_index(docs_small, runs=20)
     last_step = plans[-1].split("AdaptiveSparkPlan")[1]
     # the pieces of a block meet once, by (term, block_no); nothing after that
     assert len(re.findall(r"Exchange hashpartitioning\(term#\d+, block_no#\d+", last_step)) == 1

@@ -22,14 +22,38 @@ def test_term_frequencies_shuffles_text_not_postings(docs_small):
 
 
 def test_gaps_and_blocks_shuffle_postings_once(docs_small):
-    gaps = layout.posting_gaps(term_frequencies(layout.number_documents(docs_small, 16)), 16)
+    """Postings move by (term, run) for the window. Besides, only the carries
+    (one row a run) and the pieces of lists that span runs move."""
+    gaps = layout.posting_gaps(term_frequencies(docs_small), runs=20)
+    kinds = [re.sub(r"#\d+L?", "", e) for e in _exchanges(_plan(gaps))]
+    kinds = [k for k in kinds if k.startswith("hash")]
+    assert len(kinds) == 3 and sum("(term, run" in k for k in kinds) == 2
     plan = _plan(layout.posting_blocks(gaps))
-    ex = _exchanges(plan)
-    # postings move by (term, bucket) for the window; besides, only the
-    # per-bucket table (by term, and back) and the block pieces move
-    assert sum("block_no" in e for e in ex) == 1
-    assert plan.count("tf#") and len([e for e in ex if "doc_id" in e]) == 0
-    assert "ObjectHashAggregate(keys=[term" in plan and "bucket" in plan
+    by_block = [e for e in _exchanges(plan) if "block_no" in e]
+    assert len(by_block) == 1 and "Union" in plan
+
+
+def test_skewed_probes_make_no_large_group(spark, docs_small, monkeypatch):
+    """Nearly all probes past a term's last document: no run has over twice
+    the median of rows (of those a term's rows fill)."""
+    from pyspark.sql import functions as F
+
+    from quire.operators import lookup
+    from quire.operators.ranges import Ranges
+    postings = term_frequencies(docs_small)
+    probes = spark.range(20_000).select(F.lit("the").alias("term"), (F.col("id") + 10 ** 6).alias("lookup_doc_id"))
+    probes = probes.union(docs_small.select(F.lit("the"), "doc_id"))
+    seen, real = [], Ranges.of.__func__
+
+    def of(cls, table, term, key, runs=None):
+        out = real(cls, table, term, key, runs)
+        seen.append([r["count"] for r in table.withColumn("run", out.run(term, key)).groupBy("run").count().collect()])
+        return out
+    monkeypatch.setattr(Ranges, "of", classmethod(of))
+    got = lookup.next_geq(postings, probes, runs=16)
+    assert got.where("lookup_doc_id >= 1000000 and doc_id <> -1").count() == 0
+    sizes = sorted(seen[0])
+    assert len(sizes) == 16 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
 
 
 def test_pins_leave_session_settings_alone(spark, docs_small):

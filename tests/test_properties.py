@@ -35,16 +35,16 @@ def _brute(post, probes):
 @given(post=_postings, probes=_probes, width=st.sampled_from([3, 16, 1 << 16]))
 def test_next_geq_matches_brute_force(spark, post, probes, width):
     p, q = _frames(spark, post, probes)
-    assert rows(lookup.next_geq(p, q, bucket_width=width)) == _brute(post, probes)
-    blocks = layout.posting_blocks(layout.posting_gaps(p, bucket_width=width, block_size=64))
-    assert rows(lookup.next_geq_blocks(blocks, q, bucket_width=width)) == _brute(post, probes)
+    assert rows(lookup.next_geq(p, q, runs=width)) == _brute(post, probes)
+    blocks = layout.posting_blocks(layout.posting_gaps(p, runs=width, block_size=64))
+    assert rows(lookup.next_geq_blocks(blocks, q, runs=width)) == _brute(post, probes)
 
 
 @_settings
 @given(post=_postings, width=st.sampled_from([2, 7, 1 << 16]), lay=st.sampled_from(["split", "interleaved"]))
 def test_blocks_round_trip_and_sizes(spark, post, width, lay):
     p, _ = _frames(spark, post, [("a", 0)])
-    blocks = layout.posting_blocks(layout.posting_gaps(p, bucket_width=width), layout=lay)
+    blocks = layout.posting_blocks(layout.posting_gaps(p, runs=width), layout=lay)
     assert rows(layout.decode_blocks(blocks, layout=lay)) == sorted((t, d, tf) for (t, d), tf in post.items())
     for r in blocks.collect():
         assert len(r["payload"]) == r["n_bytes"]
