@@ -31,10 +31,13 @@ class Ranges:
     borders: list[tuple[str, int]]
 
     @classmethod
-    def of(cls, table: DataFrame, term: str, key: str, runs: int | None = None) -> Ranges:
+    def of(cls, table: DataFrame, term: str, key: str, runs: int | None = None, weight: str | None = None) -> Ranges:
         """Borders of ``table``, which should be written already: it is
         counted and sampled. ``runs`` are by default a few for each shuffle
-        partition, but none of under ``MIN_RUN_ROWS`` rows."""
+        partition, but none of under ``MIN_RUN_ROWS`` rows. With a ``weight``
+        column runs are even by its sum, not by rows."""
+        if weight is not None and runs is not None:
+            return cls._weighted(table, term, key, runs, weight)
         rows = table.count()
         if runs is None:
             partitions = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -49,6 +52,25 @@ class Ranges:
         borders = [sample[len(sample) * i // runs] for i in range(1, runs)] if sample else []
         return cls(list(dict.fromkeys(borders)))
 
+    @classmethod
+    def _weighted(cls, table: DataFrame, term: str, key: str, runs: int, weight: str) -> Ranges:
+        """A row is sampled with a chance in proportion to its weight, and
+        stands for as many others; heavy rows are always in the sample."""
+        total = table.agg(F.sum(weight)).first()[0]
+        if runs <= 1 or not total:
+            return cls([])
+        chance = F.least(F.lit(1.0), F.col(weight) * (SAMPLES_PER_RUN * runs / total))
+        found = table.select(F.col(term).alias("t"), F.col(key).alias("k"), (F.col(weight) / chance).alias("w"), chance.alias("p")).where(
+            (F.col("p") > 0) & (F.rand(seed=7) < F.col("p")))
+        sample = sorted(((r["t"], r["k"], r["w"]) for r in found.collect()), key=lambda r: (r[0].encode(), r[1]))
+        borders, at, step = [], 0.0, sum(w for _, _, w in sample) / runs
+        for t, k, w in sample:
+            # a border stands before the row whose middle passes the next share
+            if len(borders) < runs - 1 and at + w / 2 > step * (len(borders) + 1):
+                borders.append((t, k))
+            at += w
+        return cls(list(dict.fromkeys(borders)))
+
     def run(self, term: str, key: str) -> Column:
         """Number of a row's run: a binary search in the borders."""
         if not self.borders:

@@ -6,11 +6,13 @@ partition), so the part files read in name order give the sorted file.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import FIELD_SEP, LINE_POSTINGS, POSTING_SEP
 from ..operators.layout import posting_gaps
+from ..operators.ranges import Ranges
+from ..session import pin
 
 
 def posting_lines(postings: DataFrame, chunk_size: int = LINE_POSTINGS) -> DataFrame:
@@ -42,6 +44,18 @@ def posting_lines(postings: DataFrame, chunk_size: int = LINE_POSTINGS) -> DataF
     return lines.select("term", "chunk", F.concat_ws(FIELD_SEP, "term", "_text").alias("line"))
 
 
+def _even_files(df: DataFrame, keys: list[str], weight: Column, num_files: int | None) -> DataFrame:
+    """``df`` in order of a term and a number, in partitions that are even by
+    ``weight``: rows differ too much in size (a line holds 1 to 65,536
+    postings) for even numbers of rows. The rows are written once first, so
+    that sampling them does not compute them twice."""
+    n = num_files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pinned = pin(df.withColumn("_weight", weight.cast("bigint")))
+    ranges = Ranges.of(pinned, *keys, n, "_weight")
+    placed = pinned.withColumn("_run", ranges.run(*keys)).repartitionById(n, F.col("_run"))
+    return placed.sortWithinPartitions(*keys).drop("_weight", "_run")
+
+
 def _ordered(df: DataFrame, keys: list[str], num_files: int | None) -> DataFrame:
     n = num_files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
@@ -57,7 +71,7 @@ def write_postings_text(postings: DataFrame, path: str, num_files: int | None =
     partitioning."""
     lines = posting_lines(postings, chunk_size)
     if global_order:
-        lines = _ordered(lines, ["term", "chunk"], num_files)
+        lines = _even_files(lines, ["term", "chunk"], F.length("line"), num_files)
     else:
         lines = lines.sortWithinPartitions("term", "chunk")
     lines.select("line").write.mode(mode).option("lineSep", "\n").text(path)
@@ -99,7 +113,7 @@ def write_index(blocks: DataFrame, path: str, num_files: int | None = None,
     row-group statistics, and no second shuffle of the block table when it
     already arrives in key ranges (as after the offset pass)."""
     if global_order:
-        ordered = _ordered(blocks, ["term", "block_no"], num_files)
+        ordered = _even_files(blocks, ["term", "block_no"], F.col("n_bytes") + 64, num_files)
     else:
         ordered = blocks.sortWithinPartitions("term", "block_no")
     ordered.write.mode(mode).parquet(path)

@@ -3,16 +3,31 @@
 A posting list may span several lines with the same term (one per partial
 index, or one per chunk of a long list); readers concatenate them by
 returning flat posting rows ``term, doc_id, tf``.
+
+Lines may be of any length: files are read word by word (the record separator
+is the blank), so Spark cuts a file, and a list that is one line of it, into
+splits as usual. A word knows its term from the words before it in its split;
+words before a split's first line end take the term carried over from the
+splits before, a table of one row a split.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..config import FIELD_SEP, POSTING_SEP
+from ..config import FIELD_SEP, MAX_BROADCAST_ROWS, POSTING_SEP
 from .collection import Parsed
 
+_BLANK = re.compile("[ \t\x0b\f\r]+")
+_PLACE = ["file", "block"]
+
 
 def parse_posting_lines(lines: DataFrame, line_col: str = "value",
                         on_error: str = "reject") -> Parsed:
@@ -30,6 +45,11 @@ def parse_posting_lines(lines: DataFrame, line_col: str = "value",
                          F.slice("_w", 2, F.greatest(F.size("_w") - 1, F.lit(1))).alias("_p"))
     items = split.select("term", F.explode_outer("_p").alias("posting")).where(
         F.col("posting").isNotNull() & (F.col("term") != ""))
+    return _parse_items(items, on_error)
+
+
+def _parse_items(items: DataFrame, on_error: str) -> Parsed:
+    """Good and rejected rows of ``items(term, posting)``."""
     colon = F.instr("posting", POSTING_SEP)
     doc_id = F.split_part("posting", F.lit(POSTING_SEP), F.lit(1)).try_cast("bigint")
     tf = F.split_part("posting", F.lit(POSTING_SEP), F.lit(2)).try_cast("bigint")
@@ -51,9 +71,121 @@ def parse_posting_lines(lines: DataFrame, line_col: str = "value",
     return Parsed(good, rejects)
 
 
+class _Split:
+    """What one split of a file says of the splits after it."""
+
+    def __init__(self, place: tuple):
+        self.place = place
+        self.term: str | None = None           # of the line that is open
+        self.awaits = False                    # the next word is a term
+        self.defined = False                   # a line end was seen
+        self.first: str | None = None          # the first word before any line end
+
+    def row(self) -> tuple:
+        return (*self.place, self.defined, self.awaits, self.term, self.first)
+
+
+def _scan(batches: Iterator[pa.RecordBatch], ends: bool) -> Iterator[pa.RecordBatch]:
+    """Words of files in order (``value, file, block``), as ``file, block,
+    nth, term, posting``: ``nth`` counts the words before the split's first
+    line end, whose term is not known here, from 0, and is NULL for others.
+    With ``ends`` instead a row for each split (:class:`_Split`)."""
+    split, leading, out = None, 0, []
+
+    def rows(words: list, terms: list, nths: list) -> pa.RecordBatch:
+        # only words without a term need their place
+        lead, rest = len(nths), [None] * (len(words) - len(nths))
+        return pa.RecordBatch.from_arrays([
+            pa.array([split.place[0]] * lead + rest, pa.string()), pa.array([split.place[1]] * lead + rest, pa.int64()),
+            pa.array(nths + rest, pa.int64()), pa.array(terms, pa.string()), pa.array(words, pa.string())],
+            names=[*_PLACE, "nth", "term", "posting"])
+    for batch in batches:
+        values, files, blocks = batch.column(0), batch.column(1), batch.column(2).to_numpy()
+        odd = np.flatnonzero(pc.match_substring_regex(values, "[\t\n\x0b\f\r]|^$").fill_null(True).to_numpy(zero_copy_only=False))
+        names = files.to_pylist()
+        cuts = [k for k in range(batch.num_rows) if k == 0 or blocks[k] != blocks[k - 1] or names[k] != names[k - 1]]
+        for s, e in zip(cuts, [*cuts[1:], batch.num_rows]):
+            place = (names[s], int(blocks[s]))
+            if split is None or split.place != place:
+                if split is not None:
+                    out.append(split.row())
+                split, leading = _Split(place), 0
+            words, terms, nths = [], [], []
+
+            def take(found: list[str]) -> None:
+                """Words of one line, as they follow."""
+                nonlocal leading
+                if not found:
+                    return
+                if not split.defined:
+                    split.first = found[0] if split.first is None else split.first
+                    words.extend(found)
+                    terms.extend([None] * len(found))
+                    nths.extend(range(leading, leading + len(found)))
+                    leading += len(found)
+                    return
+                if split.awaits:
+                    split.term, split.awaits = found[0], False
+                    found = found[1:]
+                words.extend(found)
+                terms.extend([split.term] * len(found))
+            at = s
+            for k in [*odd[(odd >= s) & (odd < e)].tolist(), e]:
+                take(values.slice(at, k - at).to_pylist())
+                if k < e:
+                    for no, line in enumerate((values[k].as_py() or "").split("\n")):
+                        if no:
+                            split.defined, split.awaits, split.term = True, True, None
+                        take([w for w in _BLANK.split(line) if w])
+                at = k + 1
+            if words and not ends:
+                yield rows(words, terms, nths)
+    if ends:
+        out += [split.row()] if split is not None else []
+        cols = list(zip(*out)) or [()] * 6
+        kinds = [pa.string(), pa.int64(), pa.bool_(), pa.bool_(), pa.string(), pa.string()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)],
+                                         names=[*_PLACE, "defined", "awaits", "term", "first"])
+
+
+def _carried(ends: DataFrame) -> DataFrame:
+    """``file, block, carried, named``: the term that is open where a split
+    begins, and whether the split's first word is that term itself."""
+    by_file = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    # splits without a line end belong to the last one before them that has one
+    told = F.struct("awaits", "term")
+    last = F.last(F.when(F.col("defined"), told), ignorenulls=True).over(by_file)
+    groups = ends.withColumn("_last", last).withColumn("_group", F.coalesce(F.sum(F.col("defined").cast("int")).over(by_file), F.lit(0)))
+    in_group = Window.partitionBy("file", "_group").orderBy("block")
+    open_term = F.coalesce(F.col("_last.awaits"), F.lit(True))     # a file begins with a term
+    before = F.first("first", ignorenulls=True).over(in_group.rowsBetween(Window.unboundedPreceding, -1))
+    return groups.select(
+        "file", "block",
+        F.when(open_term, F.coalesce(before, "first")).otherwise(F.col("_last.term")).alias("carried"),
+        (open_term & before.isNull()).alias("named"))
+
+
+def _read(spark: SparkSession, path: str, on_error: str, **options: str) -> Parsed:
+    words = spark.read.options(lineSep=FIELD_SEP, **options).text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    ends = words.mapInArrow(lambda b: _scan(b, True), "file string, block long, defined boolean, awaits boolean, term string, first string")
+    items = words.mapInArrow(lambda b: _scan(b, False), "file string, block long, nth long, term string, posting string")
+    carried = _carried(ends)
+    if ends.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS:
+        # one pass: words that know their term have a NULL place, which meets nothing
+        told = items.join(F.broadcast(carried), _PLACE, "left")
+        known = told.where("nth is null or not (named and nth = 0)").select(F.coalesce("term", "carried").alias("term"), "posting")
+    else:
+        leading = items.where("nth is not null").drop("term").join(carried, _PLACE).where("not (named and nth = 0)")
+        known = items.where("nth is null").select("term", "posting").unionByName(
+            leading.select(F.col("carried").alias("term"), "posting"))
+    return _parse_items(known, on_error)
+
+
 def read_postings_text(spark: SparkSession, path: str, on_error: str = "reject") -> Parsed:
-    """Read posting text files (a file, a glob, or a folder)."""
-    return parse_posting_lines(spark.read.option("lineSep", "\n").text(path), "value", on_error)
+    """Read posting text files (a file, a glob, or a folder); a line may be
+    longer than a split."""
+    return _read(spark, path, on_error)
 
 
 def read_postings_dir(spark: SparkSession, directory: str, on_error: str = "reject") -> Parsed:
@@ -62,6 +194,4 @@ def read_postings_dir(spark: SparkSession, directory: str, on_error: str = "reje
     The order of the files does not matter: the merge orders by doc id, so a
     run named ``_10`` sorting before ``_2`` cannot scramble a list.
     """
-    lines = (spark.read.option("lineSep", "\n").option("pathGlobFilter", "*.txt")
-             .option("recursiveFileLookup", "false").text(directory))
-    return parse_posting_lines(lines, "value", on_error)
+    return _read(spark, directory, on_error, pathGlobFilter="*.txt", recursiveFileLookup="false")

@@ -121,3 +121,16 @@ def test_duplicate_postings_fail_mode(spark):
         assert "rejected posting" in str(e)
     else:
         raise AssertionError("expected failure")
+
+
+def test_posting_files_are_even_in_bytes(spark, docs_small, tmp_path):
+    """Lines of very unlike length: files in order, none over twice the
+    median."""
+    import glob
+    import os
+    write_postings_text(idx.term_frequencies(docs_small), str(tmp_path / "p"), num_files=6, chunk_size=64)
+    files = sorted(glob.glob(str(tmp_path / "p" / "part-*")))
+    sizes = sorted(os.path.getsize(f) for f in files)
+    assert len(files) == 6 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    terms = [line.split(" ")[0].encode() for f in files for line in open(f, encoding="utf-8")]
+    assert terms == sorted(terms)

@@ -1,3 +1,5 @@
+import pytest
+
 import os
 import tempfile
 
@@ -68,3 +70,33 @@ def test_posting_lines_fail_mode(spark):
         assert "malformed posting" in str(e)
     else:
         raise AssertionError("expected failure")
+
+
+def _files(spark, tmp_path, texts):
+    for name, text in texts.items():
+        (tmp_path / name).write_bytes(text.encode())
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize("split", ["1", "7", "64", "1000", "100000"])
+def test_lines_longer_than_a_split(spark, tmp_path, split):
+    """Lists of one line that many tasks read, cut anywhere: the rows that
+    the lines give when read whole."""
+    long = "hot " + " ".join(f"{d}:{d % 9 + 1}" for d in range(0, 900, 3))
+    texts = {"a.txt": f"{long}\nrare 5:1 9:2\n\nlonely\n  x  1:1\t2:2 \r\n", "b.txt": f"rare 7:1\n{long.replace('hot', 'hotter')}",
+             "c.txt": "", "d.txt": "\n\n", "e.txt": "alone", "f.txt": f"é 1:1 bad 2:x 3:-1\n{long}\n", "g.txt": "z 3:4  \n y 8:8"}
+    path = _files(spark, tmp_path, texts)
+    whole = parse_posting_lines(spark.read.option("lineSep", "\n").text(path), "value")
+    keys = {"spark.sql.files.maxPartitionBytes": split, "spark.sql.files.openCostInBytes": "0", "spark.sql.files.minPartitionNum": "1"}
+    if split == "1":
+        keys["spark.sql.files.maxPartitionBytes"] = "40"
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        got = read_postings_dir(spark, path)
+        assert rows(got.good) == rows(whole.good) and len(rows(got.good)) > 900
+        assert rows(got.rejects) == rows(whole.rejects)
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
