@@ -175,6 +175,7 @@ _ORACLE = {
     "merge_indexes": _LINES,
     "merge_posting_files": _LINES,
     "merge_and_index": _ENCODE,
+    "merge_runs_incrementally": f"WITH {_TF} SELECT term, doc_id, tf FROM tf",
     "validate_postings": f"""WITH {_TF}, {_KIND}
         SELECT term, doc_id, CASE WHEN lang = 'de' THEN 'duplicate posting x2'
                                   ELSE 'copies with tf ' || tf || ' to ' || (tf + 1) END AS reason

@@ -23,7 +23,7 @@ from ..sources.collection import (ensure_parallel, parse_collection_lines, read_
                                   to_collection_lines)
 from ..sources.postings import read_postings_dir, read_postings_text
 from ..streaming.runs import read_runs, stream_collection_runs
-from . import build
+from . import build, incremental
 
 # Fixed query of the checks: four terms present at every scale, one absent,
 # an upper-case spelling (looked up verbatim, so missing) and a repeat.
@@ -114,6 +114,17 @@ def q_merge_and_index(spark, sf_dir):
     return index.blocks.select("term", "block_no", F.hex("payload").alias("payload_hex"))
 
 
+def q_merge_runs_incrementally(spark, sf_dir):
+    """The language shards taken in one run after the other."""
+    path = scratch_path(spark, "generations")
+    first, *runs = _shard_postings(spark, sf_dir)
+    incremental.create(first, path, ranges=16)
+    for run in runs:
+        incremental.merge_run(spark, path, run)
+    delete_on_exit(spark, path)
+    return incremental.open_postings(spark, path)
+
+
 def _twice_german(spark, sf_dir):
     """The language shards with the German one merged twice, and every
     Spanish posting of an even document a second time with another tf."""
@@ -323,6 +334,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "merge_indexes": q_merge_indexes,
     "merge_posting_files": q_merge_posting_files,
     "merge_and_index": q_merge_and_index,
+    "merge_runs_incrementally": q_merge_runs_incrementally,
     "validate_postings": q_validate_postings,
     "validated_postings": q_validated_postings,
     "rejected_lines": q_rejected_lines,
