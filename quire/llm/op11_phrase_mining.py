@@ -10,7 +10,8 @@ element. A merged stripe gives
 * the prefix total: the sum of the stripe, which is the prefix's own count,
 * the largest count of an extension to the right, for the subsumption rule.
 
-There is one pass over the text for each phrase length. A phrase of k words can
+The text is read once and kept as windows of word numbers, which each phrase
+length reads. A phrase of k words can
 only be frequent if both its phrases of k-1 words are, so tasks leave out what
 a *sketch* of the frequent phrases rules out: 2^22 bytes, whatever the input,
 that hold the binary logarithm of the largest count of a slot. A collision lets
@@ -21,7 +22,9 @@ Hot prefixes: a stripe has at most as many entries as its prefix has
 occurrences, and the sketch bounds those in every task alike, so a stripe of a
 prefix with over 2^16 occurrences is cut by a hash of the next word into
 segments that are merged apart. The empty prefix's stripe (the vocabulary) is
-always cut. Merging streams over sorted rows and holds one segment.
+always cut. The other stripes travel in bundles of about 16 prefixes, so that
+rows are few and long. Merging streams over sorted rows and holds one bundle or
+segment.
 
 Words and phrases are compared as strings, products are 38-digit decimals, so
 counts and scores are exact.
@@ -43,15 +46,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, column, row_slices, scratch, shuffle_partitions, table, text_slices
+from .common import broadcast_if_small, column, mix64, row_slices, scratch, shuffle_partitions, table, text_slices
 
 MIN_COUNT, MAX_WORDS, TOP, SUBSUME_PERCENT = 100, 5, 2000, 100
 #: Slots of the sketch, words that a task counts at a time, segments of the
-#: empty prefix's stripe, and log2 of the entries of a segment.
-SLOTS, WINDOW_WORDS, ROOT_SEGMENTS, SEGMENT_BITS = 1 << 22, 4 << 20, 4096, 16
+#: empty prefix's stripe, log2 of the entries of a segment, prefixes of a bundle.
+SLOTS, WINDOW_WORDS, ROOT_SEGMENTS, SEGMENT_BITS, BUNDLE = 1 << 22, 4 << 20, 1024, 16, 16
 _BLOCK = 1 << 17
 
 _END = b"!"                                     # stands for every piece border
@@ -59,8 +63,12 @@ _BORDERS = b".,;:!?\n\x0b\x0c\r"
 _TABLE = bytes(_END[0] if c in _BORDERS else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
 _SEGMENT = 1 << 20
 
-_STRIPES = "lang string, prefix string, seg int, rest long, next array<string>, n array<long>"
-_MERGED = "lang string, prefix string, seg int, total long, best long, next array<string>, n array<long>"
+# A row of stripes: `sizes` entries (4 bytes each) and `rests` (8) for each
+# prefix (joined by line ends); the entries are words of `next`, joined by
+# spaces, and `n` (4 bytes each).
+_COLUMNS = ["kind", "lang", "prefix", "seg", "sizes", "rests", "next", "n"]
+_STRIPES = "kind string, lang string, prefix string, seg int, sizes binary, rests binary, next string, n binary"
+_MERGED = "lang string, prefix string, total long, best long, next array<string>, n array<long>"
 
 
 # ------------------------------------------------------------------ in tasks
@@ -89,92 +97,72 @@ class _Words:
         self.parts.append(np.zeros(1, np.int32))
 
 
-def slot(lang: bytes, phrase: bytes, slots: int) -> int:
-    """Where the sketch holds a phrase; :func:`_sketch_rows` says the same."""
-    return zlib.crc32(lang + b"\0" + phrase) % slots
+def _word_hashes(words: list[bytes]) -> np.ndarray:
+    return np.array([zlib.crc32(w) | zlib.crc32(w, 0x5BD1E995) << 32 for w in words], np.uint64)
 
 
-def _known(lang: bytes, phrases: list[bytes], sketch: np.ndarray) -> np.ndarray:
-    """Per phrase 1 + log2 of a bound of its count, 0 if it is not frequent."""
-    at = [slot(lang, p, len(sketch)) for p in phrases]
-    return sketch[np.array(at, np.int64)] if at else np.zeros(0, np.uint8)
+def _seed(lang: str) -> np.uint64:
+    return _word_hashes([lang.encode()])[0]
 
 
-def _phrases(lang: bytes, words: list[bytes], a: np.ndarray, k: int, sketch: np.ndarray):
-    """Strings of the phrases of ``k`` words that may be frequent, the number
-    of the one at each position of ``a``, and what the sketch knows of it (0:
-    none)."""
-    strings, key = words, a.astype(np.int64)
-    of = _known(lang, words, sketch)
-    of[0] = 0
-    level = of[a]
+def _longer(hashes: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Hashes of phrases with one more word. They only choose slots of the
+    sketch; phrases are told apart by their words."""
+    return mix64(hashes * np.uint64(0xD6E8FEB86659FD93) + words)
+
+
+def _passing(lang: str, words: list[bytes], a: np.ndarray, k: int, sketch: np.ndarray) -> np.ndarray:
+    """For the phrase of ``k`` words at each position of ``a``, 1 + log2 of a
+    bound of its count, 0 if it cannot be frequent."""
+    slots, word = np.uint64(len(sketch)), _word_hashes(words)
+    hashes = mix64(word ^ _seed(lang))
+    level = sketch[hashes % slots]
+    level[0] = 0
+    level, hashes = level[a], hashes[a]
     for j in range(2, k + 1):
         n = max(0, len(a) - j + 1)
         pos = np.flatnonzero((level[:n] > 0) & (level[1:n + 1] > 0))
-        _, first, inv = np.unique(key[pos] * len(words) + a[pos + j - 1], return_index=True, return_inverse=True)
-        strings = [b" ".join([words[w] for w in a[p:p + j].tolist()]) for p in pos[first].tolist()]
-        of = _known(lang, strings, sketch)
-        key, level = np.zeros(n, np.int64), np.zeros(n, np.uint8)
-        key[pos], level[pos] = inv, of[inv]
-    return strings, key, level
+        found = _longer(hashes[pos], word[a[pos + j - 1]])
+        hashes, level = np.zeros(n, np.uint64), np.zeros(n, np.uint8)
+        hashes[pos], level[pos] = found, sketch[found % slots]
+    return level
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.string(), pa.string(), pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.string(), pa.binary()]
+    names = ["kind", "lang", "prefix", "seg", "sizes", "rests", "next", "n"]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 8, kinds)], names=names)
 
 
-def _stripe_rows(lang: str, text: _Words, k: int, sketch: np.ndarray | None, window: int) -> Iterator[pa.RecordBatch]:
-    """Stripes of the prefixes of ``k - 1`` words, a window at a time."""
-    words = list(text.ids)
+def _window_rows(lang: str, text: _Words, overlap: int, window: int) -> Iterator[pa.RecordBatch]:
+    """A language's texts as windows of word numbers, and the stripes of the
+    empty prefix."""
+    words, press = list(text.ids), zstandard.ZstdCompressor(level=3)
     everything = np.concatenate(text.parts)
-    names = pa.array(words, pa.binary()).cast(pa.string())
+    listed = b" ".join(words).decode()
     for at in range(0, len(everything), window):
-        a = everything[at:at + window + k - 1]
+        a = everything[at:at + window + overlap]
         starts = min(window, len(everything) - at)
-        if k == 1:
-            counts = np.bincount(a[:starts], minlength=len(words))
-            counts[0] = 0
-            nxt = np.flatnonzero(counts)
-            n, prefix, rest = counts[nxt], np.zeros(len(nxt), np.int64), np.zeros(1, np.int64)
-            strings, segs = [b""], np.array([ROOT_SEGMENTS])
-        else:
-            strings, key, level = _phrases(lang.encode(), words, a, k - 1, sketch)
-            pos = np.flatnonzero(level[:starts])
-            rest = np.bincount(key[pos], minlength=len(strings))
-            segs = np.ones(len(strings), np.int64)
-            segs[key[pos]] = 1 << np.maximum(level[pos].astype(np.int64) - 1 - SEGMENT_BITS, 0)
-            pos = pos[pos + 1 < len(level)]
-            pos = pos[level[pos + 1] > 0]
-            pair, n = np.unique(key[pos] * len(words) + a[pos + k - 1], return_counts=True)
-            prefix, nxt = pair // len(words), pair % len(words)
-            rest -= np.bincount(prefix, n, minlength=len(strings)).astype(np.int64)
-        seg = np.zeros(len(nxt), np.int64)
-        cut = np.flatnonzero(segs[prefix] > 1)
-        seg[cut] = [zlib.crc32(words[w]) for w in nxt[cut].tolist()]
-        seg[cut] %= segs[prefix[cut]]
-        # what no entry holds goes with a row of its own in segment 0
-        alone = np.flatnonzero(rest > 0)
-        order = np.lexsort((seg, prefix))
-        prefix, seg, nxt, n = prefix[order], seg[order], nxt[order], n[order]
-        begins = np.flatnonzero(np.r_[True, (np.diff(prefix) != 0) | (np.diff(seg) != 0)]) if len(prefix) else prefix
-        rows = len(begins) + len(alone)
-        ends = np.r_[begins, np.full(len(alone) + 1, len(nxt))].astype(np.int32)
-        owner = np.r_[prefix[begins], alone]
-        yield pa.RecordBatch.from_arrays([
-            pa.array([lang] * rows, pa.string()),
-            pa.array([strings[p] for p in owner.tolist()], pa.binary()).cast(pa.string()),
-            pa.array(np.r_[seg[begins], np.zeros(len(alone), np.int64)], pa.int32()),
-            pa.array(np.r_[np.zeros(len(begins), np.int64), rest[alone]], pa.int64()),
-            pa.ListArray.from_arrays(ends, names.take(pa.array(nxt))),
-            pa.ListArray.from_arrays(ends, pa.array(n.astype(np.int64)))],
-            names=["lang", "prefix", "seg", "rest", "next", "n"])
-
-
-def _stripes(k: int, sketch, window: int):
+        yield _batch([("text", lang, "", starts, None, None, listed, press.compress(a.astype("<i4").tobytes()))])
+        counts = np.bincount(a[:starts], minlength=len(words))
+        counts[0] = 0
+        nxt = np.flatnonzero(counts)
+        seg = np.array([zlib.crc32(words[w]) % ROOT_SEGMENTS for w in nxt.tolist()], np.int64)
+        order = np.argsort(seg, kind="stable")
+        nxt, seg = nxt[order], seg[order]
+        cuts = np.r_[0, np.flatnonzero(np.diff(seg)) + 1, len(seg)] if len(seg) else np.zeros(1, np.int64)
+        yield _batch([("root", lang, "", int(seg[i]), np.array([j - i], "<u4").tobytes(), np.zeros(1, "<i8").tobytes(),
+                       b" ".join([words[w] for w in nxt[i:j].tolist()]).decode(), counts[nxt[i:j]].astype("<u4").tobytes())
+                      for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist())])
+
+
+def _windows(overlap: int, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.frombuffer(sketch.value, np.uint8) if sketch is not None else None
         texts: dict[str, _Words] = {}
 
         def flush():
             for lang, text in texts.items():
-                for rows in _stripe_rows(lang, text, k, held, window):
-                    yield from row_slices([rows], 50_000)
+                yield from _window_rows(lang, text, overlap, window)
             texts.clear()
         for batch in text_slices(batches, 1):
             for lang, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -187,58 +175,144 @@ def _stripes(k: int, sketch, window: int):
     return run
 
 
+def _stripe_rows(lang: str, words: list[bytes], a: np.ndarray, starts: int, k: int, sketch: np.ndarray, bundles: int) -> pa.RecordBatch:
+    """Stripes of the prefixes of ``k - 1`` words that begin at the first
+    ``starts`` positions of a window."""
+    a = a[:starts + k - 1]
+    level = _passing(lang, words, a, k - 1, sketch)
+    pos = np.flatnonzero(level[:starts])
+    key = a[pos].astype(np.int64)
+    for j in range(1, k - 1):                  # phrases numbered by their words
+        key = np.unique(key * len(words) + a[pos + j], return_inverse=True)[1]
+    _, first, key = np.unique(key, return_index=True, return_inverse=True)
+    strings = [b" ".join([words[w] for w in a[p:p + k - 1].tolist()]) for p in pos[first].tolist()]
+    rest = np.bincount(key, minlength=len(strings))
+    segs = 1 << np.maximum(level[pos[first]].astype(np.int64) - 1 - SEGMENT_BITS, 0)
+    follows = pos + 1 < len(level)
+    follows[follows] = level[pos[follows] + 1] > 0
+    pair, n = np.unique(key[follows] * len(words) + a[pos[follows] + k - 1], return_counts=True)
+    prefix, nxt = pair // len(words), pair % len(words)
+    rest = rest - np.bincount(prefix, n, minlength=len(strings)).astype(np.int64)
+    follow = [words[w] for w in nxt.tolist()]
+    sizes = np.bincount(prefix, minlength=len(strings))
+    ends = np.cumsum(sizes)
+    rows = []
+    # short stripes of prefixes with equal hashes share a row
+    whole = np.flatnonzero(segs == 1)
+    bundle = np.array([zlib.crc32(strings[p]) % bundles for p in whole.tolist()], np.int64)
+    order = np.argsort(bundle, kind="stable")
+    cuts = np.r_[0, np.flatnonzero(np.diff(bundle[order])) + 1, len(order)] if len(order) else np.zeros(1, np.int64)
+    for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        of = whole[order[i:j]]
+        entries = np.concatenate([np.arange(ends[p] - sizes[p], ends[p]) for p in of.tolist()])
+        rows.append(("bundle", lang, b"\n".join([strings[p] for p in of.tolist()]).decode(), int(bundle[order[i]]),
+                     sizes[of].astype("<u4").tobytes(), rest[of].astype("<i8").tobytes(),
+                     b" ".join([follow[e] for e in entries.tolist()]).decode(), n[entries].astype("<u4").tobytes()))
+    # the others are cut; what no entry holds goes with segment 0
+    for p in np.flatnonzero(segs > 1).tolist():
+        entries = np.arange(ends[p] - sizes[p], ends[p])
+        seg = np.array([zlib.crc32(follow[e]) % int(segs[p]) for e in entries.tolist()], np.int64)
+        for no in np.unique(np.r_[0, seg]).tolist():
+            of = entries[seg == no]
+            rows.append(("part", lang, strings[p].decode(), no, np.array([len(of)], "<u4").tobytes(),
+                         np.array([0 if no else rest[p]], "<i8").tobytes(), b" ".join([follow[e] for e in of.tolist()]).decode(),
+                         n[of].astype("<u4").tobytes()))
+    return _batch(rows)
+
+
+def _stripes(k: int, sketch, bundles: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, unpack = np.frombuffer(sketch.value, np.uint8), zstandard.ZstdDecompressor()
+        for batch in batches:
+            for row in range(batch.num_rows):
+                lang, starts, listed, packed = (batch.column(c)[row].as_py() for c in range(4))
+                a = np.frombuffer(unpack.decompress(packed), "<i4")
+                out = _stripe_rows(lang, listed.encode().split(b" "), a, starts, k, held, bundles)
+                yield from row_slices([out], 20_000)
+    return run
+
+
 def _merge(min_count: int):
     """Stripes with equal keys, which follow each other, merged element by
-    element. Entries below ``min_count`` only count in the total."""
+    element. Entries below ``min_count`` only count in the total; a stripe
+    without others makes no phrase."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, stripe, total, out = None, {}, 0, []
+        key, stripes, out = None, {}, []       # prefix -> [total, stripe]
 
         def close():
-            kept = {w: c for w, c in stripe.items() if c >= min_count}
-            if key is not None and (kept or total):
-                out.append((*key, total, max(kept.values(), default=0), list(kept), list(kept.values())))
+            for prefix, (total, stripe) in stripes.items():
+                kept = {w: c for w, c in stripe.items() if c >= min_count}
+                if kept or total and key[0] != "bundle":      # another segment may have entries
+                    out.append((key[1], prefix, total, max(kept.values(), default=0), list(kept), list(kept.values())))
 
         def rows():
-            cols = list(zip(*out)) or [()] * 7
-            kinds = [pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64())]
-            names = ["lang", "prefix", "seg", "total", "best", "next", "n"]
-            batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=names)
+            cols = list(zip(*out)) or [()] * 6
+            kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64())]
+            batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)],
+                                               names=["lang", "prefix", "total", "best", "next", "n"])
             out.clear()
             return batch
-        for batch in row_slices(batches, 2000):
-            cols = [batch.column(i).to_pylist() for i in range(6)]
-            for lang, prefix, seg, rest, words, counts in zip(*cols):
-                if (lang, prefix, seg) != key:
-                    close()
-                    key, stripe, total = (lang, prefix, seg), {}, 0
-                total += rest + sum(counts)
-                for w, c in zip(words, counts):
-                    stripe[w] = stripe.get(w, 0) + c
+        for batch in row_slices(batches, 500):
+            for kind, lang, prefix, seg, sizes, rests, words, packed in zip(*[batch.column(i).to_pylist() for i in range(8)]):
+                now = (kind, lang, "" if kind == "bundle" else prefix, seg)
+                if now != key:
+                    if key:
+                        close()
+                    key, stripes = now, {}
+                counts, words, at = memoryview(packed).cast("I").tolist() if packed else [], words.split(" "), 0
+                for p, size, rest in zip(prefix.split("\n"), memoryview(sizes).cast("I"), memoryview(rests).cast("q")):
+                    held = stripes.get(p)
+                    if held is None:
+                        held = stripes[p] = [0, {}]
+                    c, w = counts[at:at + size], words[at:at + size]
+                    held[0] += rest + sum(c)
+                    stripe = held[1]
+                    if stripe:
+                        for x, m in zip(w, c):
+                            stripe[x] = stripe.get(x, 0) + m
+                    elif size:
+                        held[1] = dict(zip(w, c))
+                    at += size
             if len(out) >= 10_000:
                 yield rows()
-        close()
+        if key:
+            close()
         yield rows()
     return run
 
 
 # -------------------------------------------------------------------- levels
 
-def merged_stripes(texts: DataFrame, k: int, sketch=None, min_count: int = MIN_COUNT,
-                   window: int = WINDOW_WORDS) -> DataFrame:
-    """``lang, prefix, seg, total, best, next, n``: the merged stripes of the
-    prefixes of ``k - 1`` words of ``texts(lang, text)``."""
-    n = shuffle_partitions(texts.sparkSession)
-    keys = ["lang", "prefix", "seg"]
-    return (texts.mapInArrow(_stripes(k, sketch, window), _STRIPES)
-            .repartition(n, *keys).sortWithinPartitions(*keys).mapInArrow(_merge(min_count), _MERGED))
+def _merged(stripes: DataFrame, min_count: int) -> DataFrame:
+    """``lang, prefix, total, best, next, n``: merged stripes."""
+    n = shuffle_partitions(stripes.sparkSession)
+    key = F.when(F.col("kind") == "bundle", F.lit("")).otherwise(F.col("prefix"))
+    keys = ["kind", "lang", "_key", "seg"]
+    return (stripes.withColumn("_key", key).repartition(n, *keys).sortWithinPartitions(*keys)
+            .drop("_key").mapInArrow(_merge(min_count), _MERGED))
+
+
+def merged_stripes(windows: DataFrame, k: int, sketch, frequent: int, min_count: int = MIN_COUNT) -> DataFrame:
+    """The merged stripes of the prefixes of ``k - 1`` words, of which
+    ``frequent`` are frequent."""
+    bundles = max(1, -(-frequent // BUNDLE))
+    text = windows.where("kind = 'text'").select("lang", "seg", "next", "n")
+    return _merged(text.mapInArrow(_stripes(k, sketch, bundles), _STRIPES), min_count)
 
 
 def _sketch_rows(phrases: DataFrame, slots: int) -> DataFrame:
-    """Blocks of the sketch of ``phrases(lang, phrase, a)``."""
-    at = F.crc32(F.concat(F.col("lang"), F.lit("\0"), F.col("phrase")).cast("binary")) % slots
-    bits = F.ceil(F.log2(F.col("a"))).cast("int") + 1
-    rows = phrases.select(F.floor(at / _BLOCK).cast("int").alias("block"), (at % _BLOCK).cast("int").alias("at"),
-                          bits.alias("bits")).groupBy("block", "at").agg(F.max("bits").alias("bits"))
+    """Blocks of the sketch of ``phrases(lang, phrase, a)``, all of one
+    length."""
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            by_word = list(zip(*[p.encode().split(b" ") for p in b.column(1).to_pylist()]))
+            if by_word:
+                hashes = mix64(_word_hashes(by_word[0]) ^ _word_hashes([x.encode() for x in b.column(0).to_pylist()]))
+                for more in by_word[1:]:
+                    hashes = _longer(hashes, _word_hashes(more))
+                at = (hashes % np.uint64(slots)).astype(np.int64)
+                bits = np.ceil(np.log2(b.column(2).to_numpy())).astype(np.int32) + 1
+                yield pa.RecordBatch.from_arrays([pa.array(at // _BLOCK), pa.array(at % _BLOCK), pa.array(bits)], names=["block", "at", "bits"])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks: defaultdict[int, np.ndarray] = defaultdict(lambda: np.zeros(_BLOCK, np.uint8))
@@ -247,9 +321,11 @@ def _sketch_rows(phrases: DataFrame, slots: int) -> DataFrame:
             for no in np.unique(block).tolist():
                 of = block == no
                 np.maximum.at(blocks[no], place[of], value[of].astype(np.uint8))
-        yield pa.RecordBatch.from_arrays([pa.array(list(blocks), pa.int32()),
+        yield pa.RecordBatch.from_arrays([pa.array(list(blocks), pa.int64()),
                                           pa.array([v.tobytes() for v in blocks.values()], pa.binary())], names=["block", "cells"])
-    return rows.repartition("block").mapInArrow(pack, "block int, cells binary")
+    rows = phrases.select("lang", "phrase", "a").mapInArrow(places, "block long, at long, bits int")
+    rows = rows.groupBy("block", "at").agg(F.max("bits").alias("bits"))
+    return rows.repartition("block").mapInArrow(pack, "block long, cells binary")
 
 
 def add_to_sketch(sketch: np.ndarray, phrases: DataFrame) -> np.ndarray:
@@ -273,10 +349,14 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(column(lang_col).cast("string"), F.lit("und")).alias("lang"),
                         column(text_col).cast("binary").alias("text"))
+    windows = scratch(texts.mapInArrow(_windows(max_words - 1, window), _STRIPES), partition_by="kind")
     sketch, totals, levels, longer = np.zeros(slots, np.uint8), None, [], []
     for k in range(1, max_words + 1):
-        shared = spark.sparkContext.broadcast(sketch.tobytes()) if k > 1 else None
-        stripes = scratch(merged_stripes(texts, k, shared, min_count, window))
+        if k == 1:
+            stripes = scratch(_merged(windows.where("kind = 'root'").select(*_COLUMNS), min_count))
+        else:
+            shared = spark.sparkContext.broadcast(sketch.tobytes())
+            stripes = scratch(merged_stripes(windows, k, shared, levels[-1].count(), min_count))
         entries = stripes.select("lang", "prefix", F.explode(F.arrays_zip("next", "n")).alias("e")).select(
             "lang", "prefix", F.col("e.next").alias("next"), F.col("e.n").alias("a"))
         per_prefix = stripes.groupBy("lang", "prefix").agg(F.sum("total").alias("total"), F.max("best").alias("best"))

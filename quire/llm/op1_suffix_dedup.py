@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import mix64, prefix_sums, row_slices, scratch, shuffle_partitions, span_hashes, table, text_slices
+from .common import column, mix64, prefix_sums, row_slices, scratch, shuffle_partitions, span_hashes, table, text_slices
 
 LENGTH, FIRST, HALF = 50, 20, 25
 SEGMENT = 1 << 17
@@ -475,7 +475,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     n = shuffle_partitions(spark)
     places = 2 * n                              # packed rows: tasks x places
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"),
-                      *([F.struct(*rest).alias("rest")] if rest else []))
+                      *([F.struct(*[column(c) for c in rest]).alias("rest")] if rest else []))
     out = f"id long, text {"string" if as_string else "binary"}, spans array<array<long>>, n_bytes long, n_removed long, kept_sha256 string"
     if rest:
         out += f", rest {src.schema['rest'].dataType.simpleString()}"

@@ -117,7 +117,9 @@ def keep_good(docs: DataFrame, weights: np.ndarray, text_col: str = "text", thre
         for batch in text_slices(batches, at):
             texts = batch.column(at).cast(pa.binary()).to_pylist()
             yield batch.filter(pa.array([judge(t, weights, threshold)[-1] for t in texts], pa.bool_()))
-    return docs.mapInArrow(run, docs.schema)
+    # columns by place: names may hold dots or repeat
+    plain = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

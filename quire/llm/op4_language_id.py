@@ -9,10 +9,13 @@ ridge regression fits one score per language against the rest there.
 Scoring folds landmarks and ridge weights into one matrix (places x
 languages); a batch of presence vectors is multiplied by it. Every whole text
 is scored; only learning is bounded: about ``per_language`` labelled rows of
-each language, chosen by the hash of their id, of which ``landmarks`` in all
-are landmarks. The sample reaches the driver as packed bits (8 KB a row).
+each language, chosen by the hash of their id, of which 200 in all, or 20 a
+language if that is more, are landmarks. The sample reaches the driver as packed
+bits (8 KB a row), and only the landmarks are made dense together. There is no
+bound on the number of languages.
 
-Nulls and edge cases: a text that is null or has no letter is ``und`` with
+Nulls and edge cases: a text that is null or has no letter (of any script;
+numerals such as a half are none) is ``und`` with
 score 0. A null language is not learnt from. Without anything to learn from
 all texts are ``und``. Ties go to the language first in order. Rows with equal
 or null ids are predicted like others; null ids are not learnt from. An empty
@@ -21,11 +24,12 @@ table gives an empty result.
 
 from __future__ import annotations
 
-import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,10 +37,10 @@ from .common import crc32_mod, table, text_slices
 
 PLACES_LOG2, MAX_N = 16, 4
 PER_LANGUAGE, LANDMARKS, RIDGE, EPSILON = 300, 200, 0.1, 1e-6
-#: languages that can be told apart, most frequent first
-MAX_LANGUAGES = 200
+#: Landmarks of a language, if that makes more; rows made dense at a time.
+PER_LANGUAGE_LANDMARKS, DENSE_ROWS = 20, 256
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def places(text: str) -> np.ndarray:
@@ -70,21 +74,25 @@ class Model:
         return product / np.sqrt(sizes)[:, None]
 
 
-def fit(presence: np.ndarray, langs: list[str], order: np.ndarray, landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
-    """Kernel ridge on Nyström features. ``presence``: 0/1 rows; ``order``:
-    the rows by rank inside their language, so that landmarks are spread over
-    the languages."""
+def fit(bits: list[bytes], langs: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
+    """Kernel ridge on Nyström features of rows given as presence bits, in
+    order of rank inside their languages, so that the first ones, which are the
+    landmarks, are spread over the languages. Rows are made dense a few at a
+    time: the driver holds the landmarks, and 8 KB for any other row."""
     names = sorted(set(langs))
-    x = presence.astype(np.float32)
-    x /= np.sqrt(np.maximum(x.sum(1), 1))[:, None]
-    z = x[order[:landmarks]]
+
+    def dense(at: int, end: int) -> np.ndarray:
+        x = np.unpackbits(np.frombuffer(b"".join(bits[at:end]), np.uint8)).reshape(-1, 1 << PLACES_LOG2).astype(np.float32)
+        return x / np.sqrt(np.maximum(x.sum(1), 1))[:, None]
+    z = dense(0, landmarks)
     values, vectors = np.linalg.eigh((z @ z.T).astype(float))
     keep = values > EPSILON * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])           # Nyström map of the landmarks
-    phi = (x @ z.T).astype(float) @ root
+    phi = np.vstack([(dense(k, k + DENSE_ROWS) @ z.T).astype(float) for k in range(0, len(bits), DENSE_ROWS)]) @ root
     y = np.where(np.array(langs)[:, None] == np.array(names)[None, :], 1.0, -1.0)
     # languages weigh alike however many rows they have
-    weight = np.array([1 / langs.count(v) for v in langs]) * len(langs) / len(names)
+    count = Counter(langs)
+    weight = np.array([1 / count[v] for v in langs]) * len(langs) / len(names)
     bias = np.hstack([phi, np.ones((len(phi), 1))])
     reg = ridge * np.eye(bias.shape[1])
     reg[-1, -1] = 1e-9
@@ -98,7 +106,7 @@ def sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
     """``lang, r, bits``: presence bits of a bounded sample of ``id, text,
     lang``; ``r`` orders the rows of a language by the hash of their id."""
     known = docs.where("id is not null and lang is not null and text is not null")
-    sizes = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    sizes = known.groupBy("lang").count().collect()
     # twice the share that is needed on average, then the first of each language
     rate = {r[0]: min(1.0, 2 * per_language / r[1]) for r in sizes}
     if not rate:
@@ -129,8 +137,8 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     rows = sorted(chosen.collect(), key=lambda r: (r["r"], r["lang"])) if chosen is not None else []
     if not rows:
         return None
-    presence = np.unpackbits(np.frombuffer(b"".join(r["bits"] for r in rows), np.uint8)).reshape(len(rows), -1)
-    return fit(presence, [r["lang"] for r in rows], np.arange(len(rows)))
+    langs = [r["lang"] for r in rows]
+    return fit([r["bits"] for r in rows], langs, max(LANDMARKS, PER_LANGUAGE_LANDMARKS * len(set(langs))))
 
 
 def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", batch_rows: int = 64) -> DataFrame:

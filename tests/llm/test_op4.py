@@ -31,7 +31,7 @@ def test_folded_matrix_is_the_kernel_machine():
     for k, t in enumerate(texts):
         presence[k, op.places(t)] = 1
     order = np.argsort(np.tile(np.arange(10), 3), kind="stable")
-    m = op.fit(presence, langs, order, landmarks=12)
+    m = op.fit([np.packbits(presence[k]).tobytes() for k in order], [langs[k] for k in order], landmarks=12)
     new = ["abcabcab a", "xyz zyx", "ddbbcc dd"]
     # the same through explicit kernel values against the landmarks
     sets = [set(op.places(t)) for t in texts]
@@ -57,11 +57,22 @@ def test_places_are_the_ngrams():
 def test_edge_cases(spark):
     rows = [(1, None, "en"), (2, "", "en"), (3, "12 !?", "en"), (4, "hello there the world", "en"), (4, "hello there the world", "en"),
             (None, "le monde est grand", "fr"), (6, "le monde est grand", "fr"), (7, "la vie est belle", "fr"), (8, "x", None),
-            (9, "the long story " * 30000, "en")]
-    df = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 as id", "2 as h", "3 as r", "4 as score")
+            (9, "the long story " * 30000, "en"), (10, "½ ² ③ 7", None), (11, "日", None)]
+    df = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 as id", "2 as h", "3 as r", "4 as score", "5 as `a.b`")
     got = op.identify(df, op.learn(df)).collect()
     assert len(got) == len(rows)
     by = {r["doc_id"]: r["lang_pred"] for r in got}
-    assert by[1] == by[2] == by[3] == "und" and by[4] == by[9] == "en" and by[7] == by[None] == "fr"
+    assert by[1] == by[2] == by[3] == by[10] == "und" != by[11] and by[4] == by[9] == "en" and by[7] == by[None] == "fr"
     assert Counter(r["lang_pred"] for r in op.identify(df, op.learn(df.limit(0))).collect()) == {"und": len(rows)}
     assert op.identify(df.limit(0), op.learn(df)).collect() == []
+
+
+def test_any_number_of_languages(spark):
+    """250 languages of their own letters are all learnt and told apart."""
+    rows = [(k, " ".join([chr(0x4E00 + lang) * (2 + (k + j) % 3) for j in range(6)]), f"l{lang:03d}") for lang in range(250) for k in
+            range(lang * 8, lang * 8 + 8)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    model = op.learn(df)
+    assert len(model.langs) == 250
+    got = {r["doc_id"]: r["lang_pred"] for r in op.identify(df, model).collect()}
+    assert np.mean([got[i] == v for i, _, v in rows]) > 0.95
