@@ -20,10 +20,10 @@ is ever left out, so results do not depend on the sketch's size.
 
 Hot prefixes: a stripe has at most as many entries as its prefix has
 occurrences, and the sketch bounds those in every task alike, so a stripe of a
-prefix with over 2^16 occurrences is cut by a hash of the next word into
+prefix with over 2^14 occurrences is cut by a hash of the next word into
 segments that are merged apart. The empty prefix's stripe (the vocabulary) is
-always cut. The other stripes travel in bundles of about 16 prefixes, so that
-rows are few and long. Merging streams over sorted rows and holds one bundle or
+always cut. The other stripes travel in bundles of about 128 prefixes, compressed,
+so that rows are few and long. Merging streams over sorted rows and holds one bundle or
 segment.
 
 Words and phrases are compared as strings, products are 38-digit decimals, so
@@ -50,12 +50,12 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, column, mix64, row_slices, scratch, shuffle_partitions, table, text_slices
+from .common import BROADCAST_ROWS, broadcast_if_small, column, discard, mix64, row_slices, scratch, shuffle_partitions, table, text_slices
 
 MIN_COUNT, MAX_WORDS, TOP, SUBSUME_PERCENT = 100, 5, 2000, 100
 #: Slots of the sketch, words that a task counts at a time, segments of the
 #: empty prefix's stripe, log2 of the entries of a segment, prefixes of a bundle.
-SLOTS, WINDOW_WORDS, ROOT_SEGMENTS, SEGMENT_BITS, BUNDLE = 1 << 22, 4 << 20, 1024, 16, 16
+SLOTS, WINDOW_WORDS, ROOT_SEGMENTS, SEGMENT_BITS, BUNDLE = 1 << 22, 4 << 20, 1024, 14, 128
 _BLOCK = 1 << 17
 
 _END = b"!"                                     # stands for every piece border
@@ -65,9 +65,9 @@ _SEGMENT = 1 << 20
 
 # A row of stripes: `sizes` entries (4 bytes each) and `rests` (8) for each
 # prefix (joined by line ends); the entries are words of `next`, joined by
-# spaces, and `n` (4 bytes each).
+# spaces, and `n` (4 bytes each), both compressed.
 _COLUMNS = ["kind", "lang", "prefix", "seg", "sizes", "rests", "next", "n"]
-_STRIPES = "kind string, lang string, prefix string, seg int, sizes binary, rests binary, next string, n binary"
+_STRIPES = "kind string, lang string, prefix string, seg int, sizes binary, rests binary, next binary, n binary"
 _MERGED = "lang string, prefix string, total long, best long, next array<string>, n array<long>"
 
 
@@ -129,7 +129,7 @@ def _passing(lang: str, words: list[bytes], a: np.ndarray, k: int, sketch: np.nd
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.string(), pa.string(), pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.string(), pa.binary()]
+    kinds = [pa.string(), pa.string(), pa.string(), pa.int32(), *[pa.binary()] * 4]
     names = ["kind", "lang", "prefix", "seg", "sizes", "rests", "next", "n"]
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 8, kinds)], names=names)
 
@@ -139,7 +139,7 @@ def _window_rows(lang: str, text: _Words, overlap: int, window: int) -> Iterator
     empty prefix."""
     words, press = list(text.ids), zstandard.ZstdCompressor(level=3)
     everything = np.concatenate(text.parts)
-    listed = b" ".join(words).decode()
+    listed = press.compress(b" ".join(words))
     for at in range(0, len(everything), window):
         a = everything[at:at + window + overlap]
         starts = min(window, len(everything) - at)
@@ -152,7 +152,7 @@ def _window_rows(lang: str, text: _Words, overlap: int, window: int) -> Iterator
         nxt, seg = nxt[order], seg[order]
         cuts = np.r_[0, np.flatnonzero(np.diff(seg)) + 1, len(seg)] if len(seg) else np.zeros(1, np.int64)
         yield _batch([("root", lang, "", int(seg[i]), np.array([j - i], "<u4").tobytes(), np.zeros(1, "<i8").tobytes(),
-                       b" ".join([words[w] for w in nxt[i:j].tolist()]).decode(), counts[nxt[i:j]].astype("<u4").tobytes())
+                       press.compress(b" ".join([words[w] for w in nxt[i:j].tolist()])), press.compress(counts[nxt[i:j]].astype("<u4").tobytes()))
                       for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist())])
 
 
@@ -178,6 +178,7 @@ def _windows(overlap: int, window: int):
 def _stripe_rows(lang: str, words: list[bytes], a: np.ndarray, starts: int, k: int, sketch: np.ndarray, bundles: int) -> pa.RecordBatch:
     """Stripes of the prefixes of ``k - 1`` words that begin at the first
     ``starts`` positions of a window."""
+    press = zstandard.ZstdCompressor(level=3)
     a = a[:starts + k - 1]
     level = _passing(lang, words, a, k - 1, sketch)
     pos = np.flatnonzero(level[:starts])
@@ -207,7 +208,7 @@ def _stripe_rows(lang: str, words: list[bytes], a: np.ndarray, starts: int, k: i
         entries = np.concatenate([np.arange(ends[p] - sizes[p], ends[p]) for p in of.tolist()])
         rows.append(("bundle", lang, b"\n".join([strings[p] for p in of.tolist()]).decode(), int(bundle[order[i]]),
                      sizes[of].astype("<u4").tobytes(), rest[of].astype("<i8").tobytes(),
-                     b" ".join([follow[e] for e in entries.tolist()]).decode(), n[entries].astype("<u4").tobytes()))
+                     press.compress(b" ".join([follow[e] for e in entries.tolist()])), press.compress(n[entries].astype("<u4").tobytes())))
     # the others are cut; what no entry holds goes with segment 0
     for p in np.flatnonzero(segs > 1).tolist():
         entries = np.arange(ends[p] - sizes[p], ends[p])
@@ -215,8 +216,8 @@ def _stripe_rows(lang: str, words: list[bytes], a: np.ndarray, starts: int, k: i
         for no in np.unique(np.r_[0, seg]).tolist():
             of = entries[seg == no]
             rows.append(("part", lang, strings[p].decode(), no, np.array([len(of)], "<u4").tobytes(),
-                         np.array([0 if no else rest[p]], "<i8").tobytes(), b" ".join([follow[e] for e in of.tolist()]).decode(),
-                         n[of].astype("<u4").tobytes()))
+                         np.array([0 if no else rest[p]], "<i8").tobytes(), press.compress(b" ".join([follow[e] for e in of.tolist()])),
+                         press.compress(n[of].astype("<u4").tobytes())))
     return _batch(rows)
 
 
@@ -227,7 +228,7 @@ def _stripes(k: int, sketch, bundles: int):
             for row in range(batch.num_rows):
                 lang, starts, listed, packed = (batch.column(c)[row].as_py() for c in range(4))
                 a = np.frombuffer(unpack.decompress(packed), "<i4")
-                out = _stripe_rows(lang, listed.encode().split(b" "), a, starts, k, held, bundles)
+                out = _stripe_rows(lang, unpack.decompress(listed).split(b" "), a, starts, k, held, bundles)
                 yield from row_slices([out], 20_000)
     return run
 
@@ -237,6 +238,7 @@ def _merge(min_count: int):
     element. Entries below ``min_count`` only count in the total; a stripe
     without others makes no phrase."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
         key, stripes, out = None, {}, []       # prefix -> [total, stripe]
 
         def close():
@@ -259,7 +261,7 @@ def _merge(min_count: int):
                     if key:
                         close()
                     key, stripes = now, {}
-                counts, words, at = memoryview(packed).cast("I").tolist() if packed else [], words.split(" "), 0
+                counts, words, at = memoryview(unpack(packed)).cast("I").tolist(), unpack(words).decode().split(" "), 0
                 for p, size, rest in zip(prefix.split("\n"), memoryview(sizes).cast("I"), memoryview(rests).cast("q")):
                     held = stripes.get(p)
                     if held is None:
@@ -324,8 +326,7 @@ def _sketch_rows(phrases: DataFrame, slots: int) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(list(blocks), pa.int64()),
                                           pa.array([v.tobytes() for v in blocks.values()], pa.binary())], names=["block", "cells"])
     rows = phrases.select("lang", "phrase", "a").mapInArrow(places, "block long, at long, bits int")
-    rows = rows.groupBy("block", "at").agg(F.max("bits").alias("bits"))
-    return rows.repartition("block").mapInArrow(pack, "block long, cells binary")
+    return rows.repartition(-(-slots // _BLOCK), "block").mapInArrow(pack, "block long, cells binary")
 
 
 def add_to_sketch(sketch: np.ndarray, phrases: DataFrame) -> np.ndarray:
@@ -355,11 +356,13 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
         if k == 1:
             stripes = scratch(_merged(windows.where("kind = 'root'").select(*_COLUMNS), min_count))
         else:
-            shared = spark.sparkContext.broadcast(sketch.tobytes())
-            stripes = scratch(merged_stripes(windows, k, shared, levels[-1].count(), min_count))
+            shared, frequent = spark.sparkContext.broadcast(sketch.tobytes()), levels[-1].count()
+            stripes = scratch(merged_stripes(windows, k, shared, frequent, min_count))
+            # the tables that are joined have no more rows than there are prefixes
+            small = F.broadcast if frequent <= BROADCAST_ROWS else (lambda df: df)
         entries = stripes.select("lang", "prefix", F.explode(F.arrays_zip("next", "n")).alias("e")).select(
             "lang", "prefix", F.col("e.next").alias("next"), F.col("e.n").alias("a"))
-        per_prefix = stripes.groupBy("lang", "prefix").agg(F.sum("total").alias("total"), F.max("best").alias("best"))
+        per_prefix = scratch(stripes.groupBy("lang", "prefix").agg(F.sum("total").alias("total"), F.max("best").alias("best")))
         nothing = F.array().cast("array<bigint>")
         if k == 1:
             totals = per_prefix.select("lang", F.col("total").alias("n"))
@@ -367,20 +370,21 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
                                    nothing.alias("lefts"), nothing.alias("rights"))
         else:
             shorter = levels[-1]
-            left = shorter.join(broadcast_if_small(per_prefix), (shorter["lang"] == per_prefix["lang"])
+            left = shorter.join(small(per_prefix), (shorter["lang"] == per_prefix["lang"])
                                 & (shorter["phrase"] == per_prefix["prefix"])).select(
                 shorter["lang"].alias("lang"), shorter["phrase"].alias("prefix"),
                 F.concat("lefts", F.array("total")).alias("lefts"))
             right = shorter.select("lang", F.col("phrase").alias("suffix"), F.concat(F.array("a"), "rights").alias("rights"))
             rest = F.when(F.instr("prefix", " ") > 0, F.concat(F.expr("substr(prefix, instr(prefix, ' ') + 1)"), F.lit(" "),
                                                                F.col("next"))).otherwise(F.col("next"))
-            level = (entries.join(broadcast_if_small(left), ["lang", "prefix"]).withColumn("suffix", rest)
-                     .join(broadcast_if_small(right), ["lang", "suffix"])
+            level = (entries.join(small(left), ["lang", "prefix"]).withColumn("suffix", rest)
+                     .join(small(right), ["lang", "suffix"])
                      .select("lang", F.concat_ws(" ", "prefix", "next").alias("phrase"), "suffix", F.lit(k).alias("words"), "a",
                              "lefts", "rights"))
             longer.append(per_prefix.select("lang", F.col("prefix").alias("phrase"), F.col("best").alias("right_best"),
                                             F.lit(0).cast("bigint").alias("left_best")))
         levels.append(scratch(level))
+        discard(stripes)
         if k > 1:
             longer.append(levels[-1].select("lang", F.col("suffix").alias("phrase"), F.lit(0).cast("bigint").alias("right_best"),
                                             F.col("a").alias("left_best")))
