@@ -15,11 +15,6 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(1, keepdims=True)
-    return x - np.log(np.exp(x).sum(1, keepdims=True))
-
-
 def _log_prob(x: np.ndarray, bias: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Log softmax of x + bias at the targets, without the whole matrix of
     it (states lie in -1..1, so logits are far from overflow)."""
@@ -47,7 +42,10 @@ class Gru:
         self.p["wb"][-1, last:] = -1e9
 
     def step(self, ids: np.ndarray, h: np.ndarray):
-        n, g, u = self.hidden, self.p["x"][ids], h @ self.p["u"]
+        return self._gates(self.p["x"][ids], h)
+
+    def _gates(self, g: np.ndarray, h: np.ndarray):
+        n, u = self.hidden, h @ self.p["u"]
         zr = _sigmoid(g[:, :2 * n] + u[:, :2 * n])
         z, r = zr[:, :n], zr[:, n:]
         cand = np.tanh(g[:, 2 * n:] + r * u[:, 2 * n:])
@@ -56,16 +54,19 @@ class Gru:
     def log_probs(self, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Natural log probability of each target id given its state."""
         klass, place = np.divmod(ids, self.width)
-        out = _log_prob(h @ self.p["c"], self.p["cb"], klass)
         order = np.argsort(klass.astype(np.int16), kind="stable")
-        edges = np.searchsorted(klass[order], np.arange(self.classes + 1))
+        h, klass, place = h[order], klass[order], place[order]
+        lp = _log_prob(h @ self.p["c"], self.p["cb"], klass)
+        edges = np.searchsorted(klass, np.arange(self.classes + 1))
         for k in range(self.classes):
-            rows = order[edges[k]:edges[k + 1]]
-            if len(rows):
-                out[rows] += _log_prob(h[rows] @ self.p["w"][k], self.p["wb"][k], place[rows])
+            of = slice(edges[k], edges[k + 1])
+            if edges[k] < edges[k + 1]:
+                lp[of] += _log_prob(h[of] @ self.p["w"][k], self.p["wb"][k], place[of])
+        out = np.empty_like(lp)
+        out[order] = lp
         return out
 
-    def score(self, texts: list[np.ndarray], group: int = 512, window: int = 32) -> np.ndarray:
+    def score(self, texts: list[np.ndarray], group: int = 1024, window: int = 16) -> np.ndarray:
         """Natural log probability of each whole sequence. Sequences of like
         length run together, ``window`` steps at a time; the state goes on
         from window to window."""
@@ -102,44 +103,68 @@ class Gru:
         """Mean loss over a window, its gradients (backpropagation stops at
         the window's start) and the last state. Arrays are (steps, streams);
         ``fresh`` marks steps that begin a document."""
-        steps, p, n = [], self.p, self.hidden
-        states = np.empty((*ids.shape, n), h.dtype)
+        p, n = self.p, self.hidden
+        shape, many = (*ids.shape, n), bool(fresh.any())
+        states, prev, z, r, cand, un = (np.empty(shape, h.dtype) for _ in range(6))
+        inputs = p["x"][before]
         for t in range(len(ids)):
-            h = np.where(fresh[t][:, None], 0, h).astype(h.dtype)
-            new, kept = self.step(before[t], h)
-            steps.append((h, *kept))
-            states[t] = h = new
+            if many and fresh[t].any():
+                h = np.where(fresh[t][:, None], 0, h).astype(h.dtype)
+            prev[t] = h
+            h, (z[t], r[t], cand[t], un[t]) = self._gates(inputs[t], h)
+            states[t] = h
         flat, target = states.reshape(-1, n), ids.ravel()
         klass, place = np.divmod(target, self.width)
-        rows, count = np.arange(len(target)), len(target)
+        # rows in order of classes, so that those of a class are one slice
+        order = np.argsort(klass.astype(np.int16), kind="stable")
+        flat, klass, place, count = flat[order], klass[order], place[order], len(target)
+        edges = np.searchsorted(klass, np.arange(self.classes + 1))
         g = {k: np.zeros_like(v) for k, v in p.items()}
-        lc = _log_softmax(flat @ p["c"] + p["cb"])
-        loss = -lc[rows, klass].sum()
-        d = np.exp(lc)
-        d[rows, klass] -= 1
+
+        def softmax(rows, weights, bias, at):
+            """Loss at the targets and its gradient at the logits (states
+            lie in -1..1, so logits are far from overflow)."""
+            d = rows @ weights
+            d += bias
+            each = np.arange(len(at))
+            hit = d[each, at]
+            np.exp(d, out=d)
+            sums = d.sum(1)
+            d /= sums[:, None]
+            d[each, at] -= 1
+            return float(np.log(sums).sum() - hit.sum()), d
+        loss, d = softmax(flat, p["c"], p["cb"], klass)
         g["c"], g["cb"] = flat.T @ d, d.sum(0)
-        dflat = d @ p["c"].T
-        for k in np.unique(klass):
-            at = np.flatnonzero(klass == k)
-            lw = _log_softmax(flat[at] @ p["w"][k] + p["wb"][k])
-            loss -= lw[np.arange(len(at)), place[at]].sum()
-            d = np.exp(lw)
-            d[np.arange(len(at)), place[at]] -= 1
-            g["w"][k], g["wb"][k] = flat[at].T @ d, d.sum(0)
-            dflat[at] += d @ p["w"][k].T
-        dstates, dh = dflat.reshape(states.shape), np.zeros_like(h)
+        dsorted = d @ p["c"].T
+        for k in range(self.classes):
+            of = slice(edges[k], edges[k + 1])
+            if edges[k] == edges[k + 1]:
+                continue
+            more, d = softmax(flat[of], p["w"][k], p["wb"][k], place[of])
+            loss += more
+            g["w"][k], g["wb"][k] = flat[of].T @ d, d.sum(0)
+            dsorted[of] += d @ p["w"][k].T
+        dstates = np.empty_like(dsorted)
+        dstates[order] = dsorted
+        dstates, dh = dstates.reshape(shape), np.zeros_like(h)
+        # what the gates pass on, of all steps at once
+        to_cand, to_z = (1 - z) * (1 - cand * cand), (prev - cand) * z * (1 - z)
+        to_r, back = un * r * (1 - r), np.ascontiguousarray(p["u"].T)
         dx = np.empty((*ids.shape, 3 * n), h.dtype)
+        du = np.empty_like(dx)
         for t in range(len(ids) - 1, -1, -1):
-            prev, z, r, cand, un = steps[t]
             dh = dh + dstates[t]
-            dn = dh * (1 - z) * (1 - cand * cand)
-            dz = dh * (prev - cand) * z * (1 - z)
-            dr = dn * un * r * (1 - r)
-            dx[t] = np.hstack([dz, dr, dn])
-            du = np.hstack([dz, dr, dn * r])
-            g["u"] += prev.T @ du
-            dh = np.where(fresh[t][:, None], 0, dh * z + du @ p["u"].T).astype(h.dtype)
-        order = np.argsort(before, axis=None, kind="stable")
+            out, rec = dx[t], du[t]
+            np.multiply(dh, to_z[t], out=out[:, :n])
+            np.multiply(dh, to_cand[t], out=out[:, 2 * n:])
+            np.multiply(out[:, 2 * n:], to_r[t], out=out[:, n:2 * n])
+            rec[:, :2 * n] = out[:, :2 * n]
+            np.multiply(out[:, 2 * n:], r[t], out=rec[:, 2 * n:])
+            dh = dh * z[t] + rec @ back
+            if many:
+                dh[fresh[t]] = 0
+        g["u"] = prev.reshape(-1, n).T @ du.reshape(-1, 3 * n)
+        order = np.argsort(before.ravel().astype(np.int32), kind="stable")
         token, first = np.unique(before.ravel()[order], return_index=True)
         g["x"][token] = np.add.reduceat(dx.reshape(-1, 3 * n)[order], first, axis=0)
         return loss / count, {k: v / count for k, v in g.items()}, h

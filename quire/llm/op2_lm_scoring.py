@@ -6,39 +6,48 @@ language model of words.
 * The network's tokens are the most frequent words, the end, and groups of
   other words (hash of the last letters, length, punctuation). It is
   trained by truncated backpropagation over all training documents: a start
-  from a small sample on the driver, then rounds in which each task goes on
-  over its own whole documents of that round and the parameters of all tasks
+  from a small sample on the driver, then rounds in which each shard goes on
+  over its own whole documents of that round and the parameters of all shards
   are averaged, weighted by tokens. Each training document is in one round,
   so the tokens read grow with the input, while only one parameter vector of
-  fixed size reaches the driver a round. Scoring runs over every whole
-  document in windows, with the state carried from window to window.
+  fixed size reaches the driver a round. A document's round, shard and place
+  in it are hashes of its id and tokens, and the number of shards follows from
+  the number of tokens, so the same rows train the same network however the
+  table is cut into tasks. Scoring runs over every whole document in windows,
+  with the state carried from window to window.
 * A word of a group has the group's probability times a mixture of its count
-  in the group and of a spelling model (bytes given the three bytes before,
-  over the group's share of distinct words), which is counted over all
-  distinct training words, so every byte string has a probability.
+  in the group and of a spelling model, which is counted over all distinct
+  training words, so every byte string has a probability. Words are spelled
+  from their ends, each byte given the three after it, the last four also
+  given the group (which their tail decides). Each step is a distribution, so
+  the probabilities of all words of a group sum to at most one, and with the
+  network's softmax so do those of all words.
 * Both this and the base score (smoothed unigram) need the exact count of
   every word: head words are looked up in the task, the rest of a document's
   words is joined with the table of counts.
 
 Nulls and edge cases: a null text counts as empty, one end token. Null ids are
-learnt from. Repeated rows count as often as they occur and are scored each.
+learnt from. Repeated rows count as often as they occur and are scored each;
+equal ones are spread over shards by their copy number. Equally frequent head
+words are taken all or not at all. Very long texts are read as ids of two bytes
+a word and scored in windows.
 Without training documents N and V are 0 and the network is untrained. An
 empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc32_mod, scratch, table, text_slices
+from .common import crc32_mod, discard, scratch, shuffle_partitions, table, text_slices
 from .gru import Gru
 
 END = b""                                  # no word is empty
@@ -48,7 +57,12 @@ SAMPLE_DOCS = 600
 #: rounds over all training documents, rate of the first one
 ROUNDS, RATE = 4, 0.01
 STEPS = 600
-_CONTEXTS_LOG2, _ENDS = 12, 256            # spelling: hashed contexts; end of word
+#: tokens of a shard, about, and shards of a round at most (then they are larger)
+SHARD_TOKENS, MAX_SHARDS = 1 << 20, 4096
+#: tokens that a shard lays out at once
+SLICE_TOKENS = 1 << 18
+_CONTEXTS_LOG2, _ENDS = 15, 256            # spelling: hashed contexts; end of word
+_GROUPED = 4                               # symbols spelled given the group
 _TAILS, _PUNCT = 64, b".,;:!?%$&*#|"
 GROUPS = 4 * _TAILS
 
@@ -98,42 +112,50 @@ def head_words(counts: DataFrame, head: int) -> list[tuple[bytes, int]]:
     return sorted(((bytes(r[0]), r[1]) for r in counts.where(step >= low).collect()), key=lambda r: (-r[1], r[0]))
 
 
-def _spelling_keys(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """For each byte and end of word: the hashed context and the symbol."""
+def _spelling_keys(words: list[bytes], groups: list[int] | np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each byte from a word's last to its first, and then its end: the
+    hashed context and the symbol; and where each word starts."""
     lens = np.array([len(w) + 1 for w in words])
-    a = np.frombuffer(b"\0".join(words) + b"\0", np.uint8).astype(np.int64)
+    a = np.frombuffer(b"\0".join(words)[::-1] + b"\0", np.uint8).astype(np.int64)
+    lens, group = lens[::-1], np.asarray(groups, np.int64)[::-1]
     ends = np.cumsum(lens) - 1
     symbol = a.copy()
     symbol[ends] = _ENDS
-    start = np.repeat(ends - lens + 1, lens)
-    at, context = np.arange(len(a)), np.zeros(len(a), np.int64)
+    first = ends - lens + 1
+    start = np.repeat(first, lens)
+    at = np.arange(len(a))
+    # within the first symbols the group, then a mark of its own
+    context = np.where(at - start < _GROUPED, np.repeat(group, lens) * _GROUPED + at - start, GROUPS * _GROUPED)
     for back in (3, 2, 1):
         inside = at - back >= start
         context = context * 257 + np.where(inside, a[np.maximum(at - back, 0)] + 1, 0)
-    context = (context * 2654435761 & 0xFFFFFFFF) >> (32 - _CONTEXTS_LOG2)
-    return context, symbol
+    context = context.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - _CONTEXTS_LOG2)
+    return context.astype(np.int64), symbol, first
 
 
-def spelling(counts: DataFrame) -> np.ndarray:
+def spelling(counts: DataFrame, own: set[bytes] = frozenset()) -> np.ndarray:
     """log10 probability of a symbol given a hashed context, counted over all
-    distinct words. At most 2^12 x 257 sums reach the driver."""
+    distinct words but ``own``. At most 2^15 x 257 sums reach the driver."""
     shape = (1 << _CONTEXTS_LOG2, _ENDS + 1)
 
     def run(batches):
         total = np.zeros(shape[0] * shape[1], np.int64)
         for b in batches:
-            words = [w for w in b.column(0).to_pylist() if w]
+            words = [w for w in b.column(0).to_pylist() if w and w not in own]
             if words:
-                c, s = _spelling_keys(words)
+                c, s, _ = _spelling_keys(words, [group_of(w) for w in words])
                 total += np.bincount(c * shape[1] + s, minlength=len(total))
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["k", "n"])
     n = np.zeros(shape[0] * shape[1])
-    for k, c in counts.select("word").mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n")).collect():
-        n[k] = c
+    sums = counts.select("word").mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toArrow()
+    n[sums["k"].to_numpy()] = sums["n"].to_numpy()
     n = n.reshape(shape)
     plain = (n.sum(0) + 0.01) / (n.sum() + 0.01 * shape[1])
-    return np.log10((n + 2 * plain) / (n.sum(1, keepdims=True) + 2)).astype(np.float32)
+    all_of = n.sum(1, keepdims=True) + 2
+    n += 2 * plain
+    n /= all_of
+    return np.log10(n, out=n).astype(np.float32)
 
 
 # ------------------------------------------------------------------- model
@@ -156,49 +178,97 @@ class Model:
         # of a group's probability its known words have c / (tokens + types)
         # each, what is left goes to the spelling model
         self.size = np.maximum(tokens + types, 1.0)
-        left = np.log10((types + (types == 0)) / self.size)
-        # the spelling model spreads over all groups; its share of a group is
-        # taken to be the group's share of the distinct words
-        self.left = left - np.log10((types + 1) / (types.sum() + GROUPS))
+        self.left = np.log10((types + (types == 0)) / self.size)
         self.tokens = np.where(group < 0, [self.id.get(w, 0) for w, _ in head], group) if head else np.zeros(0, np.int64)
         rare = np.flatnonzero(group >= 0)
         g = group[rare]
-        spelled = self.spell_log10([head[k][0] for k in rare]) + self.left[g]
+        spelled = self.spell_log10([head[k][0] for k in rare], g) + self.left[g]
         self.extra = np.zeros(len(head))       # log10 of the word given its group
         self.extra[rare] = np.log10(self.counts[rare] / self.size[g] + 10.0 ** spelled)
 
-    def spell_log10(self, words: list[bytes]) -> np.ndarray:
+    def spell_log10(self, words: list[bytes], groups: list[int] | np.ndarray) -> np.ndarray:
+        """log10 probability of each word's spelling given its group."""
         if not words:
             return np.zeros(0)
-        c, s = _spelling_keys(words)
-        lens = np.array([len(w) + 1 for w in words])
-        return np.add.reduceat(self.spell[c, s].astype(float), np.cumsum(lens) - lens)
+        c, s, first = _spelling_keys(words, groups)
+        return np.add.reduceat(self.spell[c, s].astype(float), first)[::-1]
 
     def base_log10(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + 1) / (self.n + self.v + 1))
 
 
+class _Ids(dict):
+    """Network id of each word; groups of a bounded number of other words are
+    kept once worked out."""
+
+    def __init__(self, own: dict[bytes, int]):
+        super().__init__(own)
+        self.own, self.left = own, 100_000
+
+    def __missing__(self, word):
+        k = group_of(word)
+        if self.left:
+            self.left -= 1
+            self[word] = k
+        return k
+
+
 def network_ids(raw: bytes | None, ids: dict[bytes, int], end: int) -> np.ndarray:
-    return np.array([ids[w] if w in ids else group_of(w) for w in words_of(raw)] + [end], np.int32)
+    words = words_of(raw)
+    out = np.full(len(words) + 1, end, np.int16)
+    out[:-1] = np.fromiter(map((ids if isinstance(ids, _Ids) else _Ids(ids)).__getitem__, words), np.int16, len(words))
+    return out
+
+
+def encoded(train: DataFrame, model: Model, rounds: int) -> DataFrame:
+    """``h, ids, n, round``: each different pair of an id's hash and a text's
+    tokens, how often it occurs and its round."""
+    own, end = model.id, model.end
+
+    def run(batches):
+        ids = _Ids(own)
+        for b in text_slices(batches, 1):
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([network_ids(t, ids, end).tobytes() for t in b.column(1).to_pylist()], pa.binary())], names=["h", "ids"])
+    rows = train.select(F.xxhash64(F.lit(2), "id").alias("h"), "text").mapInArrow(run, "h long, ids binary")
+    return rows.groupBy("h", "ids").agg(F.count(F.lit(1)).alias("n")).select(
+        "h", "ids", "n", F.pmod(F.xxhash64(F.lit(3), "h", "ids"), F.lit(max(rounds, 1))).cast("int").alias("round"))
 
 
 _PIECES = 64                               # of a state, summed apart
 
 
-def train_round(docs: DataFrame, model: Model, rate: float) -> int:
-    """Training over all rows ``text`` of ``docs``, a network a task, all from
-    the model's; it becomes their average by tokens. Returns the tokens read."""
-    net, ids, end = model.net, model.id, model.end
+def shard_slices(batches: Iterator[pa.RecordBatch], limit: int = SLICE_TOKENS) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """``shard, texts`` from rows ``shard, ids`` sorted by shard: whole texts of
+    one shard, cut where ``limit`` tokens are passed, whatever the batches."""
+    shard, texts, size = None, [], 0
+    for b in batches:
+        for k, raw in zip(b.column(0).to_pylist(), b.column(1)):
+            if texts and (k != shard or size >= limit):
+                yield shard, texts
+                texts, size = [], 0
+            shard = k
+            texts.append(np.frombuffer(raw.as_py(), np.int16))
+            size += len(texts[-1])
+    if texts:
+        yield shard, texts
+
+
+def train_round(rows: DataFrame, model: Model, rate: float, shards: int = 1) -> int:
+    """Training over all rows ``h, ids, n``, a network a shard, all from the
+    model's; it becomes their average by tokens. Returns the tokens read."""
+    net = model.net
 
     def run(batches):
-        slices = text_slices(batches, 0)
-        n = net.read(([network_ids(t, ids, end) for t in b.column(0).to_pylist()] for b in slices), rate)
-        if n:
+        start, steps = net.state(), net.t
+        for shard, part in itertools.groupby(shard_slices(batches), key=lambda s: s[0]):
+            net.set_state(start)
+            net.t = steps
+            n = net.read((texts for _, texts in part), rate)
             pieces = np.array_split(net.state().astype(float) * n, _PIECES)
-            part = TaskContext.get().partitionId()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(range(_PIECES), pa.int32()), pa.array([part] * _PIECES, pa.int32()), pa.array([n] * _PIECES, pa.int64()),
-                 pa.array([p.tobytes() for p in pieces], pa.binary())], names=["piece", "part", "n", "sums"])
+                [pa.array(range(_PIECES), pa.int32()), pa.array([shard] * _PIECES, pa.int32()), pa.array([n] * _PIECES, pa.int64()),
+                 pa.array([p.tobytes() for p in pieces], pa.binary())], names=["piece", "shard", "n", "sums"])
 
     def add(batches):
         sums: dict[int, list] = {}
@@ -208,8 +278,14 @@ def train_round(docs: DataFrame, model: Model, rate: float) -> int:
                 got[0], got[1] = got[0] + n, got[1] + np.frombuffer(raw)
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([v[0] for v in sums.values()], pa.int64()),
                                           pa.array([v[1].tobytes() for v in sums.values()], pa.binary())], names=["piece", "n", "sums"])
-    states = docs.select("text").mapInArrow(run, "piece int, part int, n long, sums binary")
-    got = sorted(tuple(r) for r in states.repartition("piece").sortWithinPartitions("piece", "part")
+    # equal rows are told apart by the number of the copy
+    copies = rows.select("h", "ids", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy"))
+    dealt = copies.select(F.pmod(F.xxhash64(F.lit(4), "h", "ids", "copy"), F.lit(shards)).cast("int").alias("shard"), "ids",
+                          F.xxhash64(F.lit(5), "h", "copy").alias("at"))
+    parts = min(shards, shuffle_partitions(rows.sparkSession))
+    states = dealt.repartition(parts, "shard").sortWithinPartitions("shard", "at", "ids").select("shard", "ids").mapInArrow(
+        run, "piece int, shard int, n long, sums binary")
+    got = sorted(tuple(r) for r in states.repartition("piece").sortWithinPartitions("piece", "shard")
                  .mapInArrow(add, "piece int, n long, sums binary").collect())
     if not got:
         return 0
@@ -235,23 +311,18 @@ def learn(train: DataFrame, counts: DataFrame, head: int = HEAD, sample_docs: in
     totals = np.zeros((2, GROUPS))
     for g, a, b in counts.mapInArrow(groups, "g long, tokens long, types long").groupBy("g").agg(F.sum("tokens"), F.sum("types")).collect():
         totals[:, g] = a, b
-    model = Model(known, spelling(counts), int(total[0]), int(total[1]), totals)
-    rows = train.count()
-    share = min(1.0, sample_docs / max(rows, 1))
-    ids, end = model.id, model.end
-
-    def encode(batches):
-        for b in text_slices(batches, 1):
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([network_ids(t, ids, end).tobytes() for t in b.column(1).to_pylist()], pa.binary())],
-                                             names=["h", "ids"])
-    h = F.xxhash64(F.lit(2), "id", F.length("text"))
-    picked = train.select(h.alias("h"), "text").where(F.pmod("h", F.lit(1_000_000)) < share * 1_000_000)
-    got = sorted((r[0], bytes(r[1])) for r in picked.mapInArrow(encode, "h long, ids binary").collect())
-    model.net.train([np.frombuffer(x, np.int32) for _, x in got], steps=steps)
+    model = Model(known, spelling(counts, own), int(total[0]), int(total[1]), totals)
+    rows = scratch(encoded(train, model, rounds), partition_by="round")
+    # the start: about so many of the documents, by a hash of id and tokens
+    share = min(1.0, sample_docs / max(rows.count(), 1))
+    picked = rows.where(F.pmod(F.xxhash64(F.lit(6), "h", "ids"), F.lit(1_000_000)) < share * 1_000_000)
+    got = sorted((r[0], bytes(r[1])) for r in picked.select("h", "ids").collect())
+    model.net.train([np.frombuffer(x, np.int16) for _, x in got], steps=steps)
     model.trained = 0
+    shards = max(1, min(MAX_SHARDS, -(-model.n // (SHARD_TOKENS * max(rounds, 1)))))
     for k in range(rounds):
-        part = train.where(F.pmod(F.xxhash64(F.lit(3), "id", F.length("text")), F.lit(rounds)) == k)
-        model.trained += train_round(part, model, rate * (1 - k / rounds))
+        model.trained += train_round(rows.where(F.col("round") == k), model, rate * (1 - k / rounds), shards)
+    discard(rows)
     model.net.rest()
     return model
 
@@ -290,7 +361,7 @@ def _score(model: Model):
                             cache.clear()
                             new = list(set(missing))
                         g = [group_of(w) for w in new]
-                        for w, k, s in zip(new, g, model.spell_log10(new) + model.left[g]):
+                        for w, k, s in zip(new, g, model.spell_log10(new, g) + model.left[g]):
                             cache[w] = k, float(s)
                     seq[:-1][~ok] = [cache[w][0] for w in missing]
                 seqs.append(seq), sizes.append(len(seq)), known.append(int(ok.sum()) + (end_at is not None))

@@ -129,19 +129,77 @@ def test_every_token_is_read_once():
 
 
 def test_rounds_are_averaged_by_tokens(spark):
-    docs = spark.createDataFrame([(bytearray(b"a b c " * n),) for n in (5, 40, 900)], "text binary").repartition(3)
-    counts = op.word_counts(docs).cache()
-    model = op.learn(docs.selectExpr("1L as id", "text"), counts, steps=2, rounds=0)
-    start = model.net.state()
+    docs = spark.createDataFrame([(k, bytearray(b"a b c " * n)) for k, n in enumerate((5, 40, 900, 7, 7, 300))], "id long, text binary")
+    counts = op.word_counts(docs.repartition(3)).cache()
+    model = op.learn(docs, counts, steps=2, rounds=0)
+    start, steps = model.net.state(), model.net.t
+    rows = op.encoded(docs, model, 1).cache()
+    copies = rows.selectExpr("h", "ids", "explode(sequence(1L, n)) copy").selectExpr(
+        "pmod(xxhash64(4, h, ids, copy), 3) shard", "xxhash64(5, h, copy) at", "ids").orderBy("shard", "at", "ids").collect()
     want, total = 0.0, 0
-    for part in docs.rdd.glom().collect():
+    for shard in {r[0] for r in copies}:
         net = Gru(model.end + 1, op.HIDDEN, op.WIDTH)
         net.set_state(start)
-        n = net.read([[op.network_ids(bytes(r[0]), model.id, model.end) for r in part]], 0.01)
+        net.t = steps
+        n = net.read([[np.frombuffer(bytes(r[2]), np.int16) for r in copies if r[0] == shard]], 0.01)
         want, total = want + net.state().astype(float) * n, total + n
-    assert op.train_round(docs, model, 0.01) == total == model.n
+    assert len({r[0] for r in copies}) > 1
+    assert op.train_round(rows.repartition(4), model, 0.01, 3) == total == model.n
     assert np.allclose(model.net.state(), want / total, atol=1e-6)
 
 
+def test_scores_do_not_depend_on_partitions(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    docs = docs.union(docs.limit(3)).union(docs.limit(1))            # repeated rows
+    a, b = [sorted((r["doc_id"], r["score"]) for r in op.lm_score(docs.repartition(n), head=100, sample_docs=60, steps=60).collect())
+            for n in (1, 5)]
+    assert [r[0] for r in a] == [r[0] for r in b]
+    assert max(abs(x[1] - y[1]) for x, y in zip(a, b)) < 0.01
+
+
+def test_slices_are_whole_texts_of_one_shard():
+    rows = [(0, 5), (0, 5), (0, 1), (2, 30), (2, 1), (5, 4)]
+    batch = op.pa.RecordBatch.from_arrays([op.pa.array([k for k, _ in rows]), op.pa.array([np.zeros(n, np.int16).tobytes() for _, n in rows])],
+                                          names=["shard", "ids"])
+    want = [(0, [5, 5]), (0, [1]), (2, [30]), (2, [1]), (5, [4])]
+    for cut in (1, 2, 6):
+        parts = [batch.slice(at, cut) for at in range(0, 6, cut)]
+        assert [(k, [len(t) for t in texts]) for k, texts in op.shard_slices(iter(parts), 8)] == want
+    assert list(op.shard_slices(iter([]))) == []
+
+
+def test_words_of_a_group_have_at_most_its_probability(spark):
+    rng = np.random.default_rng(4)
+    words = sorted({bytes(rng.integers(97, 123, n)) + end for n in (1, 2, 2, 3, 5, 8) * 200 for end in (b"", b".", b",")})
+    counts = spark.createDataFrame([(w, int(c)) for w, c in zip(words, rng.integers(1, 9, len(words)))], "word binary, c long")
+    train = spark.createDataFrame([(1, bytearray(b" ".join(words)))], "id long, text binary")
+    model = op.learn(train, counts, head=len(words), steps=2, rounds=0, sample_docs=1)
+    assert len(words) > 2 * len(model.id)
+    # every word of one and two bytes, and every known one; the rest only adds what is left of the spelling
+    short = {bytes([a]) for a in range(256)} | {bytes([a, b]) for a in range(256) for b in range(256)}
+    mass, extra = np.zeros(op.GROUPS), dict(zip(model.place, model.extra))
+    for w, x in extra.items():
+        if w != op.END and w not in model.id:
+            mass[op.group_of(w)] += 10.0 ** x
+    new = sorted(w for w in short if w not in extra)
+    g = np.array([op.group_of(w) for w in new])
+    np.add.at(mass, g, 10.0 ** (model.spell_log10(new, g) + model.left[g]))
+    assert (mass <= 1 + 1e-4).all() and mass.max() > 0.3
+    rows = 10.0 ** model.spell.astype(float)
+    assert np.allclose(rows.sum(1), 1, atol=1e-4)      # each step of a spelling is a distribution
+
+
+def test_spelling_is_given_the_group(spark):
+    words = [b"abcing", b"xyzing", b"w.", b"abced"]
+    c, s, first = op._spelling_keys(words, [1, 1, 2, 3])
+    assert len(c) == sum(len(w) + 1 for w in words) and first.tolist() == [0, 6, 9, 16]
+    spelled = [bytes(s[a:b - 1].astype(np.uint8))[::-1] for a, b in zip(first, [*first[1:], len(s)])]
+    assert spelled[::-1] == words and (s[[*first[1:] - 1, -1]] == 256).all()
+    assert (c[9:13] == c[16:20]).all()
+    alone = op._spelling_keys([b"abcing"], [1])
+    other = op._spelling_keys([b"abcing"], [5])
+    assert (alone[0][:4] != other[0][:4]).all() and (alone[0][4:] == other[0][4:]).all()
+
+
 def test_start_is_not_cut():
     assert op.STEPS >= 600
