@@ -222,6 +222,9 @@ _ORACLE = {
         FROM q JOIN lex ON q.term = lex.term""",
     "missing_terms": f"""WITH {_TF}, {_Q}
         SELECT query_pos, term FROM q WHERE term NOT IN (SELECT term FROM tf)""",
+    "lookup_term_list": f"""WITH {_TF}, wanted AS (
+            SELECT DISTINCT lower(unnest(regexp_extract_all(text, '[A-Za-z0-9]+'))) AS term FROM benchmark)
+        SELECT tf.term, count(*)::BIGINT AS doc_freq FROM tf JOIN wanted ON tf.term = wanted.term GROUP BY tf.term""",
     "next_geq": _NEXT_GEQ,
     "next_geq_blocks": _NEXT_GEQ,
     "locate_block": f"""WITH {_TF}, {_G}, {_P}

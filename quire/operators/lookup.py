@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ..config import MAX_BROADCAST_ROWS
 from ..functions.arrays import first_geq
 from ..session import pin
+from .bloom import cut_to
 from .index import doc_freq
 from .layout import block_postings
 from .prefix import global_running_sum
@@ -124,20 +125,33 @@ def query_frame(spark: SparkSession, terms: list[str]) -> DataFrame:
 def _small(df: DataFrame) -> DataFrame:
     """``df``, to be broadcast if a count finds few rows; else the join
     shuffles."""
-    return F.broadcast(df) if df.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS else df
+    return F.broadcast(df) if _is_small(df) else df
 
 
-def lookup_terms(query: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """Query terms found in the lexicon, with their lexicon entry."""
-    return _small(query).join(lexicon, "term", "inner")
+def _is_small(df: DataFrame, bound: int = MAX_BROADCAST_ROWS) -> bool:
+    return df.limit(bound + 1).count() <= bound
 
 
-def missing_terms(query: DataFrame, lexicon: DataFrame) -> DataFrame:
+def lookup_terms(query: DataFrame, lexicon: DataFrame, broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Query terms found in the lexicon, with their lexicon entry. Up to
+    ``broadcast_rows`` query rows are broadcast; for more the lexicon goes
+    through a Bloom filter of their terms and only what passes is shuffled."""
+    if _is_small(query, broadcast_rows):
+        return F.broadcast(query).join(lexicon, "term", "inner")
+    return query.join(cut_to(lexicon, query, "term"), "term", "inner")
+
+
+def missing_terms(query: DataFrame, lexicon: DataFrame, broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Query terms absent from the lexicon (reported, then left out).
 
-    The lexicon is first cut down to the query's terms by a semi join with
-    the query, so the anti join never shuffles the whole lexicon."""
-    present = lexicon.select("term").join(_small(query.select("term").distinct()), "term", "left_semi")
+    The lexicon is first cut down to the query's terms, by a semi join with
+    a short query or the Bloom filter of a long one, so the anti join never
+    shuffles the whole lexicon."""
+    terms = query.select("term").distinct()
+    if _is_small(terms, broadcast_rows):
+        present = lexicon.select("term").join(F.broadcast(terms), "term", "left_semi")
+    else:
+        present = cut_to(lexicon.select("term"), terms, "term")
     return query.join(present, "term", "left_anti")
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import LINE_POSTINGS
+from ..functions.text import tokenize
 from ..operators import index as idx
 from ..operators import layout, lookup, prefix
 from ..session import delete_on_exit, pin, scratch_path
@@ -285,6 +286,14 @@ def q_missing_terms(spark, sf_dir):
     return lookup.missing_terms(query, lex).select("query_pos", "term")
 
 
+def q_lookup_term_list(spark, sf_dir):
+    """The distinct terms of the benchmark texts, as a long query list, in
+    the corpus' lexicon cut down by their Bloom filter."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    terms = items.select(F.explode_outer(tokenize(F.col("text"))).alias("term")).where("term is not null").distinct()
+    return lookup.lookup_terms(terms, idx.doc_freq(_postings(spark, sf_dir)), broadcast_rows=0).select("term", "doc_freq")
+
+
 def q_next_geq(spark, sf_dir):
     return lookup.next_geq(_postings(spark, sf_dir), probes(spark, sf_dir))
 
@@ -357,6 +366,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "read_collection": q_read_collection,
     "lookup_terms": q_lookup_terms,
     "missing_terms": q_missing_terms,
+    "lookup_term_list": q_lookup_term_list,
     "next_geq": q_next_geq,
     "next_geq_blocks": q_next_geq_blocks,
     "locate_block": q_locate_block,
