@@ -4,9 +4,12 @@ Source i holds a share s_i of the tokens. Its weight is s_i^t / sum s_j^t: at
 exponent (inverse temperature) t = 1 the natural mix, at 0 equal weights. The
 exponent is found by bisection, as the smallest in [0, 1] at which no source
 is repeated more than ``max_repeats`` times, or as the largest at which the
-entropy of the weights reaches ``target_entropy`` (a fraction of log n).
+entropy of the weights reaches ``target_entropy`` (a fraction of log n). With
+``entropy_gain`` the target is that fraction of the way from the entropy of
+the natural mix to log n, so on any shares that differ the exponent lies
+strictly between 0 and 1.
 
-With a budget of B tokens source i gets B * w_i, realised as whole
+With a budget of B tokens (or ``passes`` times the tokens of the input) source i gets B * w_i, realised as whole
 permutations of its documents and a part of one: copies = floor(quota /
 tokens), and one more for the documents that come first in the next
 permutation while they fit the rest. Without ``budget`` B is the smallest for
@@ -38,6 +41,8 @@ from pyspark.sql import functions as F
 from .common import broadcast_if_small, scratch, table
 
 MAX_REPEATS, BLOCKS, SEED = 2.0, 64, 5
+#: The registered query: entropy half way to equal weights, two passes of tokens.
+ENTROPY_GAIN, PASSES = 0.5, 2.0
 _HALVINGS, _ROUNDS = 6, 5
 
 
@@ -78,10 +83,21 @@ def find_exponent(shares: DataFrame, max_repeats: float | None, target_entropy:
     return low if target_entropy is not None else high
 
 
+def entropy_between(shares: DataFrame, gain: float) -> float:
+    """The entropy, as a fraction of log n, that lies ``gain`` of the way from
+    that of the shares to log n."""
+    r = shares.agg(F.count(F.lit(1)).alias("n"), F.sum(-F.col("s") * F.log("s")).alias("h")).first()
+    if not r["n"] or r["n"] == 1:
+        return 1.0
+    natural = r["h"] / math.log(r["n"])
+    return natural + gain * (1 - natural)
+
+
 def source_plan(docs: DataFrame, source_col: str, id_col: str, text_col: str, budget: float | None = None,
-                max_repeats: float | None = MAX_REPEATS, target_entropy: float | None = None, seed: int = SEED) -> DataFrame:
-    """A row for each source: ``src, n_docs, tokens, share, weight, quota,
-    whole`` (permutations) and ``cut`` (documents whose hash is at most this
+                max_repeats: float | None = MAX_REPEATS, target_entropy: float | None = None, seed: int = SEED,
+                passes: float | None = None, entropy_gain: float | None = None) -> DataFrame:
+    """A row for each source: ``src, n_docs, tokens, share, exponent, weight,
+    quota, whole`` (permutations) and ``cut`` (documents whose hash is at most this
     are taken once more; null: none)."""
     counted = scratch(docs.select(F.col(source_col).alias("src"), F.col(id_col).alias("id"),
                                   token_count(text_col).alias("n_tokens")))
@@ -89,12 +105,17 @@ def source_plan(docs: DataFrame, source_col: str, id_col: str, text_col: str, bu
     per = scratch(per)
     tokens = per.agg(F.sum("tokens")).first()[0] or 0
     per = per.withColumn("share", F.col("tokens") / F.lit(float(tokens or 1)))
-    t = find_exponent(per.where("tokens > 0").select(F.col("share").alias("s")), max_repeats, target_entropy)
+    shares = per.where("tokens > 0").select(F.col("share").alias("s"))
+    if entropy_gain is not None:
+        target_entropy = entropy_between(shares, entropy_gain)
+    t = find_exponent(shares, max_repeats, target_entropy)
     power = F.when(F.col("tokens") > 0, F.pow("share", F.lit(t))).otherwise(0.0)
     total = per.agg(F.sum(power), F.max("share")).first()
     z, top = total[0] or 1.0, total[1] or 1.0
+    if passes is not None:
+        budget = passes * tokens
     size = float(budget) if budget is not None else tokens * top ** (1 - t) * z
-    plan = (per.withColumn("weight", power / z).withColumn("quota", F.col("weight") * size)
+    plan = (per.withColumn("exponent", F.lit(t)).withColumn("weight", power / z).withColumn("quota", F.col("weight") * size)
             .withColumn("whole", F.when(F.col("tokens") > 0, F.floor(F.col("quota") / F.col("tokens") + 1e-9)).otherwise(1))
             .withColumn("rest", F.col("quota") - F.col("whole") * F.col("tokens"))
             .withColumn("buckets", F.ceil(F.sqrt(F.col("n_docs")))))
@@ -130,10 +151,10 @@ def order_hash(id_col: str, epoch, seed: int):
 def mix(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", text_col: str = "text",
         blocks: int = BLOCKS, seed: int = SEED, **options) -> DataFrame:
     """All columns of ``docs`` in a struct ``row``, one row for each time a
-    document is taken, with ``epoch, mix_block, mix_order, weight, quota``.
+    document is taken, with ``epoch, mix_block, mix_order, weight, quota, exponent``.
     ``options`` go to :func:`source_plan`."""
     plan = source_plan(docs, source_col, id_col, text_col, seed=seed, **options).select(
-        F.col("src").alias("p"), "whole", "cut", "weight", "quota", "tokens")
+        F.col("src").alias("p"), "whole", "cut", "weight", "quota", "exponent", "tokens")
     packed = docs.select(F.struct("*").alias("row"), F.col(source_col).alias("src"), F.col(id_col).alias("id"))
     taken = packed.join(broadcast_if_small(plan), F.col("src").eqNullSafe(F.col("p")))
     extra = (order_hash("id", "whole", seed) <= F.col("cut")).cast("int")
@@ -144,12 +165,13 @@ def mix(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", tex
     part = F.coalesce(place / F.nullif("quota", F.lit(0.0)), F.lit(0.0))
     return taken.select(
         "row", "epoch", F.least(F.floor(part * blocks), F.lit(blocks - 1)).cast("int").alias("mix_block"),
-        F.xxhash64(F.lit(seed + 1), "epoch", "id").alias("mix_order"), "weight", "quota")
+        F.xxhash64(F.lit(seed + 1), "epoch", "id").alias("mix_order"), "weight", "quota", "exponent")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every time a document is taken: its source's weight, the epoch and the
-    place in the mix."""
+    """Every time a document is taken: its source's weight, the exponent, the
+    epoch and the place in the mix. The mix has ``PASSES`` times the tokens of
+    the table."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mix(docs).select("row.doc_id", "row.source", token_count("row.text").alias("n_tokens"),
-                            "epoch", "mix_block", "mix_order", "weight")
+    return mix(docs, entropy_gain=ENTROPY_GAIN, passes=PASSES).select("row.doc_id", "row.source", token_count("row.text").alias("n_tokens"),
+                            "epoch", "mix_block", "mix_order", "weight", "exponent")

@@ -12,9 +12,14 @@ SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("tex
                        T.StructField("source", T.StringType())])
 
 
-def brute(rows, hashes, budget=None, max_repeats=2.0):
-    """Times each row is taken; ``hashes`` gives a document's place in the
-    permutation of an epoch."""
+def entropy(shares, t):
+    z = sum(v ** t for v in shares)
+    return -sum(v ** t / z * math.log(v ** t / z) for v in shares)
+
+
+def brute(rows, hashes, budget=None, max_repeats=2.0, gain=None, passes=None):
+    """Times each row is taken, weights and the exponent; ``hashes`` gives a
+    document's place in the permutation of an epoch."""
     n = [len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for _, t, _ in rows]
     tokens, members = Counter(), defaultdict(list)
     for k, (_, _, s) in enumerate(rows):
@@ -25,12 +30,19 @@ def brute(rows, hashes, budget=None, max_repeats=2.0):
     lo, hi = 0.0, 1.0
     for _ in range(60):
         mid = (lo + hi) / 2
-        if (max(share.values()) / min(share.values())) ** (1 - mid) <= max_repeats:
+        if gain is not None:
+            full, natural = math.log(len(share)), entropy(share.values(), 1)
+            fits = entropy(share.values(), mid) < natural + gain * (full - natural)
+        else:
+            fits = (max(share.values()) / min(share.values())) ** (1 - mid) <= max_repeats
+        if fits:
             hi = mid
         else:
             lo = mid
     z = sum(v ** hi for v in share.values())
     weight = {s: v ** hi / z for s, v in share.items()}
+    if passes:
+        budget = passes * total
     size = budget or max(tokens[s] / weight[s] for s in share)
     times = [1] * len(rows)
     for s in share:
@@ -47,7 +59,7 @@ def brute(rows, hashes, budget=None, max_repeats=2.0):
                 break
             for k in peers:
                 times[k] += 1
-    return times, weight
+    return times, weight, hi
 
 
 def hash_table(spark, ids):
@@ -57,11 +69,12 @@ def hash_table(spark, ids):
 
 
 @pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
-def test_query_equals_brute_force(spark, sf):
+def test_mix_without_a_budget_equals_brute_force(spark, sf):
     d = f"/root/testdata/{sf}"
     rows = [tuple(r) for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text", "source").collect()]
-    got = op.query(spark, d).collect()
-    times, weight = brute(rows, hash_table(spark, [r[0] for r in rows]))
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    got = op.mix(docs).select("row.doc_id", "row.source", op.token_count("row.text").alias("n_tokens"), "epoch", "weight").collect()
+    times, weight, _ = brute(rows, hash_table(spark, [r[0] for r in rows]))
     seen = Counter(r["doc_id"] for r in got)
     assert sum(abs(seen[i] - times[k]) for k, (i, _, _) in enumerate(rows)) <= 1   # a tie of floats at a cut
     assert all(v >= 1 for v in times) and len(seen) == len(rows)
@@ -77,6 +90,36 @@ def test_query_equals_brute_force(spark, sf):
     assert all(e == set(range(len(e))) for e in epochs.values())
 
 
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_query_equals_brute_force(spark, sf):
+    d = f"/root/testdata/{sf}"
+    rows = [tuple(r) for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text", "source").collect()]
+    got = op.query(spark, d).collect()
+    times, weight, t = brute(rows, hash_table(spark, [r[0] for r in rows]), gain=op.ENTROPY_GAIN, passes=op.PASSES)
+    assert 0.05 < t < 0.95 and all(r["exponent"] == pytest.approx(t, abs=1e-6) for r in got)
+    seen = Counter(r["doc_id"] for r in got)
+    # quotas differ in the last digits: a document at a cut may go either way
+    assert sum(abs(seen[i] - times[k]) for k, (i, _, _) in enumerate(rows)) <= 2
+    assert all(r["weight"] == pytest.approx(weight[r["source"]], rel=1e-5) for r in got)
+    # a source stops at the first document over its quota
+    n = [len(re.findall(r"[^\x20\x09-\x0D]+", x or "")) for _, x, _ in rows]
+    mixed = Counter()
+    for r in got:
+        mixed[r["source"]] += r["n_tokens"]
+    for s, w in weight.items():
+        quota, longest = op.PASSES * sum(n) * w, max(k for k, r in zip(n, rows) if r[2] == s)
+        assert quota - longest - 1 < mixed[s] < quota + 1
+
+
+def test_entropy_gain_lies_between_natural_and_equal(spark):
+    s = spark.createDataFrame([(0.7,), (0.2,), (0.1,)], "s double")
+    target = op.entropy_between(s, 0.5)
+    t = op.find_exponent(s, None, target)
+    assert 0 < t < 1
+    assert entropy((0.7, 0.2, 0.1), t) == pytest.approx((entropy((0.7, 0.2, 0.1), 1) + math.log(3)) / 2, abs=1e-6)
+    assert op.entropy_between(s.limit(0), 0.5) == op.entropy_between(s.limit(1), 0.5) == 1.0
+
+
 def test_entropy_target(spark):
     s = spark.createDataFrame([(0.7,), (0.2,), (0.1,)], "s double")
     t = op.find_exponent(s, None, 0.9)
@@ -89,7 +132,7 @@ def test_budget_below_one_pass(spark):
     rows = [(k, "a b c d", f"s{k % 2}") for k in range(100)] + [(1000 + k, "a b", "s0") for k in range(40)]
     df = spark.createDataFrame(rows, SCHEMA)
     got = op.mix(df, budget=201.5).select("row.doc_id").collect()
-    times, _ = brute(rows, hash_table(spark, [r[0] for r in rows]), budget=201.5)
+    times, _, _ = brute(rows, hash_table(spark, [r[0] for r in rows]), budget=201.5)
     assert Counter(r[0] for r in got) == Counter({i: t for (i, _, _), t in zip(rows, times) if t})
 
 
