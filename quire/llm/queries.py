@@ -3,7 +3,7 @@ express them."""
 
 from __future__ import annotations
 
-from . import (op1_suffix_dedup, op2_lm_scoring, op3_quality_rules, op4_language_id, op5_source_mixing, op6_fingerprints,
+from . import (oracle, op1_suffix_dedup, op2_lm_scoring, op3_quality_rules, op4_language_id, op5_source_mixing, op6_fingerprints,
                op7_url_filters, op8_quality_classifier, op9_jaccard_join, op10_best_fit_packing, op11_phrase_mining, op12_html_extraction, op13_tokenizer_alignment)
 
 QUERIES = {
@@ -22,4 +22,8 @@ QUERIES = {
     "op13_tokenizer_alignment": op13_tokenizer_alignment.query,
 }
 
-ORACLE: dict[str, str] = {"op11_phrase_mining": op11_phrase_mining.ORACLE_SQL}
+ORACLE: dict[str, str] = {
+    "op1_suffix_dedup": oracle.SUFFIX_DEDUP,
+    "op9_jaccard_join": oracle.JACCARD_JOIN,
+    "op11_phrase_mining": op11_phrase_mining.ORACLE_SQL,
+}
