@@ -47,3 +47,10 @@ def test_expected_lookup_at_sf001(spark):
     got = [(r["term"], r["query_pos"], r["doc_freq"], r["doc_id"], r["tf"]) for r in res.collect()]
     assert got == [("chch", 3, 60, 20, 4), ("ed", 2, 301, 5, 1), ("tion", 1, 373, 3, 7),
                    ("the", 0, 615, 5, 3), ("the", 6, 615, 5, 3)]
+
+
+def test_posting_files_have_lists_of_several_lines(spark, duck):
+    """The order of a list's lines takes part: frequent terms have a line for
+    every 256 postings."""
+    lines = E.queries()["posting_file_order"](spark, "/root/testdata/sf0.01")
+    assert lines.count() > lines.select("term").distinct().count()
