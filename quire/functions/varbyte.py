@@ -7,11 +7,13 @@ here doc 0 is an ordinary document).
 
 Encoding happens per posting inside codegen'd projections (``varbyte_hex``);
 decoding works on one block payload at a time with array functions, so a
-block's work is bounded by the block size.
+block's work is bounded by the block size. ``encode_codes`` and
+``decode_codes`` do the same for whole Arrow batches inside tasks.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -75,3 +77,42 @@ def varbyte_decode(payload: Column | str) -> Column:
 def hex_concat(hex_parts: Column) -> Column:
     """BINARY from an ARRAY<STRING> of hex pieces, concatenated in order."""
     return F.unhex(F.array_join(hex_parts, ""))
+
+
+def encode_codes(values: np.ndarray, with_bytes: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """The codes of non-negative integers one after the other, and where each
+    ends."""
+    sizes = np.ones(len(values), np.int64)
+    for k in range(1, _MAX_BYTES):
+        larger = values >= 1 << (7 * k)
+        if not larger.any():
+            break
+        sizes += larger
+    ends = np.cumsum(sizes)
+    if not with_bytes:
+        return np.zeros(0, np.uint8), ends
+    out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
+    at, rest, left = ends - sizes, values, sizes
+    while len(at):
+        more = left > 1
+        out[at] = (rest & 0x7F) | (more.astype(np.int64) << 7)
+        at, rest, left = at[more] + 1, rest[more] >> 7, left[more] - 1
+    return out, ends
+
+
+def decode_codes(data: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Integers coded in payloads of ``sizes`` bytes, and how many each payload
+    has; a payload that is cut short ends with a partial code."""
+    final = data < 0x80
+    ends_of = np.cumsum(sizes)
+    final[ends_of[sizes > 0] - 1] = True
+    ends = np.flatnonzero(final)
+    starts = np.concatenate([[0], ends[:-1] + 1]) if len(ends) else ends
+    values, left, shift = (data[starts] & 0x7F).astype(np.int64), ends - starts, 0
+    rows = np.flatnonzero(left)
+    while len(rows) and shift < 56:
+        shift += 7
+        values[rows] |= (data[starts[rows] + shift // 7] & 0x7F).astype(np.int64) << shift
+        rows = rows[left[rows] > shift // 7]
+    before = np.concatenate([[0], np.cumsum(final)])
+    return values, before[ends_of] - before[ends_of - sizes]
