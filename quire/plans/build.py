@@ -68,7 +68,7 @@ def merge_runs(spark: SparkSession, directory: str, lengths: DataFrame,
     """The merge program: every posting text run of a folder becomes one
     index. Returns it and the rejected postings (``line, reason``)."""
     parsed = read_postings_dir(spark, directory)
-    good, duplicates = idx.validate_postings(parsed.good)
+    good, duplicates = idx.validate_postings(pin(parsed.good))
     rejects = parsed.rejects.unionByName(duplicates.select(
         F.concat_ws(" ", "term", F.col("doc_id").cast("string")).alias("line"), "reason"))
     return build_index_from_postings(good, lengths, runs), rejects
