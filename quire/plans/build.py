@@ -21,7 +21,7 @@ from ..config import LINE_POSTINGS, MAX_LITERAL_TERMS
 from ..operators import index as idx
 from ..operators import layout, lookup, prefix
 from ..session import pin
-from ..sinks.text import posting_lines, write_index
+from ..sinks.text import ordered, posting_lines, write_index
 from ..sources.postings import read_postings_dir
 
 
@@ -50,7 +50,7 @@ def build_index_from_postings(postings: DataFrame, lengths: DataFrame,
 
     Blocks are written once, sorted by (term, block_no) inside each file; the
     lexicon reads their sizes only, so payloads cross the network once."""
-    gaps = layout.posting_gaps(postings, runs=runs)
+    gaps = layout.posting_gaps(postings, runs=runs, nested=True)
     blocks = pin(layout.posting_blocks(gaps).sortWithinPartitions("term", "block_no"))
     return InvertedIndex(blocks, prefix.lexicon(blocks.select("term", "n_bytes", "n_postings")), lengths)
 
@@ -96,9 +96,9 @@ def write_index_tables(index: InvertedIndex, path: str, num_files: int | None =
     files that are also ordered among each other."""
     write_index(index.blocks, f"{path}/blocks", num_files, mode, global_order=global_order)
     n = num_files or int(index.lexicon.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (index.lexicon.repartitionByRange(n, "term").sortWithinPartitions("term")
+    (ordered(index.lexicon, ["term"], n)
      .write.mode(mode).parquet(f"{path}/lexicon"))
-    (index.doc_lengths.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id")
+    (ordered(index.doc_lengths, ["doc_id"], n)
      .write.mode(mode).parquet(f"{path}/doc_lengths"))
 
 
