@@ -41,7 +41,7 @@ def _asof_forward(probes: DataFrame, targets: DataFrame, key: str, value_cols: l
     hit_struct = F.struct(F.col(key).alias(key), *[F.col(c) for c in value_cols])
     # Only lists some probe asks for take part: cut down before anything is
     # written or ordered. Both sides are written once, for borders and window.
-    lists = targets.join(_small(probes.select("term").distinct()), "term", "left_semi").select(
+    lists = targets.join(small(probes.select("term").distinct()), "term", "left_semi").select(
         "term", F.col(key).alias("_k"), F.lit(1).alias("_side"), hit_struct.alias("_hit"))
     asked = probes.select("term", F.col("lookup_doc_id").alias("_k"), F.lit(0).alias("_side"),
                           F.lit(None).cast(lists.schema["_hit"].dataType).alias("_hit"))
@@ -122,7 +122,7 @@ def query_frame(spark: SparkSession, terms: list[str]) -> DataFrame:
                                  "query_pos BIGINT, term STRING")
 
 
-def _small(df: DataFrame) -> DataFrame:
+def small(df: DataFrame) -> DataFrame:
     """``df``, to be broadcast if a count finds few rows; else the join
     shuffles."""
     return F.broadcast(df) if _is_small(df) else df
@@ -178,7 +178,7 @@ def query_terms(spark: SparkSession, terms: list[str], postings: DataFrame, doc_
     query = query_frame(spark, terms)
     # Only the query's lists go past this filter, and they are written once:
     # document frequencies and probes both read them.
-    lists = pin(postings.join(_small(query.select("term").distinct()), "term", "left_semi")
+    lists = pin(postings.join(small(query.select("term").distinct()), "term", "left_semi")
                 .select("term", "doc_id", "tf"))
     probes = ranked_probes(query, doc_freq(lists), doc_id)
     return next_geq(lists, probes, runs)

@@ -5,14 +5,15 @@ Stored layout under one folder (all Parquet):
 * ``borders/``   number, term, doc_id: fixed at creation, they cut the (term,
                  doc id) order into ranges, even in postings then; a hot term
                  has several, so a run of new documents meets only its last;
-* ``postings/gen=<g>/rng=<r>/``  term, doc_id, tf, sorted: range ``r`` as the
-                 run ``g`` left it;
+* ``postings/gen=<g>/rng=<r>/``  term, doc_id, tf, sorted in each file: range
+                 ``r`` as the run ``g`` left it;
 * ``manifest/gen=<g>/``  rng, data_gen: for each range, the generation that
                  holds it after run ``g``.
 
-A run is dealt by the borders, joined with the current rows of its own ranges
-only, checked (``validate_postings``) and written as a new generation. The
-manifest is written last, as one file: until it stands, readers see the index
+A run is dealt by the borders, checked (``validate_postings``) together with
+those current rows of its own ranges that are of a document the run has too -
+only they can be copies; the others were checked when they came - and written
+with the rest of these ranges as a new generation. The manifest is written last, as one file: until it stands, readers see the index
 as it was, and a run that failed half-way is simply given again. Ranges that no
 run touched stay the files they were. Old generations are never changed;
 :func:`unused` lists what no range needs any more.
@@ -23,11 +24,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import TASK_ROWS
 from ..operators import index as idx
+from ..operators.lookup import small
 from ..operators.ranges import Ranges
 from ..session import pin
 
 _COLUMNS = ["term", "doc_id", "tf"]
+# Rows that a task sorts into one file of a range.
+_SORT_ROWS = 4 * TASK_ROWS
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -35,14 +40,19 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def _write(rows: DataFrame, borders: Ranges, path: str, gen: int, untouched: dict[int, int]) -> None:
-    """Rows of whole ranges as generation ``gen``, then the manifest."""
+def _write(rows: DataFrame, borders: Ranges, path: str, gen: int, untouched: dict[int, int], size: int) -> None:
+    """Rows of whole ranges (``term, doc_id, tf, rng``, about ``size`` of them)
+    as generation ``gen``, then the manifest. A range is sorted by as many
+    tasks as its share of the rows asks for."""
     spark = rows.sparkSession
-    n = max(1, min(len(borders.borders) + 1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    placed = pin(rows.withColumn("rng", borders.run("term", "doc_id")))
-    touched = [r["rng"] for r in placed.select("rng").distinct().collect()]     # at most one a range
-    (placed.repartitionById(n, F.col("rng") % n).sortWithinPartitions("rng", "term", "doc_id")
-     .write.mode("overwrite").partitionBy("rng").parquet(f"{path}/postings/gen={gen}"))
+    ranges = len(borders.borders) + 1
+    share = max(1, -(-size // (ranges * _SORT_ROWS)))
+    place = F.col("rng") * share + F.pmod(F.xxhash64("term", "doc_id"), F.lit(share)).cast("int")
+    target = f"{path}/postings/gen={gen}"
+    (rows.repartitionById(ranges * share, place).sortWithinPartitions("rng", "term", "doc_id")
+     .write.mode("overwrite").partitionBy("rng").parquet(target))
+    written = spark.read.schema("term STRING, doc_id BIGINT, tf BIGINT, rng INT").parquet(target)
+    touched = [r["rng"] for r in written.select("rng").distinct().collect()]     # at most one a range
     now = {**untouched, **dict.fromkeys(touched, gen)}
     (spark.createDataFrame(sorted(now.items()), "rng INT, data_gen INT").coalesce(1)
      .write.mode("overwrite").parquet(f"{path}/manifest/gen={gen}"))
@@ -59,7 +69,7 @@ def create(postings: DataFrame, path: str, ranges: int | None = None) -> DataFra
     borders = Ranges.of(good, "term", "doc_id", ranges)
     rows = [(i, t, d) for i, (t, d) in enumerate(borders.borders)]
     spark.createDataFrame(rows, "number INT, term STRING, doc_id BIGINT").coalesce(1).write.parquet(f"{path}/borders")
-    _write(good, borders, path, 0, {})
+    _write(good.withColumn("rng", borders.run("term", "doc_id")), borders, path, 0, {}, borders.rows)
     return rejects
 
 
@@ -77,7 +87,7 @@ def manifest(spark: SparkSession, path: str) -> tuple[int, dict[int, int]]:
 
 
 def _ranges(spark: SparkSession, path: str, current: dict[int, int]) -> DataFrame:
-    """Current rows of the given ranges: a filter on folders."""
+    """Current rows of the given ranges and their ``rng``: a filter on folders."""
     by_gen: dict[int, list[int]] = {}
     for rng, gen in current.items():
         by_gen.setdefault(gen, []).append(rng)
@@ -85,7 +95,7 @@ def _ranges(spark: SparkSession, path: str, current: dict[int, int]) -> DataFram
     wanted = F.lit(False)
     for gen, rngs in by_gen.items():
         wanted = wanted | ((F.col("gen") == gen) & F.col("rng").isin(rngs))
-    return table.where(wanted).select(*_COLUMNS)
+    return table.where(wanted).select(*_COLUMNS, "rng")
 
 
 def merge_run(spark: SparkSession, path: str, run: DataFrame) -> DataFrame:
@@ -94,17 +104,24 @@ def merge_run(spark: SparkSession, path: str, run: DataFrame) -> DataFrame:
     index's own, equal copies are reported and kept once."""
     borders = _borders(spark, path)
     last, current = manifest(spark, path)
-    new = pin(run.select(*_COLUMNS))
-    touched = {r[0] for r in new.select(borders.run("term", "doc_id")).distinct().collect()}
+    new = pin(run.select(*_COLUMNS).withColumn("rng", borders.run("term", "doc_id")))
+    touched = {r["rng"] for r in new.select("rng").distinct().collect()}
     old = _ranges(spark, path, {r: g for r, g in current.items() if r in touched})
-    good, rejects = idx.validate_postings(pin(idx.merge_indexes(old, new)))
-    _write(good, borders, path, last + 1, {r: g for r, g in current.items() if r not in touched})
+    # Copies have a document that both sides know: other rows need no check again.
+    docs = pin(old.select("doc_id").distinct().join(new.select("doc_id").distinct(), "doc_id"))
+    given, rest = new.select(*_COLUMNS), old
+    if docs.count():
+        given = pin(idx.merge_indexes(old.join(small(docs), "doc_id", "left_semi"), given))
+        rest = old.join(small(docs), "doc_id", "left_anti").select(*old.columns)
+    good, rejects = idx.validate_postings(given)
+    rows = rest.unionByName(good.withColumn("rng", borders.run("term", "doc_id")))
+    _write(rows, borders, path, last + 1, {r: g for r, g in current.items() if r not in touched}, old.count() + new.count())
     return rejects
 
 
 def open_postings(spark: SparkSession, path: str) -> DataFrame:
     """``term, doc_id, tf`` of the index after its last run."""
-    return _ranges(spark, path, manifest(spark, path)[1])
+    return _ranges(spark, path, manifest(spark, path)[1]).select(*_COLUMNS)
 
 
 def unused(spark: SparkSession, path: str) -> list[tuple[int, int]]:
