@@ -59,7 +59,7 @@ def build_index(docs: DataFrame, runs: int | None = None) -> InvertedIndex:
     """Index ``doc_id, text`` documents. Rows with a NULL or negative id are
     left out (``index.invalid_documents`` lists them)."""
     docs, _ = idx.invalid_documents(docs)
-    postings = idx.term_frequencies(docs)
+    postings = idx.term_frequencies(docs, lists=True)
     return build_index_from_postings(postings, idx.doc_lengths(docs), runs)
 
 
