@@ -26,6 +26,10 @@ always cut. The other stripes travel in bundles of about 128 prefixes, compresse
 so that rows are few and long. Merging streams over sorted rows and holds one bundle or
 segment.
 
+On their way the most frequent words, 2^17 of all languages together at most, are
+codes, which every task knows; a stripe's entries are sorted by them and written as
+gaps. All other words are written as they are.
+
 Words and phrases are compared as strings, products are 38-digit decimals, so
 counts and scores are exact.
 
@@ -56,18 +60,21 @@ MIN_COUNT, MAX_WORDS, TOP, SUBSUME_PERCENT = 100, 5, 2000, 100
 #: Slots of the sketch, words that a task counts at a time, segments of the
 #: empty prefix's stripe, log2 of the entries of a segment, prefixes of a bundle.
 SLOTS, WINDOW_WORDS, ROOT_SEGMENTS, SEGMENT_BITS, BUNDLE = 1 << 22, 4 << 20, 1024, 14, 128
-_BLOCK = 1 << 17
+#: Words that have codes, of all languages together, at most.
+HEAD = 1 << 17
+_BLOCK, _HELD = 1 << 17, 1 << 20
 
 _END = b"!"                                     # stands for every piece border
 _BORDERS = b".,;:!?\n\x0b\x0c\r"
 _TABLE = bytes(_END[0] if c in _BORDERS else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
 _SEGMENT = 1 << 20
 
-# A row of stripes: `sizes` entries (4 bytes each) and `rests` (8) for each
-# prefix (joined by line ends); the entries are words of `next`, joined by
-# spaces, and `n` (4 bytes each), both compressed.
-_COLUMNS = ["kind", "lang", "prefix", "seg", "sizes", "rests", "next", "n"]
-_STRIPES = "kind string, lang string, prefix string, seg int, sizes binary, rests binary, next binary, n binary"
+# A row of stripes: in `numbers`, compressed, for each of its `stripes` prefixes
+# how many entries it has, its rest and the codes of its words, then the gaps
+# between the codes of each stripe's entries and their counts; in `words`, joined
+# by spaces and compressed, the words without a code, in order.
+_COLUMNS = ["kind", "lang", "prefix", "seg", "stripes", "numbers", "words"]
+_STRIPES = "kind string, lang string, prefix string, seg int, stripes int, numbers binary, words binary"
 _MERGED = "lang string, prefix string, total long, best long, next array<string>, n array<long>"
 
 
@@ -129,9 +136,34 @@ def _passing(lang: str, words: list[bytes], a: np.ndarray, k: int, sketch: np.nd
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.string(), pa.string(), pa.string(), pa.int32(), *[pa.binary()] * 4]
-    names = ["kind", "lang", "prefix", "seg", "sizes", "rests", "next", "n"]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 8, kinds)], names=names)
+    kinds = [pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 7, kinds)], names=_COLUMNS)
+
+
+def _packed(numbers: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """Numbers below 2^63 as bytes of seven bits, low ones first, the eighth
+    bit set in all but a number's last; and where each number ends, after a 0."""
+    a = numbers.astype(np.int64)
+    size, most = np.ones(len(a), np.int64), int(a.max(initial=0))
+    for j in range(1, 9):
+        if most >> 7 * j:
+            size += a >> 7 * j > 0
+    ends = np.r_[0, np.cumsum(size)]
+    out = np.empty(ends[-1], np.uint8)
+    for j in range(int(size.max(initial=0))):
+        of = np.flatnonzero(size > j)
+        out[ends[of] + j] = (a[of] >> 7 * j & 127) | (size[of] > j + 1) * 128
+    return out.tobytes(), ends
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    a = np.frombuffer(raw, np.uint8)
+    last = a < 128
+    if last.all():
+        return a.astype(np.int64)
+    start = np.r_[0, np.flatnonzero(last)[:-1] + 1]
+    at = np.arange(len(a)) - np.repeat(start, np.diff(np.r_[start, len(a)]))
+    return np.add.reduceat((a & 127).astype(np.int64) << 7 * at, start)
 
 
 def _window_rows(lang: str, text: _Words, overlap: int, window: int) -> Iterator[pa.RecordBatch]:
@@ -143,7 +175,7 @@ def _window_rows(lang: str, text: _Words, overlap: int, window: int) -> Iterator
     for at in range(0, len(everything), window):
         a = everything[at:at + window + overlap]
         starts = min(window, len(everything) - at)
-        yield _batch([("text", lang, "", starts, None, None, listed, press.compress(a.astype("<i4").tobytes()))])
+        yield _batch([("text", lang, "", starts, None, press.compress(a.astype("<i4").tobytes()), listed)])
         counts = np.bincount(a[:starts], minlength=len(words))
         counts[0] = 0
         nxt = np.flatnonzero(counts)
@@ -151,8 +183,11 @@ def _window_rows(lang: str, text: _Words, overlap: int, window: int) -> Iterator
         order = np.argsort(seg, kind="stable")
         nxt, seg = nxt[order], seg[order]
         cuts = np.r_[0, np.flatnonzero(np.diff(seg)) + 1, len(seg)] if len(seg) else np.zeros(1, np.int64)
-        yield _batch([("root", lang, "", int(seg[i]), np.array([j - i], "<u4").tobytes(), np.zeros(1, "<i8").tobytes(),
-                       press.compress(b" ".join([words[w] for w in nxt[i:j].tolist()])), press.compress(counts[nxt[i:j]].astype("<u4").tobytes()))
+        packed, ends = _packed(counts[nxt])
+        # of one stripe: its size, no rest, and no words with codes
+        yield _batch([("root", lang, "", int(seg[i]), 1,
+                       press.compress(_packed(np.array([j - i, 0]))[0] + bytes(j - i) + packed[ends[i]:ends[j]]),
+                       press.compress(b" ".join([words[w] for w in nxt[i:j].tolist()])))
                       for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist())])
 
 
@@ -175,13 +210,16 @@ def _windows(overlap: int, window: int):
     return run
 
 
-def _stripe_rows(lang: str, words: list[bytes], a: np.ndarray, starts: int, k: int, sketch: np.ndarray, bundles: int) -> pa.RecordBatch:
+def _stripe_rows(lang: str, words: list[bytes], a: np.ndarray, starts: int, k: int, sketch: np.ndarray, bundles: int,
+                 head: dict[bytes, int]) -> pa.RecordBatch:
     """Stripes of the prefixes of ``k - 1`` words that begin at the first
-    ``starts`` positions of a window."""
+    ``starts`` positions of a window. Words of ``head`` are written as codes."""
     press = zstandard.ZstdCompressor(level=3)
     a = a[:starts + k - 1]
     level = _passing(lang, words, a, k - 1, sketch)
     pos = np.flatnonzero(level[:starts])
+    if not len(pos):
+        return _batch([])
     key = a[pos].astype(np.int64)
     for j in range(1, k - 1):                  # phrases numbered by their words
         key = np.unique(key * len(words) + a[pos + j], return_inverse=True)[1]
@@ -194,58 +232,132 @@ def _stripe_rows(lang: str, words: list[bytes], a: np.ndarray, starts: int, k: i
     pair, n = np.unique(key[follows] * len(words) + a[pos[follows] + k - 1], return_counts=True)
     prefix, nxt = pair // len(words), pair % len(words)
     rest = rest - np.bincount(prefix, n, minlength=len(strings)).astype(np.int64)
-    follow = [words[w] for w in nxt.tolist()]
-    sizes = np.bincount(prefix, minlength=len(strings))
-    ends = np.cumsum(sizes)
-    rows = []
-    # short stripes of prefixes with equal hashes share a row
-    whole = np.flatnonzero(segs == 1)
-    bundle = np.array([zlib.crc32(strings[p]) % bundles for p in whole.tolist()], np.int64)
-    order = np.argsort(bundle, kind="stable")
-    cuts = np.r_[0, np.flatnonzero(np.diff(bundle[order])) + 1, len(order)] if len(order) else np.zeros(1, np.int64)
-    for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-        of = whole[order[i:j]]
-        entries = np.concatenate([np.arange(ends[p] - sizes[p], ends[p]) for p in of.tolist()])
-        rows.append(("bundle", lang, b"\n".join([strings[p] for p in of.tolist()]).decode(), int(bundle[order[i]]),
-                     sizes[of].astype("<u4").tobytes(), rest[of].astype("<i8").tobytes(),
-                     press.compress(b" ".join([follow[e] for e in entries.tolist()])), press.compress(n[entries].astype("<u4").tobytes())))
-    # the others are cut; what no entry holds goes with segment 0
-    for p in np.flatnonzero(segs > 1).tolist():
-        entries = np.arange(ends[p] - sizes[p], ends[p])
-        seg = np.array([zlib.crc32(follow[e]) % int(segs[p]) for e in entries.tolist()], np.int64)
-        for no in np.unique(np.r_[0, seg]).tolist():
-            of = entries[seg == no]
-            rows.append(("part", lang, strings[p].decode(), no, np.array([len(of)], "<u4").tobytes(),
-                         np.array([0 if no else rest[p]], "<i8").tobytes(), press.compress(b" ".join([follow[e] for e in of.tolist()])),
-                         press.compress(n[of].astype("<u4").tobytes())))
+    # a stripe is a prefix, or a prefix and a segment; what no entry holds goes with segment 0
+    seg = np.zeros(len(pair), np.int64)
+    cut = np.flatnonzero(segs[prefix] > 1)
+    if len(cut):
+        used, at = np.unique(nxt[cut], return_inverse=True)
+        seg[cut] = np.array([zlib.crc32(words[w]) for w in used.tolist()], np.int64)[at] % segs[prefix[cut]]
+    stripes, of = np.unique(np.r_[prefix << 32 | seg, np.arange(len(strings)) << 32], return_inverse=True)
+    owner, seg, of = stripes >> 32, stripes & (1 << 32) - 1, of[:len(pair)]
+    # whole stripes of prefixes with equal hashes share a row
+    whole = segs[owner] == 1
+    row = np.arange(bundles, bundles + len(stripes))
+    row[whole] = [zlib.crc32(strings[p]) % bundles for p in owner[whole].tolist()]
+    order = np.argsort(row, kind="stable")
+    row, owner, seg, whole = row[order], owner[order], seg[order], whole[order]
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    other = len(head)                          # stands for all words without a code
+    code = np.array([head.get(w, other) for w in words], np.int64)
+    by = np.argsort(place[of] * (other + 1) + code[nxt], kind="stable")
+    stripe, nxt, n = place[of][by], nxt[by], n[by]
+    codes, sizes = code[nxt], np.bincount(stripe, minlength=len(order))
+    gaps = np.diff(codes, prepend=0)
+    begin = np.r_[0, np.cumsum(sizes)]
+    at = begin[:-1][sizes > 0]
+    gaps[at] = codes[at]
+    own = a[pos[first][owner][:, None] + np.arange(k - 1)]
+    own_codes = code[own].ravel()
+    spare = [[words[w] for w in ids[c == other].tolist()] for ids, c in ((own.ravel(), own_codes), (nxt, codes))]
+    before = [np.r_[0, np.cumsum(c == other)] for c in (own_codes, codes)]
+    columns = [_packed(x) for x in (sizes, np.where(seg == 0, rest[owner], 0), own_codes, gaps, n)]
+    cuts, rows = np.r_[0, np.flatnonzero(np.diff(row)) + 1, len(row)].tolist(), []
+    for i, j in zip(cuts[:-1], cuts[1:]):
+        e, f = begin[i], begin[j]
+        parts = [(i, j), (i, j), (i * (k - 1), j * (k - 1)), (e, f), (e, f)]
+        numbers = press.compress(b"".join([raw[ends[s]:ends[t]] for (raw, ends), (s, t) in zip(columns, parts)]))
+        listed = b" ".join([w for ws, b, (s, t) in zip(spare, before, parts[2:4]) for w in ws[b[s]:b[t]]])
+        kind, name, no = ("bundle", "", row[i]) if whole[i] else ("part", strings[owner[i]].decode(), seg[i])
+        rows.append((kind, lang, name, int(no), j - i, numbers, press.compress(listed) if listed else b""))
     return _batch(rows)
 
 
-def _stripes(k: int, sketch, bundles: int):
+def _stripes(k: int, sketch, bundles: int, head):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, unpack = np.frombuffer(sketch.value, np.uint8), zstandard.ZstdDecompressor()
         for batch in batches:
             for row in range(batch.num_rows):
                 lang, starts, listed, packed = (batch.column(c)[row].as_py() for c in range(4))
                 a = np.frombuffer(unpack.decompress(packed), "<i4")
-                out = _stripe_rows(lang, unpack.decompress(listed).split(b" "), a, starts, k, held, bundles)
+                codes = {w: c for c, w in enumerate(head.value.get(lang, b"").split())}
+                out = _stripe_rows(lang, unpack.decompress(listed).split(b" "), a, starts, k, held, bundles, codes)
                 yield from row_slices([out], 20_000)
     return run
 
 
-def _merge(min_count: int):
+class _Stripes:
+    """Stripes of one key, merged element by element."""
+
+    def __init__(self, head: list[bytes]):
+        self.head, self.codes, self.words = head, {}, []      # words without a code are numbered after the others
+        self.prefixes: dict[tuple, int] = {}
+        self.totals: list[int] = []
+        self.parts, self.size = [], 0          # stripe, code and count of entries
+
+    def coded(self, listed: list[bytes]) -> np.ndarray:
+        for w in listed:
+            if w not in self.codes:
+                self.codes[w] = len(self.head) + len(self.words)
+                self.words.append(w)
+        return np.array([self.codes[w] for w in listed], np.int64)
+
+    def add(self, stripes: int, numbers: np.ndarray, listed: list[bytes]) -> None:
+        sizes, rests = numbers[:stripes], numbers[stripes:2 * stripes]
+        entries = int(sizes.sum())
+        own, gaps, n = np.split(numbers[2 * stripes:], [len(numbers) - 2 * stripes - 2 * entries, len(numbers) - 2 * stripes - entries])
+        stripe, begin = np.repeat(np.arange(stripes), sizes), np.cumsum(sizes) - sizes
+        codes = np.cumsum(gaps)
+        codes -= np.repeat(np.r_[0, codes][begin], sizes)
+        if listed:
+            both = np.r_[own, codes]
+            both[both == len(self.head)] = self.coded(listed)
+            own, codes = both[:len(own)], both[len(own):]
+        names = list(map(tuple, own.reshape(stripes, -1).tolist()))
+        at = np.array([self.prefixes.setdefault(p, len(self.prefixes)) for p in names], np.int64)
+        self.totals.extend([0] * (len(self.prefixes) - len(self.totals)))
+        sums = np.bincount(stripe, n, minlength=stripes).astype(np.int64) + rests
+        for p, total in zip(at.tolist(), sums.tolist()):
+            self.totals[p] += total
+        self.parts.append(np.stack([at[stripe], codes, n]))
+        self.size += entries
+        if self.size > _HELD and len(self.parts) > 1:
+            self.merge()
+            self.size = 0
+
+    def merge(self) -> np.ndarray:
+        stripe, codes, n = np.hstack(self.parts)
+        width = len(self.head) + len(self.words) + 1
+        key, at = np.unique(stripe * width + codes, return_inverse=True)
+        total = np.zeros(len(key), np.int64)
+        np.add.at(total, at, n)
+        self.parts = [np.stack([key // width, key % width, total])]
+        return self.parts[0]
+
+    def rows(self, min_count: int, all_of_them: bool) -> Iterator[tuple]:
+        """``words of the prefix, total, best, next, n``."""
+        stripe, codes, n = self.merge()
+        kept = n >= min_count
+        stripe, codes, n = stripe[kept], codes[kept], n[kept].tolist()
+        name = [(self.head[c] if c < len(self.head) else self.words[c - len(self.head)]).decode() for c in codes.tolist()]
+        ends = np.cumsum(np.bincount(stripe, minlength=len(self.prefixes))).tolist()
+        for (own, p), s, e in zip(self.prefixes.items(), [0, *ends], ends):
+            if s < e or self.totals[p] and all_of_them:
+                words = [(self.head[c] if c < len(self.head) else self.words[c - len(self.head)]).decode() for c in own]
+                yield " ".join(words), self.totals[p], max(n[s:e], default=0), name[s:e], n[s:e]
+
+
+def _merge(min_count: int, head=None):
     """Stripes with equal keys, which follow each other, merged element by
     element. Entries below ``min_count`` only count in the total; a stripe
     without others makes no phrase."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
-        key, stripes, out = None, {}, []       # prefix -> [total, stripe]
+        key, held, out, lang_of, known = None, None, [], None, []
 
         def close():
-            for prefix, (total, stripe) in stripes.items():
-                kept = {w: c for w, c in stripe.items() if c >= min_count}
-                if kept or total and key[0] != "bundle":      # another segment may have entries
-                    out.append((key[1], prefix, total, max(kept.values(), default=0), list(kept), list(kept.values())))
+            # another segment of a prefix may have entries
+            out.extend([(key[1], *row) for row in held.rows(min_count, key[0] != "bundle")])
 
         def rows():
             cols = list(zip(*out)) or [()] * 6
@@ -255,26 +367,15 @@ def _merge(min_count: int):
             out.clear()
             return batch
         for batch in row_slices(batches, 500):
-            for kind, lang, prefix, seg, sizes, rests, words, packed in zip(*[batch.column(i).to_pylist() for i in range(8)]):
-                now = (kind, lang, "" if kind == "bundle" else prefix, seg)
+            for kind, lang, prefix, seg, stripes, packed, words in zip(*[batch.column(i).to_pylist() for i in range(7)]):
+                now = (kind, lang, prefix, seg)
                 if now != key:
                     if key:
                         close()
-                    key, stripes = now, {}
-                counts, words, at = memoryview(unpack(packed)).cast("I").tolist(), unpack(words).decode().split(" "), 0
-                for p, size, rest in zip(prefix.split("\n"), memoryview(sizes).cast("I"), memoryview(rests).cast("q")):
-                    held = stripes.get(p)
-                    if held is None:
-                        held = stripes[p] = [0, {}]
-                    c, w = counts[at:at + size], words[at:at + size]
-                    held[0] += rest + sum(c)
-                    stripe = held[1]
-                    if stripe:
-                        for x, m in zip(w, c):
-                            stripe[x] = stripe.get(x, 0) + m
-                    elif size:
-                        held[1] = dict(zip(w, c))
-                    at += size
+                    if lang != lang_of:
+                        lang_of, known = lang, head.value.get(lang, b"").split() if head else []
+                    key, held = now, _Stripes(known)
+                held.add(stripes, _unpacked(unpack(packed)), unpack(words).split(b" ") if words else [])
             if len(out) >= 10_000:
                 yield rows()
         if key:
@@ -285,21 +386,37 @@ def _merge(min_count: int):
 
 # -------------------------------------------------------------------- levels
 
-def _merged(stripes: DataFrame, min_count: int) -> DataFrame:
+def _merged(stripes: DataFrame, min_count: int, head=None) -> DataFrame:
     """``lang, prefix, total, best, next, n``: merged stripes."""
     n = shuffle_partitions(stripes.sparkSession)
-    key = F.when(F.col("kind") == "bundle", F.lit("")).otherwise(F.col("prefix"))
-    keys = ["kind", "lang", "_key", "seg"]
-    return (stripes.withColumn("_key", key).repartition(n, *keys).sortWithinPartitions(*keys)
-            .drop("_key").mapInArrow(_merge(min_count), _MERGED))
+    keys = ["kind", "lang", "prefix", "seg"]
+    return stripes.repartition(n, *keys).sortWithinPartitions(*keys).mapInArrow(_merge(min_count, head), _MERGED)
 
 
-def merged_stripes(windows: DataFrame, k: int, sketch, frequent: int, min_count: int = MIN_COUNT) -> DataFrame:
+def merged_stripes(windows: DataFrame, k: int, sketch, frequent: int, head, min_count: int = MIN_COUNT) -> DataFrame:
     """The merged stripes of the prefixes of ``k - 1`` words, of which
     ``frequent`` are frequent."""
     bundles = max(1, -(-frequent // BUNDLE))
-    text = windows.where("kind = 'text'").select("lang", "seg", "next", "n")
-    return _merged(text.mapInArrow(_stripes(k, sketch, bundles), _STRIPES), min_count)
+    text = windows.where("kind = 'text'").select("lang", "seg", "words", "numbers")
+    return _merged(text.mapInArrow(_stripes(k, sketch, bundles, head), _STRIPES), min_count, head)
+
+
+def head_words(words: DataFrame, most: int = HEAD) -> dict[str, bytes]:
+    """Of ``lang, phrase, a`` the words over the smallest count that leaves at
+    most ``most`` of them (counts by steps of an eighth of an octave): each
+    language's, most frequent first, joined by spaces."""
+    step = F.floor(F.log2("a") * 8)
+    total, low = 0, None
+    for s, n in sorted(((r[0], r[1]) for r in words.groupBy(step.alias("s")).count().collect()), reverse=True):
+        total += n
+        if total > most:
+            break
+        low = s
+    out: defaultdict[str, list[bytes]] = defaultdict(list)
+    if low is not None:
+        for lang, word, _ in sorted(map(tuple, words.where(step >= low).select("lang", "phrase", "a").collect()), key=lambda r: (-r[2], r[1])):
+            out[lang].append(word.encode())
+    return {lang: b" ".join(ws) for lang, ws in out.items()}
 
 
 def _sketch_rows(phrases: DataFrame, slots: int) -> DataFrame:
@@ -357,7 +474,7 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
             stripes = scratch(_merged(windows.where("kind = 'root'").select(*_COLUMNS), min_count))
         else:
             shared, frequent = spark.sparkContext.broadcast(sketch.tobytes()), levels[-1].count()
-            stripes = scratch(merged_stripes(windows, k, shared, frequent, min_count))
+            stripes = scratch(merged_stripes(windows, k, shared, frequent, head, min_count))
             # the tables that are joined have no more rows than there are prefixes
             small = F.broadcast if frequent <= BROADCAST_ROWS else (lambda df: df)
         entries = stripes.select("lang", "prefix", F.explode(F.arrays_zip("next", "n")).alias("e")).select(
@@ -385,6 +502,8 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
                                             F.lit(0).cast("bigint").alias("left_best")))
         levels.append(scratch(level))
         discard(stripes)
+        if k == 1:
+            head = spark.sparkContext.broadcast(head_words(levels[0]))
         if k > 1:
             longer.append(levels[-1].select("lang", F.col("suffix").alias("phrase"), F.lit(0).cast("bigint").alias("right_best"),
                                             F.col("a").alias("left_best")))

@@ -3,6 +3,7 @@ import re
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
 from pyspark.sql import types as T
 
 from quire.llm import op11_phrase_mining as op
@@ -65,6 +66,33 @@ def test_windows_segments_and_collisions_lose_nothing(spark, monkeypatch):
     assert run(spark, rows, slots=8) == want
 
 
+def test_words_without_codes(spark, monkeypatch):
+    """No code, or few: the same rows."""
+    monkeypatch.setattr(op, "SEGMENT_BITS", 2)
+    rows, found = sample(4, 100), op.head_words
+    want = brute(rows)
+    for most in (0, 5):
+        monkeypatch.setattr(op, "head_words", lambda words: found(words, most))
+        assert run(spark, rows, window=200) == want
+
+
+def test_numbers_are_packed():
+    for a in ([0], [0, 127, 128, 16383, 16384, 5, 2**40, 2**62 + 1], list(range(300))):
+        raw, ends = op._packed(np.array(a))
+        assert op._unpacked(raw).tolist() == a
+        assert [op._unpacked(raw[s:e]).tolist() for s, e in zip(ends[:-1], ends[1:])] == [[x] for x in a]
+
+
+def test_entries_of_stripes_take_few_bytes():
+    """A word that follows a prefix and its count: under two bytes and a half."""
+    rng = np.random.default_rng(5)
+    words = [b"!"] + [bytes(rng.integers(97, 123, rng.integers(3, 12)).astype(np.uint8)) + b"%d" % k for k in range(3000)]
+    a = (3000 * rng.random(200_000) ** 2).astype(np.int32) + 1
+    more = {"head": {w: k for k, w in enumerate(words[1:])}} if hasattr(op, "head_words") else {}
+    out = op._stripe_rows("en", words, a, len(a), 2, np.full(1 << 17, 12, np.uint8), 20, **more)
+    assert out.nbytes < 2.5 * len(set(zip(a[:-1].tolist(), a[1:].tolist())))
+
+
 def test_parameters(spark):
     rows = sample(3, 100)
     assert run(spark, rows, 4, max_words=3, top=5) == brute(rows, 4, 3, 5)
