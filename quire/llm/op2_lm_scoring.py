@@ -39,7 +39,7 @@ from __future__ import annotations
 
 import itertools
 import math
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -327,55 +327,58 @@ def learn(train: DataFrame, counts: DataFrame, head: int = HEAD, sample_docs: in
     return model
 
 
-class _Places(dict):
-    """Place of each head word, -1 for all others."""
-
-    def __missing__(self, word):
-        return -1
-
-
 def _score(model: Model):
     names = ["doc_id", "held_out", "row", "n_tokens", "n_known", "base_score", "score", "rest"]
-    rest_names, rest_types = ["word", "k", "spelled", "size"], [pa.binary(), pa.int32(), pa.float64(), pa.float64()]
+    rest_names = ["word", "k", "spelled", "size"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, end_at = model.base_log10(model.counts), model.place.get(END)
         end_base = base[end_at] if end_at is not None else float(model.base_log10(np.zeros(1))[0])
-        place, cache = _Places(model.place), {}
+        cache: dict[bytes, tuple[int, float]] = {}
+
+        def look_up(texts: list[list[bytes]]):
+            """Of texts that are counted at once: network ids, number of
+            known words, sums of the base and of the words given their groups;
+            number of the other words of each, and those words' columns."""
+            lens = np.fromiter(map(len, texts), np.int64, len(texts))
+            words, of = list(itertools.chain.from_iterable(texts)), np.repeat(np.arange(len(texts)), lens)
+            at = np.fromiter(map(model.place.get, words, itertools.repeat(-1)), np.int64, len(words))
+            ok = at >= 0
+            places, owner, missing = at[ok], of[ok], np.flatnonzero(~ok)
+            sums = [np.bincount(owner, x, len(texts)) for x in (None, base[places], model.extra[places])]
+            number: defaultdict[bytes, int] = defaultdict()
+            number.default_factory = number.__len__
+            no = np.fromiter(map(number.__getitem__, map(words.__getitem__, missing.tolist())), np.int64, len(missing))
+            rare = list(number)
+            new = [w for w in rare if w not in cache]
+            if len(cache) + len(new) > 200_000:
+                cache.clear()
+                new = rare
+            g = [group_of(w) for w in new]
+            if new:
+                cache.update(zip(new, zip(g, (model.spell_log10(new, g) + model.left[g]).tolist())))
+            found = [cache[w] for w in rare]
+            group, spelled = np.array([x[0] for x in found], np.int64), np.array([x[1] for x in found], np.float64)
+            ids = np.empty(len(words) + len(texts), np.int16)
+            ids[np.cumsum(lens + 1) - 1] = model.end
+            tokens = np.empty(len(words), np.int16)
+            tokens[ok], tokens[missing] = model.tokens[places], group[no]
+            ids[np.arange(len(words)) + of] = tokens
+            pairs, k = np.unique(of[missing] * max(len(rare), 1) + no, return_counts=True)
+            owner, no = np.divmod(pairs, max(len(rare), 1))
+            columns = [pa.array(rare, pa.binary()).take(pa.array(no)), pa.array(k, pa.int32()), pa.array(spelled[no]),
+                       pa.array(model.size[group[no]])]
+            return np.split(ids, np.cumsum(lens + 1)[:-1])[:len(texts)], *sums, np.bincount(owner, minlength=len(texts)), columns
         for batch in text_slices(batches, 3, 16 << 20):
-            seqs, sizes, known, base_sums, extra = [], [], [], [], []
-            rest, rest_ends = ([], [], [], []), [0]
-            for raw in batch.column(3).to_pylist():
-                words = words_of(raw)
-                at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
-                ok = at >= 0
-                seq = np.empty(len(words) + 1, np.int32)
-                seq[-1] = model.end
-                seq[:-1][ok] = model.tokens[at[ok]]
-                b, e = float(base[at[ok]].sum()) + end_base, float(model.extra[at[ok]].sum())
-                missing = [words[k] for k in np.flatnonzero(~ok)]
-                if missing:
-                    new = [w for w in set(missing) if w not in cache]
-                    if new:
-                        if len(cache) > 200_000:
-                            cache.clear()
-                            new = list(set(missing))
-                        g = [group_of(w) for w in new]
-                        for w, k, s in zip(new, g, model.spell_log10(new, g) + model.left[g]):
-                            cache[w] = k, float(s)
-                    seq[:-1][~ok] = [cache[w][0] for w in missing]
-                seqs.append(seq), sizes.append(len(seq)), known.append(int(ok.sum()) + (end_at is not None))
-                base_sums.append(b), extra.append(e)
-                for w, k in Counter(missing).items():
-                    group, spelled = cache[w]
-                    rest[0].append(w), rest[1].append(k), rest[2].append(spelled), rest[3].append(model.size[group])
-                rest_ends.append(len(rest[0]))
-            score = model.net.score(seqs) / math.log(10) + np.array(extra) if seqs else np.zeros(0)
-            listed = pa.ListArray.from_arrays(pa.array(rest_ends, pa.int32()), pa.StructArray.from_arrays(
-                [pa.array(v, t) for v, t in zip(rest, rest_types)], rest_names))
+            parts = [look_up([words_of(raw) for raw in b.column(3).to_pylist()]) for b in text_slices(iter([batch]), 3, 2 << 20)]
+            seqs = [x for p in parts for x in p[0]]
+            known, base_sums, extra, many = (np.concatenate([p[k] for p in parts]) for k in range(1, 5))
+            score = model.net.score(seqs) / math.log(10) + extra
+            listed = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(many)], pa.int32()), pa.StructArray.from_arrays(
+                [pa.concat_arrays([p[5][k] for p in parts]) for k in range(4)], rest_names))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(2), pa.array(sizes, pa.int64()), pa.array(known, pa.int64()),
-                 pa.array(base_sums, pa.float64()), pa.array(score, pa.float64()), listed], names=names)
+                [batch.column(0), batch.column(1), batch.column(2), pa.array(list(map(len, seqs)), pa.int64()),
+                 pa.array(known + (end_at is not None), pa.int64()), pa.array(base_sums + end_base), pa.array(score), listed], names=names)
     return run
 
 

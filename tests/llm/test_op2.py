@@ -203,3 +203,24 @@ def test_spelling_is_given_the_group(spark):
 
 def test_start_is_not_cut():
     assert op.STEPS >= 600
+
+
+def test_texts_are_looked_up_together_as_each_alone():
+    """Rare words of a batch's texts are spelled at once; the same scores."""
+    head = [(b"the", 9), (b"end", 4), (b"", 3)]
+    model = op.Model(head, np.full((1 << 15, 257), -2.0, np.float32), 16, 3, np.ones((2, op.GROUPS)))
+    texts = [b"the end", b"", None, b"The rare rare word", b"word the \xc3\xa9", *(b"word%d the the x%d" % (k % 7, k) for k in range(50))]
+
+    def score(rows):
+        batch = op.pa.RecordBatch.from_arrays([op.pa.array([0] * len(rows)), op.pa.array([False] * len(rows)), op.pa.array(range(len(rows))),
+                                               op.pa.array(rows, op.pa.binary())], names=["a", "b", "c", "d"])
+        return [r for out in op._score(model)(iter([batch])) for r in out.to_pylist()]
+    calls, spell = [], model.spell_log10
+    model.spell_log10 = lambda words, groups: (calls.append(len(words)), spell(words, groups))[1]
+    together = score(texts)
+    assert len(calls) == 1 and score([]) == []
+    for text, got in zip(texts, together):
+        want, words = score([text])[0], op.words_of(text)
+        assert got["n_tokens"] == len(words) + 1 and got["n_known"] == 1 + sum(w in (b"the", b"end") for w in words)
+        assert got["base_score"] == pytest.approx(want["base_score"]) and got["score"] == pytest.approx(want["score"], rel=1e-5)
+        assert sorted((r["word"], r["k"]) for r in got["rest"]) == sorted(Counter(w for w in words if w not in model.place).items())
